@@ -1,205 +1,13 @@
-"""Registered queries: each a Spark plan over the fixture views, paired
-with the DuckDB SQL that must return the same rows.
-
-Parameters that are features of an operator (a snapshot year, a parcel, a
-sample size, a top-k) are module constants; no query subsets its input to
-stay cheap -- every one scans the whole driver table it derives from.
-"""
+"""The query catalog: every registered query and its oracle SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from pricepanel.operators import revise, stats
-from pricepanel.plans import fixtures as fx
-from pricepanel.plans.oracle import SIDO_BOUNDARY_CASE, SIDO_SHORT_CASE, with_views
-from pricepanel.schema import SRC_API
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
-
-# Operator parameters used by the registered queries.
-SNAPSHOT_YEAR = 2000
-YEARS = list(range(1995, 2002))
-SAMPLE_PARCEL = "2612010221100010001"
-SAMPLE_ROWS = 200
-TOP_K = 10
-DIRTY_YEARS = (1997, 1998)
-
-FACT_COLS = "pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, source, last_updt_dt, seq, xp"
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: QueryFn) -> QueryFn:
-        if name in QUERIES:
-            raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-# --------------------------------------------------------------- normalise
-
-@register("norm_api_row", with_views("fact") + f"select {FACT_COLS} from fact")
-def q_norm_api_row(spark, sf):
-    return fx.fact(spark, sf)
-
-
-# ------------------------------------------------------------ de-duplicate
-
-_W1_SQL = with_views("fact") + f"""
-select {FACT_COLS} from (
-  select *, row_number() over (partition by pnu, stdr_year, stdr_month, source
-                               order by coalesce(last_updt_dt,'') desc, seq desc, xp desc) as rn
-  from fact) t where rn = 1"""
-
-
-@register("dedup_latest", _W1_SQL)
-def q_dedup_latest(spark, sf):
-    return revise.dedup_latest(fx.fact(spark, sf))
-
-
-@register("dedup_latest_strict", with_views("fact") + f"""
-select {FACT_COLS} from (
-  select *, row_number() over (partition by pnu, stdr_year, stdr_month, source
-                               order by coalesce(last_updt_dt,'') desc, seq asc, xp asc) as rn
-  from fact where price_per_m2 is not null) t where rn = 1""")
-def q_dedup_latest_strict(spark, sf):
-    return revise.dedup_latest(fx.fact(spark, sf).where(F.col("price_per_m2").isNotNull()), tie="first")
-
-
-@register("dedup_keep_first", with_views("api") + f"""
-select {FACT_COLS} from (
-  select *, row_number() over (partition by pnu, stdr_year, stdr_month order by seq, xp) as rn
-  from api) t where rn = 1""")
-def q_dedup_keep_first(spark, sf):
-    return revise.dedup_keep_first(fx.api_rows(spark, sf))
-
-
-COLLECTED_AT = "2026-07-15"
-
-
-@register("merge_sources", with_views("fact") + f"""
-select {FACT_COLS} from (
-  select *, row_number() over (partition by pnu, stdr_year, stdr_month
-      order by case when source in ('vworld_api','vworld_bulk') then 0 when source='seoul_opendata' then 1 else 2 end,
-               coalesce(last_updt_dt,'') desc, seq desc, xp desc) as rn
-  from fact) t where rn = 1""")
-def q_merge_sources(spark, sf):
-    df = fx.fact(spark, sf).withColumn("collected_at", F.lit(COLLECTED_AT).cast("date"))
-    return revise.merge_sources(df).drop("collected_at")
-
-
-# ------------------------------------------------------------- statistics
-
-@register("agg_overall", with_views("fact") + """
-select count(*) as n_rows, count(distinct stdr_year) as n_years,
-       min(stdr_year) as min_year, max(stdr_year) as max_year from fact""")
-def q_agg_overall(spark, sf):
-    return stats.overall(fx.fact(spark, sf))
-
-
-@register("agg_year_summary", with_views("fact") + """
-select stdr_year, count(*) as rows, count(distinct substr(pnu,1,2)) as n_sido,
-       count(*) filter (where stdr_month = 7) as july_rows,
-       min(price_per_m2) as min_price, cast(round(avg(price_per_m2)) as bigint) as avg_price,
-       max(price_per_m2) as max_price
-from fact group by stdr_year""")
-def q_agg_year_summary(spark, sf):
-    return stats.year_summary(fx.fact(spark, sf))
-
-
-@register("agg_year_price", with_views("api") + """
-select stdr_year, count(*) filter (where stdr_month=1) as parcels,
-       cast(round(avg(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as avg_price,
-       cast(round(median(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as med_price
-from api group by stdr_year""")
-def q_agg_year_price(spark, sf):
-    return stats.year_price(fx.api_rows(spark, sf))
-
-
-_A4_SQL = with_views("api") + f"""
-select {SIDO_BOUNDARY_CASE} as name, stdr_year as yr, count(*) as parcels,
-       cast(round(avg(price_per_m2) filter (where price_per_m2>0)) as bigint) as avg_p,
-       cast(round(median(price_per_m2) filter (where price_per_m2>0)) as bigint) as med_p
-from api where stdr_month=1 and {SIDO_BOUNDARY_CASE} is not null
-group by 1, 2"""
-
-
-@register("agg_sido_year", _A4_SQL)
-def q_agg_sido_year(spark, sf):
-    return stats.sido_year(fx.api_rows(spark, sf))
-
-
-_A5_SQL = with_views("api") + f"""
-select sido, {SIDO_SHORT_CASE.format(c='sido')} as name, parcels, avg_price from (
-  select substr(pnu,1,2) as sido, count(*) as parcels,
-         cast(round(avg(price_per_m2) filter (where price_per_m2>0)) as bigint) as avg_price
-  from api where stdr_year={SNAPSHOT_YEAR} and stdr_month=1 group by 1) t"""
-
-
-@register("agg_sido_snapshot", _A5_SQL)
-def q_agg_sido_snapshot(spark, sf):
-    return stats.sido_snapshot(fx.api_rows(spark, sf), SNAPSHOT_YEAR)
-
-
-@register("agg_sgg_median", with_views("api") + f"""
-select substr(pnu,1,5) as sgg, cast(round(median(price_per_m2)) as bigint) as med_price, count(*) as parcels
-from api where stdr_year={SNAPSHOT_YEAR} and stdr_month=1 and price_per_m2>0 group by 1""")
-def q_agg_sgg_median(spark, sf):
-    return stats.sgg_median(fx.api_rows(spark, sf), SNAPSHOT_YEAR)
-
-
-@register("agg_source_mix", with_views("fact") + "select source, count(*) as rows from fact group by source")
-def q_agg_source_mix(spark, sf):
-    return stats.source_mix(fx.fact(spark, sf))
-
-
-# -------------------------------------------------------------- conflicts
-
-@register("agg_conflict_keys", with_views("api") + """
-select pnu, stdr_year, stdr_month, substr(pnu,1,10) as bjd, count(*) as n_rows
-from api group by pnu, stdr_year, stdr_month having count(distinct price_per_m2) > 1""")
-def q_agg_conflict_keys(spark, sf):
-    return revise.conflict_keys(fx.api_rows(spark, sf))
-
-
-@register("agg_conflict_census", with_views("api") + """
-, k as (select stdr_year, pnu, stdr_month, count(*) as n, count(distinct price_per_m2) as d
-        from api group by 1, 2, 3)
-select stdr_year, cast(sum(n) as bigint) as rows, count(*) as keys,
-       count(*) filter (where d > 1) as conflict_keys,
-       cast(sum(n) - count(*) - count(*) filter (where d > 1) as bigint) as exact_dup,
-       cast(sum(n - d) as bigint) as same_price_surplus
-from k group by stdr_year""")
-def q_agg_conflict_census(spark, sf):
-    return revise.conflict_census(fx.api_rows(spark, sf))
-
-
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw API records -> N7 -> latest revision (W1) -> yearly A3 report."""
-    latest = revise.dedup_latest(fx.api_rows(spark, sf))
-    return stats.year_price(latest)
-
 
-@register("flagship_year_price", with_views("api") + """
-, latest as (select * from (
-  select *, row_number() over (partition by pnu, stdr_year, stdr_month, source
-                               order by coalesce(last_updt_dt,'') desc, seq desc, xp desc) as rn
-  from api) t where rn = 1)
-select stdr_year, count(*) filter (where stdr_month=1) as parcels,
-       cast(round(avg(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as avg_price,
-       cast(round(median(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as med_price
-from latest group by stdr_year""")
-def q_flagship(spark, sf):
-    return flagship(spark, sf)
+from pricepanel.plans import queries_core  # noqa: F401  (registers queries)
+from pricepanel.plans import queries_quality  # noqa: F401
+from pricepanel.plans.queries_core import flagship
+from pricepanel.plans.registry import ORACLE, QUERIES, QueryFn
 
 
 def queries() -> dict[str, QueryFn]:
@@ -210,4 +18,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
 
-__all__ = ["queries", "oracle_sql", "SRC_API"]
+__all__ = ["flagship", "queries", "oracle_sql", "DataFrame", "SparkSession"]

@@ -122,3 +122,25 @@ def region_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (p.select(code.alias("code"), status.alias("status"))
             .groupBy("code").agg(F.max("status").alias("status"))
             .withColumn("abolished", F.col("status") != EXISTING))
+
+
+def month_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month texts as the city and national bulk files spell them.
+
+    ``city_mt`` cycles through date, ``YYYYMM``, bare, dotted, empty, junk
+    and zero-padded forms; ``bulk_mt`` is the bare month or empty.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    ship = F.col("l_shipdate")
+    m = F.month(ship).cast("string")
+    line = F.col("l_linenumber")
+    city = (F.when(line == 1, F.to_date(ship).cast("string"))
+            .when(line == 2, F.date_format(ship, "yyyyMM"))
+            .when(line == 3, m)
+            .when(line == 4, F.concat(F.year(ship).cast("string"), F.lit("."), m))
+            .when(line == 5, F.lit(""))
+            .when(line == 6, F.lit("abc"))
+            .otherwise(F.lpad(m, 2, "0")))
+    bulk = F.when(line % 2 == 0, F.lit("")).otherwise(m)
+    return li.select((F.col("l_orderkey") * 10 + line).alias("seq"), F.col("l_extendedprice").alias("xp"),
+                     city.alias("city_mt"), bulk.alias("bulk_mt"))

@@ -83,3 +83,23 @@ SIDO_SHORT_CASE = """coalesce(case {c}
     when '45' then '전북' when '46' then '전남' when '47' then '경북' when '48' then '경남'
     when '50' then '제주' when '51' then '강원' when '52' then '전북' when '12' then '전남광주'
     else null end, {c})"""
+
+MONTHS = """
+select l_orderkey*10+l_linenumber as seq, l_extendedprice as xp,
+  case l_linenumber when 1 then cast(cast(l_shipdate as date) as string)
+       when 2 then strftime(l_shipdate, '%Y%m')
+       when 3 then cast(month(l_shipdate) as string)
+       when 4 then cast(year(l_shipdate) as string) || '.' || cast(month(l_shipdate) as string)
+       when 5 then '' when 6 then 'abc'
+       else lpad(cast(month(l_shipdate) as string), 2, '0') end as city_mt,
+  case when l_linenumber % 2 = 0 then '' else cast(month(l_shipdate) as string) end as bulk_mt
+from lineitem"""
+VIEWS["months"] = MONTHS
+ORDER.append("months")
+
+# N3 in DuckDB text, for a column named {c}.
+CITY_MONTH = r"""case when regexp_extract(trim({c}), '[-./](\d{{1,2}})(?:[-./]|$)', 1) <> ''
+       then cast(regexp_extract(trim({c}), '[-./](\d{{1,2}})(?:[-./]|$)', 1) as int)
+     when length(trim({c})) >= 6 and regexp_full_match(trim({c}), '[0-9]+') then cast(substr(trim({c}),5,2) as int)
+     when regexp_full_match(trim({c}), '[0-9]{{1,2}}') then cast(trim({c}) as int)
+     else 1 end"""
