@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pricepanel.plans import queries_core  # noqa: F401  (registers queries)
 from pricepanel.plans import queries_quality  # noqa: F401
 from pricepanel.plans import queries_reports  # noqa: F401
+from pricepanel.plans import queries_sources  # noqa: F401
 from pricepanel.plans.queries_core import flagship
 from pricepanel.plans.registry import ORACLE, QUERIES, QueryFn
 

@@ -46,13 +46,15 @@ def fixture_pnu(supp: Column, part: Column) -> Column:
     )
 
 
-def raw_api(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_api(spark: SparkSession, sf_dir: str, month_texts: bool = False) -> DataFrame:
     """Raw API-like records: string fields + source + arrival order.
 
     ``seq`` (order key * 10 + line) is the arrival sequence; ``xp`` breaks
-    the remaining ties, ``(seq, xp)`` is unique.
+    the remaining ties, ``(seq, xp)`` is unique. ``month_texts`` adds the
+    city / national-bulk month spellings of the same line.
     """
     li = table(spark, sf_dir, "lineitem")
+    extra = list(_month_text_columns()) if month_texts else []
     supp, part = F.col("l_suppkey"), F.col("l_partkey")
     pnu = fixture_pnu(supp, part)
     year = F.year("l_shipdate")
@@ -81,6 +83,7 @@ def raw_api(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", SRC_API).otherwise(SRC_CITY).alias("source"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
         F.col("l_extendedprice").alias("xp"),
+        *extra,
     )
 
 
@@ -131,6 +134,11 @@ def month_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     and zero-padded forms; ``bulk_mt`` is the bare month or empty.
     """
     li = table(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+                     F.col("l_extendedprice").alias("xp"), *_month_text_columns())
+
+
+def _month_text_columns() -> tuple[Column, Column]:
     ship = F.col("l_shipdate")
     m = F.month(ship).cast("string")
     line = F.col("l_linenumber")
@@ -142,5 +150,4 @@ def month_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(line == 6, F.lit("abc"))
             .otherwise(F.lpad(m, 2, "0")))
     bulk = F.when(line % 2 == 0, F.lit("")).otherwise(m)
-    return li.select((F.col("l_orderkey") * 10 + line).alias("seq"), F.col("l_extendedprice").alias("xp"),
-                     city.alias("city_mt"), bulk.alias("bulk_mt"))
+    return city.alias("city_mt"), bulk.alias("bulk_mt")
