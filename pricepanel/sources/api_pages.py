@@ -47,31 +47,37 @@ def _objects(list_text: Column) -> Column:
     return F.filter(F.coalesce(items, F.array().cast("array<string>")), _is_obj)
 
 
-def unwrap(body: Column) -> tuple[Column, Column, Column]:
-    """Return (records as array<json text>, total count, result code)."""
-    top = _obj(body)
-    first_value = F.get(F.map_values(top), 0)
-    single = (F.size(top) == 1) & _is_obj(first_value)
-    inner = F.when(single, _obj(first_value)).otherwise(top)
-
+def _unwrap_columns(df: DataFrame, body: str) -> DataFrame:
+    """Add ``records`` (array of record JSON texts), ``total_count`` and
+    ``result_code``. Each JSON text is parsed once: the stages below are
+    separate projections, and Spark does not inline a non-cheap expression
+    (``from_json``) into several consumers when it collapses them."""
+    top = _obj(F.col(body))
+    s1 = df.withColumn("_top", top)
+    first_value = F.get(F.map_values("_top"), 0)
+    single = (F.size("_top") == 1) & _is_obj(first_value)
+    s2 = s1.withColumn("_inner", F.when(single, _obj(first_value)).otherwise(F.col("_top"))).drop("_top")
+
+    inner = F.col("_inner")
     code = F.upper(F.coalesce(inner.getItem("resultCode"), F.lit("")))
     total_text = F.when(F.map_contains_key(inner, "totalCount"), inner.getItem("totalCount")) \
         .otherwise(inner.getItem("totalcount"))
-    total = F.coalesce(_to_long(total_text), F.lit(0).cast("long"))
-
-    empty = F.array().cast("array<string>")
-    known = F.lit(None).cast("array<string>")
+    # The first known key holding a list or an object, as JSON text.
+    chosen = F.lit(None).cast("string")
     for key in reversed(ROW_KEYS):
         v = inner.getItem(key)
-        known = (F.when(_is_list(v), _objects(v))
-                 .when(_is_obj(v), F.array(v))
-                 .otherwise(known))
-    lists = F.filter(F.map_values(inner),
-                     lambda v: _is_list(v) & _is_obj(F.get(F.from_json(v, "array<string>", _JSON_OPTS), 0)))
-    fallback = F.when(F.size(lists) > 0, _objects(F.get(lists, 0))).otherwise(empty)
-    rows = F.when(F.coalesce(F.size(known), F.lit(0)) > 0, known).otherwise(fallback)
-    rows = F.when(inner.isNull(), empty).otherwise(rows)
-    return rows, total, code
+        chosen = F.when(_is_list(v) | _is_obj(v), v).otherwise(chosen)
+    # Fallback: the first list value whose first element is an object.
+    fallback = F.get(F.filter(F.map_values(inner), lambda v: _is_list(v) & F.ltrim(v).startswith("[{")), 0)
+    s3 = s2.select("*", code.alias("result_code"),
+                   F.coalesce(_to_long(total_text), F.lit(0).cast("long")).alias("total_count"),
+                   chosen.alias("_chosen"), fallback.alias("_fallback"))
+    known = F.when(_is_obj(F.col("_chosen")), F.array("_chosen")).otherwise(_objects(F.col("_chosen")))
+    s4 = s3.withColumn("_known", known)
+    rows = (F.when(inner.isNull(), F.array().cast("array<string>"))
+            .when(F.size("_known") > 0, F.col("_known"))
+            .otherwise(_objects(F.col("_fallback"))))
+    return s4.withColumn("records", rows).drop("_inner", "_chosen", "_fallback", "_known")
 
 
 def _to_long(text: Column) -> Column:
@@ -80,9 +86,8 @@ def _to_long(text: Column) -> Column:
 
 def page_summary(pages: DataFrame, body: str = "body") -> DataFrame:
     """Per landed page: records array, record count, total count, code."""
-    rows, total, code = unwrap(F.col(body))
-    return pages.select("*", rows.alias("records"), F.size(rows).alias("n_rows"),
-                        total.alias("total_count"), code.alias("result_code"))
+    s = _unwrap_columns(pages, body)
+    return s.select(*pages.columns, "records", F.size("records").alias("n_rows"), "total_count", "result_code")
 
 
 def parse_api_pages(pages: DataFrame, body: str = "body", fail_on_fatal: bool = True) -> DataFrame:
@@ -92,16 +97,19 @@ def parse_api_pages(pages: DataFrame, body: str = "body", fail_on_fatal: bool =
     record fields. An authentication error code fails the job, as it would
     stop a sweep.
     """
-    s = page_summary(pages, body)
+    s = _unwrap_columns(pages, body)
     if fail_on_fatal:
         s = s.withColumn("records", F.when(F.col("result_code").isin(*FATAL_CODES),
                                            F.raise_error(F.concat(F.lit("API key error: "),
                                                                   F.col("result_code"))))
                          .otherwise(F.col("records")))
     page_cols = [c for c in pages.columns if c != body]
-    rec = s.select(*page_cols, F.posexplode("records").alias("rec_no", "rec"))
-    parsed = F.from_json("rec", API_RECORD_SCHEMA, _JSON_OPTS)
-    return rec.select(*page_cols, "rec_no", *[parsed.getField(f).alias(f) for f in API_RECORD_SCHEMA.names])
+    # posexplode_outer + null filter: a plain posexplode makes Spark infer
+    # ``size(records) > 0`` and push it below, re-running the unwrap there.
+    rec = s.select(*page_cols, F.posexplode_outer("records").alias("rec_no", "rec")) \
+        .where(F.col("rec").isNotNull())
+    parsed = rec.select(*page_cols, "rec_no", F.from_json("rec", API_RECORD_SCHEMA, _JSON_OPTS).alias("_r"))
+    return parsed.select(*page_cols, "rec_no", *[F.col("_r").getField(f).alias(f) for f in API_RECORD_SCHEMA.names])
 
 
 def zero_total_units(pages: DataFrame, body: str = "body") -> DataFrame:
