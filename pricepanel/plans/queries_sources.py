@@ -149,3 +149,22 @@ def q_sink_scoped_csv(spark, sf):
 def q_sink_json_report(spark, sf):
     """Nested report sections as JSON text (rows-only check)."""
     return sinks.report_sections(fx.fact(spark, sf), fx.api_rows(spark, sf), SAMPLE_PARCEL, SNAPSHOT_YEAR)
+
+
+@register("stream_api_pages", with_views("api") + f"select {_API_COLS} from api")
+def q_stream_api_pages(spark, sf):
+    """Structured Streaming: landed page files -> records table (append,
+    exactly once), run to completion with an available-now trigger."""
+    from pricepanel.streaming import pages as stream
+
+    landing_dir = work_dir(spark, "landing")
+    landing.landed_pages(spark, sf).write.mode("overwrite").json(landing_dir)
+    records = work_dir(spark, "records")
+    q = stream.start_page_ingest(spark, landing_dir, records, work_dir(spark, "stream-ckpt"))
+    if not q.awaitTermination(900):
+        q.stop()
+        raise TimeoutError("page stream did not finish its available input")
+    rows = stream.read_records(spark, records)
+    return rows.select("pnu", F.col("stdr_year").cast("short").alias("stdr_year"),
+                       F.col("stdr_month").cast("byte").alias("stdr_month"),
+                       "price_per_m2", "pblntf_de", "std_land_yn", "last_updt_dt")
