@@ -1 +1,2 @@
-"""DataFrame -> DataFrame operators (lazy; no actions inside)."""
+"""DataFrame -> DataFrame operators. All are lazy except the explicit,
+bounded size check in ``joins.maybe_broadcast``."""

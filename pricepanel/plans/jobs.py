@@ -44,14 +44,16 @@ def ingest_api_pages(pages: DataFrame, fact_root: str, collected_at) -> None:
 def fix_revisions_job(spark: SparkSession, fact_root: str, refetched: DataFrame, new_root: str) -> None:
     """Q7 on the stored API rows, written to a new root (swap afterwards).
 
-    The override table is checkpointed (reliable, shared folder) so its
-    size check and the join do not recompute the census, then it is
+    The conflict census and the override table are checkpointed
+    (reliable, shared folder) so the two membership tests, the size check
+    and the join do not recompute the census; overrides are
     broadcast only if it holds at most ``OVERRIDE_BROADCAST_ROWS`` rows.
     Arrival order of stored rows = file path, row index.
     """
     checkpoint_root(spark)
     stored = revise.with_file_order(fact_store.read_fact(spark, fact_root, source=SRC_API))
-    conflicts = revise.conflict_keys(stored)
+    # Both membership tests of J2 read the census: materialise it once.
+    conflicts = revise.conflict_keys(stored).checkpoint(eager=True)
     overrides = revise.authoritative(revise.conflict_candidates(refetched, conflicts)).checkpoint(eager=True)
     base = revise.dedup_keep_first(stored, arrival=("_file", "_row"))
     fixed = revise.apply_overrides(base, overrides, broadcast_rows=OVERRIDE_BROADCAST_ROWS)

@@ -245,3 +245,25 @@ select count(d.rows) as done_units, count(*) as total_units, cast(coalesce(sum(d
 from grid g left join done d on g.sgg = d.sgg and g.stdr_year = d.stdr_year""")
 def q_coverage_ratio(spark, sf):
     return coverage.coverage_ratio(_grid(spark, sf), coverage.done_units(fx.api_rows(spark, sf)))
+
+
+# ------------------------------------------------------- parcel key join
+
+@register("join_parcel_geometry_key", with_views("api", "city") + """
+, parcels as (select pnu, min(stdr_year) as first_city_year, count(*) as city_rows from city group by pnu),
+latest as (select * from (
+  select *, row_number() over (partition by pnu, stdr_year, stdr_month, source
+                               order by coalesce(last_updt_dt,'') desc, seq desc, xp desc) as rn
+  from api where stdr_month = 1) t where rn = 1)
+select l.pnu, l.stdr_year, l.price_per_m2, p.first_city_year, p.city_rows
+from latest l join parcels p on l.pnu = p.pnu""")
+def q_join_parcel_geometry_key(spark, sf):
+    """Yearly prices joined to a per-parcel table on ``pnu``.
+
+    The parcel side is aggregated to one row per parcel first, so the
+    sort-merge join on ``pnu`` cannot multiply rows for a hot parcel.
+    """
+    parcels = fx.city_rows(spark, sf).groupBy("pnu").agg(
+        F.min("stdr_year").alias("first_city_year"), F.count(F.lit(1)).alias("city_rows"))
+    latest = revise.dedup_latest(fx.api_rows(spark, sf).where(F.col("stdr_month") == 1))
+    return latest.join(parcels, "pnu").select("pnu", "stdr_year", "price_per_m2", "first_city_year", "city_rows")
