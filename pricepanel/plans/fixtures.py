@@ -23,7 +23,21 @@ EXISTING = "존재"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A Parquet file with one row group is read by one task, and all the
+    per-row parsing up to the first shuffle would run there. A scan of a
+    large table already has many splits and is returned unchanged (the
+    split count is known at planning time; no job runs).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _lpad(c: Column, n: int) -> Column:
