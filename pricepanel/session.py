@@ -53,10 +53,17 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only when unset."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, a laptop) without that setting gets a
+    private folder; on a cluster a machine-local folder would not be seen
+    by executors or survive their loss, so it is an error.
+    """
     root = _configured_checkpoint_dir(spark)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
     root = tempfile.mkdtemp(prefix="pricepanel-ckpt-")
     spark.conf.set("spark.checkpoint.dir", root)
     try:
