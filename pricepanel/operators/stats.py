@@ -221,3 +221,29 @@ def summary_region_year(df: DataFrame, level: str = "sido", exact: bool = True)
              F.count(F.lit(1)).alias("parcels"))
     return out.select(F.concat_ws("|", "sido", "sigungu").alias("key"), "sido", "sigungu", "year",
                       "med_price", "avg_price", "parcels")
+
+
+def cumulative_factors(rates: DataFrame, months: int = 12) -> DataFrame:
+    """D2 helper: per (sgg, year) the compounded change since month 1.
+
+    ``rates(sgg, stdr_year, month, rate)`` holds monthly change rates;
+    missing months count as 0 and month 1 is the base (factor 1). The
+    window runs over one district-year (12 rows), so it is bounded.
+    """
+    units = rates.select("sgg", "stdr_year").distinct()
+    grid = units.select("sgg", "stdr_year", F.explode(F.sequence(F.lit(1), F.lit(months))).alias("month"))
+    r = grid.join(rates, ["sgg", "stdr_year", "month"], "left")
+    rate = F.when(F.col("month") == 1, F.lit(0.0)).otherwise(F.coalesce(F.col("rate"), F.lit(0.0)))
+    w = Window.partitionBy("sgg", "stdr_year").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    return r.select("sgg", "stdr_year", "month", F.exp(F.sum(F.log1p(rate)).over(w)).alias("factor"))
+
+
+def monthly_interpolation(regular: DataFrame, factors: DataFrame) -> DataFrame:
+    """Monthly price series = regular (month 1) price x compounded
+    district change rate, one row per parcel, year and month; stored
+    apart from the official prices. Keyed 1:12 expansion on (sgg, year)."""
+    base = regular.where(F.col("stdr_month") == 1).select(
+        "pnu", sgg().alias("sgg"), "stdr_year", F.col(PRICE).alias("base_price"))
+    j = base.join(factors, ["sgg", "stdr_year"])
+    return j.select("pnu", "stdr_year", "month", "base_price", "factor",
+                    rounded(F.col("base_price") * F.col("factor")).alias("price_interp"))

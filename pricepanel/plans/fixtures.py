@@ -165,3 +165,13 @@ def _month_text_columns() -> tuple[Column, Column]:
             .otherwise(F.lpad(m, 2, "0")))
     bulk = F.when(line % 2 == 0, F.lit("")).otherwise(m)
     return city.alias("city_mt"), bulk.alias("bulk_mt")
+
+
+def monthly_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly district change rates derived from ``lineitem``: the mean
+    discount of a district-month shifted to about +-0.5 %."""
+    li = table(spark, sf_dir, "lineitem")
+    p = fixture_pnu(F.col("l_suppkey"), F.col("l_partkey"))
+    return (li.groupBy(F.substring(p, 1, 5).alias("sgg"), F.year("l_shipdate").cast("short").alias("stdr_year"),
+                       F.month("l_shipdate").alias("month"))
+            .agg(((F.avg("l_discount") - 0.05) / 10).alias("rate")))

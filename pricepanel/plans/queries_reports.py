@@ -319,3 +319,12 @@ def q_dedup_file_order(spark, sf):
     li = revise.with_file_order(fx.table(spark, sf, "lineitem"))
     return revise.dedup_keep_first(li, key=["l_orderkey"], arrival=("_file", "_row")) \
         .select("l_orderkey", "l_linenumber")
+
+
+@register("monthly_interpolation")
+def q_monthly_interpolation(spark, sf):
+    """D2 (rows-only: exp/log may differ in the last bit between engines;
+    tested against a brute-force product in tests)."""
+    factors = stats.cumulative_factors(fx.monthly_rates(spark, sf))
+    latest = revise.dedup_latest(fx.api_rows(spark, sf).where(F.col("stdr_month") == 1))
+    return stats.monthly_interpolation(latest, factors)
