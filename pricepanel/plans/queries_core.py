@@ -163,3 +163,13 @@ select stdr_year, count(*) filter (where stdr_month=1) as parcels,
 from latest group by stdr_year""")
 def q_flagship(spark, sf):
     return flagship(spark, sf)
+
+
+@register("agg_year_price_distributed", with_views("api") + """
+select stdr_year, count(*) filter (where stdr_month=1) as parcels,
+       cast(round(avg(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as avg_price,
+       cast(round(median(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as med_price
+from api group by stdr_year""")
+def q_agg_year_price_distributed(spark, sf):
+    """A3 with the bucketed exact median (no group gathered in one task)."""
+    return stats.year_price_distributed(fx.api_rows(spark, sf))

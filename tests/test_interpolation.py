@@ -2,6 +2,8 @@
 
 import math
 
+from pyspark.sql import functions as F
+
 from pricepanel.operators import stats
 
 
@@ -19,3 +21,19 @@ def test_monthly_interpolation_brute_force(spark):
             f *= 1 + r.get(m, 0.0)
         assert math.isclose(row.factor, f, rel_tol=1e-12)
         assert row.price_interp == int(math.floor(1000 * f + 0.5))
+
+
+def test_distributed_median_matches_exact(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for g in range(4):
+        n = [1, 2, 7, 500][g]
+        for i in range(n):
+            v = rnd.choice([0, -5, 3, 3, 3, 1000, 1001, 250_000, 10 ** 9]) if g == 3 else rnd.randint(-50, 10 ** 6)
+            rows.append((g, v))
+    rows += [(3, 3)] * 400                      # a heavy repeated value
+    df = spark.createDataFrame(rows, "g int, v long")
+    exact = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    dist = {r.g: r.median for r in stats.distributed_median(df, ["g"], "v").collect()}
+    assert dist == exact
