@@ -15,7 +15,7 @@ from pricepanel.plans.registry import COLLECTED_AT, FACT_COLS, SNAPSHOT_YEAR, re
 
 @register("norm_api_row", with_views("fact") + f"select {FACT_COLS} from fact")
 def q_norm_api_row(spark, sf):
-    return fx.fact(spark, sf)
+    return fx.fact_from_raw(fx.raw_api(spark, sf))
 
 
 # ------------------------------------------------------------ de-duplicate
@@ -148,8 +148,8 @@ def q_agg_conflict_census(spark, sf):
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Raw API records -> N7 -> latest revision (W1) -> yearly A3 report."""
-    latest = revise.dedup_latest(fx.api_rows(spark, sf))
-    return stats.year_price(latest)
+    api = fx.fact_from_raw(fx.raw_api(spark, sf)).where(F.col("source") == "vworld_api")
+    return stats.year_price(revise.dedup_latest(api))
 
 
 @register("flagship_year_price", with_views("api") + """
