@@ -39,6 +39,19 @@ def _positive() -> Column:
     return F.col(PRICE) > 0
 
 
+def _with_median(keyed: DataFrame, keys: list[str], measures: list[Column], value: Column, name: str,
+                 exact: bool, distributed: bool, population: Column | None = None) -> DataFrame:
+    """One aggregate with the other measures plus a rounded median of
+    ``value``; with ``distributed`` the median comes from
+    ``distributed_median`` (joined on the keys) instead of a per-group map."""
+    if not distributed:
+        return keyed.groupBy(*keys).agg(*measures, rounded(median(value, exact)).alias(name))
+    base = keyed.groupBy(*keys).agg(*measures)
+    pop = keyed.where(population) if population is not None else keyed
+    med = distributed_median(pop, keys, PRICE, "_med")
+    return base.join(med, keys, "left").withColumn(name, rounded(F.col("_med"))).drop("_med")
+
+
 def overall(df: DataFrame) -> DataFrame:
     """A1: rows, distinct years, first and last year."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -58,27 +71,28 @@ def year_summary(df: DataFrame) -> DataFrame:
         F.max(PRICE).alias("max_price"))
 
 
-def year_price(df: DataFrame, exact: bool = True) -> DataFrame:
+def year_price(df: DataFrame, exact: bool = True, distributed: bool = False) -> DataFrame:
     """A3: per year regular-month parcels, mean and median positive price."""
     pop = F.when(_regular() & _positive(), F.col(PRICE))
-    return df.groupBy("stdr_year").agg(
-        F.count_if(_regular()).alias("parcels"),
-        rounded(F.avg(pop)).alias("avg_price"),
-        rounded(median(pop, exact)).alias("med_price"))
+    keyed = df.select("stdr_year", "stdr_month", PRICE)
+    out = _with_median(keyed, ["stdr_year"], [F.count_if(_regular()).alias("parcels"),
+                                             rounded(F.avg(pop)).alias("avg_price")],
+                       pop, "med_price", exact, distributed, _regular() & _positive())
+    return out.select("stdr_year", "parcels", "avg_price", "med_price")
 
 
-def sido_year(df: DataFrame, exact: bool = True) -> DataFrame:
+def sido_year(df: DataFrame, exact: bool = True, distributed: bool = False) -> DataFrame:
     """A4: merged boundary region x year: parcels, mean, median (month 1).
 
     Codes without a boundary name (e.g. 12) are dropped.
     """
     name = region_label_merged(sido())
     pop = F.when(_positive(), F.col(PRICE))
-    return (df.where(_regular() & name.isNotNull())
-            .groupBy(name.alias("name"), F.col("stdr_year").alias("yr"))
-            .agg(F.count(F.lit(1)).alias("parcels"),
-                 rounded(F.avg(pop)).alias("avg_p"),
-                 rounded(median(pop, exact)).alias("med_p")))
+    keyed = df.where(_regular() & name.isNotNull()).select(
+        name.alias("name"), F.col("stdr_year").alias("yr"), PRICE)
+    return _with_median(keyed, ["name", "yr"], [F.count(F.lit(1)).alias("parcels"),
+                                                rounded(F.avg(pop)).alias("avg_p")],
+                        pop, "med_p", exact, distributed, _positive())
 
 
 def sido_snapshot(df: DataFrame, year: int) -> DataFrame:
@@ -91,13 +105,12 @@ def sido_snapshot(df: DataFrame, year: int) -> DataFrame:
               .orderBy(F.col("avg_price").desc_nulls_last(), "sido")
 
 
-def sgg_median(df: DataFrame, year: int, exact: bool = True) -> DataFrame:
+def sgg_median(df: DataFrame, year: int, exact: bool = True, distributed: bool = False) -> DataFrame:
     """One year, month 1, positive prices: median and count by sgg."""
-    return (df.where((F.col("stdr_year") == year) & _regular() & _positive())
-            .groupBy(sgg().alias("sgg"))
-            .agg(rounded(median(F.col(PRICE), exact)).alias("med_price"),
-                 F.count(F.lit(1)).alias("parcels"))
-            .orderBy(F.col("med_price").desc(), "sgg"))
+    keyed = df.where((F.col("stdr_year") == year) & _regular() & _positive()).select(sgg().alias("sgg"), PRICE)
+    out = _with_median(keyed, ["sgg"], [F.count(F.lit(1)).alias("parcels")],
+                       F.col(PRICE), "med_price", exact, distributed)
+    return out.select("sgg", "med_price", "parcels").orderBy(F.col("med_price").desc(), "sgg")
 
 
 def source_mix(df: DataFrame) -> DataFrame:
@@ -207,18 +220,19 @@ def rank_desc(agg: DataFrame, by: str, k: int, ties: Sequence[str] = ()) -> Data
     return agg.orderBy(F.col(by).desc_nulls_last(), *ties).limit(k)
 
 
-def summary_region_year(df: DataFrame, level: str = "sido", exact: bool = True) -> DataFrame:
+def summary_region_year(df: DataFrame, level: str = "sido", exact: bool = True,
+                        distributed: bool = False) -> DataFrame:
     """Median / mean / count by region and year (month 1, positive).
 
     ``level='sido'`` uses the 2-digit code, ``'sgg'`` the 5-digit code;
     ``key`` is ``sido|sgg`` (sgg empty at province level).
     """
     sg = F.lit("") if level == "sido" else sgg()
-    pos = df.where(_regular() & _positive())
-    out = pos.groupBy(sido().alias("sido"), sg.alias("sigungu"), F.col("stdr_year").alias("year")) \
-        .agg(rounded(median(F.col(PRICE), exact)).alias("med_price"),
-             rounded(F.avg(PRICE)).alias("avg_price"),
-             F.count(F.lit(1)).alias("parcels"))
+    pos = df.where(_regular() & _positive()).select(
+        sido().alias("sido"), sg.alias("sigungu"), F.col("stdr_year").alias("year"), PRICE)
+    out = _with_median(pos, ["sido", "sigungu", "year"],
+                       [rounded(F.avg(PRICE)).alias("avg_price"), F.count(F.lit(1)).alias("parcels")],
+                       F.col(PRICE), "med_price", exact, distributed)
     return out.select(F.concat_ws("|", "sido", "sigungu").alias("key"), "sido", "sigungu", "year",
                       "med_price", "avg_price", "parcels")
 
@@ -301,10 +315,4 @@ def distributed_median(df: DataFrame, keys: Sequence[str], value: str, out: str
 
 def year_price_distributed(df: DataFrame) -> DataFrame:
     """A3 with the distributed exact median (for very large years)."""
-    pop = df.where(_regular() & _positive())
-    counts = df.groupBy("stdr_year").agg(
-        F.count_if(_regular()).alias("parcels"),
-        rounded(F.avg(F.when(_regular() & _positive(), F.col(PRICE)))).alias("avg_price"))
-    med = distributed_median(pop, ["stdr_year"], PRICE, "med")
-    return counts.join(med, "stdr_year", "left").select(
-        "stdr_year", "parcels", "avg_price", rounded(F.col("med")).alias("med_price"))
+    return year_price(df, distributed=True)

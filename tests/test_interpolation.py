@@ -37,3 +37,14 @@ def test_distributed_median_matches_exact(spark):
     exact = {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
     dist = {r.g: r.median for r in stats.distributed_median(df, ["g"], "v").collect()}
     assert dist == exact
+
+
+def test_distributed_reports_match(spark):
+    from pricepanel.plans import fixtures as fx
+    api = fx.api_rows(spark, "/root/testdata/sf0.001")
+    for fn in (lambda d: stats.sido_year(api, distributed=d),
+               lambda d: stats.sgg_median(api, 2000, distributed=d),
+               lambda d: stats.summary_region_year(api, "sgg", distributed=d)):
+        a, b = fn(False), fn(True)
+        assert sorted(a.columns) == sorted(b.columns)
+        assert sorted(a.select(*sorted(a.columns)).collect()) == sorted(b.select(*sorted(a.columns)).collect())
