@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from pricepanel.plans import fixtures as fx
 from pricepanel.schema import SRC_API, SRC_CITY
+from pricepanel.session import ship_package
 
 # The city bulk header, in the standard and the alternative
 # spelling of the parcel, year and month columns.
@@ -86,6 +87,7 @@ def city_archives(spark: SparkSession, sf: str) -> DataFrame:
                      F.substring(p, 11, 1).alias("h"), F.lit("").alias("i"),
                      F.substring(p, 12, 4).alias("j"), F.substring(p, 16, 4).alias("k"),
                      F.col("stdrYear").alias("l"), F.col("city_mt").alias("m"))
+    ship_package(spark)
     return cells.mapInPandas(_pack("city"), ARCHIVE_SCHEMA)
 
 
@@ -98,6 +100,7 @@ def bulk_archives(spark: SparkSession, sf: str) -> DataFrame:
                      F.col("stdrYear").alias("g"), F.col("bulk_mt").alias("h"),
                      F.col("pblntfPclnd").alias("i"), F.col("pblntfDe").alias("j"),
                      F.col("stdLandAt").alias("k"), F.lit("").alias("l"), F.lit("").alias("m"))
+    ship_package(spark)
     return cells.mapInPandas(_pack("bulk"), ARCHIVE_SCHEMA)
 
 
@@ -116,6 +119,7 @@ def code_archives(spark: SparkSession, sf: str) -> DataFrame:
     """Region codes as EUC-KR tab-separated text in ZIPs."""
     codes = fx.region_codes(spark, sf).select(
         "code", F.concat(F.lit("동"), F.col("code")).alias("name"), "status")
+    ship_package(spark)
     return codes.mapInPandas(_pack_codes, ARCHIVE_SCHEMA)
 
 
