@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from pricepanel.schema import API_RECORD_SCHEMA
 
+# Keys that may hold the records, in the order they are tried,
+# and the result codes that mean the key itself was refused.
 ROW_KEYS = ("field", "fields", "items", "item", "list")
 FATAL_CODES = ("INVALID_KEY", "UNREGISTERED_KEY", "DENIED_KEY", "EXPIRED_KEY")
 PAGE_SCHEMA = "prefix string, year int, page_no int, body string"

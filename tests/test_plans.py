@@ -32,3 +32,15 @@ def test_parcel_filter_pushed_to_scan(spark, tmp_dir):
     p = _plan(q)
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "StringStartsWith(pnu,26120)" in p and "EqualTo(pnu,2612010221100010001)" in p
+
+
+PYTHON_OK = {"src_zip_csv_keyword", "norm_city_row", "src_zip_csv_positional", "norm_bulk_row", "src_region_codes"}
+
+
+def test_no_python_workers_outside_archive_readers(spark):
+    import __spark_entry__ as entry
+    for name, fn in entry.queries().items():
+        if name in PYTHON_OK or name.startswith(("sink_", "src_fact", "stream_")):
+            continue
+        plan = fn(spark, SF)._jdf.queryExecution().sparkPlan().toString()
+        assert "MapInPandas" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan, name
