@@ -122,3 +122,36 @@ def test_export_csv_round_trip(spark, tmp_dir):
     sinks.export_csv(df, path)
     back = sinks.read_export(spark, path)
     assert [(r.pnu, r.stdr_month) for r in back.collect()] == [("1", 1), ("1", 7), ("2", 1)]
+
+
+def _pages(spark, bodies):
+    return spark.createDataFrame([("11110101", 2024, i, b) for i, b in enumerate(bodies)],
+                                 "prefix string, year int, page_no int, body string")
+
+
+def test_api_page_envelopes(spark):
+    from pricepanel.sources import api_pages
+    bodies = [
+        '{"indvdLandPrices":{"resultCode":"OK","totalCount":"2","field":[{"pnu":"1","stdrYear":"2024"},'
+        '{"pnu":"2","stdrYear":2024}]}}',
+        '{"indvdLandPrices":{"resultCode":"ok_but_empty"}}',
+        '{"x":{"totalCount":1,"field":{"pnu":"3","stdrYear":"2024"}}}',
+        '{"x":{"totalcount":"zz","weird":[{"pnu":"4","stdrYear":"2024"}]}}',
+        '{"items":[{"pnu":"5","stdrYear":"2024"}],"totalCount":1}',
+        '{"x":{"field":[],"other":[{"pnu":"6","stdrYear":"2024"}]}}',
+        '{"x":{"field":"","items":[{"pnu":"7\x01x","stdrYear":"2024"}]}}',
+        '',
+    ]
+    s = {r.page_no: (r.n_rows, r.total_count, r.result_code)
+         for r in api_pages.page_summary(_pages(spark, bodies)).collect()}
+    assert s == {0: (2, 2, "OK"), 1: (0, 0, "OK_BUT_EMPTY"), 2: (1, 1, ""), 3: (1, 0, ""),
+                 4: (1, 1, ""), 5: (1, 0, ""), 6: (1, 0, ""), 7: (0, 0, "")}
+    recs = sorted((r.page_no, r.rec_no, r.pnu, r.stdrYear) for r in api_pages.parse_api_pages(_pages(spark, bodies)).collect())
+    assert recs == [(0, 0, "1", "2024"), (0, 1, "2", "2024"), (2, 0, "3", "2024"), (3, 0, "4", "2024"),
+                    (4, 0, "5", "2024"), (5, 0, "6", "2024"), (6, 0, "7\x01x", "2024")]
+
+
+def test_api_fatal_code_fails(spark):
+    from pricepanel.sources import api_pages
+    with pytest.raises(Exception):
+        api_pages.parse_api_pages(_pages(spark, ['{"indvdLandPrices":{"resultCode":"INVALID_KEY"}}'])).collect()
