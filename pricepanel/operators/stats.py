@@ -6,7 +6,8 @@ Medians: ``exact=True`` uses Spark's ``median`` (= percentile 0.5 with
 interpolation, equal to DuckDB ``median``); its buffer is a map of
 distinct price -> count merged map-side, so its size follows the number of
 distinct prices in a group, not its rows. ``exact=False`` uses the bounded
-``percentile_approx`` sketch.
+``percentile_approx`` sketch. ``distributed=True`` (A3, A4, A6, D4) uses
+``distributed_median``: exact, and no group is gathered into one task.
 """
 
 from __future__ import annotations

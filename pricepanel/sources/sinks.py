@@ -34,6 +34,22 @@ def _as_json(df: DataFrame, order: list[str]) -> DataFrame:
     return df.agg(F.to_json(rows).alias("json"))
 
 
+def map_report(api: DataFrame) -> DataFrame:
+    """S8 (map): ``{"years": [...], "sido": {name: {year: {n, avg, med}}}}``
+    from the region x year aggregate (A4); missing means become 0."""
+    long = stats.sido_year(api)
+    cell = F.struct(F.col("parcels").alias("n"), F.coalesce("avg_p", F.lit(0)).alias("avg"),
+                    F.coalesce("med_p", F.lit(0)).alias("med"))
+    per_name = long.groupBy("name").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("yr").cast("string"), cell)))).alias("by_year"))
+    by_name = F.array_sort(F.collect_list(F.struct("name", "by_year")),
+                           lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0))
+    years = F.array_sort(F.transform(F.array_distinct(F.flatten(F.collect_list(F.map_keys("by_year")))),
+                                     lambda y: y.cast("int")))
+    out = per_name.agg(years.alias("years"), F.map_from_entries(by_name).alias("sido"))
+    return out.select(F.to_json(F.struct("years", "sido")).alias("json"))
+
+
 def report_sections(fact: DataFrame, api: DataFrame, parcel: str, snapshot_year: int) -> DataFrame:
     """The yearly dashboard report as (section, json) rows.
 
@@ -50,6 +66,7 @@ def report_sections(fact: DataFrame, api: DataFrame, parcel: str, snapshot_year:
         "sources": _as_json(stats.source_mix(fact), ["source"]),
         "sample_parcel": _as_json(stats.series_parcel(api, parcel).select(
             F.col("stdr_year").alias("year"), "price"), ["year"]),
+        "map_sido": map_report(api),
     }
     out = None
     for name, df in sections.items():
