@@ -58,9 +58,23 @@ def read_records(spark: SparkSession, records_root: str) -> DataFrame:
     return spark.read.parquet(records_root)
 
 
-def build_fact(records: DataFrame, fact_root: str, collected_at) -> None:
+def units_in_pages(pages: DataFrame) -> DataFrame:
+    """(stdr_year, sgg) units a set of landed pages touches."""
+    return pages.select(F.col("year").cast("short").alias("stdr_year"),
+                        F.substring("prefix", 1, 5).alias("sgg")).distinct()
+
+
+def build_fact(records: DataFrame, fact_root: str, collected_at, units: DataFrame | None = None) -> None:
     """Latest revision per key (W1; tie -> last arrival) written as fact
-    units (S6). Arrival order = landed file, page, record number."""
+    units (S6). Arrival order = landed file, page, record number.
+
+    With ``units`` (stdr_year, sgg) only the records of those units are
+    resolved and only their folders are replaced (dynamic overwrite), so
+    an incremental run costs the new units, not the whole history.
+    """
+    if units is not None:
+        records = records.join(units, (records["stdr_year"] == units["stdr_year"])
+                               & (F.substring(records["pnu"], 1, 5) == units["sgg"]), "left_semi")
     latest = revise.dedup_latest(records, key=["pnu", "stdr_year", "stdr_month"],
                                  arrival=("landed_file", "page_no", "rec_no"))
     write_fact(prepare_fact(latest, source=SRC_API, collected_at=collected_at), fact_root)

@@ -61,3 +61,25 @@ def test_stream_then_build_fact(spark, tmp_dir):
     q2 = stream.start_page_ingest(spark, land, records, os.path.join(tmp_dir, "ckpt"))
     assert q2.awaitTermination(600)
     assert stream.read_records(spark, records).count() == rec.count()
+
+
+def test_incremental_build_replaces_only_touched_units(spark, tmp_dir):
+    pages = landing.landed_pages(spark, SF)
+    first_year = pages.agg(F.min("year")).collect()[0][0]
+    land = os.path.join(tmp_dir, "landing")
+    pages.where(F.col("year") != first_year).write.json(land + "/a")
+    records = os.path.join(tmp_dir, "records")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    assert stream.start_page_ingest(spark, land + "/*", records, ckpt).awaitTermination(600)
+    root = os.path.join(tmp_dir, "fact")
+    stream.build_fact(stream.read_records(spark, records), root, "2026-07-15")
+    before = fact_store.read_fact(spark, root).where(F.col("stdr_year") != first_year).count()
+    # a new landing batch for the first year only
+    new = pages.where(F.col("year") == first_year)
+    new.write.json(land + "/b")
+    assert stream.start_page_ingest(spark, land + "/*", records, ckpt).awaitTermination(600)
+    stream.build_fact(stream.read_records(spark, records), root, "2026-07-15", units=stream.units_in_pages(new))
+    after = fact_store.read_fact(spark, root)
+    assert after.where(F.col("stdr_year") != first_year).count() == before
+    expect = revise.dedup_latest(fx.api_rows(spark, SF)).count()
+    assert after.count() == expect
