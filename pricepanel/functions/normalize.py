@@ -22,6 +22,10 @@ _WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 # Strings accepted as "standard parcel = yes".
 STANDARD_YES = ("Y", "1", "TRUE", "표준지")
 
+# Fixed value: in a city month text, the one or two digits after the first
+# date separator, followed by another separator or the end.
+CITY_MONTH_PATTERN = r"[-./](\d{1,2})(?:[-./]|$)"
+
 DIGITS = "^[0-9]+$"
 
 
@@ -78,7 +82,7 @@ def norm_month_multi(c) -> Column:
     6+ digits -> characters 5-6; 1-2 digits -> the number; else 1.
     """
     s = strip(F.coalesce(_col(c), F.lit("")))
-    sep = F.regexp_extract(s, r"[-./](\d{1,2})(?:[-./]|$)", 1)
+    sep = F.regexp_extract(s, CITY_MONTH_PATTERN, 1)
     return (F.when(sep != "", sep.cast("int"))
             .when((F.length(s) >= 6) & s.rlike(DIGITS), F.substring(s, 5, 2).cast("int"))
             .when(s.rlike("^[0-9]{1,2}$"), s.cast("int"))
