@@ -173,3 +173,11 @@ from api group by stdr_year""")
 def q_agg_year_price_distributed(spark, sf):
     """A3 with the bucketed exact median (no group gathered in one task)."""
     return stats.year_price_distributed(fx.api_rows(spark, sf))
+
+
+@register("agg_conflict_keys_cross_source", with_views("fact") + """
+select count(*) as conflicting_keys from (
+  select pnu, stdr_year, stdr_month from fact group by 1, 2, 3 having count(distinct price_per_m2) > 1) t""")
+def q_agg_conflict_keys_cross_source(spark, sf):
+    """A12 across sources: merged-view keys whose sources disagree on price."""
+    return revise.conflict_keys(fx.fact(spark, sf)).agg(F.count(F.lit(1)).alias("conflicting_keys"))
