@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from pricepanel.functions.labels import region_label, region_label_merged
 from pricepanel.functions.pnu import region_prefix_filter, sgg, sido
+from pricepanel.operators.joins import maybe_broadcast
 
 PRICE = "price_per_m2"
 
@@ -253,13 +254,18 @@ def cumulative_factors(rates: DataFrame, months: int = 12) -> DataFrame:
     return r.select("sgg", "stdr_year", "month", F.exp(F.sum(F.log1p(rate)).over(w)).alias("factor"))
 
 
-def monthly_interpolation(regular: DataFrame, factors: DataFrame) -> DataFrame:
+def monthly_interpolation(regular: DataFrame, factors: DataFrame, max_factor_rows: int = 2_000_000) -> DataFrame:
     """Monthly price series = regular (month 1) price x compounded
     district change rate, one row per parcel, year and month; stored
-    apart from the official prices. Keyed 1:12 expansion on (sgg, year)."""
+    apart from the official prices. Keyed 1:12 expansion on (sgg, year).
+
+    The factor table (12 rows per district-year) is broadcast after its
+    size check, so a district-year holding a third of the parcels is
+    expanded where it is read instead of in one reducer.
+    """
     base = regular.where(F.col("stdr_month") == 1).select(
         "pnu", sgg().alias("sgg"), "stdr_year", F.col(PRICE).alias("base_price"))
-    j = base.join(factors, ["sgg", "stdr_year"])
+    j = base.join(maybe_broadcast(factors, max_factor_rows), ["sgg", "stdr_year"])
     return j.select("pnu", "stdr_year", "month", "base_price", "factor",
                     rounded(F.col("base_price") * F.col("factor")).alias("price_interp"))
 
