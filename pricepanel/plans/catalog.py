@@ -1,13 +1,11 @@
-"""The query catalog: every registered query and its oracle SQL."""
+"""The query catalog: every registered query and its oracle SQL.
 
-from __future__ import annotations
+Importing the ``queries_*`` modules registers their queries.
+"""
 
-from pyspark.sql import DataFrame, SparkSession
+from __future__ import annotations
 
-from pricepanel.plans import queries_core  # noqa: F401  (registers queries)
-from pricepanel.plans import queries_quality  # noqa: F401
-from pricepanel.plans import queries_reports  # noqa: F401
-from pricepanel.plans import queries_sources  # noqa: F401
+from pricepanel.plans import queries_core, queries_quality, queries_reports, queries_sources  # noqa: F401
 from pricepanel.plans.queries_core import flagship
 from pricepanel.plans.registry import ORACLE, QUERIES, QueryFn
 
@@ -20,4 +18,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
 
-__all__ = ["flagship", "queries", "oracle_sql", "DataFrame", "SparkSession"]
+__all__ = ["flagship", "queries", "oracle_sql"]
