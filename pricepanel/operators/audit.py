@@ -77,18 +77,23 @@ def cross_source(city: DataFrame, api: DataFrame, revision: str = "latest") -> D
     """City January rows vs the API price of the same parcel and year.
 
     ``revision='latest'`` compares with the newest API revision (W1),
-    ``'first'`` with the first arrival. Rate is over all sampled rows,
+    ``'first'`` with the first arrival (for raw rows that carry revision
+    columns; a stored panel is already resolved). Rate is over all sampled rows,
     missing included. The API side is unique per (pnu, year) before the
     join, so the join cannot multiply rows even for a hot parcel.
     """
+    if revision not in ("latest", "first"):
+        raise ValueError("revision must be 'latest' or 'first'")
     jan = api.where(F.col("stdr_month") == 1)
-    if revision == "latest":
-        one = revise.dedup_latest(jan, key=["pnu", "stdr_year"])
-    elif revision == "first":
-        one = revise.dedup_keep_first(jan, key=["pnu", "stdr_year"])
+    key = ["pnu", "stdr_year"]
+    if {"last_updt_dt", *revise.ARRIVAL} <= set(api.columns):
+        one = revise.dedup_latest(jan, key=key) if revision == "latest" else revise.dedup_keep_first(jan, key=key)
+        ref = one.select(*key, F.col("price_per_m2").alias("api_price"))
     else:
-        raise ValueError("revision must be 'latest' or 'first'")
-    ref = one.select("pnu", "stdr_year", F.col("price_per_m2").alias("api_price"))
+        # A stored panel has no revision columns: its keys are already
+        # resolved, so one price per (pnu, year) is taken as is (the max
+        # only makes the pick deterministic if a key were repeated).
+        ref = jan.groupBy(*key).agg(F.max("price_per_m2").alias("api_price"))
     # Only counts leave this audit, so the sample is collapsed to
     # (pnu, year, price) -> rows first (combined map-side): a parcel with
     # a third of all rows enters the join as a handful of rows.
@@ -103,8 +108,8 @@ def cross_source(city: DataFrame, api: DataFrame, revision: str = "latest") -> D
 
     out = j.agg(rows(F.lit(True)).alias("total"), rows(~missing & same).alias("match"),
                 rows(~missing & ~same).alias("mismatch"), rows(missing).alias("missing"))
-    return out.withColumn("match_permille",
-                          F.round(F.col("match") * 1000.0 / F.col("total")).cast("long"))
+    return out.withColumn("match_permille", F.when(F.col("total") > 0, F.round(
+        F.col("match") * 1000.0 / F.col("total")).cast("long")))
 
 
 def audit_pagination(pages: DataFrame) -> DataFrame:
