@@ -21,9 +21,20 @@ from pricepanel.schema import KEY, SRC_API, SRC_BULK, SRC_CITY, STORED_KEY
 ARRIVAL = ("seq", "xp")
 
 
-def _first_per_key(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:
+def _first_per_key(df: DataFrame, key: Sequence[str], order: list[Column], drop: Sequence[str] = ()) -> DataFrame:
     w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", *drop)
+
+
+def _with_arrival(df: DataFrame, arrival: Sequence[str] | None) -> tuple[DataFrame, list[str], list[str]]:
+    """Arrival-order columns: as given; else ``seq``/``xp`` when present;
+    else the real order of a Parquet scan (file path, row index), added
+    here and dropped again by the caller."""
+    if arrival is not None:
+        return df, list(arrival), []
+    if all(c in df.columns for c in ARRIVAL):
+        return df, list(ARRIVAL), []
+    return with_file_order(df), ["_file", "_row"], ["_file", "_row"]
 
 
 def _arrival(arrival: Sequence[str], latest_first: bool) -> list[Column]:
@@ -31,7 +42,7 @@ def _arrival(arrival: Sequence[str], latest_first: bool) -> list[Column]:
 
 
 def dedup_latest(df: DataFrame, key: Sequence[str] = STORED_KEY, updated: str = "last_updt_dt",
-                 arrival: Sequence[str] = ARRIVAL, tie: str = "last") -> DataFrame:
+                 arrival: Sequence[str] | None = None, tie: str = "last") -> DataFrame:
     """Keep the newest revision per key.
 
     ``updated`` is compared as text, missing = '' (lowest). ``tie='last'``
@@ -40,18 +51,20 @@ def dedup_latest(df: DataFrame, key: Sequence[str] = STORED_KEY, updated: str =
     """
     if tie not in ("last", "first"):
         raise ValueError("tie must be 'last' or 'first'")
+    df, arrival, extra = _with_arrival(df, arrival)
     order = [F.coalesce(F.col(updated), F.lit("")).desc()] + _arrival(arrival, tie == "last")
-    return _first_per_key(df, key, order)
+    return _first_per_key(df, key, order, extra)
 
 
 def dedup_keep_first(df: DataFrame, key: Sequence[str] = KEY,
-                     arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+                     arrival: Sequence[str] | None = None) -> DataFrame:
     """Drop repeated keys, keep the first in arrival (file) order.
 
-    For files, pass ``arrival=("_file", "_row")`` built from
-    ``_metadata.file_path`` and ``_metadata.row_index``.
+    Without ``seq``/``xp`` columns the order is the Parquet scan's own
+    (``_metadata.file_path``, ``_metadata.row_index``).
     """
-    return _first_per_key(df, key, _arrival(arrival, latest_first=False))
+    df, arrival, extra = _with_arrival(df, arrival)
+    return _first_per_key(df, key, _arrival(arrival, latest_first=False), extra)
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
@@ -67,15 +80,19 @@ def source_priority(c="source") -> Column:
 
 
 def merge_sources(df: DataFrame, key: Sequence[str] = KEY, collected: str = "collected_at",
-                  updated: str = "last_updt_dt", arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+                  updated: str = "last_updt_dt", arrival: Sequence[str] | None = None) -> DataFrame:
     """One row per parcel-year-month across sources.
 
     Priority API = bulk > city; then newest collection date, newest update
-    stamp, latest arrival (a total order, so reruns pick the same row).
+    stamp (when the rows carry one), latest arrival, and finally source
+    name and price, so the order is total and reruns pick the same row.
     """
-    order = [source_priority().asc(), F.col(collected).desc_nulls_last(),
-             F.coalesce(F.col(updated), F.lit("")).desc()] + _arrival(arrival, True)
-    return _first_per_key(df, key, order)
+    df, arrival, extra = _with_arrival(df, arrival)
+    order = [source_priority().asc(), F.col(collected).desc_nulls_last()]
+    if updated in df.columns:
+        order.append(F.coalesce(F.col(updated), F.lit("")).desc())
+    order += _arrival(arrival, True) + [F.col("source").asc(), F.col("price_per_m2").desc()]
+    return _first_per_key(df, key, order, extra)
 
 
 def conflict_keys(df: DataFrame, key: Sequence[str] = KEY, price: str = "price_per_m2") -> DataFrame:
@@ -124,10 +141,11 @@ def conflict_candidates(refetched: DataFrame, conflicts: DataFrame) -> DataFrame
             .join(parcels, "pnu", "left_semi"))
 
 
-def authoritative(candidates: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+def authoritative(candidates: DataFrame, key: Sequence[str] = KEY,
+                  arrival: Sequence[str] | None = None) -> DataFrame:
     """Latest revision per key among candidates (W2, first on ties) as an
     override table (key, price_ov, pblntf_ov, std_ov, last_updt_dt)."""
-    best = dedup_latest(candidates.where(F.col("price_per_m2").isNotNull()), key=key, tie="first")
+    best = dedup_latest(candidates.where(F.col("price_per_m2").isNotNull()), key=key, tie="first", arrival=arrival)
     return best.select(*key, F.col("price_per_m2").alias("price_ov"),
                        F.col("pblntf_de").alias("pblntf_ov"),
                        F.col("std_land_yn").alias("std_ov"), "last_updt_dt")
@@ -158,7 +176,7 @@ def apply_overrides(base: DataFrame, overrides: DataFrame, key: Sequence[str] =
 
 
 def fix_revisions(stored: DataFrame, refetched: DataFrame, key: Sequence[str] = KEY,
-                  arrival: Sequence[str] = ARRIVAL, broadcast_rows: int | None = None) -> DataFrame:
+                  arrival: Sequence[str] | None = None, broadcast_rows: int | None = None) -> DataFrame:
     """Q7: census -> candidates -> latest -> keep-first -> override.
 
     Idempotent: a second run finds no conflicts in its own output (every
@@ -170,7 +188,7 @@ def fix_revisions(stored: DataFrame, refetched: DataFrame, key: Sequence[str] =
 
 
 def merge_staging(staged: DataFrame, overrides: DataFrame, dirty_years: Sequence[int],
-                  key: Sequence[str] = KEY, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+                  key: Sequence[str] = KEY, arrival: Sequence[str] | None = None) -> DataFrame:
     """Clean years pass through; dirty years get keep-first + overrides.
 
     The year split is a partition filter on each branch, so a partitioned
