@@ -175,3 +175,24 @@ def test_revision_operators_on_a_stored_table(spark, tmp_dir):
                                "pnu string, stdr_year short, stdr_month byte, price_ov long, pblntf_ov string")
     out = revise.merge_staging(fact_store.read_fact(spark, root, source=SRC_API), ov, [2024]).collect()
     assert [r.price_per_m2 for r in out] == [99]
+
+
+def test_parcel_series_and_scope_prune_units(spark, tmp_dir):
+    from pricepanel.operators import filters, stats
+    root = os.path.join(tmp_dir, "fact")
+    fact_store.write_fact(_fact(spark, [("2612010221100010001", 2000, 1, 5), ("2612010221100010001", 2001, 1, 6),
+                                        ("1111010100100010000", 2000, 1, 7)]), root)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        df = fact_store.read_fact(spark, root)
+        q = stats.series_parcel(df, "2612010221100010001", partition_col="sgg")
+        assert [tuple(r) for r in q.collect()] == [(2000, 5), (2001, 6)]
+        import re
+        plan = re.sub(r"#\d+L?", "", q._jdf.queryExecution().executedPlan().toString())
+        assert "PartitionFilters: [isnotnull(sgg)" in plan and "(sgg = 26120)" in plan
+        assert "StringStartsWith(pnu,26120)" in plan
+        e = df.where(filters.scope(year=2000, sgg="26120", partition_col="sgg"))
+        assert e.count() == 1
+        assert "(sgg = 26120)" in re.sub(r"#\d+L?", "", e._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
