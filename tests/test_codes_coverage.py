@@ -46,3 +46,17 @@ def test_units_todo_with_empty_page(spark):
         [("11110", 1991), ("11140", 1990), ("11140", 1991)]
     r = coverage.coverage_ratio(grid, done).collect()[0]
     assert (r.done_units, r.total_units, r.rows, r.done_permille) == (2, 4, 1, 500)
+
+
+def test_zero_total_pages_mark_units_done(spark):
+    from pricepanel.sources import api_pages
+    pages = spark.createDataFrame(
+        [("11140101", 1990, 1, '{"indvdLandPrices":{"resultCode":"OK","totalCount":"0"}}'),
+         ("11110101", 1990, 1, '{"indvdLandPrices":{"totalCount":"1","field":{"pnu":"1111010100100010000"}}}')],
+        "prefix string, year int, page_no int, body string")
+    empty = api_pages.zero_total_units(pages)
+    assert [tuple(r) for r in empty.collect()] == [("11140", 1990)]
+    districts = spark.createDataFrame([("11110",), ("11140",)], "sgg string")
+    fact = spark.createDataFrame([("1111010100100010000", 1990)], "pnu string, stdr_year short")
+    todo = coverage.units_todo(coverage.unit_grid(districts, [1990]), coverage.done_units(fact, empty))
+    assert todo.count() == 0
