@@ -4,7 +4,8 @@ The driver ships TPC-H-like tables; these builders turn ``lineitem`` into raw
 API records (all text, every month/price/flag spelling the normaliser must
 handle) and ``part`` into a region-code table. The same definitions exist as
 DuckDB SQL in ``plans.oracle`` so each query can be checked row for row.
-Everything here is a lazy projection of a full table scan.
+The builders are projections and aggregates over full table scans; the
+public views are written once per application (``stored``) and read back.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pricepanel.session import work_dir
 # Fixture constants: 20 two-digit sido codes, picked by key modulo 20.
 SIDO_CODES = "1126272829303136414243444546474850515212"
 
+# Status words of an abolished and of a current region code.
 ABOLISHED = "폐지"
 EXISTING = "존재"
 
