@@ -2,12 +2,11 @@
 
 Every measure of one report is one ``agg`` with conditional inputs, so a
 single scan and a single (map-side combined) shuffle feed all of them.
-Medians: ``exact=True`` uses Spark's ``median`` (= percentile 0.5 with
-interpolation, equal to DuckDB ``median``); its buffer is a map of
-distinct price -> count merged map-side, so its size follows the number of
-distinct prices in a group, not its rows. ``exact=False`` uses the bounded
-``percentile_approx`` sketch. ``distributed=True`` (A3, A4, A6, D4) uses
-``distributed_median``: exact, and no group is gathered into one task.
+Medians (interpolated, equal to DuckDB ``median``) default to
+``distributed_median``: exact, and no group's values are gathered into one
+task. ``distributed=False`` uses Spark's ``median`` instead (one aggregate;
+its buffer is a distinct price -> count map per group, merged in one task
+per group), ``exact=False`` the bounded ``percentile_approx`` sketch.
 """
 
 from __future__ import annotations
@@ -46,7 +45,7 @@ def _with_median(keyed: DataFrame, keys: list[str], measures: list[Column], valu
     """One aggregate with the other measures plus a rounded median of
     ``value``; with ``distributed`` the median comes from
     ``distributed_median`` (joined on the keys) instead of a per-group map."""
-    if not distributed:
+    if not exact or not distributed:
         return keyed.groupBy(*keys).agg(*measures, rounded(median(value, exact)).alias(name))
     base = keyed.groupBy(*keys).agg(*measures)
     pop = keyed.where(population) if population is not None else keyed
@@ -73,7 +72,7 @@ def year_summary(df: DataFrame) -> DataFrame:
         F.max(PRICE).alias("max_price"))
 
 
-def year_price(df: DataFrame, exact: bool = True, distributed: bool = False) -> DataFrame:
+def year_price(df: DataFrame, exact: bool = True, distributed: bool = True) -> DataFrame:
     """A3: per year regular-month parcels, mean and median positive price."""
     pop = F.when(_regular() & _positive(), F.col(PRICE))
     keyed = df.select("stdr_year", "stdr_month", PRICE)
@@ -83,7 +82,7 @@ def year_price(df: DataFrame, exact: bool = True, distributed: bool = False) ->
     return out.select("stdr_year", "parcels", "avg_price", "med_price")
 
 
-def sido_year(df: DataFrame, exact: bool = True, distributed: bool = False) -> DataFrame:
+def sido_year(df: DataFrame, exact: bool = True, distributed: bool = True) -> DataFrame:
     """A4: merged boundary region x year: parcels, mean, median (month 1).
 
     Codes without a boundary name (e.g. 12) are dropped.
@@ -107,7 +106,7 @@ def sido_snapshot(df: DataFrame, year: int) -> DataFrame:
               .orderBy(F.col("avg_price").desc_nulls_last(), "sido")
 
 
-def sgg_median(df: DataFrame, year: int, exact: bool = True, distributed: bool = False) -> DataFrame:
+def sgg_median(df: DataFrame, year: int, exact: bool = True, distributed: bool = True) -> DataFrame:
     """One year, month 1, positive prices: median and count by sgg."""
     keyed = df.where((F.col("stdr_year") == year) & _regular() & _positive()).select(sgg().alias("sgg"), PRICE)
     out = _with_median(keyed, ["sgg"], [F.count(F.lit(1)).alias("parcels")],
@@ -223,7 +222,7 @@ def rank_desc(agg: DataFrame, by: str, k: int, ties: Sequence[str] = ()) -> Data
 
 
 def summary_region_year(df: DataFrame, level: str = "sido", exact: bool = True,
-                        distributed: bool = False) -> DataFrame:
+                        distributed: bool = True) -> DataFrame:
     """Median / mean / count by region and year (month 1, positive).
 
     ``level='sido'`` uses the 2-digit code, ``'sgg'`` the 5-digit code;
