@@ -181,3 +181,13 @@ select count(*) as conflicting_keys from (
 def q_agg_conflict_keys_cross_source(spark, sf):
     """A12 across sources: merged-view keys whose sources disagree on price."""
     return revise.conflict_keys(fx.fact(spark, sf)).agg(F.count(F.lit(1)).alias("conflicting_keys"))
+
+
+@register("agg_year_price_median_map", with_views("api") + """
+select stdr_year, count(*) filter (where stdr_month=1) as parcels,
+       cast(round(avg(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as avg_price,
+       cast(round(median(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as med_price
+from api group by stdr_year""")
+def q_agg_year_price_median_map(spark, sf):
+    """A3 with Spark's one-aggregate median (per-group distinct-value map)."""
+    return stats.year_price(fx.api_rows(spark, sf), distributed=False)
