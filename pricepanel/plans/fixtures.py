@@ -46,17 +46,24 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Derived view written once per application as Parquet in the shared
-    work folder, then read like any stored table (multi-file, column
-    pruning and filter pushdown). Later queries of the same application
-    reuse it; the data is a pure function of the driver tables."""
+def stored_path(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Folder written once per application by ``write(path)`` (any writer,
+    e.g. the partitioned fact writer); later calls return the same path."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     path = _STORED.get(key)
     if path is None:
         path = work_dir(spark, f"view-{name}")
-        build().write.mode("overwrite").parquet(path)
+        write(path)
         _STORED[key] = path
+    return path
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Derived view written once per application as Parquet in the shared
+    work folder, then read like any stored table (multi-file, column
+    pruning and filter pushdown). Later queries of the same application
+    reuse it; the data is a pure function of the driver tables."""
+    path = stored_path(spark, sf_dir, name, lambda p: build().write.mode("overwrite").parquet(p))
     return spark.read.parquet(path)
 
 

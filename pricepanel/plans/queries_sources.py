@@ -1,7 +1,9 @@
 """Ingest and sink queries: archives, API pages, fact store, exports.
 
-Queries that write (S6, S7) put their output in a fresh folder under the
-shared work root (``spark.checkpoint.dir``) and return the read-back.
+Queries that write put their output under the shared work root
+(``spark.checkpoint.dir``) and return the read-back: S7 and the stream into
+fresh folders, S6 into the partitioned fact table written once per
+application (``partitioned_root``), which the S5 scan query also reads.
 """
 
 from __future__ import annotations
@@ -113,16 +115,17 @@ select pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, source,
        date '{COLLECTED_AT}' as collected_at, substr(pnu,1,5) as sgg from fact"""
 
 
-def _stored(spark, sf, name):
-    root = work_dir(spark, name)
-    fact_store.write_fact(fact_store.prepare_fact(fx.fact(spark, sf), collected_at=COLLECTED_AT), root)
-    return root
+def partitioned_root(spark, sf):
+    """The fact view written by S6 (year/sgg/source folders), once per
+    application; S6 and S5 queries read it back."""
+    return fx.stored_path(spark, sf, "fact_partitioned", lambda p: fact_store.write_fact(
+        fact_store.prepare_fact(fx.fact(spark, sf), collected_at=COLLECTED_AT), p))
 
 
 @register("sink_partitioned", _STORED_SQL)
 def q_sink_partitioned(spark, sf):
     """S6 then S5: partitioned write, whole-table read with schema."""
-    return fact_store.read_fact(spark, _stored(spark, sf, "sink_partitioned"))
+    return fact_store.read_fact(spark, partitioned_root(spark, sf))
 
 
 @register("src_fact_scan", with_views("fact") + f"""
@@ -130,8 +133,9 @@ select pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, source,
        date '{COLLECTED_AT}' as collected_at, substr(pnu,1,5) as sgg from fact
 where source = 'vworld_api' and stdr_year = {SNAPSHOT_YEAR}""")
 def q_src_fact_scan(spark, sf):
-    """S5 with partition pruning on source and year."""
-    df = fact_store.read_fact(spark, _stored(spark, sf, "src_fact_scan"), source=SRC_API)
+    """S5 with partition pruning on source and year, over the partitioned
+    fact table (written by S6 once per application, then scanned)."""
+    df = fact_store.read_fact(spark, partitioned_root(spark, sf), source=SRC_API)
     return df.where(F.col("stdr_year") == SNAPSHOT_YEAR)
 
 
