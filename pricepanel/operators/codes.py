@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricepanel.functions.pnu import code_parts
+from pricepanel.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 
 def with_code_parts(codes: DataFrame) -> DataFrame:
@@ -53,14 +54,19 @@ def prefixes_by_sgg(leaves: DataFrame) -> DataFrame:
         F.array_join(F.sort_array(F.collect_set("prefix8")), ",").alias("prefixes"))
 
 
-def crosswalk(df: DataFrame, mapping: DataFrame, col: str = "pnu") -> DataFrame:
+def crosswalk(df: DataFrame, mapping: DataFrame, col: str = "pnu",
+              max_mapping_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Longest-prefix code crosswalk (old -> current region codes).
 
     ``mapping(old, new)`` holds 10-, 5- or 2-character prefixes of equal
     old/new length. Three equi-joins (one per prefix length, each side a
     small dimension) and a ``coalesce`` keep the longest match; parcels
-    without a match keep their code. Adds ``<col>_current``.
+    without a match keep their code. Adds ``<col>_current``. The mapping
+    is broadcast after a size check (``max_mapping_rows``; None = leave
+    the choice to AQE).
     """
+    if max_mapping_rows is not None:
+        mapping = maybe_broadcast(mapping, max_mapping_rows)
     out = df
     picks = []
     for n in (10, 5, 2):

@@ -291,7 +291,7 @@ select stdr_year, case substr(pnu,1,2) when '42' then '51' when '45' then '52' e
        count(*) as rows from api group by 1, 2""")
 def q_code_crosswalk(spark, sf):
     mapping = spark.createDataFrame([("42", "51"), ("45", "52")], "old string, new string")
-    cw = codes.crosswalk(fx.api_rows(spark, sf), F.broadcast(mapping))
+    cw = codes.crosswalk(fx.api_rows(spark, sf), mapping)
     return cw.groupBy("stdr_year", F.substring("pnu_current", 1, 2).alias("sido")) \
              .agg(F.count(F.lit(1)).alias("rows"))
 
