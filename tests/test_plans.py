@@ -44,3 +44,22 @@ def test_no_python_workers_outside_archive_readers(spark):
             continue
         plan = fn(spark, SF)._jdf.queryExecution().sparkPlan().toString()
         assert "MapInPandas" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan, name
+
+
+def test_broadcast_only_within_bound(spark):
+    from pricepanel.operators.joins import maybe_broadcast, size_bounded
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert size_bounded(small, 10) and not size_bounded(small, 9)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    try:
+        hinted = big.join(maybe_broadcast(small, 10), "k")._jdf.queryExecution().executedPlan().toString()
+        beyond = big.join(maybe_broadcast(small, 5), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in hinted
+        assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
