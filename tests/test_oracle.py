@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from pricepanel.plans import catalog
 from pricepanel.plans.compare import compare, duck_connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
