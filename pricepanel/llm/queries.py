@@ -68,3 +68,11 @@ def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricepanel.llm import superminhash
     found = superminhash.groups(table(spark, sf_dir, "documents"), shingle=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)
