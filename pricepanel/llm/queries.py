@@ -70,6 +70,72 @@ def op3_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
 
 
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _limit_sql(name: str) -> str:
+    from pricepanel.llm import quality
+    side, guard = quality.MEASURES[name]
+    x = quality._SOURCE.get(name, name)
+    v = f"case when gn >= {quality.MIN_GROUP} then g_{x} when ln >= {quality.MIN_GROUP} then l_{x} else o_{x} end"
+    q1, q3 = (f"({v})[cast(greatest(1, ceil(len({v}) * {q})) as bigint)]" for q in (0.25, 0.75))
+    fence = f"({q3} - {q1}) * {quality.FENCE}"
+    return f"greatest({q3} + {fence}, {guard}::double)" if side == "high" else f"least({q1} - {fence}, {guard}::double)"
+
+
+def _quality_sql() -> str:
+    from pricepanel.llm import quality
+    names = ["symbols_per_word", "dup_line_share", "repeat_word_share", "word_length"]
+    lists = {p: ", ".join(f"list_sort(list({n})) {p}_{n}" for n in names) for p in "glo"}
+    beyond = " or ".join(
+        f"coalesce({quality._SOURCE.get(n, n)} {'>' if side == 'high' else '<'} limit_{n}, false)" for n, (side, _) in quality.MEASURES.items())
+    return f"""
+with d as (select *, {_WORDS} w, coalesce(text, '') t from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 2], ' ') g from d, unnest(range(1, greatest(len(w) - 2, 0) + 1)) u(i)),
+rep as (select doc_id, count(distinct i + k) n from (select doc_id, i, count(*) over (partition by doc_id, g) c from win), unnest(range(0, 3)) u(k) where c > 1 group by doc_id),
+lines as (select doc_id, x from d, unnest(string_split(t, chr(10))) u(x) where trim(x, {_SPACES}) <> ''),
+ln as (select doc_id, count(*) n, count(*) - count(distinct x) dup from lines group by doc_id),
+p as (select d.doc_id, lang, source, len(w)::bigint n_words, length(array_to_string(w, ''))::bigint word_chars,
+             (length(t) - length(translate(t, '{quality.SYMBOLS}', '')))::bigint n_symbols, coalesce(ln.n, 0)::bigint n_lines,
+             coalesce(ln.dup, 0)::bigint n_dup_lines, coalesce(rep.n, 0)::bigint n_repeat_words
+      from d left join rep using (doc_id) left join ln using (doc_id)),
+m as (select *, n_symbols / nullif(n_words, 0)::double symbols_per_word, n_dup_lines / nullif(n_lines, 0)::double dup_line_share,
+             n_repeat_words / nullif(n_words, 0)::double repeat_word_share, word_chars / nullif(n_words, 0)::double word_length from p),
+g as (select lang, source, count(*) gn, {lists['g']} from m where n_words > 0 group by lang, source),
+l as (select lang, count(*) ln, {lists['l']} from m where n_words > 0 group by lang),
+o as (select {lists['o']} from m where n_words > 0),
+b as (select g.lang, g.source, {', '.join(f'{_limit_sql(n)} limit_{n}' for n in quality.MEASURES)}
+      from g join l on g.lang is not distinct from l.lang cross join o),
+j as (select m.*, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed, {beyond} outlier
+      from m left join b on m.lang is not distinct from b.lang and m.source is not distinct from b.source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not (base_failed or outlier) kept from j
+"""
+
+
+@register("op5_adaptive_quality", sql=_quality_sql())
+def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import quality
+    return quality.verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op7_line_dedup", sql=f"""
+with l as (select doc_id, i, u.s[i] line, trim(translate(u.s[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_SPACES}) k
+           from (select doc_id, string_split(coalesce(text, ''), chr(10)) s from documents) u, unnest(range(1, len(u.s) + 1)) t(i)),
+r as (select k, max(doc_id) keeper from l where length(k) >= 40 group by k having count(distinct doc_id) >= 5)
+select l.doc_id, count(*)::bigint n_lines, count(*) filter (r.k is not null and l.doc_id <> r.keeper)::bigint n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (r.k is null or l.doc_id = r.keeper), '')) kept_sha256
+from l left join r using (k) group by l.doc_id
+""")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import line_dedup
+    mapped = line_dedup.with_bitmaps(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.kept_lines(F.col("text"), F.col("_keep_bitmap"))
+    return mapped.select("doc_id", F.size(line_dedup._lines(F.col("text"))).cast("bigint").alias("n_lines"),
+                         F.col("_n_dropped").alias("n_dropped"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
