@@ -39,9 +39,11 @@ def _lines(text: Column) -> Column:
 
 def occurrences(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h1, h2, doc_id, text_id, position) of every line whose key is long enough."""
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
-    lines = documents.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(F.split(text, "\n", -1)).alias("position", "line"))
+    lines = documents.select("doc_id", F.xxhash64("text").alias("text_id"), F.posexplode(_lines(F.col("text"))).alias("position", "line"))
     key = lines.withColumn("key", F.btrim("line", F.lit(SPACES))).where(F.char_length("key") >= min_chars)
+    # lower() is the cheaper form of A-Z to a-z where a line has no other letters
+    plain = F.octet_length("key") == F.char_length("key")
+    key = key.withColumn("key", F.when(plain, F.lower("key")).otherwise(F.translate("key", UPPER, LOWER)))
     return key.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "text_id", "position").distinct()
 
 

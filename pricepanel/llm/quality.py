@@ -39,9 +39,9 @@ SKETCH_K = 1024
 MAX_GROUPS = 100_000
 #: Measures with the side of their fence and the guard up to which a value is always in order.
 MEASURES = {
-    "symbols_per_word": ("high", 0.5),
-    "dup_line_share": ("high", 0.3),
-    "repeat_word_share": ("high", 0.3),
+    "symbols_per_word": ("high", 0.2),
+    "dup_line_share": ("high", 0.5),
+    "repeat_word_share": ("high", 0.45),
     "word_length": ("high", 12.0),
     "word_length_low": ("low", 2.0),
 }
@@ -50,56 +50,47 @@ _SOURCE = {"word_length_low": "word_length"}
 _INDEX = 0x7FFFFFFF
 
 
-def _marked(values: Column, flags: Column) -> Column:
-    """The values whose flag is true."""
-    return F.filter(F.zip_with(values, flags, lambda v, f: F.when(f, v)), lambda v: v.isNotNull())
-
-
-def _beside(equal_next: Column) -> Column:
-    """From "equals the next element": "equals a neighbour" (sorted order)."""
-    before = F.concat(F.array(F.lit(False)), equal_next)
-    return F.zip_with(equal_next, before, lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False)))
-
-
 def profile(documents: DataFrame) -> DataFrame:
     """``documents`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words.
 
     Words in repeated windows are counted without leaving the row: window
     hashes are sorted together with their position (the hash's upper half, so
-    the sort runs on plain longs), equal neighbours are compared in full, and
-    the covered words are counted from the sorted positions: n log n for any
-    length of text. Steps are columns of their own so that each is made once.
+    the sort runs on plain longs), equal neighbours are compared by the whole
+    hash, and the covered words are counted from the sorted positions: n log n
+    for any length of text. Steps are columns of their own so that each is
+    made once.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    words = F.filter(F.split("_text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    df = documents.withColumn("_text", text).withColumn("_inner", F.btrim("_text", F.lit(SPACES)))
+    df = df.withColumn("_words", F.when(F.col("_inner") == "", F.expr("cast(array() as array<string>)"))
+                       .otherwise(F.split("_inner", "[\\x20\\x09-\\x0D]+"))).drop("_inner")
     lines = F.filter(F.split("_text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    df = documents.withColumn("_text", text).withColumn("_hash", F.transform(words, lambda w: F.xxhash64(w)))
     df = df.withColumn("_lines", lines)
-    length = F.char_length("_text")
-    df = (df.withColumn("n_words", F.size("_hash").cast("bigint"))
-          .withColumn("word_chars", F.char_length(F.translate("_text", SPACES, "")).cast("bigint"))
-          .withColumn("n_symbols", (length - F.char_length(F.translate("_text", SYMBOLS, ""))).cast("bigint"))
+    df = (df.withColumn("n_words", F.size("_words").cast("bigint"))
+          .withColumn("word_chars", F.char_length(F.array_join("_words", "")).cast("bigint"))
+          .withColumn("n_symbols", F.regexp_count("_text", F.lit(f"[{SYMBOLS}]")).cast("bigint"))
           .withColumn("n_lines", F.size("_lines").cast("bigint"))
-          .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"))).drop("_lines")
-    rest = [F.slice("_hash", F.lit(k), F.greatest(F.size("_hash"), F.lit(1))) for k in (2, 3)]
-    pairs = F.zip_with("_hash", rest[0], lambda a, b: F.xxhash64(a, b))
-    windows = F.zip_with(pairs, rest[1], lambda a, b: F.xxhash64(a, b))
-    df = df.withColumn("_window", F.slice(windows, F.lit(1), F.greatest(F.size("_hash") - 2, F.lit(0)))).drop("_hash")
-    upper = F.lit(~_INDEX)
-    packed = F.transform("_window", lambda h, i: h.bitwiseAND(upper).bitwiseOR(i.cast("bigint")))
+          .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"))).drop("_lines", "_text")
+
+    def window(i: Column) -> Column:
+        return F.xxhash64(*[F.get("_words", i + k) for k in range(3)])
+
+    upper, index = F.lit(~_INDEX), F.lit(_INDEX)
+    starts = F.when(F.size("_words") > 2, F.sequence(F.lit(0), F.size("_words") - 3)).otherwise(F.expr("cast(array() as array<int>)"))
+    packed = F.transform(starts, lambda i: window(i).bitwiseAND(upper).bitwiseOR(i.cast("bigint")))
     df = df.withColumn("_packed", F.sort_array(packed))
-    df = df.withColumn("_near", F.zip_with("_packed", _next("_packed"),
-                                           lambda a, b: a.bitwiseAND(upper) == b.bitwiseAND(upper)))
-    df = df.withColumn("_maybe", F.transform(_marked(F.col("_packed"), _beside(F.col("_near"))),
-                                             lambda v: v.bitwiseAND(F.lit(_INDEX)).cast("int")))
-    # the size test also keeps the optimizer from moving the windows into the lambda
-    full = F.when(F.size("_window") > 0, F.transform("_maybe", lambda i: F.struct(F.get("_window", i).alias("h"), i.alias("i"))))
-    df = df.withColumn("_full", F.sort_array(F.coalesce(full, F.expr("cast(array() as array<struct<h: bigint, i: int>>)"))))
-    df = df.withColumn("_same", F.zip_with("_full", _next("_full"), lambda a, b: a["h"] == b["h"]))
-    df = df.withColumn("_at", F.sort_array(F.transform(_marked(F.col("_full"), _beside(F.col("_same"))), lambda x: x["i"])))
+    near = F.filter(F.zip_with("_packed", _next("_packed"), lambda a, b: F.when(
+        a.bitwiseAND(upper) == b.bitwiseAND(upper), F.array(a, b))), lambda x: x.isNotNull())
+    df = df.withColumn("_maybe", F.array_distinct(F.flatten(near)))
+    full = F.transform("_maybe", lambda v: F.struct(window(v.bitwiseAND(index).cast("int")).alias("h"),
+                                                    v.bitwiseAND(index).cast("int").alias("i")))
+    df = df.withColumn("_full", F.sort_array(full))
+    same = F.filter(F.zip_with("_full", _next("_full"), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"]))),
+                    lambda x: x.isNotNull())
+    df = df.withColumn("_at", F.sort_array(F.array_distinct(F.flatten(same))))
     steps = F.zip_with("_at", _next("_at"), lambda a, b: F.least(F.coalesce(b - a, F.lit(3)), F.lit(3)))
     df = df.withColumn("n_repeat_words", F.aggregate(steps, F.lit(0).cast("bigint"), lambda s, x: s + x))
-    return df.drop("_text", "_window", "_packed", "_near", "_maybe", "_full", "_same", "_at")
+    return df.drop("_words", "_packed", "_maybe", "_full", "_at")
 
 
 def _next(column: str) -> Column:
