@@ -116,17 +116,22 @@ def limits(profiles: DataFrame, fence: float = FENCE, min_group: int = MIN_GROUP
     by_group = stored(profiles.where("n_words > 0").groupBy("lang", "source")
                       .agg(F.count(F.lit(1)).alias("n"), *sketches), "sketches")
     merged = [F.kll_merge_agg_double(n, k).alias(n) for n in values]
-    by_lang = by_group.groupBy("lang").agg(F.sum("n").alias("n"), *merged)
-    overall = by_group.agg(F.sum("n").alias("n"), *merged)
-
-    def named(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
-
-    joined = (by_group.join(F.broadcast(named(by_lang, "l_")), F.col("lang").eqNullSafe(F.col("l_lang")))
-              .join(F.broadcast(named(overall, "o_"))))  # one row of totals
-    pick = [F.when(F.col("n") >= min_group, F.col(n)).when(F.col("l_n") >= min_group, F.col("l_" + n))
-            .otherwise(F.col("o_" + n)).alias(n) for n in values]
-    chosen = joined.select("lang", "source", *pick)
+    # Pools of three levels: the group, its language, all. Each group is judged by the first that is large enough.
+    merged = [F.kll_merge_agg_double(n, k).alias(n) for n in values]
+    nothing = F.lit(None).cast("string")
+    level = F.explode(F.array(F.struct(F.lit(0).alias("level"), F.col("lang").alias("p_lang"), F.col("source").alias("p_source")),
+                              F.struct(F.lit(1).alias("level"), F.col("lang").alias("p_lang"), nothing.alias("p_source")),
+                              F.struct(F.lit(2).alias("level"), nothing.alias("p_lang"), nothing.alias("p_source"))))
+    pools = by_group.withColumn("pool", level).select("pool.*", "n", *values)
+    pools = stored(pools.groupBy("level", "p_lang", "p_source").agg(F.sum("n").alias("pool_n"), *merged), "pools")
+    by_lang = pools.where("level = 1").select(F.col("p_lang").alias("l_lang"), F.col("pool_n").alias("l_n"))
+    chosen = by_group.select("lang", "source", "n").join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")))
+    use = F.when(F.col("n") >= min_group, 0).when(F.col("l_n") >= min_group, 1).otherwise(2)
+    chosen = (chosen.withColumn("use", use).withColumn("u_lang", F.when(F.col("use") < 2, F.col("lang")))
+              .withColumn("u_source", F.when(F.col("use") < 1, F.col("source"))))
+    same = ((F.col("use") == F.col("level")) & F.col("u_lang").eqNullSafe(F.col("p_lang"))
+            & F.col("u_source").eqNullSafe(F.col("p_source")))
+    chosen = chosen.join(pools, same).select("lang", "source", *values)
 
     def limit(name: str) -> Column:
         side, guard = MEASURES[name]

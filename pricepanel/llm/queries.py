@@ -136,6 +136,75 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("_n_dropped").alias("n_dropped"), F.sha2(kept, 256).alias("kept_sha256"))
 
 
+@register("op4_guess_cost")
+def op4_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import guess_cost
+    found = guess_cost.secret_spans(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), "base_sha256", F.col("listed").alias("spans"))
+
+
+# The second replica of the query: some records altered in place, cut short or lost.
+_DAMAGE = {"altered": (97, 13), "cut": (89, 5), "lost": (101, 50)}
+
+
+@register("op2_warc_fixity", sql="""
+with p as (select page_id, url, coalesce(html, '') h, floor(page_id / 1000)::bigint file from pages),
+r as (select *, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+        || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(h) || chr(13) || chr(10) || chr(13) || chr(10) || h
+        || chr(13) || chr(10) || chr(13) || chr(10) record from p),
+d as (select *, case when page_id % 97 = 13 then replace(record, 'e', 'f') when page_id % 89 = 5 then left(record, length(record) - 40) else record end damaged,
+        coalesce(sum(strlen(record)) over (partition by file order by page_id rows between unbounded preceding and 1 preceding), 0)::bigint "offset" from r)
+select file, "offset", page_id, url, case when page_id % 101 = 50 then 'missing' else 'altered' end finding, strlen(record)::bigint a_length,
+       case when page_id % 101 <> 50 then strlen(damaged)::bigint end b_length, sha256(record) a_hash, case when page_id % 101 <> 50 then sha256(damaged) end b_hash
+from d where page_id % 101 = 50 or record <> damaged
+""")
+def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import warc_fixity as W
+    from pricepanel.llm.tables import stored
+
+    def struck(kind: str):
+        every, rest = _DAMAGE[kind]
+        return F.col("page_id") % every == rest
+
+    made = W.records(table(spark, sf_dir, "pages"))
+    damaged = (F.when(struck("altered"), F.replace("record", F.lit("e"), F.lit("f")))
+               .when(struck("cut"), F.substr("record", F.lit(1), F.char_length("record") - 40)).otherwise(F.col("record")))
+    other = F.sha2(damaged.cast("binary"), 256), F.octet_length(damaged).cast("bigint")
+    both = made.select("file", "page_id", "url", "length", F.sha2(F.col("record").cast("binary"), 256).alias("hash"),
+                       other[0].alias("b_hash"), other[1].alias("b_length"))
+    both = stored(W.placed(both), "replicas")  # damage leaves the records where they were
+    b = both.where(F.coalesce(~struck("lost"), F.lit(True))).select("file", "offset", "page_id", "url", F.col("b_length").alias("length"), F.col("b_hash").alias("hash"))
+    return W.audit(both.drop("b_hash", "b_length"), b)
+
+
+def document_paths(documents: DataFrame) -> DataFrame:
+    """Paths for ``documents``: source, language, then the id by two digits a level."""
+    digits = F.regexp_replace(F.col("doc_id").cast("string"), r"(\d\d)(?=\d)", "$1/")
+    return documents.withColumn("path", F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), digits))
+
+
+@register("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import license_scan
+    return license_scan.licenses(document_paths(table(spark, sf_dir, "documents")))
+
+
+@register("op1_html_suffix_array")
+def op1_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import html_extract
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
