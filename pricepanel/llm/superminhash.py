@@ -8,18 +8,25 @@ variance is lower than with independent permutations. A step offers values in
 [step, step + 1), so the walk ends as soon as no slot holds a value beyond the
 next step.
 
-Documents of equal sets are one class (128-bit digest of the sorted set). Per
-band of equal signature rows, classes that share a bucket are candidates:
-
-1. every class is paired with its buckets' least class (star, linear in the
-   bucket), pairs are verified on full sets, and components are formed;
-2. buckets that still hold more than one component are searched whole: every
-   two members of different components are verified. What one component
-   already holds is never paired again, so a group of near copies costs its
-   size, not its square.
-
-Both steps verify the exact rule ``100 * common >= percent * union``; two sets
-at similarity 0.8 miss all bands with probability below 1e-6.
+Documents of equal sets are one class (128-bit digest of the sorted set).
+Classes that share a bucket (a band of equal signature rows) are candidates:
+
+1. Star. A bucket's centre is the member that shares the most buckets with
+   others, so the middle of a group. Every member is compared with its centres
+   on full sets: linear in the bucket. Components are formed.
+2. Rest. Around a centre, the reference set is the centre's set with the
+   elements that many of its members hold. Two members s and m that are still
+   apart are linked only if one of two things holds (i = elements common with
+   the reference). Without a common element outside it, they share at most
+   min(i_s, i_m) elements, which bounds m's size: an equi-join on (centre,
+   size). Else they share one of the rarest ``n - ceil(P n) + 1`` elements of
+   each outside it (prefix filter): an equi-join on (centre, element). These
+   pairs are compared on full sets too. Neither join pairs what a component
+   already holds, so a group of near copies costs about its size, not its
+   square, and no link inside a bucket is lost.
+
+Links satisfy the exact rule ``100 * common >= percent * union``; two sets at
+similarity 0.8 share no bucket with probability below 1e-6.
 
 Null and empty texts have no set and link with nothing (n_shingles 0). Repeated
 rows and ties fall into one class; a null id counts as an id above all others
@@ -33,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricepanel.llm import arrowtext as T
@@ -44,6 +51,8 @@ from pricepanel.session import ship_package
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 35, 5
+#: Members around a centre from which on an element counts as one of the group's, not of a few members.
+HELD_BY_MANY = 32
 #: Elements whose walks are kept at a time (each keeps a permutation of the slots).
 ELEMENTS = 1 << 14
 
@@ -147,14 +156,16 @@ def _full_sets(size: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets satisfy the rule."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with both sets, as _a and _b."""
     left = sets.select(F.col("set_id").alias("a"), F.col("members").alias("_a"))
     right = sets.select(F.col("set_id").alias("b"), F.col("members").alias("_b"))
-    common = F.size(F.array_intersect("_a", "_b"))
-    union = F.size("_a") + F.size("_b") - F.col("_common")
-    return (pairs.join(right, "b").join(left, "a").withColumn("_common", common)
-            .where(F.col("_common") * 100 >= union * percent).select("a", "b"))
+    return pairs.join(right, "b").join(left, "a").withColumn("common", F.size(F.array_intersect("_a", "_b")))
+
+
+def _linked(common: str, one: str, other: str, percent: int):
+    """100 * common >= percent * union, from the sizes of the sets."""
+    return F.expr(f"{100 + percent} * {common} >= {percent} * ({one} + {other})")
 
 
 def groups(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
@@ -174,44 +185,66 @@ def groups(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_id")).alias("first")
     classes = stored(signed.where("n_shingles > 0").groupBy("set_id", "n_shingles")
                      .agg(first, F.first("bands").alias("bands")), "classes")
-    buckets = classes.select("set_id", "n_shingles", F.explode("bands").alias("bucket"))
-    least = F.min(F.struct("set_id", "n_shingles")).alias("least")
-    shared = stored(buckets.groupBy("bucket").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "buckets")
+    buckets = classes.select("set_id", F.explode("bands").alias("bucket"))
+    shared = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = stored(buckets.join(shared, "bucket"), "members")
-
-    fits = "100 * least(na, nb) >= {} * greatest(na, nb)".format(percent)
-    star = (members.select(F.col("least.set_id").alias("a"), F.col("set_id").alias("b"),
-                           F.col("least.n_shingles").alias("na"), F.col("n_shingles").alias("nb"))
-            .where("a <> b").where(fits).select("a", "b").distinct())
-    star = stored(star, "star")
+    weights = stored(members.groupBy("set_id").agg(F.sum("n").alias("weight")), "weights")
+    weighed = stored(members.join(weights, "set_id").select("bucket", "set_id", "weight"), "weighed")
+    centres = stored(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "set_id")).alias("centre")), "centres")
+    star = weighed.join(centres, "bucket").select(F.col("centre.set_id").alias("a"), F.col("set_id").alias("b"))
+    star = stored(star.where("a <> b").distinct(), "star")
     # Full sets of the classes that share a bucket at all, made again from their texts.
-    wanted = members.select("set_id").distinct().join(classes.select("set_id", "first"), "set_id").select(
+    wanted = weights.select("set_id").join(classes.select("set_id", "first"), "set_id").select(
         F.col("first.doc_id").alias("_id"), F.col("first.text_id").alias("_text")).distinct()
     found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text")), "left_semi")
     sets = found.select("text").mapInArrow(_full_sets(shingle), "set_id string, members array<bigint>")
     sets = stored(sets.dropDuplicates(["set_id"]), "sets")
-    links = stored(_verified(star, sets, percent), "links")
+    outside = F.array_except("_b", "_a")
+    star = stored(_compared(star, sets).select("a", "b", F.size("_a").alias("na"), F.size("_b").alias("nb"), "common",
+                                               outside.alias("outside")), "compared")
+    links = star.where(_linked("common", "na", "nb", percent)).select("a", "b")
     labels = components(links)
-
-    mixed = _rest(members, labels, fits)
-    rest = stored(_verified(mixed, sets, percent), "links")
+    rest = _compared(stored(_rest(star, labels, percent), "rest"), sets).where(_linked("common", "size(_a)", "size(_b)", percent))
+    rest = stored(rest.select("a", "b"), "links")
     if not rest.isEmpty():
         labels = components(links.unionByName(rest))
     return _labelled(signed, classes, labels)
 
 
-def _rest(members: DataFrame, labels: DataFrame, fits: str) -> DataFrame:
-    """Pairs of different components that share a bucket, the star pairs aside."""
-    named = (members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-             .select("bucket", "set_id", "n_shingles", F.coalesce("label", "set_id").alias("label"),
-                     (F.col("set_id") == F.col("least.set_id")).alias("tested")))
-    named = stored(named.where("not tested").drop("tested"), "named")
-    several = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-    open_ = stored(named.join(several, "bucket"), "open")
-    x = open_.select("bucket", F.col("set_id").alias("a"), F.col("n_shingles").alias("na"), F.col("label").alias("la"))
-    y = open_.select("bucket", F.col("set_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("label").alias("lb"))
-    pairs = x.join(y, (x["bucket"] == y["bucket"]) & F.expr("la < lb") & F.expr(fits))
-    return stored(pairs.select("a", "b").distinct(), "rest")
+def _rest(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components around one centre that may still be linked."""
+    named = star.join(labels.withColumnRenamed("node", "b"), "b", "left")
+    apart = ~_linked("common", "na", "nb", percent)
+    named = stored(named.select(F.col("a").alias("centre"), F.col("b").alias("x"), F.col("na").alias("nc"), F.col("nb").alias("n"),
+                                "common", "outside", F.coalesce("label", "b").alias("label"), apart.alias("apart")), "named")
+    several = named.groupBy("centre").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("centre")
+    around = stored(named.join(several, "centre"), "around")
+    # Of two members of different components, one at least is not linked with the centre: s.
+    elements = around.select("centre", "x", "label", "apart", "n", F.explode("outside").alias("element"))
+    counts = elements.groupBy("centre", "element").agg(F.count(F.lit(1)).alias("held"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    known = stored(elements.join(stored(counts, "elements"), ["centre", "element"]), "known-elements")
+    # Elements that many members hold join the reference set; what is left outside is rare.
+    more = known.where(F.col("held") >= HELD_BY_MANY).groupBy("centre", "x").agg(F.count(F.lit(1)).alias("more"))
+    around = around.drop("outside").join(more, ["centre", "x"], "left")
+    around = stored(around.withColumn("common", (F.col("common") + F.coalesce("more", F.lit(0))).cast("int")).drop("more"), "around")
+
+    s = around.where("apart").select("centre", F.col("x").alias("s"), F.col("label").alias("ls"), F.col("n").alias("ns"), F.col("common").alias("cs"))
+    m = around.select("centre", F.col("x").alias("m"), F.col("label").alias("lm"), F.col("n").alias("nm"), F.col("common").alias("cm"))
+    lo = f"cast(ceil({percent} * ns / 100) as int)"
+    hi = f"least(cast(floor({100 + percent} * cs / {percent}) as int) - ns, cast(floor(100 * ns / {percent}) as int))"
+    sizes = (s.withColumn("lo", F.expr(lo)).withColumn("hi", F.expr(hi)).where("lo <= hi")
+             .withColumn("nm", F.explode(F.sequence("lo", "hi"))))
+    inside = (sizes.join(m, ["centre", "nm"])
+              .where("ls <> lm").where(_linked("least(cs, cm)", "ns", "nm", percent)).select("s", "m"))
+    # Rarest elements first; sets that differ only outside the prefixes cannot reach the rule.
+    place = F.row_number().over(Window.partitionBy("centre", "x").orderBy("held", "element"))
+    ranked = known.where(F.col("held") < HELD_BY_MANY).withColumn("place", place)
+    ranked = ranked.where(f"place <= n - cast(ceil({percent} * n / 100) as int) + 1").where("lo < hi")
+    ranked = stored(ranked.select("centre", "element", "x", "label", "apart"), "prefixes")
+    beyond = (ranked.where("apart").select("centre", "element", F.col("x").alias("s"), F.col("label").alias("ls"))
+              .join(ranked.select("centre", "element", F.col("x").alias("m"), F.col("label").alias("lm")), ["centre", "element"])
+              .where("ls <> lm").select("s", "m"))
+    return inside.unionByName(beyond).select(F.least("s", "m").alias("a"), F.greatest("s", "m").alias("b")).distinct()
 
 
 def _labelled(signed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
