@@ -207,10 +207,27 @@ def groups(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     rest = _compared(stored(_rest(star, labels, percent), "rest"), sets).where(_linked("common", "size(_a)", "size(_b)", percent))
     rest = stored(rest.select("a", "b"), "links")
     if not rest.isEmpty():
-        labels = components(links.unionByName(rest))
+        labels = _merged(labels, rest)
     return _labelled(signed, classes, labels)
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links: components of the components that they touch."""
+    def label_of(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(side), F.col("label").alias("label_" + side))
+
+    named = links.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left")
+    between = named.select("a", "b", F.coalesce("label_a", "a").alias("la"), F.coalesce("label_b", "b").alias("lb"))
+    between = stored(between, "links-between")
+    joined = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    # nodes that had no link before stand for themselves
+    ends = between.select(F.col("a").alias("node"), F.col("la").alias("label")).unionByName(
+        between.select(F.col("b").alias("node"), F.col("lb").alias("label"))).distinct()
+    every = labels.unionByName(ends).distinct()
+    merged = every.join(joined.select(F.col("node").alias("label"), F.col("label").alias("joined")), "label", "left")
+    return stored(merged.select("node", F.coalesce("joined", "label").alias("label")), "labels")
+
+
 def _rest(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components around one centre that may still be linked."""
     named = star.join(labels.withColumnRenamed("node", "b"), "b", "left")
