@@ -172,4 +172,7 @@ def keep_documents(documents: DataFrame, max_groups: int = MAX_GROUPS, **sketchi
     bounds = limits(profile(documents.select("lang", "source", "text")).drop("text"), **sketching)
     bare = documents.select(*[F.col(f"`{c}`") for c in documents.columns])
     judged = _judged(profile(bare), bounds, max_groups)
-    return judged.where("kept").select(*[F.col(f"`{c}`") for c in documents.columns])
+    # One sum over both sides of the join: a condition on the counts alone would be pushed below
+    # it and the steps of the profile be made once for every mention.
+    lost = F.col("base_failed").cast("int") + (~F.col("kept")).cast("int")
+    return judged.where(lost == 0).select(*[F.col(f"`{c}`") for c in documents.columns])
