@@ -86,7 +86,7 @@ def cross_source(city: DataFrame, api: DataFrame, revision: str = "latest") -> D
         raise ValueError("revision must be 'latest' or 'first'")
     jan = api.where(F.col("stdr_month") == 1)
     key = ["pnu", "stdr_year"]
-    if {"last_updt_dt", *revise.ARRIVAL} <= set(api.columns):
+    if "last_updt_dt" in api.columns and any({*a} <= {*api.columns} for a in revise.ARRIVALS):
         one = revise.dedup_latest(jan, key=key) if revision == "latest" else revise.dedup_keep_first(jan, key=key)
         ref = one.select(*key, F.col("price_per_m2").alias("api_price"))
     else:

@@ -18,7 +18,8 @@ from pricepanel.functions.pnu import bjd
 from pricepanel.operators.joins import maybe_broadcast
 from pricepanel.schema import KEY, SRC_API, SRC_BULK, SRC_CITY, STORED_KEY
 
-ARRIVAL = ("seq", "xp")
+# Columns that tell the order of arrival, where a frame has them: landed records, parsed page rows.
+ARRIVALS = (("seq", "xp"), ("page_no", "rec_no"))
 
 
 def _first_per_key(df: DataFrame, key: Sequence[str], order: list[Column], drop: Sequence[str] = ()) -> DataFrame:
@@ -27,13 +28,14 @@ def _first_per_key(df: DataFrame, key: Sequence[str], order: list[Column], drop:
 
 
 def _with_arrival(df: DataFrame, arrival: Sequence[str] | None) -> tuple[DataFrame, list[str], list[str]]:
-    """Arrival-order columns: as given; else ``seq``/``xp`` when present;
+    """Arrival-order columns: as given; else one of ``ARRIVALS`` when present;
     else the real order of a Parquet scan (file path, row index), added
     here and dropped again by the caller."""
     if arrival is not None:
         return df, list(arrival), []
-    if all(c in df.columns for c in ARRIVAL):
-        return df, list(ARRIVAL), []
+    for known in ARRIVALS:
+        if all(c in df.columns for c in known):
+            return df, list(known), []
     return with_file_order(df), ["_file", "_row"], ["_file", "_row"]
 
 
@@ -176,14 +178,15 @@ def apply_overrides(base: DataFrame, overrides: DataFrame, key: Sequence[str] =
 
 
 def fix_revisions(stored: DataFrame, refetched: DataFrame, key: Sequence[str] = KEY,
-                  arrival: Sequence[str] | None = None, broadcast_rows: int | None = None) -> DataFrame:
+                  arrival: Sequence[str] | None = None, broadcast_rows: int | None = None,
+                  refetched_arrival: Sequence[str] | None = None) -> DataFrame:
     """Q7: census -> candidates -> latest -> keep-first -> override.
 
     Idempotent: a second run finds no conflicts in its own output (every
     conflicting key was overridden by one authoritative price).
     """
     conflicts = conflict_keys(stored, key)
-    overrides = authoritative(conflict_candidates(refetched, conflicts), key)
+    overrides = authoritative(conflict_candidates(refetched, conflicts), key, refetched_arrival)
     return apply_overrides(dedup_keep_first(stored, key, arrival), overrides, key, broadcast_rows)
 
 

@@ -12,6 +12,7 @@ per group), ``exact=False`` the bounded ``percentile_approx`` sketch.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,7 +51,10 @@ def _with_median(keyed: DataFrame, keys: list[str], measures: list[Column], valu
     base = keyed.groupBy(*keys).agg(*measures)
     pop = keyed.where(population) if population is not None else keyed
     med = distributed_median(pop, keys, PRICE, "_med")
-    return base.join(med, keys, "left").withColumn(name, rounded(F.col("_med"))).drop("_med")
+    med = med.select(*[F.col(k).alias("_k_" + k) for k in keys], "_med")
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys])  # null keys are groups too
+    out = base.join(med, same, "left").withColumn(name, rounded(F.col("_med")))
+    return out.drop("_med", *["_k_" + k for k in keys])
 
 
 def overall(df: DataFrame) -> DataFrame:
@@ -264,7 +268,10 @@ def monthly_interpolation(regular: DataFrame, factors: DataFrame, max_factor_row
     """
     base = regular.where(F.col("stdr_month") == 1).select(
         "pnu", sgg().alias("sgg"), "stdr_year", F.col(PRICE).alias("base_price"))
-    j = base.join(maybe_broadcast(factors, max_factor_rows), ["sgg", "stdr_year"])
+    j = base.join(maybe_broadcast(factors, max_factor_rows), ["sgg", "stdr_year"], "left")
+    # a district-year without rates keeps its price for all months
+    months = F.when(F.col("month").isNull(), F.sequence(F.lit(1), F.lit(12))).otherwise(F.array("month"))
+    j = j.withColumn("month", F.explode(months)).withColumn("factor", F.coalesce("factor", F.lit(1.0)))
     return j.select("pnu", "stdr_year", "month", "base_price", "factor",
                     rounded(F.col("base_price") * F.col("factor")).alias("price_interp"))
 
@@ -275,7 +282,8 @@ def _value_bucket(v: Column, per_octave: int = 64) -> Column:
 
     ``log`` is semi-monotonic, so larger values never get smaller buckets.
     """
-    mag = F.floor(F.log2(F.abs(v)) * per_octave).cast("long") + 1
+    # no double is below 2**-1074, so fractions get positive buckets too
+    mag = F.floor((F.log2(F.abs(v)) + 1075) * per_octave).cast("long") + 1
     return F.when(v > 0, mag).when(v == 0, F.lit(0).cast("long")).otherwise(-mag)
 
 
@@ -290,8 +298,11 @@ def distributed_median(df: DataFrame, keys: Sequence[str], value: str, out: str
        ~1.1 % of the value range; repeated values arrive as counts).
     A group holding a third of all rows is just larger counts here.
     """
-    keys = list(keys)
-    v = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    named = list(keys)
+    # One struct as the key: structs with null fields are equal in joins, null columns are not.
+    group = F.struct(*named) if named else F.struct(F.lit(0).alias("_all"))
+    keys = ["_g"]
+    v = df.where(F.col(value).isNotNull()).select(group.alias("_g"), F.col(value).alias("_v"))
     v = v.withColumn("_b", _value_bucket(F.col("_v")))
     per_bucket = v.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w_all = Window.partitionBy(*keys)
@@ -316,7 +327,8 @@ def distributed_median(df: DataFrame, keys: Sequence[str], value: str, out: str
     picked = ranked.join(targets, [*keys, "_b"]) \
         .where((F.col("_local") >= F.col("_vbefore")) & (F.col("_local") < F.col("_vbefore") + F.col("_vc")))
     side_value = lambda s: F.max(F.when(F.col("side") == s, F.col("_v"))).cast("double")
-    return picked.groupBy(*keys).agg(((side_value("lo") + side_value("hi")) / 2).alias(out))
+    found = picked.groupBy(*keys).agg(((side_value("lo") + side_value("hi")) / 2).alias(out))
+    return found.select(*[F.col("_g")[k].alias(k) for k in named], out)
 
 
 def year_price_distributed(df: DataFrame) -> DataFrame:

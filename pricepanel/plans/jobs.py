@@ -46,8 +46,10 @@ def ingest_api_pages(pages: DataFrame, fact_root: str, collected_at) -> None:
     fact_store.write_fact(fact_store.prepare_fact(latest, SRC_API, collected_at), fact_root)
 
 
-def fix_revisions_job(spark: SparkSession, fact_root: str, refetched: DataFrame, new_root: str) -> None:
-    """Q7 on the stored API rows, written to a new root (swap afterwards).
+def fix_revisions_job(spark: SparkSession, fact_root: str, refetched: DataFrame, new_root: str,
+                      refetched_arrival: tuple[str, ...] | None = None) -> None:
+    """Q7 on the stored API rows, written to a new root with the rows of all
+    other sources, so that the new root can take the old one's place.
 
     The conflict census and the override table are checkpointed
     (reliable, shared folder) so the two membership tests, the size check
@@ -59,7 +61,8 @@ def fix_revisions_job(spark: SparkSession, fact_root: str, refetched: DataFrame,
     stored = revise.with_file_order(fact_store.read_fact(spark, fact_root, source=SRC_API))
     # Both membership tests of J2 read the census: materialise it once.
     conflicts = revise.conflict_keys(stored).checkpoint(eager=True)
-    overrides = revise.authoritative(revise.conflict_candidates(refetched, conflicts)).checkpoint(eager=True)
+    overrides = revise.authoritative(revise.conflict_candidates(refetched, conflicts), arrival=refetched_arrival).checkpoint(eager=True)
     base = revise.dedup_keep_first(stored, arrival=("_file", "_row"))
     fixed = revise.apply_overrides(base, overrides, broadcast_rows=OVERRIDE_BROADCAST_ROWS)
-    fact_store.write_fact(fixed.drop("_file", "_row"), new_root)
+    others = fact_store.read_fact(spark, fact_root).where(~F.col("source").eqNullSafe(SRC_API))
+    fact_store.write_fact(fixed.drop("_file", "_row").unionByName(others), new_root)

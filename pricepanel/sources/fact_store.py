@@ -8,6 +8,8 @@ int and ``stdr_year`` as int instead of short.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,9 +44,14 @@ def prepare_fact(df: DataFrame, source: str | None = None, collected_at=None) ->
     return typed.withColumn("sgg", sgg())
 
 
-def write_fact(df: DataFrame, root: str, max_records_per_file: int = 5_000_000) -> None:
+def write_fact(df: DataFrame, root: str, max_records_per_file: int = 5_000_000,
+               arrival: Sequence[str] = ()) -> None:
     """Write rows into their (year, sgg, source) folders.
 
+    ``arrival`` names columns of ``df`` that tell the order in which rows
+    arrived; rows of a key are written in that order (the columns are not
+    stored), so keep-first (W4) on the files finds the first one.
+
     ``rebalance`` on (year, sgg) lets AQE split a hot unit over several
     tasks (and merge tiny ones), so a district holding a third of the rows
     does not become one straggler task. Dynamic partition overwrite
@@ -52,9 +59,13 @@ def write_fact(df: DataFrame, root: str, max_records_per_file: int = 5_000_000)
     untouched. Never write to a root this plan reads from: materialise
     first (``checkpoint``) or write to a new root and swap.
     """
-    out = (df.select(*FACT_COLUMNS, "sgg")
-           .hint("rebalance", "stdr_year", "sgg")
-           .sortWithinPartitions("stdr_year", "sgg", "source", "pnu"))
+    key = ["stdr_year", "sgg", "source", *(["pnu", "stdr_month"] if arrival else ["pnu"])]
+    out = df.select(*FACT_COLUMNS, "sgg", *arrival)
+    if arrival:  # all rows of a key in one task: a unit is not split between them
+        out = out.repartition("stdr_year", "sgg", "source", "pnu")
+    else:
+        out = out.hint("rebalance", "stdr_year", "sgg")
+    out = out.sortWithinPartitions(*key, *arrival).select(*FACT_COLUMNS, "sgg")
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

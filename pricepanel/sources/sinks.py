@@ -31,7 +31,7 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
 def _as_json(df: DataFrame, order: list[str]) -> DataFrame:
     """One JSON array of the (small, aggregated) rows, sorted inside."""
     rows = F.array_sort(F.collect_list(F.struct(*order, *[c for c in df.columns if c not in order])))
-    return df.agg(F.to_json(rows).alias("json"))
+    return df.agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("json"))
 
 
 def map_report(api: DataFrame) -> DataFrame:
