@@ -12,7 +12,6 @@ per group), ``exact=False`` the bounded ``percentile_approx`` sketch.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,20 +40,34 @@ def _positive() -> Column:
     return F.col(PRICE) > 0
 
 
-def _with_median(keyed: DataFrame, keys: list[str], measures: list[Column], value: Column, name: str,
-                 exact: bool, distributed: bool, population: Column | None = None) -> DataFrame:
-    """One aggregate with the other measures plus a rounded median of
-    ``value``; with ``distributed`` the median comes from
-    ``distributed_median`` (joined on the keys) instead of a per-group map."""
+def _price_report(df: DataFrame, keys: dict[str, Column], counted: Column, population: Column,
+                  names: tuple[str, str, str], exact: bool, distributed: bool) -> DataFrame:
+    """Per group: rows ``counted``, rounded mean and median price of the rows
+    in ``population``, under the three ``names``.
+
+    The distributed form counts the rows per (group, price) once; the mean
+    and the median both read that shuffle, so the input is scanned once.
+    """
+    n_name, avg_name, med_name = names
+    counted = F.coalesce(counted, F.lit(False))
+    rows = df.select(*[c.alias(k) for k, c in keys.items()], counted.alias("_in"),
+                     F.when(population, F.col(PRICE)).alias("_v"))
     if not exact or not distributed:
-        return keyed.groupBy(*keys).agg(*measures, rounded(median(value, exact)).alias(name))
-    base = keyed.groupBy(*keys).agg(*measures)
-    pop = keyed.where(population) if population is not None else keyed
-    med = distributed_median(pop, keys, PRICE, "_med")
-    med = med.select(*[F.col(k).alias("_k_" + k) for k in keys], "_med")
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col("_k_" + k)) for k in keys])  # null keys are groups too
-    out = base.join(med, same, "left").withColumn(name, rounded(F.col("_med")))
-    return out.drop("_med", *["_k_" + k for k in keys])
+        return rows.groupBy(*keys).agg(F.count_if("_in").alias(n_name), rounded(F.avg("_v")).alias(avg_name),
+                                       rounded(median(F.col("_v"), exact)).alias(med_name))
+    # One struct as the key: structs with null fields are equal in joins, null columns are not.
+    counts = rows.groupBy(F.struct(*keys).alias("_g"), "_in", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    valued = F.when(F.col("_v").isNotNull(), F.col("_n"))
+    base = counts.groupBy("_g").agg(F.coalesce(F.sum(F.when(F.col("_in"), F.col("_n"))), F.lit(0).cast("long")).alias(n_name),
+                                    rounded(F.sum(F.col("_v") * F.col("_n")) / F.sum(valued)).alias(avg_name))
+    out = base.join(_median_of_counts(counts), "_g", "left")
+    return out.select(*[F.col("_g")[k].alias(k) for k in keys], n_name, avg_name,
+                      rounded(F.col("_median")).alias(med_name))
+
+
+def data_years(df: DataFrame) -> list[int]:
+    """The years present in the data, ascending (a few dozen at most)."""
+    return sorted(r[0] for r in df.select("stdr_year").where("stdr_year is not null").distinct().collect())
 
 
 def overall(df: DataFrame) -> DataFrame:
@@ -78,12 +91,8 @@ def year_summary(df: DataFrame) -> DataFrame:
 
 def year_price(df: DataFrame, exact: bool = True, distributed: bool = True) -> DataFrame:
     """A3: per year regular-month parcels, mean and median positive price."""
-    pop = F.when(_regular() & _positive(), F.col(PRICE))
-    keyed = df.select("stdr_year", "stdr_month", PRICE)
-    out = _with_median(keyed, ["stdr_year"], [F.count_if(_regular()).alias("parcels"),
-                                             rounded(F.avg(pop)).alias("avg_price")],
-                       pop, "med_price", exact, distributed, _regular() & _positive())
-    return out.select("stdr_year", "parcels", "avg_price", "med_price")
+    return _price_report(df, {"stdr_year": F.col("stdr_year")}, _regular(), _regular() & _positive(),
+                         ("parcels", "avg_price", "med_price"), exact, distributed)
 
 
 def sido_year(df: DataFrame, exact: bool = True, distributed: bool = True) -> DataFrame:
@@ -92,12 +101,8 @@ def sido_year(df: DataFrame, exact: bool = True, distributed: bool = True) -> Da
     Codes without a boundary name (e.g. 12) are dropped.
     """
     name = region_label_merged(sido())
-    pop = F.when(_positive(), F.col(PRICE))
-    keyed = df.where(_regular() & name.isNotNull()).select(
-        name.alias("name"), F.col("stdr_year").alias("yr"), PRICE)
-    return _with_median(keyed, ["name", "yr"], [F.count(F.lit(1)).alias("parcels"),
-                                                rounded(F.avg(pop)).alias("avg_p")],
-                        pop, "med_p", exact, distributed, _positive())
+    return _price_report(df.where(_regular() & name.isNotNull()), {"name": name, "yr": F.col("stdr_year")},
+                         F.lit(True), _positive(), ("parcels", "avg_p", "med_p"), exact, distributed)
 
 
 def sido_snapshot(df: DataFrame, year: int) -> DataFrame:
@@ -112,9 +117,9 @@ def sido_snapshot(df: DataFrame, year: int) -> DataFrame:
 
 def sgg_median(df: DataFrame, year: int, exact: bool = True, distributed: bool = True) -> DataFrame:
     """One year, month 1, positive prices: median and count by sgg."""
-    keyed = df.where((F.col("stdr_year") == year) & _regular() & _positive()).select(sgg().alias("sgg"), PRICE)
-    out = _with_median(keyed, ["sgg"], [F.count(F.lit(1)).alias("parcels")],
-                       F.col(PRICE), "med_price", exact, distributed)
+    jan = df.where((F.col("stdr_year") == year) & _regular() & _positive())
+    out = _price_report(jan, {"sgg": sgg()}, F.lit(True), F.lit(True),
+                        ("parcels", "avg_price", "med_price"), exact, distributed)
     return out.select("sgg", "med_price", "parcels").orderBy(F.col("med_price").desc(), "sgg")
 
 
@@ -233,11 +238,9 @@ def summary_region_year(df: DataFrame, level: str = "sido", exact: bool = True,
     ``key`` is ``sido|sgg`` (sgg empty at province level).
     """
     sg = F.lit("") if level == "sido" else sgg()
-    pos = df.where(_regular() & _positive()).select(
-        sido().alias("sido"), sg.alias("sigungu"), F.col("stdr_year").alias("year"), PRICE)
-    out = _with_median(pos, ["sido", "sigungu", "year"],
-                       [rounded(F.avg(PRICE)).alias("avg_price"), F.count(F.lit(1)).alias("parcels")],
-                       F.col(PRICE), "med_price", exact, distributed)
+    keys = {"sido": sido(), "sigungu": sg, "year": F.col("stdr_year")}
+    out = _price_report(df.where(_regular() & _positive()), keys, F.lit(True), F.lit(True),
+                        ("parcels", "avg_price", "med_price"), exact, distributed)
     return out.select(F.concat_ws("|", "sido", "sigungu").alias("key"), "sido", "sigungu", "year",
                       "med_price", "avg_price", "parcels")
 
@@ -291,44 +294,45 @@ def distributed_median(df: DataFrame, keys: Sequence[str], value: str, out: str
     """Exact median per group (interpolated, same as ``median``) without
     gathering a group's values into one task.
 
-    1. rows per (group, value bucket) -- a map-side combined aggregate;
+    1. rows per (group, value) -- a map-side combined aggregate, the only
+       shuffle of the input -- summed up per (group, value bucket);
     2. a window over the buckets of each group (bounded by the bucket
        count) finds the bucket holding each middle rank;
-    3. only the distinct values of those buckets are ranked (a bucket spans
-       ~1.1 % of the value range; repeated values arrive as counts).
+    3. only the values of those buckets are ranked (a bucket spans ~1.1 %
+       of the value range; repeated values arrive as counts).
     A group holding a third of all rows is just larger counts here.
     """
     named = list(keys)
-    # One struct as the key: structs with null fields are equal in joins, null columns are not.
     group = F.struct(*named) if named else F.struct(F.lit(0).alias("_all"))
-    keys = ["_g"]
     v = df.where(F.col(value).isNotNull()).select(group.alias("_g"), F.col(value).alias("_v"))
-    v = v.withColumn("_b", _value_bucket(F.col("_v")))
-    per_bucket = v.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    w_all = Window.partitionBy(*keys)
-    w_run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    located = per_bucket.select(
-        *keys, "_b", "_c", F.sum("_c").over(w_all).alias("_n"),
-        F.coalesce(F.sum("_c").over(w_run), F.lit(0)).alias("_before"))
-    lo = F.floor((F.col("_n") - 1) / 2).cast("long")
-    hi = F.ceil((F.col("_n") - 1) / 2).cast("long")
-    ranks = located.select(*keys, "_b", "_before", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), lo.alias("rank")),
-        F.struct(F.lit("hi").alias("side"), hi.alias("rank")))).alias("_t"), "_c")
-    targets = ranks.where((F.col("_t.rank") >= F.col("_before"))
-                          & (F.col("_t.rank") < F.col("_before") + F.col("_c"))) \
-        .select(*keys, "_b", F.col("_t.side").alias("side"), (F.col("_t.rank") - F.col("_before")).alias("_local"))
-    bucket_keys = targets.select(*keys, "_b").distinct()
-    vals = (v.join(bucket_keys, [*keys, "_b"], "left_semi")
-            .groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_vc")))
-    w_val = Window.partitionBy(*keys, "_b").orderBy("_v")
-    ranked = vals.select(*keys, "_b", "_v", "_vc",
-                         (F.sum("_vc").over(w_val) - F.col("_vc")).alias("_vbefore"))
-    picked = ranked.join(targets, [*keys, "_b"]) \
-        .where((F.col("_local") >= F.col("_vbefore")) & (F.col("_local") < F.col("_vbefore") + F.col("_vc")))
-    side_value = lambda s: F.max(F.when(F.col("side") == s, F.col("_v"))).cast("double")
-    found = picked.groupBy(*keys).agg(((side_value("lo") + side_value("hi")) / 2).alias(out))
-    return found.select(*[F.col("_g")[k].alias(k) for k in named], out)
+    found = _median_of_counts(v.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    return found.select(*[F.col("_g")[k].alias(k) for k in named], F.col("_median").alias(out))
+
+
+#: Bucket of rows without a value. It is a value and not null, so that no null filter is pushed
+#: below the counts and every reader of the counts shares one shuffle.
+_NO_BUCKET = -2**62
+
+
+def _median_of_counts(counts: DataFrame) -> DataFrame:
+    """(_g, _median) from the rows ``_n`` per group ``_g`` (a struct) and
+    value ``_v``; null values don't count, groups without values are absent."""
+    bucketed = counts.select("_g", "_v", F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0)).alias("_n"),
+                             F.coalesce(_value_bucket(F.col("_v")), F.lit(_NO_BUCKET)).alias("_b"))
+    per_bucket = bucketed.groupBy("_g", "_b").agg(F.sum("_n").alias("_c"))
+    group = Window.partitionBy("_g")
+    before = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    located = per_bucket.select("_g", "_b", "_c", F.sum("_c").over(group).alias("_all"),
+                                F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    middle = F.array(F.floor((F.col("_all") - 1) / 2), F.ceil((F.col("_all") - 1) / 2))
+    local = F.filter(F.transform(middle, lambda r: r.cast("long") - F.col("_before")), lambda r: (r >= 0) & (r < F.col("_c")))
+    wanted = located.select("_g", "_b", local.alias("_ranks")).where(F.size("_ranks") > 0)
+    inside = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = bucketed.join(wanted, ["_g", "_b"]).select(
+        "_g", "_v", "_n", "_ranks", F.coalesce(F.sum("_n").over(inside), F.lit(0)).alias("_at"))
+    hits = F.size(F.filter("_ranks", lambda r: (r >= F.col("_at")) & (r < F.col("_at") + F.col("_n"))))
+    return (ranked.select("_g", F.col("_v").cast("double").alias("_v"), hits.alias("_hits")).where("_hits > 0")
+            .groupBy("_g").agg((F.sum(F.col("_v") * F.col("_hits")) / 2).alias("_median")))
 
 
 def year_price_distributed(df: DataFrame) -> DataFrame:

@@ -18,7 +18,8 @@ from pricepanel.schema import SRC_API, SRC_CITY
 from pricepanel.session import work_dir
 
 # Fixture constants: 20 two-digit sido codes, picked by key modulo 20.
-SIDO_CODES = "1126272829303136414243444546474850515212"
+SIDO_CODES = ["11", "26", "27", "28", "29", "30", "31", "36", "41", "42",
+              "43", "44", "45", "46", "47", "48", "50", "51", "52", "12"]
 
 # Status words of an abolished and of a current region code.
 ABOLISHED = "폐지"
@@ -26,21 +27,7 @@ EXISTING = "존재"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A Parquet file with one row group is read by one task, and all the
-    per-row parsing up to the first shuffle would run there. A scan of a
-    large table already has many splits and is returned unchanged (the
-    split count is known at planning time; no job runs).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
@@ -72,7 +59,7 @@ def _lpad(c: Column, n: int) -> Column:
 
 
 def _sido_of(key: Column) -> Column:
-    return F.substr(F.lit(SIDO_CODES), (F.lit(1) + F.lit(2) * (key % 20)).cast("int"), F.lit(2))
+    return F.element_at(F.array(*[F.lit(c) for c in SIDO_CODES]), (key % len(SIDO_CODES) + 1).cast("int"))
 
 
 def fixture_pnu(supp: Column, part: Column) -> Column:

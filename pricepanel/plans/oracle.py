@@ -7,9 +7,12 @@ rounds double -> bigint, so prices are truncated explicitly, and its
 
 from __future__ import annotations
 
-_SIDO = "'1126272829303136414243444546474850515212'"
+from pricepanel.functions.labels import BOUNDARY_PREFIX_SHORT, SIDO_BOUNDARY, SIDO_SHORT
+from pricepanel.plans.fixtures import SIDO_CODES
 
-PNU = (f"substr({_SIDO}, cast(1+2*(l_suppkey%20) as int), 2)"
+_SIDO = "([" + ", ".join(f"'{c}'" for c in SIDO_CODES) + "])"
+
+PNU = (f"{_SIDO}[cast(1+(l_suppkey%20) as int)]"
        " || lpad(cast(110+10*(l_suppkey%7) as string),3,'0')"
        " || lpad(cast(101+(l_suppkey%9) as string),3,'0')"
        " || lpad(cast(21*(l_partkey%2) as string),2,'0') || '1'"
@@ -45,7 +48,7 @@ CITY = "select * from fact where source='seoul_opendata'"
 
 BJD = f"""
 select code, max(status) as status, max(status) <> '존재' as abolished from (
- select substr({_SIDO}, cast(1+2*(p_partkey%20) as int), 2)
+ select {_SIDO}[cast(1+(p_partkey%20) as int)]
    || lpad(cast(110+10*(p_partkey%7) as string),3,'0')
    || case when p_partkey%11=0 then '000' else lpad(cast(101+(p_partkey%9) as string),3,'0') end
    || case when p_partkey%3=0 then '00' else lpad(cast(21+(p_partkey%5) as string),2,'0') end as code,
@@ -66,23 +69,15 @@ def with_views(*names: str) -> str:
 
 
 # SQL text shared by several queries.
-SIDO_BOUNDARY_CASE = """case substr(pnu,1,2)
-    when '11' then '서울특별시' when '26' then '부산광역시' when '27' then '대구광역시'
-    when '28' then '인천광역시' when '29' then '광주광역시' when '30' then '대전광역시'
-    when '31' then '울산광역시' when '36' then '세종특별자치시' when '41' then '경기도'
-    when '42' then '강원도' when '51' then '강원도'
-    when '43' then '충청북도' when '44' then '충청남도'
-    when '45' then '전라북도' when '52' then '전라북도'
-    when '46' then '전라남도' when '47' then '경상북도' when '48' then '경상남도'
-    when '50' then '제주특별자치도' else null end"""
-
-SIDO_SHORT_CASE = """coalesce(case {c}
-    when '11' then '서울' when '26' then '부산' when '27' then '대구' when '28' then '인천'
-    when '29' then '광주' when '30' then '대전' when '31' then '울산' when '36' then '세종'
-    when '41' then '경기' when '42' then '강원' when '43' then '충북' when '44' then '충남'
-    when '45' then '전북' when '46' then '전남' when '47' then '경북' when '48' then '경남'
-    when '50' then '제주' when '51' then '강원' when '52' then '전북' when '12' then '전남광주'
-    else null end, {c})"""
+def case_sql(names: dict[str, str], code: str, otherwise: str = "null") -> str:
+    """A literal map of ``functions.labels`` as a SQL CASE over ``code``."""
+    whens = " ".join(f"when '{k}' then '{v}'" for k, v in names.items())
+    return f"case {code} {whens} else {otherwise} end"
+
+
+SIDO_BOUNDARY_CASE = case_sql(SIDO_BOUNDARY, "substr(pnu,1,2)")
+SIDO_SHORT_CASE = case_sql(SIDO_SHORT, "{c}", "{c}")
+BOUNDARY_PREFIX_CASE = case_sql(BOUNDARY_PREFIX_SHORT, "substr(sgg,1,2)")
 
 MONTHS = """
 select l_orderkey*10+l_linenumber as seq, l_extendedprice as xp,

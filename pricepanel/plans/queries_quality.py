@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricepanel.operators import audit, codes, coverage, revise
+from pricepanel.operators import audit, codes, coverage, revise, stats
 from pricepanel.plans import fixtures as fx
 from pricepanel.plans.oracle import with_views
-from pricepanel.plans.registry import DIRTY_YEARS, FACT_COLS, YEARS, register
+from pricepanel.plans.registry import DIRTY_YEARS, FACT_COLS, register
 
 # ------------------------------------------------------------ overrides
 
@@ -209,15 +209,16 @@ def q_join_cross_source(spark, sf):
 
 # ------------------------------------------------------------- coverage
 
-_YEARS_SQL = ", ".join(str(y) for y in YEARS)
 _GRID = f""", {_POOL.format(extra='')}, {_LEAF},
-grid as (select sgg, unnest([{_YEARS_SQL}]) as stdr_year from (select distinct sgg from leaf) s),
+grid as (select sgg, y.stdr_year from (select distinct sgg from leaf) s,
+         (select distinct cast(stdr_year as int) as stdr_year from fact) y),
 done as (select substr(pnu,1,5) as sgg, cast(stdr_year as int) as stdr_year, count(*) as rows
          from api group by 1, 2)"""
 
 
 def _grid(spark, sf):
-    return coverage.unit_grid(codes.leaf_codes(fx.region_codes(spark, sf)), YEARS)
+    years = stats.data_years(fx.fact(spark, sf))
+    return coverage.unit_grid(codes.leaf_codes(fx.region_codes(spark, sf)), years)
 
 
 @register("join_units_todo", with_views("api", "bjd") + _GRID + """

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pricepanel.functions import labels, normalize as N, pnu as P
 from pricepanel.operators import codes, filters, revise, stats
 from pricepanel.plans import fixtures as fx
-from pricepanel.plans.oracle import CITY_MONTH, SIDO_BOUNDARY_CASE, SIDO_SHORT_CASE, with_views
-from pricepanel.plans.registry import (COLLECTED_AT, SAMPLE_PARCEL, SAMPLE_ROWS, SNAPSHOT_YEAR,
-                                       TOP_K, YEARS, register)
+from pricepanel.plans.oracle import BOUNDARY_PREFIX_CASE, CITY_MONTH, SIDO_BOUNDARY_CASE, SIDO_SHORT_CASE, with_views
+from pricepanel.plans.registry import (COLLECTED_AT, EXPECTED_YEARS, SAMPLE_PARCEL, SAMPLE_ROWS, SNAPSHOT_YEAR,
+                                       TOP_K, register)
 
 # ------------------------------------------------------------ normalisers
 
@@ -93,15 +93,8 @@ def q_region_label_merged(spark, sf):
     return s.select("sido", labels.region_label_merged("sido").alias("name"))
 
 
-_KP_CASE = """case substr(sgg,1,2)
-  when '11' then '서울' when '21' then '부산' when '22' then '대구' when '23' then '인천' when '24' then '광주'
-  when '25' then '대전' when '26' then '울산' when '29' then '세종' when '31' then '경기' when '32' then '강원'
-  when '33' then '충북' when '34' then '충남' when '35' then '전북' when '36' then '전남' when '37' then '경북'
-  when '38' then '경남' when '39' then '제주' else null end"""
-
-
 @register("region_key", with_views("bjd") + f"""
-select sgg, {_KP_CASE} || '|' || substr(sgg,3,3) as sgg_key
+select sgg, {BOUNDARY_PREFIX_CASE} || '|' || substr(sgg,3,3) as sgg_key
 from (select distinct substr(code,1,5) as sgg from bjd) t""")
 def q_region_key(spark, sf):
     d = fx.region_codes(spark, sf).select(F.substring("code", 1, 5).alias("sgg")).distinct()
@@ -185,23 +178,28 @@ _A4 = f"""a4 as (select {SIDO_BOUNDARY_CASE} as name, stdr_year as yr, count(*)
        cast(round(median(price_per_m2) filter (where price_per_m2>0)) as bigint) as med_p
 from api where stdr_month=1 and {SIDO_BOUNDARY_CASE} is not null group by 1, 2)"""
 _WIDE_COLS = ", ".join(f"max(case when yr={y} then med_p end) as med_{y}, max(case when yr={y} then avg_p end) as avg_{y}"
-                       for y in YEARS)
+                       for y in EXPECTED_YEARS)
 _WIDE = f"wide as (select name, {_WIDE_COLS} from a4 group by name)"
 
 
+def _wide(spark, sf):
+    api = fx.api_rows(spark, sf)
+    return stats.region_wide(stats.sido_year(api), stats.data_years(api))
+
+
 @register("agg_region_wide", with_views("api") + f", {_A4}, {_WIDE} select * from wide")
 def q_agg_region_wide(spark, sf):
-    return stats.region_wide(stats.sido_year(fx.api_rows(spark, sf)), YEARS)
+    return _wide(spark, sf)
 
 
-_FEATURE_COLS = ", ".join(f"w.med_{y}, w.avg_{y}" for y in YEARS)
+_FEATURE_COLS = ", ".join(f"w.med_{y}, w.avg_{y}" for y in EXPECTED_YEARS)
 
 
 @register("join_region_attributes", with_views("api", "bjd") + f""", {_A4}, {_WIDE},
 features as (select distinct {SIDO_BOUNDARY_CASE.replace('substr(pnu,1,2)', 'substr(code,1,2)')} as name from bjd)
 select f.name, {_FEATURE_COLS} from features f left join wide w on f.name = w.name where f.name is not null""")
 def q_join_region_attributes(spark, sf):
-    wide = stats.region_wide(stats.sido_year(fx.api_rows(spark, sf)), YEARS)
+    wide = _wide(spark, sf)
     features = (fx.region_codes(spark, sf)
                 .select(labels.region_label_merged(F.substring("code", 1, 2)).alias("name"))
                 .where(F.col("name").isNotNull()).distinct())
