@@ -207,6 +207,13 @@ def q_join_cross_source(spark, sf):
     return audit.cross_source(fx.city_rows(spark, sf), fx.api_rows(spark, sf))
 
 
+@register("join_cross_source_first", with_views("api", "city") + _J3.replace(
+    "order by coalesce(last_updt_dt,'') desc, seq desc, xp desc", "order by seq, xp"))
+def q_join_cross_source_first(spark, sf):
+    """J3 against the first arrival of each parcel and year."""
+    return audit.cross_source(fx.city_rows(spark, sf), fx.api_rows(spark, sf), revision="first")
+
+
 # ------------------------------------------------------------- coverage
 
 _GRID = f""", {_POOL.format(extra='')}, {_LEAF},
