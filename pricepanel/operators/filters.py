@@ -43,13 +43,15 @@ def positive_regular(month: int = 1) -> Column:
 
 
 def region_in(include_sgg: Sequence[str] = (), exclude_sido: Sequence[str] = (),
-              col: str = "pnu") -> Column:
-    """keep listed districts (if any), drop listed provinces."""
+              col: str = "pnu", partition_col: str | None = None) -> Column:
+    """keep listed districts (if any), drop listed provinces. With a
+    ``sgg`` partition column both lists prune folders."""
+    district = F.substring(F.col(col), 1, 5) if partition_col is None else F.col(partition_col)
     pred = F.lit(True)
     if include_sgg:
-        pred = pred & F.substring(F.col(col), 1, 5).isin(*include_sgg)
+        pred = pred & district.isin(*include_sgg)
     if exclude_sido:
-        pred = pred & ~F.substring(F.col(col), 1, 2).isin(*exclude_sido)
+        pred = pred & ~F.substring(district, 1, 2).isin(*exclude_sido)
     return pred
 
 

@@ -179,13 +179,16 @@ def apply_overrides(base: DataFrame, overrides: DataFrame, key: Sequence[str] =
 
 def fix_revisions(stored: DataFrame, refetched: DataFrame, key: Sequence[str] = KEY,
                   arrival: Sequence[str] | None = None, broadcast_rows: int | None = None,
-                  refetched_arrival: Sequence[str] | None = None) -> DataFrame:
+                  refetched_arrival: Sequence[str] | None = None, conflicts: DataFrame | None = None) -> DataFrame:
     """Q7: census -> candidates -> latest -> keep-first -> override.
 
+    Two membership tests read the census; ``conflicts`` takes a written one
+    (``conflict_keys`` of ``stored``), so that it is computed once.
+
     Idempotent: a second run finds no conflicts in its own output (every
     conflicting key was overridden by one authoritative price).
     """
-    conflicts = conflict_keys(stored, key)
+    conflicts = conflict_keys(stored, key) if conflicts is None else conflicts
     overrides = authoritative(conflict_candidates(refetched, conflicts), key, refetched_arrival)
     return apply_overrides(dedup_keep_first(stored, key, arrival), overrides, key, broadcast_rows)
 

@@ -21,6 +21,7 @@ from pricepanel.functions.pnu import region_prefix_filter, sgg, sido
 from pricepanel.operators.joins import maybe_broadcast
 
 PRICE = "price_per_m2"
+PPM = 1_000_000
 
 
 def median(c: Column, exact: bool = True, accuracy: int = 10000) -> Column:
@@ -251,13 +252,15 @@ def cumulative_factors(rates: DataFrame, months: int = 12) -> DataFrame:
     ``rates(sgg, stdr_year, month, rate)`` holds monthly change rates;
     missing months count as 0 and month 1 is the base (factor 1). The
     window runs over one district-year (12 rows), so it is bounded.
+    Factors are whole parts per million (``factor_ppm``): the last bit of a
+    floating product does not decide a price.
     """
     units = rates.select("sgg", "stdr_year").distinct()
     grid = units.select("sgg", "stdr_year", F.explode(F.sequence(F.lit(1), F.lit(months))).alias("month"))
     r = grid.join(rates, ["sgg", "stdr_year", "month"], "left")
     rate = F.when(F.col("month") == 1, F.lit(0.0)).otherwise(F.coalesce(F.col("rate"), F.lit(0.0)))
     w = Window.partitionBy("sgg", "stdr_year").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
-    return r.select("sgg", "stdr_year", "month", F.exp(F.sum(F.log1p(rate)).over(w)).alias("factor"))
+    return r.select("sgg", "stdr_year", "month", F.round(F.exp(F.sum(F.log1p(rate)).over(w)) * PPM).cast("long").alias("factor_ppm"))
 
 
 def monthly_interpolation(regular: DataFrame, factors: DataFrame, max_factor_rows: int = 2_000_000) -> DataFrame:
@@ -274,9 +277,9 @@ def monthly_interpolation(regular: DataFrame, factors: DataFrame, max_factor_row
     j = base.join(maybe_broadcast(factors, max_factor_rows), ["sgg", "stdr_year"], "left")
     # a district-year without rates keeps its price for all months
     months = F.when(F.col("month").isNull(), F.sequence(F.lit(1), F.lit(12))).otherwise(F.array("month"))
-    j = j.withColumn("month", F.explode(months)).withColumn("factor", F.coalesce("factor", F.lit(1.0)))
-    return j.select("pnu", "stdr_year", "month", "base_price", "factor",
-                    rounded(F.col("base_price") * F.col("factor")).alias("price_interp"))
+    j = j.withColumn("month", F.explode(months)).withColumn("factor_ppm", F.coalesce("factor_ppm", F.lit(PPM).cast("long")))
+    price = F.expr(f"(base_price * factor_ppm + {PPM // 2}) div {PPM}")
+    return j.select("pnu", "stdr_year", "month", "base_price", "factor_ppm", price.alias("price_interp"))
 
 
 def _value_bucket(v: Column, per_octave: int = 64) -> Column:

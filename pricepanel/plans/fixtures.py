@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.functions.normalize import norm_api_row
+from pricepanel.operators import revise
+from pricepanel.plans.registry import COLLECTED_AT
 from pricepanel.schema import SRC_API, SRC_CITY
 from pricepanel.session import work_dir
+from pricepanel.sources import fact_store
 
 # Fixture constants: 20 two-digit sido codes, picked by key modulo 20.
 SIDO_CODES = ["11", "26", "27", "28", "29", "30", "31", "36", "41", "42",
@@ -148,6 +151,30 @@ def city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact(spark, sf_dir).where(F.col("source") == SRC_CITY)
 
 
+def partitioned_root(spark: SparkSession, sf_dir: str) -> str:
+    """The fact view written by S6 (year/sgg/source folders), once per application."""
+    return stored_path(spark, sf_dir, "fact_partitioned", lambda p: fact_store.write_fact(
+        fact_store.prepare_fact(fact(spark, sf_dir), collected_at=COLLECTED_AT), p))
+
+
+def fact_table(spark: SparkSession, sf_dir: str, source: str | None = None) -> DataFrame:
+    """The partitioned fact table as S5 reads it: year, sgg and source prune folders."""
+    return fact_store.read_fact(spark, partitioned_root(spark, sf_dir), source=source)
+
+
+def empty_pages(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
+    """Units (sgg, stdr_year) whose landed page reported a total of 0: the
+    districts with an abolished code, in one year."""
+    codes = region_codes(spark, sf_dir).where("abolished")
+    return codes.select(F.substring("code", 1, 5).alias("sgg"), F.lit(year).alias("stdr_year")).distinct()
+
+
+def conflict_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conflict census of the API rows (A12), written once: both
+    membership tests of J2 read it."""
+    return stored(spark, sf_dir, "conflict_keys", lambda: revise.conflict_keys(api_rows(spark, sf_dir)))
+
+
 def region_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region-code table (code, status, abolished) from ``part``, stored."""
     return stored(spark, sf_dir, "region_codes", lambda: _build_codes(spark, sf_dir))

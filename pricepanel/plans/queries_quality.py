@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricepanel.operators import audit, codes, coverage, revise, stats
 from pricepanel.plans import fixtures as fx
 from pricepanel.plans.oracle import with_views
-from pricepanel.plans.registry import DIRTY_YEARS, FACT_COLS, register
+from pricepanel.plans.registry import DIRTY_YEARS, EMPTY_PAGE_YEAR, FACT_COLS, register
 
 # ------------------------------------------------------------ overrides
 
@@ -28,14 +28,13 @@ _APPLY = """select b.pnu, b.stdr_year, b.stdr_month, coalesce(o.price_ov, b.pric
 from {base} b left join ov o on b.pnu = o.pnu and b.stdr_year = o.stdr_year and b.stdr_month = o.stdr_month"""
 
 
-def _overrides(api):
-    return revise.authoritative(revise.conflict_candidates(api, revise.conflict_keys(api)))
+def _overrides(spark, sf):
+    return revise.authoritative(revise.conflict_candidates(fx.api_rows(spark, sf), fx.conflict_keys(spark, sf)))
 
 
 @register("join_conflict_candidates", with_views("api") + f", {_CONF}, {_CAND} select {FACT_COLS} from cand")
 def q_join_conflict_candidates(spark, sf):
-    api = fx.api_rows(spark, sf)
-    return revise.conflict_candidates(api, revise.conflict_keys(api))
+    return revise.conflict_candidates(fx.api_rows(spark, sf), fx.conflict_keys(spark, sf))
 
 
 @register("join_override", with_views("api") + f""", {_CONF},
@@ -45,7 +44,7 @@ conf_rows as (select a.* from api a semi join conf c
 {_APPLY.format(base="api")}""")
 def q_join_override(spark, sf):
     api = fx.api_rows(spark, sf)
-    conflicts = revise.conflict_keys(api)
+    conflicts = fx.conflict_keys(spark, sf)
     rows = api.join(conflicts.select("pnu", "stdr_year", "stdr_month"),
                     ["pnu", "stdr_year", "stdr_month"], "left_semi")
     return revise.apply_overrides(api, revise.authoritative(rows))
@@ -59,7 +58,7 @@ _Q7_SQL = with_views("api") + f""", {_CONF}, {_CAND}, {_OV.format(src="cand")},
 @register("fix_revisions", _Q7_SQL)
 def q_fix_revisions(spark, sf):
     api = fx.api_rows(spark, sf)
-    return revise.fix_revisions(api, api)
+    return revise.fix_revisions(api, api, conflicts=fx.conflict_keys(spark, sf))
 
 
 _DIRTY = ", ".join(str(y) for y in DIRTY_YEARS)
@@ -73,7 +72,7 @@ union all
 {_APPLY.format(base="base")} where b.stdr_year in ({_DIRTY})""")
 def q_merge_staging(spark, sf):
     api = fx.api_rows(spark, sf)
-    return revise.merge_staging(api, _overrides(api), DIRTY_YEARS)
+    return revise.merge_staging(api, _overrides(spark, sf), DIRTY_YEARS)
 
 
 @register("union_sources", with_views("api", "city") + """
@@ -218,9 +217,18 @@ def q_join_cross_source_first(spark, sf):
 
 _GRID = f""", {_POOL.format(extra='')}, {_LEAF},
 grid as (select sgg, y.stdr_year from (select distinct sgg from leaf) s,
-         (select distinct cast(stdr_year as int) as stdr_year from fact) y),
-done as (select substr(pnu,1,5) as sgg, cast(stdr_year as int) as stdr_year, count(*) as rows
-         from api group by 1, 2)"""
+         (select distinct cast(stdr_year as int) as stdr_year from fact) y)"""
+_FILLED = """, done as (select substr(pnu,1,5) as sgg, cast(stdr_year as int) as stdr_year, count(*) as rows
+         from fact group by 1, 2)"""
+_DONE = f""", done as (select sgg, stdr_year, cast(sum(rows) as bigint) as rows from (
+  select substr(pnu,1,5) as sgg, cast(stdr_year as int) as stdr_year, count(*) as rows from api group by 1, 2
+  union all
+  select distinct substr(code,1,5), {EMPTY_PAGE_YEAR}, 0 from bjd where abolished) t group by 1, 2)"""
+
+
+def _done(spark, sf):
+    """Units with API rows, and units whose page reported none."""
+    return coverage.done_units(fx.api_rows(spark, sf), fx.empty_pages(spark, sf, EMPTY_PAGE_YEAR))
 
 
 def _grid(spark, sf):
@@ -228,31 +236,30 @@ def _grid(spark, sf):
     return coverage.unit_grid(codes.leaf_codes(fx.region_codes(spark, sf)), years)
 
 
-@register("join_units_todo", with_views("api", "bjd") + _GRID + """
+@register("join_units_todo", with_views("api", "bjd") + _GRID + _DONE + """
 select g.sgg, g.stdr_year from grid g anti join done d on g.sgg = d.sgg and g.stdr_year = d.stdr_year""")
 def q_join_units_todo(spark, sf):
-    return coverage.units_todo(_grid(spark, sf), coverage.done_units(fx.api_rows(spark, sf)))
+    return coverage.units_todo(_grid(spark, sf), _done(spark, sf))
 
 
-@register("audit_empty_units", with_views("fact", "bjd") + _GRID.replace("from api group", "from fact group") + """
+@register("audit_empty_units", with_views("fact", "bjd") + _GRID + _FILLED + """
 select g.sgg, g.stdr_year from grid g anti join done d on g.sgg = d.sgg and g.stdr_year = d.stdr_year""")
 def q_audit_empty_units(spark, sf):
     return coverage.empty_units(_grid(spark, sf), fx.fact(spark, sf))
 
 
-@register("coverage_by_year", with_views("api") + """
-select cast(stdr_year as int) as stdr_year, count(*) as units, cast(sum(rows) as bigint) as rows from (
-  select substr(pnu,1,5) as sgg, stdr_year, count(*) as rows from api group by 1, 2) t group by 1""")
+@register("coverage_by_year", with_views("api", "bjd") + _DONE + """
+select stdr_year, count(*) as units, cast(sum(rows) as bigint) as rows from done group by 1""")
 def q_coverage_by_year(spark, sf):
-    return coverage.coverage_by_year(coverage.done_units(fx.api_rows(spark, sf)))
+    return coverage.coverage_by_year(_done(spark, sf))
 
 
-@register("coverage_ratio", with_views("api", "bjd") + _GRID + """
+@register("coverage_ratio", with_views("api", "bjd") + _GRID + _DONE + """
 select count(d.rows) as done_units, count(*) as total_units, cast(coalesce(sum(d.rows), 0) as bigint) as rows,
        cast(round(count(d.rows) * 1000.0 / count(*)) as bigint) as done_permille
 from grid g left join done d on g.sgg = d.sgg and g.stdr_year = d.stdr_year""")
 def q_coverage_ratio(spark, sf):
-    return coverage.coverage_ratio(_grid(spark, sf), coverage.done_units(fx.api_rows(spark, sf)))
+    return coverage.coverage_ratio(_grid(spark, sf), _done(spark, sf))
 
 
 # ------------------------------------------------------- parcel key join

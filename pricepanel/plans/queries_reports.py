@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pricepanel.functions import labels, normalize as N, pnu as P
 from pricepanel.operators import codes, filters, revise, stats
 from pricepanel.plans import fixtures as fx
-from pricepanel.plans.oracle import BOUNDARY_PREFIX_CASE, CITY_MONTH, SIDO_BOUNDARY_CASE, SIDO_SHORT_CASE, with_views
+from pricepanel.plans.oracle import BOUNDARY_PREFIX_CASE, CITY_MONTH, PNU, SIDO_BOUNDARY_CASE, SIDO_SHORT_CASE, with_views
 from pricepanel.plans.registry import (COLLECTED_AT, EXPECTED_YEARS, SAMPLE_PARCEL, SAMPLE_ROWS, SNAPSHOT_YEAR,
                                        TOP_K, register)
+from pricepanel.schema import SRC_API
 
 # ------------------------------------------------------------ normalisers
 
@@ -116,14 +117,14 @@ _EXPORT = "pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, sou
 select {_EXPORT} from fact where stdr_year between 1996 and 2000 and stdr_month = 1
   and substr(pnu,1,2) = '11'""")
 def q_filter_scope(spark, sf):
-    f = fx.fact(spark, sf).where(filters.scope(y0=1996, y1=2000, month=1, sido="11"))
+    f = fx.fact_table(spark, sf).where(filters.scope(y0=1996, y1=2000, month=1, sido="11"))
     return filters.project_export(f)
 
 
 @register("filter_scope_sgg_year", with_views("fact") + f"""
 select {_EXPORT} from fact where stdr_year = {SNAPSHOT_YEAR} and substr(pnu,1,5) = '26120'""")
 def q_filter_scope_sgg_year(spark, sf):
-    f = fx.fact(spark, sf).where(filters.scope(year=SNAPSHOT_YEAR, month=0, sgg="26120"))
+    f = fx.fact_table(spark, sf).where(filters.scope(year=SNAPSHOT_YEAR, month=0, sgg="26120", partition_col="sgg"))
     return filters.project_export(f)
 
 
@@ -154,8 +155,8 @@ select substr(pnu,1,5) as sgg, count(*) as rows from fact
 where substr(pnu,1,5) in ('11110','26120','41150','47140','27130') and substr(pnu,1,2) not in ('26')
 group by 1""")
 def q_filter_region_in(spark, sf):
-    return (fx.fact(spark, sf).where(filters.region_in(_INCLUDE, ("26",)))
-            .groupBy(P.sgg().alias("sgg")).agg(F.count(F.lit(1)).alias("rows")))
+    return (fx.fact_table(spark, sf).where(filters.region_in(_INCLUDE, ("26",), partition_col="sgg"))
+            .groupBy("sgg").agg(F.count(F.lit(1)).alias("rows")))
 
 
 @register("project_export", with_views("fact") + f"select {_EXPORT} from fact")
@@ -234,7 +235,7 @@ _A5 = f"""a5 as (select sido, {SIDO_SHORT_CASE.format(c='sido')} as name, parcel
 @register("max_ratio_share", with_views("api") + f""", {_A5}
 select *, cast(round(avg_price * 100.0 / max(avg_price) over ()) as bigint) as share_pct from a5""")
 def q_max_ratio_share(spark, sf):
-    return stats.max_ratio_share(stats.sido_snapshot(fx.api_rows(spark, sf), SNAPSHOT_YEAR))
+    return stats.max_ratio_share(stats.sido_snapshot(fx.fact_table(spark, sf, SRC_API), SNAPSHOT_YEAR))
 
 
 @register("region_gap", with_views("api") + f""", {_A5}
@@ -243,7 +244,7 @@ select arg_max(name, (avg_price, name)) as top_name, max(avg_price) as top_value
        cast(round(max(avg_price) * 1.0 / min(avg_price)) as bigint) as gap
 from a5 where avg_price is not null""")
 def q_region_gap(spark, sf):
-    return stats.region_gap(stats.sido_snapshot(fx.api_rows(spark, sf), SNAPSHOT_YEAR))
+    return stats.region_gap(stats.sido_snapshot(fx.fact_table(spark, sf, SRC_API), SNAPSHOT_YEAR))
 
 
 @register("series_growth", with_views("api") + """
@@ -263,7 +264,7 @@ def q_series_growth(spark, sf):
 select stdr_year, max(price_per_m2) as price from api where pnu = '{SAMPLE_PARCEL}' and stdr_month = 1
 group by 1""")
 def q_series_parcel(spark, sf):
-    return stats.series_parcel(fx.api_rows(spark, sf), SAMPLE_PARCEL)
+    return stats.series_parcel(fx.fact_table(spark, sf, SRC_API), SAMPLE_PARCEL, partition_col="sgg")
 
 
 @register("sample_rows", with_views("city") + f"""
@@ -279,7 +280,7 @@ select substr(pnu,1,5) as sgg, cast(round(median(price_per_m2)) as bigint) as me
 from api where stdr_year={SNAPSHOT_YEAR} and stdr_month=1 and price_per_m2>0 group by 1
 order by med_price desc, sgg limit {TOP_K}""")
 def q_rank_desc(spark, sf):
-    return stats.rank_desc(stats.sgg_median(fx.api_rows(spark, sf), SNAPSHOT_YEAR), "med_price", TOP_K, ("sgg",))
+    return stats.rank_desc(stats.sgg_median(fx.fact_table(spark, sf, SRC_API), SNAPSHOT_YEAR), "med_price", TOP_K, ("sgg",))
 
 
 # ------------------------------------------------------------- extensions
@@ -303,26 +304,46 @@ _D4 = """select sido || '|' || sigungu as key, sido, sigungu, year, med_price, a
 
 @register("summary_sido_year", with_views("api") + _D4.format(sg="''"))
 def q_summary_sido_year(spark, sf):
-    return stats.summary_region_year(fx.api_rows(spark, sf), "sido")
+    return stats.summary_region_year(fx.fact_table(spark, sf, SRC_API), "sido")
 
 
 @register("summary_sgg_year", with_views("api") + _D4.format(sg="substr(pnu,1,5)"))
 def q_summary_sgg_year(spark, sf):
-    return stats.summary_region_year(fx.api_rows(spark, sf), "sgg")
+    return stats.summary_region_year(fx.fact_table(spark, sf, SRC_API), "sgg")
 
 
-@register("dedup_file_order", None)
+@register("dedup_file_order", """
+select l_orderkey, l_linenumber from (
+  select l_orderkey, l_linenumber, row_number() over (partition by l_orderkey order by arrived) as rn
+  from (select l_orderkey, l_linenumber, row_number() over () as arrived from lineitem) t) u where rn = 1""")
 def q_dedup_file_order(spark, sf):
-    """W4 with the real arrival order of a Parquet scan (file, row index)."""
+    """W4 with the real arrival order of a Parquet scan (file, row index).
+    The oracle numbers the rows as DuckDB reads them: in file order too."""
     li = revise.with_file_order(fx.table(spark, sf, "lineitem"))
     return revise.dedup_keep_first(li, key=["l_orderkey"], arrival=("_file", "_row")) \
         .select("l_orderkey", "l_linenumber")
 
 
-@register("monthly_interpolation")
+_D2_SQL = with_views("api") + f"""
+, rates as (select substr({PNU},1,5) as sgg, year(l_shipdate) as stdr_year, month(l_shipdate) as month,
+                   (avg(l_discount) - 0.05) / 10 as rate from lineitem group by 1, 2, 3),
+grid as (select sgg, stdr_year, unnest(range(1, 13)) as month from (select distinct sgg, stdr_year from rates) u),
+factors as (select sgg, stdr_year, g.month, cast(round(1000000 * exp(sum(case when g.month = 1 then 0.0 else coalesce(ln(1 + rate), 0.0) end)
+                     over (partition by sgg, stdr_year order by g.month))) as bigint) as ppm
+            from grid g left join rates r using (sgg, stdr_year, month)),
+latest as (select * from (
+  select *, row_number() over (partition by pnu, stdr_year, stdr_month, source
+                               order by coalesce(last_updt_dt,'') desc, seq desc, xp desc) as rn
+  from api where stdr_month = 1) t where rn = 1),
+months as (select unnest(range(1, 13)) as month)
+select l.pnu, l.stdr_year, cast(m.month as int) as month, l.price_per_m2 as base_price, coalesce(f.ppm, 1000000) as factor_ppm,
+       (l.price_per_m2 * coalesce(f.ppm, 1000000) + 500000) // 1000000 as price_interp
+from latest l, months m left join factors f on f.sgg = substr(l.pnu,1,5) and f.stdr_year = l.stdr_year and f.month = m.month"""
+
+
+@register("monthly_interpolation", _D2_SQL)
 def q_monthly_interpolation(spark, sf):
-    """D2 (rows-only: exp/log may differ in the last bit between engines;
-    tested against a brute-force product in tests)."""
+    """Factors are whole parts per million, so both engines agree."""
     factors = stats.cumulative_factors(fx.monthly_rates(spark, sf))
     latest = revise.dedup_latest(fx.api_rows(spark, sf).where(F.col("stdr_month") == 1))
     return stats.monthly_interpolation(latest, factors)

@@ -3,7 +3,7 @@
 Queries that write put their output under the shared work root
 (``spark.checkpoint.dir``) and return the read-back: S7 and the stream into
 fresh folders, S6 into the partitioned fact table written once per
-application (``partitioned_root``), which the S5 scan query also reads.
+application (``fixtures.partitioned_root``), which the S5 scan query also reads.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pricepanel.plans.oracle import CITY_MONTH, with_views
 from pricepanel.plans.registry import COLLECTED_AT, SAMPLE_PARCEL, SNAPSHOT_YEAR, register
 from pricepanel.schema import SRC_API, SRC_BULK
 from pricepanel.session import work_dir
-from pricepanel.sources import api_pages, archives, fact_store, sinks
+from pricepanel.sources import api_pages, archives, sinks
 
 _CITY_SQL = with_views("raw_api", "months") + f""", c as (
   select trim(r.pnu) as pnu, cast(trim(r.stdryear) as smallint) as stdr_year,
@@ -115,17 +115,10 @@ select pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, source,
        date '{COLLECTED_AT}' as collected_at, substr(pnu,1,5) as sgg from fact"""
 
 
-def partitioned_root(spark, sf):
-    """The fact view written by S6 (year/sgg/source folders), once per
-    application; S6 and S5 queries read it back."""
-    return fx.stored_path(spark, sf, "fact_partitioned", lambda p: fact_store.write_fact(
-        fact_store.prepare_fact(fx.fact(spark, sf), collected_at=COLLECTED_AT), p))
-
-
 @register("sink_partitioned", _STORED_SQL)
 def q_sink_partitioned(spark, sf):
     """S6 then S5: partitioned write, whole-table read with schema."""
-    return fact_store.read_fact(spark, partitioned_root(spark, sf))
+    return fx.fact_table(spark, sf)
 
 
 @register("src_fact_scan", with_views("fact") + f"""
@@ -135,8 +128,7 @@ where source = 'vworld_api' and stdr_year = {SNAPSHOT_YEAR}""")
 def q_src_fact_scan(spark, sf):
     """S5 with partition pruning on source and year, over the partitioned
     fact table (written by S6 once per application, then scanned)."""
-    df = fact_store.read_fact(spark, partitioned_root(spark, sf), source=SRC_API)
-    return df.where(F.col("stdr_year") == SNAPSHOT_YEAR)
+    return fx.fact_table(spark, sf, SRC_API).where(F.col("stdr_year") == SNAPSHOT_YEAR)
 
 
 @register("sink_scoped_csv", with_views("fact") + """

@@ -26,6 +26,8 @@ SAMPLE_PARCEL = "2612010221100010001"
 SAMPLE_ROWS = 200
 TOP_K = 10
 DIRTY_YEARS = (1997, 1998)
+# A year whose pages report no rows for districts with an abolished code; outside the years with rows for some.
+EMPTY_PAGE_YEAR = 2001
 COLLECTED_AT = "2026-07-15"
 
 FACT_COLS = "pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, source, last_updt_dt, seq, xp"

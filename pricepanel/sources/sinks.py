@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricepanel.operators import filters, stats
@@ -28,10 +28,20 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EXPORT_SCHEMA).option("header", True).csv(path).select(*EXPORT_COLUMNS)
 
 
-def _as_json(df: DataFrame, order: list[str]) -> DataFrame:
-    """One JSON array of the (small, aggregated) rows, sorted inside."""
-    rows = F.array_sort(F.collect_list(F.struct(*order, *[c for c in df.columns if c not in order])))
-    return df.agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("json"))
+_NULLS = {"ignoreNullFields": "false"}
+
+
+def _rows_json(df: DataFrame, by: str, descending: bool = False) -> Column:
+    """The (small, aggregated) rows as an array of structs ordered by ``by``
+    (missing values last), then by the other fields."""
+    measure = F.col(by)
+    key = F.struct(measure.isNull(), -measure if descending else measure, *[F.col(c) for c in df.columns if c != by])
+    ranked = F.array_sort(F.collect_list(F.struct(key.alias("key"), F.struct(*df.columns).alias("row"))))
+    return F.transform(ranked, lambda r: r["row"])
+
+
+def _as_json(df: DataFrame, by: str, descending: bool = False) -> DataFrame:
+    return df.agg(F.to_json(_rows_json(df, by, descending), _NULLS).alias("json"))
 
 
 def map_report(api: DataFrame) -> DataFrame:
@@ -50,22 +60,27 @@ def map_report(api: DataFrame) -> DataFrame:
     return out.select(F.to_json(F.struct("years", "sido")).alias("json"))
 
 
-def report_sections(fact: DataFrame, api: DataFrame, parcel: str, snapshot_year: int) -> DataFrame:
+def report_sections(fact: DataFrame, api: DataFrame, parcel: str, snapshot_year: int, label: str = "") -> DataFrame:
     """The yearly dashboard report as (section, json) rows.
 
     Each section is aggregated first (years, provinces, sources: tens of
     rows), so only that bounded result is gathered into one JSON value.
+    Provinces come by mean price and sources by rows, largest first; missing
+    means are ``null``.
     """
+    summary = stats.overall(fact).select(F.col("n_rows").alias("rows"), F.col("n_years").alias("years"), "min_year", "max_year")
+    per_year = stats.year_price(api).select(F.col("stdr_year").alias("year"), "parcels",
+                                            F.col("avg_price").alias("avg"), F.col("med_price").alias("med"))
+    per_sido = stats.sido_snapshot(api, snapshot_year).select(F.col("sido").alias("code"), "name", "parcels",
+                                                              F.col("avg_price").alias("avg"))
+    series = stats.series_parcel(api, parcel).select(F.col("stdr_year").alias("year"), "price")
+    sample = F.struct(F.lit(parcel).alias("pnu"), F.lit(label).alias("label"), _rows_json(series, "year").alias("series"))
     sections = {
-        "summary": _as_json(stats.overall(fact), []),
-        "per_year": _as_json(stats.year_price(api).select(
-            F.col("stdr_year").alias("year"), "parcels", F.col("avg_price").alias("avg"),
-            F.col("med_price").alias("med")), ["year"]),
-        "per_sido": _as_json(stats.sido_snapshot(api, snapshot_year).select(
-            F.col("sido").alias("code"), "name", "parcels", F.col("avg_price").alias("avg")), ["code"]),
-        "sources": _as_json(stats.source_mix(fact), ["source"]),
-        "sample_parcel": _as_json(stats.series_parcel(api, parcel).select(
-            F.col("stdr_year").alias("year"), "price"), ["year"]),
+        "summary": summary.select(F.to_json(F.struct(*summary.columns), _NULLS).alias("json")),
+        "per_year": _as_json(per_year, "year"),
+        "per_sido": _as_json(per_sido, "avg", descending=True),
+        "sources": _as_json(stats.source_mix(fact), "rows", descending=True),
+        "sample_parcel": series.agg(F.to_json(sample, _NULLS).alias("json")),
         "map_sido": map_report(api),
     }
     out = None

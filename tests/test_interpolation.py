@@ -19,8 +19,8 @@ def test_monthly_interpolation_brute_force(spark):
         f = 1.0
         for m in range(2, row.month + 1):
             f *= 1 + r.get(m, 0.0)
-        assert math.isclose(row.factor, f, rel_tol=1e-12)
-        assert row.price_interp == int(math.floor(1000 * f + 0.5))
+        assert row.factor_ppm == round(f * 1e6)
+        assert row.price_interp == (1000 * row.factor_ppm + 500_000) // 1_000_000
 
 
 def test_distributed_median_matches_exact(spark):
