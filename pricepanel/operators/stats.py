@@ -252,15 +252,16 @@ def cumulative_factors(rates: DataFrame, months: int = 12) -> DataFrame:
     ``rates(sgg, stdr_year, month, rate)`` holds monthly change rates;
     missing months count as 0 and month 1 is the base (factor 1). The
     window runs over one district-year (12 rows), so it is bounded.
-    Factors are whole parts per million (``factor_ppm``): the last bit of a
-    floating product does not decide a price.
+    Factors are whole parts per million (``factor_ppm``); halves, to within
+    a millionth part, round up, so that the last bit of a floating product
+    does not decide a price.
     """
     units = rates.select("sgg", "stdr_year").distinct()
     grid = units.select("sgg", "stdr_year", F.explode(F.sequence(F.lit(1), F.lit(months))).alias("month"))
     r = grid.join(rates, ["sgg", "stdr_year", "month"], "left")
     rate = F.when(F.col("month") == 1, F.lit(0.0)).otherwise(F.coalesce(F.col("rate"), F.lit(0.0)))
     w = Window.partitionBy("sgg", "stdr_year").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
-    return r.select("sgg", "stdr_year", "month", F.round(F.exp(F.sum(F.log1p(rate)).over(w)) * PPM).cast("long").alias("factor_ppm"))
+    return r.select("sgg", "stdr_year", "month", F.floor(F.exp(F.sum(F.log1p(rate)).over(w)) * PPM + 0.500001).cast("long").alias("factor_ppm"))
 
 
 def monthly_interpolation(regular: DataFrame, factors: DataFrame, max_factor_rows: int = 2_000_000) -> DataFrame:

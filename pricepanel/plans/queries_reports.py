@@ -328,8 +328,8 @@ _D2_SQL = with_views("api") + f"""
 , rates as (select substr({PNU},1,5) as sgg, year(l_shipdate) as stdr_year, month(l_shipdate) as month,
                    (avg(l_discount) - 0.05) / 10 as rate from lineitem group by 1, 2, 3),
 grid as (select sgg, stdr_year, unnest(range(1, 13)) as month from (select distinct sgg, stdr_year from rates) u),
-factors as (select sgg, stdr_year, g.month, cast(round(1000000 * exp(sum(case when g.month = 1 then 0.0 else coalesce(ln(1 + rate), 0.0) end)
-                     over (partition by sgg, stdr_year order by g.month))) as bigint) as ppm
+factors as (select sgg, stdr_year, g.month, cast(floor(1000000 * exp(sum(case when g.month = 1 then 0.0 else coalesce(ln(1 + rate), 0.0) end)
+                     over (partition by sgg, stdr_year order by g.month)) + 0.500001) as bigint) as ppm
             from grid g left join rates r using (sgg, stdr_year, month)),
 latest as (select * from (
   select *, row_number() over (partition by pnu, stdr_year, stdr_month, source
