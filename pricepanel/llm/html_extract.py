@@ -6,19 +6,25 @@ sidebars, notices, adverts, forms, comments: by element, role, class, id)
 are left out, and where the page marks its article only that part counts.
 
 What markup does not tell, repetition does. Pages of a host are brought
-together in parts of at most PART_PAGES pages (a host of more pages is dealt
-over parts by a hash, so no task holds a large host). The word streams of a part are
+together in parts of about PART_PAGES pages or PART_WORDS words (a larger host
+is dealt over parts by a hash, so no task holds a large host). The word streams of a part are
 concatenated and a suffix array, sorted to a depth of MIN_RUN words, puts equal
 runs side by side; runs on enough distinct pages cover their words, and a block
-whose words are covered is boilerplate. Enough is a share of the part's pages:
+whose words are covered is boilerplate. Enough is a share of the host's pages:
 small for pages without a marked article, large inside a marked article, where
 a repeated passage is usually the author's own. A page that would lose every
 block keeps them all. Blocks that stay are joined in page order.
 
+Pages of a host of several parts are counted over the whole host, exactly: a run
+on a share of the host's pages is on that share of the pages of some part, so the
+parts' suffix arrays name all candidates (``_named``); every part counts its pages
+with them (``_counted``), the counts are summed by (host, run), and the runs that
+reach the least share go back to the parts (``_cleaned``). They are few: at most
+1 / share runs a word of an average page. The parts are shuffled once.
+
 Null and empty pages give an empty text; a null or odd url is a host of its own
 (the empty one). Repeated pages count as distinct pages for what repeats.
-Whole pages are read, however long; a part is cut into several at PART_WORDS
-words. Only page_id, url and html are read.
+Whole pages are read, however long. Only page_id, url and html are read.
 """
 
 from __future__ import annotations
@@ -39,9 +45,10 @@ from pricepanel.session import ship_package
 
 PART_PAGES = 256
 PART_WORDS = 1_000_000
+WORD_CHARS = 6
 MIN_RUN = 8
 COVERED = 0.9
-#: (least pages, least share of the part's pages) for a run to be boilerplate, without and with a marked article.
+#: (least pages, least share of the host's pages) for a run to be boilerplate, without and with a marked article.
 PLAIN, MARKED = (3, 0.1), (10, 0.8)
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
@@ -159,21 +166,25 @@ def page_blocks(page: str) -> tuple[list[str], bool]:
     return [b for n, b in found if n >= top], top >= 2
 
 
-def boilerplate(blocks: list[list[str]], marked: list[bool], min_run: int = MIN_RUN) -> list[list[bool]]:
-    """Per page and block: is it covered by runs that enough pages of this part share?"""
-    pages = len(blocks)
-    need = [max(k, int(np.ceil(share * pages))) for k, share in (MARKED if m else PLAIN for m in marked)]
-    none = [[False] * len(b) for b in blocks]
-    if pages < min(PLAIN[0], MARKED[0]):
-        return none
+def _needed(pages: int, marked: list[bool]) -> np.ndarray:
+    """Per page, the pages of its host of ``pages`` that a run must be on."""
+    return np.array([max(k, int(np.ceil(share * pages))) for k, share in (MARKED if m else PLAIN for m in marked)], np.int64)
+
+
+def _words(blocks: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, its page, index of each page's first word and the end)."""
     raw, offsets = T.utf8(pa.array([" ".join(b) for b in blocks], pa.large_string()))
     starts, ends, rows = T.word_spans(raw, offsets, T.NOT_SPACE)
-    n = len(starts)
+    return T.word_hashes(raw, starts, ends), np.repeat(np.arange(len(blocks)), np.diff(rows)), rows
+
+
+def _repeated(hashes: np.ndarray, page: np.ndarray, rows: np.ndarray, min_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position of every run of ``min_run`` words, number of distinct pages with that run), equal runs side by side."""
+    n = len(hashes)
     if n < min_run:
-        return none
-    page = np.repeat(np.arange(pages), np.diff(rows))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     # Depth-limited suffix array by doubling: rank[i] orders the first `depth` words from word i on.
-    rank = np.unique(T.word_hashes(raw, starts, ends), return_inverse=True)[1].astype(np.int64) + 1
+    rank = np.unique(hashes, return_inverse=True)[1].astype(np.int64) + 1
     depth = 1
     while depth < min_run:
         step = min(depth, min_run - depth)
@@ -185,14 +196,26 @@ def boilerplate(blocks: list[list[str]], marked: list[bool], min_run: int = MIN_
     order = np.lexsort((page, rank))
     order = order[whole[order]]
     if not len(order):
-        return none
+        return order, order
     fresh = np.ones(len(order), bool)
     fresh[1:] = rank[order[1:]] != rank[order[:-1]]
-    group = np.cumsum(fresh) - 1
     other = fresh.copy()
     other[1:] |= page[order[1:]] != page[order[:-1]]
-    support = np.bincount(group, weights=other).astype(np.int64)[group]
-    often = order[support >= np.array(need)[page[order]]]
+    group = np.cumsum(fresh) - 1
+    return order, np.bincount(group, weights=other).astype(np.int64)[group]
+
+
+def _runs(hashes: np.ndarray, page: np.ndarray, rows: np.ndarray, min_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, hash) of every run of ``min_run`` words, in page order."""
+    if len(hashes) < min_run:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.arange(len(hashes) - min_run + 1)
+    at = at[at + min_run <= rows[page[at] + 1]]
+    return at, T.shingle_hashes(hashes, min_run)[at].view(np.int64)
+
+
+def _covered(blocks: list[list[str]], often: np.ndarray, n: int, min_run: int) -> list[list[bool]]:
+    """Per page and block: do the runs at ``often`` cover it? A page that would lose all loses none."""
     edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, often, 1)
     np.add.at(edge, often + min_run, -1)
@@ -208,52 +231,142 @@ def boilerplate(blocks: list[list[str]], marked: list[bool], min_run: int = MIN_
     return out
 
 
+def boilerplate(blocks: list[list[str]], marked: list[bool], min_run: int = MIN_RUN) -> list[list[bool]]:
+    """Per page and block of a whole host: is it covered by runs that enough of its pages share?"""
+    hashes, page, rows = _words(blocks)
+    order, support = _repeated(hashes, page, rows, min_run)
+    often = order[support >= _needed(len(blocks), marked)[page[order]]]
+    return _covered(blocks, often, len(hashes), min_run)
+
+
+def named_runs(blocks: list[list[str]], min_run: int = MIN_RUN) -> np.ndarray:
+    """Hashes of the runs that are on the least share of this part's pages."""
+    hashes, page, rows = _words(blocks)
+    order, support = _repeated(hashes, page, rows, min_run)
+    often = np.sort(order[support >= min(PLAIN[1], MARKED[1]) * len(blocks) * (1 - 1e-9)])
+    at, runs = _runs(hashes, page, rows, min_run)
+    return np.unique(runs[np.searchsorted(at, often)])
+
+
+def run_pages(blocks: list[list[str]], wanted: np.ndarray, min_run: int = MIN_RUN) -> tuple[np.ndarray, np.ndarray]:
+    """(run, number of this part's pages with it) for the wanted hashes (sorted, distinct) that occur."""
+    hashes, page, rows = _words(blocks)
+    at, runs = _runs(hashes, page, rows, min_run)
+    near = np.searchsorted(wanted, runs)
+    hit = np.flatnonzero(np.append(wanted, 0)[near] == runs) if len(wanted) else near[:0]
+    hit = hit[near[hit] < len(wanted)]
+    pairs = np.unique(near[hit] * np.int64(len(blocks) + 1) + page[at[hit]])
+    found, n = np.unique(pairs // (len(blocks) + 1), return_counts=True)
+    return wanted[found], n
+
+
+def boilerplate_of_part(blocks: list[list[str]], marked: list[bool], host_pages: int, runs: np.ndarray, support: np.ndarray,
+                        min_run: int = MIN_RUN) -> list[list[bool]]:
+    """As ``boilerplate`` for a part of a host, given the host's runs (sorted, distinct) and their pages."""
+    if not len(runs):
+        return [[False] * len(b) for b in blocks]
+    hashes, page, rows = _words(blocks)
+    at, own = _runs(hashes, page, rows, min_run)
+    near = np.minimum(np.searchsorted(runs, own), len(runs) - 1)
+    often = at[(runs[near] == own) & (support[near] >= _needed(host_pages, marked)[page[at]])]
+    return _covered(blocks, often, len(hashes), min_run)
+
+
+_PART = "host string, part bigint, parts bigint, n bigint"
+_BLOCKS = f"page_id bigint, url string, {_PART}, blocks array<string>, marked boolean"
+_RUN = pa.schema([("host", pa.string()), ("parts", pa.int64()), ("n", pa.int64()), ("run", pa.int64()), ("support", pa.int64())])
+_TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own = ["page_id", "url", "host", "part", "parts", "n"]
     for batch in batches:
         for part in T.slices(batch, "html"):
             both = [page_blocks(x or "") for x in part.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*[part.column(n) for n in ("page_id", "url", "host", "part")], pa.array([b for b, _ in both], pa.list_(pa.string())),
-                 pa.array([m for _, m in both], pa.bool_())], ["page_id", "url", "host", "part", "blocks", "marked"])
+                [*[part.column(n) for n in own], pa.array([b for b, _ in both], pa.list_(pa.string())),
+                 pa.array([m for _, m in both], pa.bool_())], [*own, "blocks", "marked"])
+
 
+def _run_rows(host: str, parts: int, n: int, runs: np.ndarray, support: np.ndarray) -> pa.Table:
+    size = len(runs)
+    return pa.table([pa.array([host] * size, pa.string()), pa.array([parts] * size, pa.int64()), pa.array([n] * size, pa.int64()),
+                     pa.array(runs, pa.int64()), pa.array(support, pa.int64())], schema=_RUN)
 
-def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of one (host, part), sorted; each is cleaned as soon as it is whole."""
-    held: list[tuple] = []
-    words, key = 0, None
 
-    def clean() -> pa.RecordBatch:
-        gone = boilerplate([x[2] for x in held], [x[3] for x in held])
-        texts = [" ".join(b for b, g in zip(x[2], flags) if not g) for x, flags in zip(held, gone)]
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.string()),
-                                           pa.array(texts, pa.string())], ["page_id", "url", "text"])
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate runs of each part of a host of several; rows come sorted by (host, part)."""
+    held: list[list[str]] = []
+    key = None
+
+    def name() -> Iterator[pa.RecordBatch]:
+        runs = named_runs(held)
+        yield from _run_rows(key[0], key[2], key[3], runs, np.zeros(len(runs), np.int64)).to_batches()
 
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in ("host", "part", "page_id", "url", "blocks", "marked")]
-        for host, part, page_id, url, blocks, marked in zip(*columns):
-            if held and ((host, part) != key or words > PART_WORDS):
-                yield clean()
-                held, words = [], 0
-            key = (host, part)
-            held.append((page_id, url, blocks, marked))
-            words += sum(map(len, blocks)) // 6
+        columns = [batch.column(n).to_pylist() for n in ("host", "part", "parts", "n")]
+        for i, new in enumerate(zip(*columns)):
+            if new[2] < 2:
+                continue
+            if held and new != key:
+                yield from name()
+                held = []
+            key = new
+            held.append(batch.column("blocks")[i].as_py())
     if held:
-        yield clean()
+        yield from name()
+
+
+def _counted(part: pa.Table, runs: pa.Table) -> pa.Table:
+    """Pages of one part with each candidate run."""
+    if not part.num_rows or not runs.num_rows:
+        return _RUN.empty_table()
+    found, n = run_pages(part.column("blocks").to_pylist(), np.sort(runs.column("run").to_numpy()))
+    return _run_rows(*[part.column(c)[0].as_py() for c in ("host", "parts", "n")], found, n)
+
+
+def _cleaned(part: pa.Table, runs: pa.Table) -> pa.Table:
+    """The texts of one part; a host of one part counts for itself."""
+    if not part.num_rows:
+        return _TEXTS.empty_table()
+    blocks, marked = part.column("blocks").to_pylist(), part.column("marked").to_pylist()
+    if part.column("parts")[0].as_py() > 1:
+        run, support = (runs.column(n).to_numpy() for n in ("run", "support"))
+        order = np.argsort(run)
+        gone = boilerplate_of_part(blocks, marked, part.column("n")[0].as_py(), run[order], support[order])
+    else:
+        gone = boilerplate(blocks, marked)
+    texts = [" ".join(b for b, g in zip(own, flags) if not g) for own, flags in zip(blocks, gone)]
+    return pa.table([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], schema=_TEXTS)
+
+
+def _to_parts(runs: DataFrame) -> DataFrame:
+    """Rows of a host's runs, once for each of its parts."""
+    return runs.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
 
 
 def main_text(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
-    """(page_id, url, text, n_chars) of every page; one shuffle of the blocks by (host, part)."""
+    """(page_id, url, text, n_chars) of every page; one shuffle of the blocks by (host, part), read three times."""
     ship_package(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     sites = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html")).withColumn("host", host)
-    counts = sites.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part_pages)
-    parts = F.ceil(F.col("n") / part_pages).cast("bigint")
-    large = stored(counts.select(F.col("host").alias("large_host"), parts.alias("parts")), "large-hosts")
+    counts = sites.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("html").cast("bigint")).alias("size"))
+    parts = F.greatest(F.ceil(F.col("n") / part_pages), F.ceil(F.col("size") / (PART_WORDS * WORD_CHARS))).cast("bigint")
+    counts = counts.withColumn("parts", parts).where(F.col("parts") > 1)
+    large = stored(counts.select(F.col("host").alias("large_host"), "parts", "n"), "large-hosts")
     dealt = sites.join(maybe_broadcast(large), F.col("host") == F.col("large_host"), "left")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1).cast("bigint"))))
-    blocks = dealt.select("page_id", "url", "host", "part", "html").mapInArrow(
-        _parsed, "page_id bigint, url string, host string, part bigint, blocks array<string>, marked boolean")
-    together = blocks.repartition("host", "part").sortWithinPartitions("host", "part", "page_id", "url")
-    cleaned = together.mapInArrow(_cleaned, "page_id bigint, url string, text string")
+    dealt = dealt.withColumns({"parts": F.coalesce("parts", F.lit(1).cast("bigint")), "n": F.coalesce("n", F.lit(0).cast("bigint"))})
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), "parts"))
+    blocks = dealt.select("page_id", "url", "host", "part", "parts", "n", "html").mapInArrow(_parsed, _BLOCKS)
+    # The same exchange in all three steps: Spark runs it once and reuses its files.
+    together = blocks.repartition("host", "part")
+    by_part, columns = together.groupBy("host", "part"), f"{_PART.replace('part bigint, ', '')}, run bigint, support bigint"
+    named = together.sortWithinPartitions("host", "part").mapInArrow(_named, columns)
+    named = named.groupBy("host", "run").agg(F.max("parts").alias("parts"))
+    counted = by_part.cogroup(_to_parts(named).groupBy("host", "part")).applyInArrow(_counted, columns)
+    summed = counted.groupBy("host", "run").agg(F.sum("support").alias("support"), F.max("parts").alias("parts"), F.max("n").alias("n"))
+    least = min(PLAIN[1], MARKED[1]) * (1 - 1e-9)
+    common = summed.where(F.col("support") >= F.col("n") * least).select("host", "run", "support", "parts")
+    cleaned = by_part.cogroup(_to_parts(common).groupBy("host", "part")).applyInArrow(_cleaned, "page_id bigint, url string, text string")
     return cleaned.withColumn("n_chars", F.char_length("text").cast("bigint"))

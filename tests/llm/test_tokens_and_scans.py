@@ -108,6 +108,21 @@ def test_repeated_blocks_go_without_markup(spark):
     assert html_extract.main_text(pages.limit(0)).count() == 0
 
 
+def test_runs_are_counted_over_the_whole_host(spark):
+    # 4 of 40 pages share a block: enough for the host (10 %), but dealt over 5 parts no part of 4 or more pages need have 3 of them.
+    rng = np.random.default_rng(6)
+    rows = []
+    for host in range(6):
+        note = " ".join(f"h{host}note{k}" for k in range(12))
+        rows += [(host * 100 + i, f"http://h{host}/{i}", f"<body><p>{' '.join(f'w{x}' for x in rng.integers(0, 10**9, 30))}</p>"
+                  + f"<div>{note}</div>" * (i < (4 if host < 5 else 3))) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.main_text(pages, part_pages=8).collect()}
+    whole = {r.page_id: r.text for r in html_extract.main_text(pages).collect()}
+    assert got == whole and len(got) == 240
+    assert [sum("note" in t for i, t in got.items() if i // 100 == host) for host in range(6)] == [0, 0, 0, 0, 0, 3]
+
+
 def test_fixity_audit(spark):
     rows = [(f, o * 100, 100, hashlib.sha256(f"{f}/{o}".encode()).hexdigest(), o, f"u{o}") for f in range(3) for o in range(400)]
     schema = "file bigint, offset bigint, length bigint, hash string, page_id bigint, url string"
