@@ -3,7 +3,8 @@
 ``page_blocks`` reads a page once, tag by tag, and keeps the text blocks of the
 article: containers that announce other things (menus, headers, footers,
 sidebars, notices, adverts, forms, comments: by element, role, class, id)
-are left out, and where the page marks its article only that part counts.
+are left out, and where the page marks its article (or names it) and most of the
+text is there, only that part counts; a mark on less than half of it is not the article's.
 
 What markup does not tell, repetition does. Pages of a host are brought
 together in parts of about PART_PAGES pages or PART_WORDS words (a larger host
@@ -162,7 +163,9 @@ def page_blocks(page: str) -> tuple[list[str], bool]:
     if not outside:
         pieces.append(html.unescape(page[at:]))
     flush()
-    top = max((n for n, _ in found), default=0)
+    # The main part with all in it: by element or role, else by name, where it holds at least half of the text.
+    size = sum(len(b) for _, b in found)
+    top = next((k for k in (2, 1) if size and 2 * sum(len(b) for n, b in found if n >= k) >= size), 0)
     return [b for n, b in found if n >= top], top >= 2
 
 

@@ -94,6 +94,15 @@ def test_article_of_a_page():
     assert html_extract.page_blocks("") == ([], False) and html_extract.page_blocks("a < b <i>c</i>")[0] == ["a < b c"]
 
 
+def test_the_main_part_is_chosen_by_its_text():
+    long = "word " * 20 + "end"
+    assert html_extract.page_blocks(f'<body><p>{long}</p><div class="post-meta">By X</div></body>') == ([long, "By X"], False)
+    assert html_extract.page_blocks(f"<main><p>{long}</p><article>Teaser</article></main>") == ([long, "Teaser"], True)
+    assert html_extract.page_blocks(f"<body><p>{long}</p><article>Teaser</article></body>") == ([long, "Teaser"], False)
+    assert html_extract.page_blocks(f'<div>Top</div><div class="entry"><p>{long}</p></div>') == ([long], False)
+    assert html_extract.page_blocks(f"<div>Top</div><article><p>{long}</p></article><div>Low</div>") == ([long], True)
+
+
 def test_repeated_blocks_go_without_markup(spark):
     menu = "<div>Home News Sport Weather Travel Culture Money Future Earth Video</div>"
     rows = [(i, f"http://h.example/{i}", f"<body>{menu}<p>{' '.join(f'p{i}w{k}' for k in range(30))}</p>{menu}</body>") for i in range(12)]
