@@ -57,7 +57,7 @@ TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"""
                  r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "head", "title", "textarea", "select"}
+RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "title", "textarea", "select"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s",
           "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "ruby", "rt", "rp", "data"}
@@ -70,6 +70,8 @@ comments reply replies respond discussion disqus related recommended recommendat
 skip sr form disclaimer""".split())
 MAIN_ROLES = {"main", "article"}
 MAIN_NAMES = {"article", "articlebody", "post", "entry", "story", "content", "maincontent"}
+#: What may stand in a head; any other start tag, or text, ends it.
+HEAD = {"html", "head", "title", "base", "basefont", "bgsound", "link", "meta", "style", "script", "noscript", "noframes", "template"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 OPEN = ("html", "body")
 
@@ -85,7 +87,7 @@ def _names(attributes: dict[str, str]) -> set[str]:
 
 def _kind(tag: str, attributes: dict[str, str]) -> int:
     """-1: something else than the article; 3, 2, 1: the article by element, main part, a telling name; 0: neither."""
-    if tag in ASIDE or "hidden" in attributes or attributes.get("aria-hidden") == "true":
+    if tag == "head" or tag in ASIDE or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return -1
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")):
         return -1
@@ -113,8 +115,17 @@ def page_blocks(page: str) -> tuple[list[str], bool]:
             found.append((level[-1], block))
         pieces.clear()
 
+    def end_head() -> None:
+        nonlocal outside
+        while stack and stack[-1][0] == "head":
+            stack.pop()
+            level.pop()
+            outside -= 1
+
     at = 0
     while m := TAG.search(page, at):
+        if stack and stack[-1][0] == "head" and page[at:m.start()].strip():
+            end_head()
         if not outside and m.start() > at:
             pieces.append(html.unescape(page[at:m.start()]))
         at = m.end()
@@ -122,6 +133,8 @@ def page_blocks(page: str) -> tuple[list[str], bool]:
         if name is None:
             continue
         tag, closing, rest = name.lower(), m[1] or m[4], (m[3] if m[2] else m[6]) or ""
+        if not closing and tag not in HEAD:
+            end_head()
         if tag in INLINE and not outside and not rest.strip("/ "):
             continue
         if tag == "br":
@@ -160,6 +173,8 @@ def page_blocks(page: str) -> tuple[list[str], bool]:
         stack.append((tag, kind))
         outside += kind < 0
         level.append(max(level[-1], kind))
+    if page[at:].strip():
+        end_head()
     if not outside:
         pieces.append(html.unescape(page[at:]))
     flush()

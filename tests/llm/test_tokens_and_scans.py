@@ -103,6 +103,14 @@ def test_the_main_part_is_chosen_by_its_text():
     assert html_extract.page_blocks(f"<div>Top</div><article><p>{long}</p></article><div>Low</div>") == ([long], True)
 
 
+@pytest.mark.parametrize("head", ["<head><title>t</title>", "<head><meta charset=utf-8><script>'<p>no</p>'</script><link href=x><style>p{}</style>\n",
+                                  "<head profile=x><title>t</title></head>", "<head>", "<title>t</title>", "<HEAD><!-- <p>no --><noscript><p>no</p></noscript>"])
+@pytest.mark.parametrize("body,want", [("<body><p>text", ["text"]), ("<p>text</p> more", ["text", "more"]), ("text<br>more", ["text more"]),
+                                       ("<b>te</b>xt", ["text"]), ("<header>no</header><p>text", ["text"])])
+def test_a_head_ends_without_its_end_tag(head, body, want):
+    assert html_extract.page_blocks(f"<html>{head}{body}") == (want, False)
+
+
 def test_repeated_blocks_go_without_markup(spark):
     menu = "<div>Home News Sport Weather Travel Culture Money Future Earth Video</div>"
     rows = [(i, f"http://h.example/{i}", f"<body>{menu}<p>{' '.join(f'p{i}w{k}' for k in range(30))}</p>{menu}</body>") for i in range(12)]
