@@ -1,9 +1,9 @@
 """License scan: sparse TF-IDF cosine to templates, then inheritance by path (DataFrame functions only).
 
 Units of a text are its lines, its paragraphs and the whole text, each once. A
-unit is a sparse vector of its terms (``[a-z0-9]+``): a template term weighs its
+unit is a sparse vector of its terms (``[a-z0-9]+``): a term weighs its
 count times ``ln((1 + N) / (1 + df)) + 1`` with N and df counted over all
-documents, any other term weighs as if it were in no document. The cosine to
+documents, whether a template has it or not. The cosine to
 each template is a join of (unit, term, weight) with (template, term, weight)
 and a sum. Only units that can reach MIN_SCORE get that far: a unit without
 any of a template's heaviest terms, whose rest is too light for the score,
@@ -15,8 +15,9 @@ the first by name); documents without one inherit from the nearest ancestor
 directory that has one. Directories are few compared with documents and are
 resolved first; documents join their directory's answer.
 
-The template tables are the only ones broadcast: their size is that of
-TEMPLATES. Null and empty texts have no units, a null path no directory: own
+Frequencies of other terms are counted for the terms of the units that get that
+far, combined map-side. The template table is broadcast (its size is that of
+TEMPLATES), tables of terms only after a size check. Null and empty texts have no units, a null path no directory: own
 license or none. Repeated rows count as often as they come.
 """
 
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricepanel.llm.tables import stored
+from pricepanel.operators.joins import maybe_broadcast
 
 MIN_SCORE = 0.6
 
@@ -45,19 +47,45 @@ TEMPLATES = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License, or any later version"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("GPL-2.0", "This program is licensed under the GNU General Public License, version 2"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License version 2 as published by the Free Software Foundation"),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                 "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"),
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+                 "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                      "that the following conditions are met"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission"),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+                "which is available at https://www.eclipse.org/legal/epl-2.0"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright under CC0 1.0 Universal"),
@@ -90,12 +118,18 @@ def document_frequencies(documents: DataFrame) -> tuple[int, dict[str, int]]:
     return counts.get("", 0), {t: counts.get(t, 0) for t in vocabulary}
 
 
+def term_frequencies(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, df): the number of documents with each wanted term."""
+    held = documents.select(F.explode(F.array_distinct(terms(F.col("text").cast("string")))).alias("term"))
+    return held.join(maybe_broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 class Weights:
     """Template vectors under the corpus' frequencies, and the terms that a fitting unit must touch."""
 
     def __init__(self, total: int, frequency: dict[str, int], min_score: float):
         self.idf = {t: math.log((1 + total) / (1 + n)) + 1 for t, n in frequency.items()}
-        self.other = math.log(1 + total) + 1
+        self.total = total
         self.rows, needed = [], set()
         for n, counts in enumerate(template_terms()):
             weights = {t: c * self.idf[t] for t, c in counts.items()}
@@ -121,16 +155,17 @@ def scores(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     rows = rows.select("path", "doc_id", F.xxhash64("unit").alias("unit_id"), terms(F.col("unit")).alias("terms"))
     able = rows.where(F.arrays_overlap("terms", needed))
     template = spark.createDataFrame(weights.rows, "template int, license string, term string, t_weight double")
-    known = spark.createDataFrame([(t, w) for t, w in weights.idf.items()], "term string, idf double")
 
     words = able.select("path", "doc_id", "unit_id", F.explode("terms").alias("term")).where("term <> ''")
     counted = words.groupBy("path", "doc_id", "unit_id", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
-    weighed = counted.join(F.broadcast(known), "term", "left")
-    weighed = weighed.withColumn("square", F.when(F.col("idf").isNotNull(), F.pow(F.col("tf") * F.col("idf"), 2))
-                                 .otherwise(F.col("tf") * weights.other * weights.other))
+    counted = stored(counted, "unit-terms")
+    frequencies = stored(term_frequencies(documents, stored(counted.select("term").distinct(), "terms")), "frequencies")
+    weighed = counted.join(maybe_broadcast(frequencies), "term")
+    weighed = weighed.withColumn("idf", F.log(F.lit(1.0 + weights.total) / (F.col("df") + 1)) + 1)
+    weighed = weighed.withColumn("square", F.pow(F.col("tf") * F.col("idf"), 2))
     unit = ["path", "doc_id", "unit_id"]
     # The norm goes to a template of its own (-1), so that one grouping gives norms and products.
-    products = (weighed.where("idf is not null").join(F.broadcast(template), "term")
+    products = (weighed.join(F.broadcast(template), "term")
                 .select(*unit, "template", "license", (F.col("tf") * F.col("idf") * F.col("t_weight")).alias("part")))
     norms = weighed.select(*unit, F.lit(-1).alias("template"), F.lit("").alias("license"), F.col("square").alias("part"))
     sums = products.unionByName(norms).groupBy(*unit, "template", "license").agg(F.sum("part").alias("part"))

@@ -184,3 +184,49 @@ def test_licenses_and_inheritance(spark):
     assert got == {1: ("MIT", "MIT", None, None), 2: (None, "MIT", "a", 2), 3: (None, "MIT", "a", 1), 4: ("Apache-2.0", "Apache-2.0", None, None),
                    5: (None, "Apache-2.0", "z", 0), 6: (None, None, None, None), 7: ("CC-BY-NC-4.0", "CC-BY-NC-4.0", None, None), 8: (None, "Apache-2.0", "z", 1)}
     assert license_scan.licenses(docs.limit(0)).count() == 0
+
+
+def brute_license(rows, min_score=license_scan.MIN_SCORE):
+    """The best unit's license by full TF-IDF cosines, per document."""
+    bags = [set(re.findall("[a-z0-9]+", (t or "").lower())) for _, _, t in rows]
+
+    def vector(text):
+        words = re.findall("[a-z0-9]+", text.lower())
+        return {w: words.count(w) * (np.log((1 + len(rows)) / (1 + sum(w in b for b in bags))) + 1) for w in set(words)}
+
+    def norm(v):
+        return np.sqrt(sum(x * x for x in v.values()))
+
+    templates = [(name, vector(t)) for name, t in license_scan.TEMPLATES]
+    out = {}
+    for _, doc_id, text in rows:
+        found = []
+        for unit in {text or "", *(text or "").split("\n"), *re.split(r"\n[ \t\r]*\n\s*", text or "")}:
+            u = vector(unit)
+            found += [(-round(sum(x * v.get(w, 0) for w, x in u.items()) / norm(u) / norm(v), 6), name) for name, v in templates if u]
+        best = min(found, default=(0, None))
+        out[doc_id] = (best[1], -best[0]) if -best[0] >= min_score else (None, None)
+    return out
+
+
+def test_license_scores_are_the_cosine(spark):
+    common = "please see our page about the terms of use and the author of this work"
+    rows = [("p/0", 0, "Released under the MIT License " + common), ("p/1", 1, "spam spam spam spam spam spam Released under the MIT License"),
+            ("p/2", 2, "# Licensed under the Apache License, Version 2.0\n# other\n\n" + common), ("p/3", 3, None), ("p/4", 4, "- .")]
+    rows += [("p/x", 10 + n, text) for n, (_, text) in enumerate(license_scan.TEMPLATES)]
+    rows += [("q/x", 100 + n, f"{common} {n}") for n in range(200)]
+    docs = spark.createDataFrame(rows, "path string, doc_id bigint, text string")
+    got = {r.doc_id: (r.own_license, r.own_score) for r in license_scan.licenses(docs).collect()}
+    want = brute_license(rows)
+    assert {i: x[0] for i, x in got.items()} == {i: x[0] for i, x in want.items()}
+    assert all(x[1] == pytest.approx(want[i][1], abs=2e-6) for i, x in got.items() if x[0])
+    assert got[0][0] == "MIT"  # ordinary words of the corpus weigh little
+    notices = {10 + n: name for n, (name, _) in enumerate(license_scan.TEMPLATES)}
+    assert {i: got[i][0] for i in notices} == notices
+
+
+def test_the_usual_gpl_2_notice(spark):
+    text = ("This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+            "the Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.")
+    docs = spark.createDataFrame([("a", 1, text), ("b", 2, "some other words")], "path string, doc_id bigint, text string")
+    assert {r.doc_id: r.own_license for r in license_scan.licenses(docs).collect()} == {1: "GPL-2.0", 2: None}
