@@ -44,11 +44,11 @@ ASSIGN = re.compile("(" + either_case("password|passwd|secret|token|api_?key") +
 ACCESS = re.compile("AKIA[A-Z0-9]{16,}")
 HEX = re.compile("[0-9a-f]{24,}")
 
-#: Words before a credential, and what may stand between them and the value.
+#: Words before a credential (whole, or from a capital after a small letter: dbPwd), and what may stand between them and the value.
 CONTEXT_WORDS = ("password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "apikey", "api_key", "api-key",
                  "credential", "credentials", "login", "auth", "private_key", "access_key")
-CONTEXT = re.compile(r"(?<![A-Za-z])(?:" + either_case("|".join(sorted(CONTEXT_WORDS, key=len, reverse=True)))
-                     + r""")["']?\x20{0,4}(?::=|=>|->|[:=]|is\x20|was\x20)\x20{0,4}(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'<>,;]+))""")
+CONTEXT = re.compile(r"(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))(?:" + either_case("|".join(sorted(CONTEXT_WORDS, key=len, reverse=True)))
+                     + r""")["']?[\x20\t]*(?::=|=>|->|[:=]|(?:is|was)[\x20\t])[\x20\t]*(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'<>,;]+))""")
 #: A context starts with one of these, in lower case; texts without any are not searched further.
 SIGNS = ("pass", "pwd", "secret", "token", "api", "credential", "login", "auth", "private_key", "access_key")
 

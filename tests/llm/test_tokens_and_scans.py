@@ -169,6 +169,13 @@ def test_base_spans_and_guesses(spark):
     assert [texts[7][s:e] for s, e in added] == ["kX9#vQ2!zL7p"]
 
 
+@pytest.mark.parametrize("before", ["login:     ", "pwd:\t", "dbPwd=", "login      is\t  ", "myApiKey\t=>\t", "pwd =" + " " * 5000])
+def test_wide_gaps_and_words_inside_names(before):
+    text = f"x {before}Xk9#vQ2!z y"
+    assert [text[s:e] for s, e, _ in guess_cost.guess_spans(text)] == ["Xk9#vQ2!z"]
+    assert guess_cost.guess_spans("dbpwd=Xk9#vQ2!z login:\nXk9#vQ2!z") == []
+
+
 @pytest.mark.parametrize("cheap,dear", [("password1", "k8#Qz!vP"), ("qwertyuiop", "qzmwpxnv"), ("aaaaaaaaaaaa", "ahsgdkqowiep"), ("19991231", "83620157"),
                                         ("abcabcabcabc", "axbqczdwemfn")])
 def test_guess_costs_are_ordered(cheap, dear):
