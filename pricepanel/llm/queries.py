@@ -199,6 +199,17 @@ def op1_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+def _filter_audit_sql() -> str:
+    from pricepanel.llm import filter_audit
+    return filter_audit.oracle_sql()
+
+
+@register("op13_filter_audit", sql=_filter_audit_sql())
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import filter_audit
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
