@@ -199,6 +199,17 @@ def op1_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+def _vector_codes_sql() -> str:
+    from pricepanel.llm import vector_codes
+    return vector_codes.oracle_sql()
+
+
+@register("op12_orchard_codes", sql=_vector_codes_sql())
+def op12_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import vector_codes
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def _filter_audit_sql() -> str:
     from pricepanel.llm import filter_audit
     return filter_audit.oracle_sql()
