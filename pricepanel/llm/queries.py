@@ -199,6 +199,12 @@ def op1_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+@register("op11_prefix_join")
+def op11_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricepanel.llm import prefix_join
+    return prefix_join.groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def _vector_codes_sql() -> str:
     from pricepanel.llm import vector_codes
     return vector_codes.oracle_sql()

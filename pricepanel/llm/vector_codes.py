@@ -29,7 +29,7 @@ from pricepanel.session import ship_package
 
 SCALE = 4096
 PARTS, ENTRIES, ROUNDS = 8, 16, 6
-#: Largest integer component coded; squared distances of such vectors fit 64 bits up to 1024 components a part.
+#: Largest integer component coded; squared distances of such vectors fit 64 bits up to 1024 components.
 LARGEST = 1 << 25
 #: Vectors handled at a time in a task.
 BATCH = 4096
@@ -97,11 +97,11 @@ def first_codebooks(kept: DataFrame, parts: int = PARTS, entries: int = ENTRIES)
     """Per part position that part of the vectors of the smallest ids, ascending (a repeated id: its least vector)."""
     least = kept.where("vec_id is not null").groupBy("vec_id").agg(F.min("whole").alias("whole"))
     chosen = [r.whole for r in least.orderBy("vec_id").limit(entries).collect()]
-    if not chosen:
+    length = len(chosen[0]) if chosen else 0
+    if not length:
         return []
-    length = len(chosen[0])
     rows = np.array([v for v in chosen if len(v) == length], np.int64).reshape(-1, length)
-    return np.split(rows, parts, axis=1) if length % parts == 0 and len(rows) else []
+    return np.split(rows, parts, axis=1) if length % parts == 0 else []
 
 
 def _vectors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
