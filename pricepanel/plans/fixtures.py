@@ -18,7 +18,7 @@ from pricepanel.operators import revise
 from pricepanel.plans.registry import COLLECTED_AT
 from pricepanel.schema import SRC_API, SRC_CITY
 from pricepanel.session import work_dir
-from pricepanel.sources import fact_store
+from pricepanel.sources import fact_store, manifest
 
 # Fixture constants: 20 two-digit sido codes, picked by key modulo 20.
 SIDO_CODES = ["11", "26", "27", "28", "29", "30", "31", "36", "41", "42",
@@ -152,14 +152,14 @@ def city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partitioned_root(spark: SparkSession, sf_dir: str) -> str:
-    """The fact view written by S6 (year/sgg/source folders), once per application."""
+    """The fact view written by S6 (year/sgg/source units), once per application."""
     return stored_path(spark, sf_dir, "fact_partitioned", lambda p: fact_store.write_fact(
         fact_store.prepare_fact(fact(spark, sf_dir), collected_at=COLLECTED_AT), p))
 
 
-def fact_table(spark: SparkSession, sf_dir: str, source: str | None = None) -> DataFrame:
-    """The partitioned fact table as S5 reads it: year, sgg and source prune folders."""
-    return fact_store.read_fact(spark, partitioned_root(spark, sf_dir), source=source)
+def fact_table(spark: SparkSession, sf_dir: str, source: str | None = None, **scope) -> DataFrame:
+    """The partitioned fact table as S5 reads it; ``scope`` (``manifest.file_scope``) names the files to open."""
+    return fact_store.read_fact(spark, partitioned_root(spark, sf_dir), scope=manifest.file_scope(source, **scope))
 
 
 def empty_pages(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:

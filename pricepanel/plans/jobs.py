@@ -14,7 +14,7 @@ from pricepanel.functions.normalize import norm_api_row
 from pricepanel.operators import revise
 from pricepanel.schema import SRC_API, SRC_BULK, SRC_CITY
 from pricepanel.session import checkpoint_root
-from pricepanel.sources import api_pages, archives, fact_store
+from pricepanel.sources import api_pages, archives, fact_store, manifest
 
 OVERRIDE_BROADCAST_ROWS = 2_000_000
 
@@ -46,10 +46,14 @@ def ingest_api_pages(pages: DataFrame, fact_root: str, collected_at) -> None:
     fact_store.write_fact(fact_store.prepare_fact(latest, SRC_API, collected_at), fact_root)
 
 
-def fix_revisions_job(spark: SparkSession, fact_root: str, refetched: DataFrame, new_root: str,
-                      refetched_arrival: tuple[str, ...] | None = None) -> None:
-    """Q7 on the stored API rows, written to a new root with the rows of all
-    other sources, so that the new root can take the old one's place.
+def fix_revisions_job(spark: SparkSession, fact_root: str, refetched: DataFrame,
+                      refetched_arrival: tuple[str, ...] | None = None) -> manifest.State:
+    """Q7 on the stored API rows: the units that change are written beside the
+    old ones, then swapped in by one move of the table's pointer.
+
+    The pointer moves only from the state that this job read, so of two fixers
+    one raises ``manifest.LostRace`` and changes nothing. A run that finds
+    nothing to change leaves the pointer where it is.
 
     The conflict census and the override table are checkpointed
     (reliable, shared folder) so the two membership tests, the size check
@@ -58,11 +62,15 @@ def fix_revisions_job(spark: SparkSession, fact_root: str, refetched: DataFrame,
     Arrival order of stored rows = file path, row index.
     """
     checkpoint_root(spark)
-    stored = revise.with_file_order(fact_store.read_fact(spark, fact_root, source=SRC_API))
+    state = manifest.current(spark, fact_root)
+    rows = fact_store.read_fact(spark, fact_root, source=SRC_API, state=state)
+    stored = revise.with_file_order(rows)
     # Both membership tests of J2 read the census: materialise it once.
     conflicts = revise.conflict_keys(stored).checkpoint(eager=True)
     overrides = revise.authoritative(revise.conflict_candidates(refetched, conflicts), arrival=refetched_arrival).checkpoint(eager=True)
     base = revise.dedup_keep_first(stored, arrival=("_file", "_row"))
-    fixed = revise.apply_overrides(base, overrides, broadcast_rows=OVERRIDE_BROADCAST_ROWS)
-    others = fact_store.read_fact(spark, fact_root).where(~F.col("source").eqNullSafe(SRC_API))
-    fact_store.write_fact(fixed.drop("_file", "_row").unionByName(others), new_root)
+    fixed = revise.apply_overrides(base, overrides, broadcast_rows=OVERRIDE_BROADCAST_ROWS).drop("_file", "_row").checkpoint(eager=True)
+    units = fact_store.changed_units(fixed, rows).checkpoint(eager=True)
+    if units.isEmpty():
+        return state
+    return fact_store.write_fact(fixed.join(units, manifest.UNIT, "left_semi"), fact_root, expected=state)

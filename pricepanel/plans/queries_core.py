@@ -111,14 +111,14 @@ select sido, {SIDO_SHORT_CASE.format(c='sido')} as name, parcels, avg_price from
 
 @register("agg_sido_snapshot", _A5_SQL)
 def q_agg_sido_snapshot(spark, sf):
-    return stats.sido_snapshot(fx.fact_table(spark, sf, SRC_API), SNAPSHOT_YEAR)
+    return stats.sido_snapshot(fx.fact_table(spark, sf, SRC_API, years=(SNAPSHOT_YEAR,)), SNAPSHOT_YEAR)
 
 
 @register("agg_sgg_median", with_views("api") + f"""
 select substr(pnu,1,5) as sgg, cast(round(median(price_per_m2)) as bigint) as med_price, count(*) as parcels
 from api where stdr_year={SNAPSHOT_YEAR} and stdr_month=1 and price_per_m2>0 group by 1""")
 def q_agg_sgg_median(spark, sf):
-    return stats.sgg_median(fx.fact_table(spark, sf, SRC_API), SNAPSHOT_YEAR)
+    return stats.sgg_median(fx.fact_table(spark, sf, SRC_API, years=(SNAPSHOT_YEAR,)), SNAPSHOT_YEAR)
 
 
 @register("agg_source_mix", with_views("fact") + "select source, count(*) as rows from fact group by source")

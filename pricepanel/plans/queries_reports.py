@@ -117,14 +117,15 @@ _EXPORT = "pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, sou
 select {_EXPORT} from fact where stdr_year between 1996 and 2000 and stdr_month = 1
   and substr(pnu,1,2) = '11'""")
 def q_filter_scope(spark, sf):
-    f = fx.fact_table(spark, sf).where(filters.scope(y0=1996, y1=2000, month=1, sido="11"))
+    f = fx.fact_table(spark, sf, y0=1996, y1=2000, regions=("11",)).where(filters.scope(y0=1996, y1=2000, month=1, sido="11"))
     return filters.project_export(f)
 
 
 @register("filter_scope_sgg_year", with_views("fact") + f"""
 select {_EXPORT} from fact where stdr_year = {SNAPSHOT_YEAR} and substr(pnu,1,5) = '26120'""")
 def q_filter_scope_sgg_year(spark, sf):
-    f = fx.fact_table(spark, sf).where(filters.scope(year=SNAPSHOT_YEAR, month=0, sgg="26120", partition_col="sgg"))
+    f = fx.fact_table(spark, sf, years=(SNAPSHOT_YEAR,), regions=("26120",)).where(
+        filters.scope(year=SNAPSHOT_YEAR, month=0, sgg="26120", partition_col="sgg"))
     return filters.project_export(f)
 
 
@@ -155,7 +156,7 @@ select substr(pnu,1,5) as sgg, count(*) as rows from fact
 where substr(pnu,1,5) in ('11110','26120','41150','47140','27130') and substr(pnu,1,2) not in ('26')
 group by 1""")
 def q_filter_region_in(spark, sf):
-    return (fx.fact_table(spark, sf).where(filters.region_in(_INCLUDE, ("26",), partition_col="sgg"))
+    return (fx.fact_table(spark, sf, regions=_INCLUDE).where(filters.region_in(_INCLUDE, ("26",), partition_col="sgg"))
             .groupBy("sgg").agg(F.count(F.lit(1)).alias("rows")))
 
 
@@ -235,7 +236,7 @@ _A5 = f"""a5 as (select sido, {SIDO_SHORT_CASE.format(c='sido')} as name, parcel
 @register("max_ratio_share", with_views("api") + f""", {_A5}
 select *, cast(round(avg_price * 100.0 / max(avg_price) over ()) as bigint) as share_pct from a5""")
 def q_max_ratio_share(spark, sf):
-    return stats.max_ratio_share(stats.sido_snapshot(fx.fact_table(spark, sf, SRC_API), SNAPSHOT_YEAR))
+    return stats.max_ratio_share(stats.sido_snapshot(fx.fact_table(spark, sf, SRC_API, years=(SNAPSHOT_YEAR,)), SNAPSHOT_YEAR))
 
 
 @register("region_gap", with_views("api") + f""", {_A5}
@@ -244,7 +245,7 @@ select arg_max(name, (avg_price, name)) as top_name, max(avg_price) as top_value
        cast(round(max(avg_price) * 1.0 / min(avg_price)) as bigint) as gap
 from a5 where avg_price is not null""")
 def q_region_gap(spark, sf):
-    return stats.region_gap(stats.sido_snapshot(fx.fact_table(spark, sf, SRC_API), SNAPSHOT_YEAR))
+    return stats.region_gap(stats.sido_snapshot(fx.fact_table(spark, sf, SRC_API, years=(SNAPSHOT_YEAR,)), SNAPSHOT_YEAR))
 
 
 @register("series_growth", with_views("api") + """
@@ -264,7 +265,7 @@ def q_series_growth(spark, sf):
 select stdr_year, max(price_per_m2) as price from api where pnu = '{SAMPLE_PARCEL}' and stdr_month = 1
 group by 1""")
 def q_series_parcel(spark, sf):
-    return stats.series_parcel(fx.fact_table(spark, sf, SRC_API), SAMPLE_PARCEL, partition_col="sgg")
+    return stats.series_parcel(fx.fact_table(spark, sf, SRC_API, regions=(SAMPLE_PARCEL,)), SAMPLE_PARCEL, partition_col="sgg")
 
 
 @register("sample_rows", with_views("city") + f"""
@@ -280,7 +281,7 @@ select substr(pnu,1,5) as sgg, cast(round(median(price_per_m2)) as bigint) as me
 from api where stdr_year={SNAPSHOT_YEAR} and stdr_month=1 and price_per_m2>0 group by 1
 order by med_price desc, sgg limit {TOP_K}""")
 def q_rank_desc(spark, sf):
-    return stats.rank_desc(stats.sgg_median(fx.fact_table(spark, sf, SRC_API), SNAPSHOT_YEAR), "med_price", TOP_K, ("sgg",))
+    return stats.rank_desc(stats.sgg_median(fx.fact_table(spark, sf, SRC_API, years=(SNAPSHOT_YEAR,)), SNAPSHOT_YEAR), "med_price", TOP_K, ("sgg",))
 
 
 # ------------------------------------------------------------- extensions

@@ -2,12 +2,13 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricepanel.plans import fixtures as fx, jobs, landing
 from pricepanel.operators import audit, revise
 from pricepanel.schema import SRC_API
-from pricepanel.sources import fact_store
+from pricepanel.sources import fact_store, manifest
 from pricepanel.streaming import pages as stream
 
 SF = "/root/testdata/sf0.001"
@@ -36,12 +37,47 @@ def test_api_ingest_then_fix(spark, tmp_dir):
     jobs.ingest_api_pages(pages, root, "2026-07-15")
     stored = fact_store.read_fact(spark, root, source=SRC_API)
     assert audit.audit_key_unique(stored).collect()[0].dup_keys == 0
-    # re-run the fix against the raw revisions: output stays conflict-free
-    new_root = os.path.join(tmp_dir, "fixed")
-    jobs.fix_revisions_job(spark, root, fx.api_rows(spark, SF), new_root)
-    fixed = fact_store.read_fact(spark, new_root)
-    assert fixed.count() == stored.count()
-    assert revise.conflict_keys(fixed).count() == 0
+    # nothing to fix: the pointer stays
+    before = manifest.current(spark, root)
+    assert jobs.fix_revisions_job(spark, root, fx.api_rows(spark, SF)) == before == manifest.current(spark, root)
+
+
+def _with_revisions(spark, root):
+    rows = fact_store.prepare_fact(fx.api_rows(spark, SF), collected_at="2026-07-15")
+    others = fact_store.prepare_fact(fx.city_rows(spark, SF), collected_at="2026-07-15")
+    return fact_store.write_fact(rows.unionByName(others), root)
+
+
+def test_fix_swaps_the_changed_units_once(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "fact")
+    before = _with_revisions(spark, root)
+    conflicts = revise.conflict_keys(fact_store.read_fact(spark, root, source=SRC_API)).count()
+    assert conflicts > 0
+    after = jobs.fix_revisions_job(spark, root, fx.api_rows(spark, SF))
+    assert after.number == before.number + 1
+    fixed = fact_store.read_fact(spark, root, source=SRC_API)
+    assert revise.conflict_keys(fixed).count() == 0 and audit.audit_key_unique(fixed).collect()[0].dup_keys == 0
+    assert fact_store.read_fact(spark, root).where("source <> 'vworld_api'").count() == fx.city_rows(spark, SF).count()
+    kept = manifest.files(spark, after).join(manifest.files(spark, before), "path").count()
+    assert 0 < kept < manifest.files(spark, before).count()
+    assert jobs.fix_revisions_job(spark, root, fx.api_rows(spark, SF)) == after  # second run: no change
+
+
+def test_of_two_fixers_one_wins(spark, tmp_dir, monkeypatch):
+    root = os.path.join(tmp_dir, "fact")
+    _with_revisions(spark, root)
+    real, done = manifest.move_pointer, []
+
+    def overtaken(spark, state, name):
+        if not done:  # another fixer runs from start to end just before this one moves the pointer
+            done.append(True)
+            done.append(jobs.fix_revisions_job(spark, root, fx.api_rows(spark, SF)))
+        return real(spark, state, name)
+
+    monkeypatch.setattr(manifest, "move_pointer", overtaken)
+    with pytest.raises(manifest.LostRace):
+        jobs.fix_revisions_job(spark, root, fx.api_rows(spark, SF))
+    assert manifest.current(spark, root) == done[1]
 
 
 def test_stream_then_build_fact(spark, tmp_dir):

@@ -35,7 +35,7 @@ def step(name, fn):
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
-    root, fixed = work_dir(spark, "fact"), work_dir(spark, "fact-fixed")
+    root = work_dir(spark, "fact")
     pages_dir, records, ckpt = work_dir(spark, "pages"), work_dir(spark, "records"), work_dir(spark, "ckpt")
 
     step("city archives -> units", lambda: jobs.ingest_city_archives(
@@ -46,11 +46,9 @@ def main() -> None:
     step("stream pages -> records", lambda: stream.start_page_ingest(spark, pages_dir, records, ckpt)
          .awaitTermination(1800))
     step("records -> latest -> units", lambda: stream.build_fact(stream.read_records(spark, records), root, COLLECTED))
-    step("fix revisions -> new root", lambda: jobs.fix_revisions_job(spark, root, fx.api_rows(spark, sf), fixed))
+    step("fix revisions, swap units", lambda: jobs.fix_revisions_job(spark, root, fx.api_rows(spark, sf)))
 
-    # the fix wrote the API units to a new root; other sources stay where they are
-    api = fact_store.read_fact(spark, fixed)
-    fact = fact_store.read_fact(spark, root).where("source <> 'vworld_api'").unionByName(api)
+    fact, api = fact_store.read_fact(spark, root), fact_store.read_fact(spark, root, source="vworld_api")
     print(json.dumps({
         "sources": {r.source: r.rows for r in stats.source_mix(fact).collect()},
         "format": audit.audit_format(fact).collect()[0].asDict(),
