@@ -196,6 +196,20 @@ def _build_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("abolished", F.col("status") != EXISTING))
 
 
+def country_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every district of ``part`` with 10 dong numbers (000: the district itself)
+    of 9 ri numbers each (00: the dong itself), as the national code list has
+    them; a code's status follows the sizes of the district's parts."""
+    k = F.col("p_partkey")
+    district = F.concat(_sido_of(k), _lpad(F.lit(110) + F.lit(10) * (k % 7), 3))
+    sizes = table(spark, sf_dir, "part").groupBy(district.alias("sgg")).agg(F.sum("p_size").alias("size"))
+    grid = (sizes.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("e"))
+            .select("*", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("r")))
+    code = F.concat("sgg", F.when(F.col("e") == 0, "000").otherwise(_lpad(F.lit(100) + F.col("e"), 3)),
+                    F.when(F.col("r") == 0, "00").otherwise(_lpad(F.lit(20) + F.col("r"), 2)))
+    return grid.select(code.alias("code"), F.when((F.col("size") + F.col("e") + F.col("r")) % 5 == 0, ABOLISHED).otherwise(EXISTING).alias("status"))
+
+
 def month_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month texts as the city and national bulk files spell them.
 

@@ -19,22 +19,17 @@ from pricepanel.sources import api_pages, archives, fact_store, manifest
 OVERRIDE_BROADCAST_ROWS = 2_000_000
 
 
-def _archive_rows(spark: SparkSession, landing: str | DataFrame) -> DataFrame:
-    """Landed archives as (path, content): a folder, or such a frame already."""
-    return landing if isinstance(landing, DataFrame) else archives.binary_files(spark, landing)
-
-
-def ingest_city_archives(spark: SparkSession, landing: str | DataFrame, fact_root: str, collected_at) -> None:
+def ingest_city_archives(spark: SparkSession, landing: str, fact_root: str, collected_at) -> None:
     """Bulk city ZIPs -> S1 -> N8 -> N10 -> S6 (units replaced atomically)."""
-    rows = archives.city_rows(archives.read_zip_csv(_archive_rows(spark, landing)))
+    rows = archives.city_rows(archives.read_zip_csv(spark, landing))
     rows = rows.select("*", F.lit(None).cast("string").alias("pblntf_de"),
                        F.lit(None).cast("boolean").alias("std_land_yn"))
     fact_store.write_fact(fact_store.prepare_fact(rows, SRC_CITY, collected_at), fact_root)
 
 
-def ingest_bulk_archives(spark: SparkSession, landing: str | DataFrame, fact_root: str, collected_at) -> None:
+def ingest_bulk_archives(spark: SparkSession, landing: str, fact_root: str, collected_at) -> None:
     """National ZIPs -> S2 (header guard) -> N9 -> N10 -> S6."""
-    rows = archives.bulk_rows(archives.read_zip_csv_positional(_archive_rows(spark, landing)))
+    rows = archives.bulk_rows(archives.read_zip_csv_positional(spark, landing))
     fact_store.write_fact(fact_store.prepare_fact(rows, SRC_BULK, collected_at), fact_root)
 
 

@@ -4,15 +4,17 @@ The ingest readers need archives and JSON pages. These builders encode the
 fixture rows the way the real sources deliver them -- cp949 CSV inside ZIP
 (city: keyword headers in two spellings, national: positional columns),
 an EUC-KR tab file of region codes, and JSON API pages in several
-envelope shapes -- so every reader runs over data that grows with the
-tables. Packing is per Arrow batch (one archive per batch, at most
-``spark.sql.execution.arrow.maxRecordsPerBatch`` rows), never per group.
+envelope shapes -- and land them once per application as files in the shared
+work folder, which the readers then read from storage. Every Arrow batch (at
+most ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows) becomes one archive
+of two data members; a repeated task writes the same file again.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pricepanel.plans import fixtures as fx
 from pricepanel.schema import SRC_API, SRC_CITY
 from pricepanel.session import ship_package
+from pricepanel.sources.zip_members import open_store
 
 # The city bulk header, in the standard and the alternative
 # spelling of the parcel, year and month columns.
@@ -35,17 +38,6 @@ BULK_HEADER = ["고유번호", "법정동코드", "법정동명", "특수지구
                "기준월", "공시지가", "공시일자", "표준지여부", "데이터기준일자", "비고"]
 CODE_HEADER = "법정동코드\t법정동명\t폐지여부"
 
-ARCHIVE_SCHEMA = "path string, content binary"
-
-
-def _zip_bytes(members: list[tuple[str, bytes]]) -> bytes:
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, data in members:
-            z.writestr(name, data)
-    return buf.getvalue()
-
-
 def _csv_bytes(header: list[str], rows: list[list[str]], encoding: str) -> bytes:
     text = io.StringIO()
     w = csv.writer(text, lineterminator="\r\n")
@@ -54,73 +46,109 @@ def _csv_bytes(header: list[str], rows: list[list[str]], encoding: str) -> bytes
     return text.getvalue().encode(encoding)
 
 
-def _pack(kind: str):
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def write_archive(path: str, members: list[tuple[str, bytes]]) -> None:
+    """One archive, put in place by a rename."""
+    store, inner = open_store(path)
+    folder, name = inner.rsplit("/", 1)
+    store.create_dir(folder, recursive=True)
+    draft = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    with store.open_output_stream(draft) as out:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+            for member, data in members:
+                z.writestr(member, data)
+        out.write(buffer.getvalue())
+    store.move(draft, inner)
+
+
+def _landed_members(kind: str, first: int, rows: list[list[str]]) -> list[tuple[str, bytes]]:
+    half = (len(rows) + 1) // 2
+    if kind == "city":
+        return [(f"city_{first}_a.csv", _csv_bytes(CITY_HEADER, rows[:half], "cp949")), ("empty.csv", b""),
+                (f"city_{first}_b.csv", _csv_bytes(CITY_HEADER_ALT, rows[half:], "cp949"))]
+    return [(f"AL_D151_{first}_a.csv", _csv_bytes(BULK_HEADER, rows[:half], "cp949")), ("readme.txt", "not a data member".encode("cp949")),
+            (f"AL_D151_{first}_b.csv", _csv_bytes(BULK_HEADER, rows[half:], "cp949"))]
+
+
+def _land(kind: str, folder: str):
+    def land(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if b.empty:
                 continue
             first = int(b["seq"].min())
-            rows = b.drop(columns=["seq"]).astype(str).values.tolist()
-            if kind == "city":
-                header = CITY_HEADER if first % 2 == 0 else CITY_HEADER_ALT
-                members = [(f"city_{first}.csv", _csv_bytes(header, rows, "cp949")),
-                           ("empty.csv", b"")]
-            else:
-                members = [(f"AL_D151_{first}.csv", _csv_bytes(BULK_HEADER, rows, "cp949")),
-                           ("readme.txt", "not a data member".encode("cp949"))]
-            yield pd.DataFrame({"path": [f"mem://{kind}/{first}.zip"],
-                                "content": [_zip_bytes(members)]})
-    return pack
+            rows = b.drop(columns=["seq", "xp"]).astype(str).values.tolist()
+            path = f"{folder}/{kind}_{first}_{b['xp'].iloc[0]}.zip"
+            write_archive(path, _landed_members(kind, first, rows))
+            yield pd.DataFrame({"path": [path], "n": [len(rows)]})
+    return land
+
+
+def _landed(spark: SparkSession, sf: str, kind: str, cells) -> str:
+    """The folder of the archives of ``cells()``, landed once per application."""
+    def write(folder: str) -> None:
+        ship_package(spark)
+        cells().mapInPandas(_land(kind, folder), "path string, n long").agg(F.sum("n")).collect()
+    return fx.stored_path(spark, sf, f"landing-{kind}", write)
 
 
 def _raw_with_months(spark: SparkSession, sf: str, source: str) -> DataFrame:
     return fx.raw_api(spark, sf, month_texts=True).where(F.col("source") == source)
 
 
-def city_archives(spark: SparkSession, sf: str) -> DataFrame:
-    """City rows as cp949 CSV (13 columns, keyword header) in ZIPs."""
+def _city_cells(spark: SparkSession, sf: str) -> DataFrame:
     r = _raw_with_months(spark, sf, SRC_CITY)
     p = F.col("pnu")
-    cells = r.select("seq", F.substring(p, 1, 2).alias("a"), F.substring(p, 1, 5).alias("b"),
-                     F.substring(p, 1, 10).alias("c"), p.alias("d"), F.col("pblntfPclnd").alias("e"),
-                     F.substring(p, 1, 5).alias("f"), F.substring(p, 1, 10).alias("g"),
-                     F.substring(p, 11, 1).alias("h"), F.lit("").alias("i"),
-                     F.substring(p, 12, 4).alias("j"), F.substring(p, 16, 4).alias("k"),
-                     F.col("stdrYear").alias("l"), F.col("city_mt").alias("m"))
-    ship_package(spark)
-    return cells.mapInPandas(_pack("city"), ARCHIVE_SCHEMA)
-
-
-def bulk_archives(spark: SparkSession, sf: str) -> DataFrame:
-    """API rows as national bulk CSV (13 positional columns) in ZIPs."""
+    return r.select("seq", "xp", F.substring(p, 1, 2).alias("a"), F.substring(p, 1, 5).alias("b"),
+                    F.substring(p, 1, 10).alias("c"), p.alias("d"), F.col("pblntfPclnd").alias("e"),
+                    F.substring(p, 1, 5).alias("f"), F.substring(p, 1, 10).alias("g"),
+                    F.substring(p, 11, 1).alias("h"), F.lit("").alias("i"),
+                    F.substring(p, 12, 4).alias("j"), F.substring(p, 16, 4).alias("k"),
+                    F.col("stdrYear").alias("l"), F.col("city_mt").alias("m"))
+
+
+def city_archives(spark: SparkSession, sf: str) -> str:
+    """City rows as cp949 CSV (13 columns, keyword header) in ZIPs: their folder."""
+    return _landed(spark, sf, "city", lambda: _city_cells(spark, sf))
+
+
+def _bulk_cells(spark: SparkSession, sf: str) -> DataFrame:
     r = _raw_with_months(spark, sf, SRC_API)
     p = F.col("pnu")
-    cells = r.select("seq", p.alias("a"), F.substring(p, 1, 10).alias("b"), F.lit("").alias("c"),
-                     F.lit("1").alias("d"), F.lit("").alias("e"), F.substring(p, 12, 8).alias("f"),
-                     F.col("stdrYear").alias("g"), F.col("bulk_mt").alias("h"),
-                     F.col("pblntfPclnd").alias("i"), F.col("pblntfDe").alias("j"),
-                     F.col("stdLandAt").alias("k"), F.lit("").alias("l"), F.lit("").alias("m"))
-    ship_package(spark)
-    return cells.mapInPandas(_pack("bulk"), ARCHIVE_SCHEMA)
-
-
-def _pack_codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        if b.empty:
-            continue
-        lines = [CODE_HEADER] + [f"{c}\t{n}\t{s}" for c, n, s in zip(b["code"], b["name"], b["status"])]
-        lines.append("broken line without tabs")
-        data = ("\r\n".join(lines) + "\r\n").encode("euc-kr")
-        yield pd.DataFrame({"path": [f"mem://codes/{b['code'].min()}.zip"],
-                            "content": [_zip_bytes([("codes.txt", data)])]})
-
-
-def code_archives(spark: SparkSession, sf: str) -> DataFrame:
-    """Region codes as EUC-KR tab-separated text in ZIPs."""
-    codes = fx.region_codes(spark, sf).select(
-        "code", F.concat(F.lit("동"), F.col("code")).alias("name"), "status")
-    ship_package(spark)
-    return codes.mapInPandas(_pack_codes, ARCHIVE_SCHEMA)
+    return r.select("seq", "xp", p.alias("a"), F.substring(p, 1, 10).alias("b"), F.lit("").alias("c"),
+                    F.lit("1").alias("d"), F.lit("").alias("e"), F.substring(p, 12, 8).alias("f"),
+                    F.col("stdrYear").alias("g"), F.col("bulk_mt").alias("h"),
+                    F.col("pblntfPclnd").alias("i"), F.col("pblntfDe").alias("j"),
+                    F.col("stdLandAt").alias("k"), F.lit("").alias("l"), F.lit("").alias("m"))
+
+
+def bulk_archives(spark: SparkSession, sf: str) -> str:
+    """API rows as national bulk CSV (13 positional columns) in ZIPs: their folder."""
+    return _landed(spark, sf, "bulk", lambda: _bulk_cells(spark, sf))
+
+
+def _land_codes(path: str):
+    def land(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lines = [CODE_HEADER]
+        for b in batches:
+            lines += [f"{c}\t{n}\t{s}" for c, n, s in zip(b["code"], b["name"], b["status"])]
+        if len(lines) > 1:
+            lines.append("broken line without tabs")
+            write_archive(path, [("codes.txt", ("\r\n".join(lines) + "\r\n").encode("euc-kr"))])
+            yield pd.DataFrame({"path": [path], "n": [len(lines)]})
+    return land
+
+
+def code_archive(spark: SparkSession, sf: str) -> str:
+    """The whole country's region codes as EUC-KR tab-separated text in one ZIP.
+
+    One national list is one file, written by one task: a country has tens of
+    thousands of codes, whatever the size of the fact table.
+    """
+    def write(folder: str) -> None:
+        ship_package(spark)
+        codes = fx.country_codes(spark, sf).select("code", F.concat(F.lit("동"), F.col("code")).alias("name"), "status")
+        codes.coalesce(1).mapInPandas(_land_codes(f"{folder}/codes.zip"), "path string, n long").collect()
+    return fx.stored_path(spark, sf, "landing-codes", write) + "/codes.zip"
 
 
 def landed_pages(spark: SparkSession, sf: str, page_span: int = 10_000) -> DataFrame:

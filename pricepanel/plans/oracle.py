@@ -55,8 +55,15 @@ select code, max(status) as status, max(status) <> '존재' as abolished from (
    case when p_size%5=0 then '폐지' else '존재' end as status
  from part) t group by code"""
 
-VIEWS = {"raw_api": RAW_API, "fact": FACT, "api": API, "city": CITY, "bjd": BJD}
-ORDER = ["raw_api", "fact", "api", "city", "bjd"]
+COUNTRY = f"""
+select sgg || case when e = 0 then '000' else lpad(cast(100 + e as string), 3, '0') end
+           || case when r = 0 then '00' else lpad(cast(20 + r as string), 2, '0') end as code,
+       case when (size + e + r) % 5 = 0 then '폐지' else '존재' end as status
+from (select {_SIDO}[cast(1+(p_partkey%20) as int)] || lpad(cast(110+10*(p_partkey%7) as string),3,'0') as sgg, sum(p_size) as size
+      from part group by 1) d, range(10) t(e), range(9) u(r)"""
+
+VIEWS = {"raw_api": RAW_API, "fact": FACT, "api": API, "city": CITY, "bjd": BJD, "country": COUNTRY}
+ORDER = ["raw_api", "fact", "api", "city", "bjd", "country"]
 
 
 def with_views(*names: str) -> str:

@@ -35,7 +35,7 @@ def _typed(df):
 
 
 def _city(spark, sf):
-    return _typed(archives.city_rows(archives.read_zip_csv(landing.city_archives(spark, sf))))
+    return _typed(archives.city_rows(archives.read_zip_csv(spark, landing.city_archives(spark, sf))))
 
 
 @register("src_zip_csv_keyword", _CITY_SQL)
@@ -63,7 +63,7 @@ select pnu, stdr_year, cast(case when mm = 0 then 1 else mm end as tinyint) as s
 
 
 def _bulk(spark, sf):
-    rows = archives.bulk_rows(archives.read_zip_csv_positional(landing.bulk_archives(spark, sf)))
+    rows = archives.bulk_rows(archives.read_zip_csv_positional(spark, landing.bulk_archives(spark, sf)))
     return N.to_fact_schema(rows, source=SRC_BULK).drop("collected_at")
 
 
@@ -78,13 +78,11 @@ def q_norm_bulk_row(spark, sf):
     return _bulk(spark, sf)
 
 
-@register("src_region_codes", with_views("bjd") + """
-select code, '동' || code as name, status, abolished from bjd""")
+@register("src_region_codes", with_views("country") + """
+select code, '동' || code as name, status, status <> '존재' as abolished from country""")
 def q_src_region_codes(spark, sf):
-    """S3: EUC-KR tab file in ZIPs. The derived fixture files are partial
-    code lists (one per batch), so the size guard is set to 1 row here;
-    the default guard for a national code file is 10,000."""
-    codes = archives.read_region_codes(landing.code_archives(spark, sf), min_rows=1)
+    """S3: the EUC-KR tab file of the whole country, with its size guard."""
+    codes = archives.load_region_codes(spark, landing.code_archive(spark, sf), work_dir(spark, "region-codes"))
     return codes.select("code", "name", "status", "abolished")
 
 

@@ -14,18 +14,9 @@ from pricepanel.streaming import pages as stream
 SF = "/root/testdata/sf0.001"
 
 
-def _land_archives(spark, df, path):
-    os.makedirs(path, exist_ok=True)
-    for i, r in enumerate(df.collect()):
-        with open(os.path.join(path, f"a{i}.zip"), "wb") as f:
-            f.write(r.content)
-
-
 def test_city_ingest_job(spark, tmp_dir):
-    land = os.path.join(tmp_dir, "city")
-    _land_archives(spark, landing.city_archives(spark, SF), land)
     root = os.path.join(tmp_dir, "fact")
-    jobs.ingest_city_archives(spark, land, root, "2026-07-15")
+    jobs.ingest_city_archives(spark, landing.city_archives(spark, SF), root, "2026-07-15")
     got = fact_store.read_fact(spark, root)
     assert got.count() == fx.city_rows(spark, SF).count()
     assert got.select("source").distinct().collect()[0][0] == "seoul_opendata"

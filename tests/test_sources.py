@@ -38,17 +38,17 @@ def test_city_archive_keyword_mapping(spark, tmp_dir):
     body = "﻿" + alt + "\r\n" + _city_line("1111010100100010009", "7", 1991, "7") + "\r\n"
     _zip(os.path.join(tmp_dir, "b.zip"), [("b.csv", body.encode("utf-8"))])
 
-    parsed = archives.read_zip_csv(archives.binary_files(spark, tmp_dir, "a.zip"))
+    parsed = archives.read_zip_csv(spark, f"{tmp_dir}/" + "a.zip")
     got = sorted(tuple(r) for r in archives.city_rows(parsed).collect())
     assert got == [("1111010100100010000", 1990, 1, 1200), ("1111010100100010001", 1990, 7, 0),
                    ("1111010100100010002", 1990, 7, 1234), ("11110101001003701가", 1990, 1, 5)]
-    parsed_b = archives.read_zip_csv(archives.binary_files(spark, tmp_dir, "b.zip"), encoding="utf-8")
+    parsed_b = archives.read_zip_csv(spark, f"{tmp_dir}/" + "b.zip", encoding="utf-8")
     assert [tuple(r) for r in archives.city_rows(parsed_b).collect()] == [("1111010100100010009", 1991, 7, 7)]
 
 
 def test_city_header_without_keyword_fails(spark, tmp_dir):
     _zip(os.path.join(tmp_dir, "c.zip"), [("c.csv", "a,b,c\r\n1,2,3\r\n".encode("cp949"))])
-    parsed = archives.read_zip_csv(archives.binary_files(spark, tmp_dir, "c.zip"))
+    parsed = archives.read_zip_csv(spark, f"{tmp_dir}/" + "c.zip")
     with pytest.raises(Exception):
         archives.city_rows(parsed).collect()
 
@@ -64,7 +64,7 @@ def test_bulk_positional(spark, tmp_dir):
             "1111010100100010003,1111010100"]                                                   # short
     _zip(os.path.join(tmp_dir, "AL_D151_11_20260526.zip"),
          [("x.csv", "\r\n".join(rows).encode("cp949")), ("notes.txt", "skip me".encode("cp949"))])
-    parsed = archives.read_zip_csv_positional(archives.binary_files(spark, tmp_dir))
+    parsed = archives.read_zip_csv_positional(spark, tmp_dir)
     got = sorted(tuple(r) for r in archives.bulk_rows(parsed).collect())
     assert got == [("1111010100100010000", 2026, 1, 25000, "2026-04-30", True),
                    ("1111010100100010001", 2026, 7, 300, None, False)]
@@ -73,7 +73,7 @@ def test_bulk_positional(spark, tmp_dir):
 def test_bulk_header_guard(spark, tmp_dir):
     _zip(os.path.join(tmp_dir, "bad.zip"), [("x.csv", "pnu,code,name,kind\r\n1,2,3,4\r\n".encode("cp949"))])
     with pytest.raises(Exception):
-        archives.read_zip_csv_positional(archives.binary_files(spark, tmp_dir)).collect()
+        archives.read_zip_csv_positional(spark, tmp_dir).collect()
 
 
 def _codes_zip(path, n):
@@ -84,15 +84,44 @@ def _codes_zip(path, n):
 
 def test_region_codes(spark, tmp_dir):
     _codes_zip(os.path.join(tmp_dir, "codes.zip"), 12)
-    df = archives.read_region_codes(archives.binary_files(spark, tmp_dir), min_rows=10)
-    rows = df.collect()
+    rows = archives.load_region_codes(spark, f"{tmp_dir}/codes.zip", f"{tmp_dir}/codes", min_rows=12).collect()
     assert len(rows) == 12 and sum(r.abolished for r in rows) == 6
+    assert rows[0].code == "1111010100" and rows[0].name == "동0"
 
 
 def test_region_codes_size_guard(spark, tmp_dir):
     _codes_zip(os.path.join(tmp_dir, "codes.zip"), 5)
-    with pytest.raises(Exception):
-        archives.read_region_codes(archives.binary_files(spark, tmp_dir)).collect()
+    with pytest.raises(ValueError, match="5 region codes, expected 10000"):
+        archives.load_region_codes(spark, f"{tmp_dir}/codes.zip", f"{tmp_dir}/codes")
+
+
+def test_one_task_per_member(spark, tmp_dir):
+    body = "\r\n".join([CITY_HEADER, *[_city_line(f"11110101001000{i:05d}", "5", 1990, "07") for i in range(3000)]]).encode("cp949")
+    _zip(os.path.join(tmp_dir, "two.zip"), [("a.csv", body), ("empty.csv", b""), ("b.csv", body)])
+    parsed = archives.read_zip_csv(spark, tmp_dir)
+    assert parsed.rdd.getNumPartitions() == 2
+    per_member = {r.member: (r.n, r.lo, r.hi, r.tasks) for r in parsed.withColumn("task", F.spark_partition_id()).groupBy("member").agg(
+        F.count("*").alias("n"), F.min("row_no").alias("lo"), F.max("row_no").alias("hi"), F.count_distinct("task").alias("tasks")).collect()}
+    assert per_member == {"a.csv": (3000, 1, 3000, 1), "b.csv": (3000, 1, 3000, 1)}
+
+
+def test_bytes_outside_the_encoding_fail(spark, tmp_dir):
+    body = CITY_HEADER.encode("cp949") + b"\r\n" + b"\xff\xfe,1\r\n"
+    _zip(os.path.join(tmp_dir, "a.zip"), [("a.csv", body)])
+    with pytest.raises(Exception, match="decode"):
+        archives.read_zip_csv(spark, tmp_dir).collect()
+
+
+def test_records_of_any_width_quoted_lines_and_long_members(spark, tmp_dir):
+    from pricepanel.sources import zip_members
+    text = 'a,b,c\r\n1,"x\r\ny, ""z""",3\r\n4\r\n5,6,7,8\r\n,,\r\n' + "".join(f"{i},{'p' * 200},q\r\n" for i in range(60_000))
+    _zip(os.path.join(tmp_dir, "a.zip"), [("a.csv", text.encode()), ("only-header.csv", b"a,b\r\n"), ("line.csv", b"a,b\r\n1,2")])
+    got = zip_members.read_members(spark, tmp_dir, encoding="utf-8")
+    rows = {tuple(r.row) for r in got.where("member = 'a.csv'").collect()}
+    assert {("1", 'x\r\ny, "z"', "3"), ("4",), ("5", "6", "7", "8"), ("", "", ""), ("59999", "p" * 200, "q")} < rows and len(rows) == 60_004
+    assert got.where("member = 'a.csv'").select("row_no").distinct().count() == 60_004
+    assert [tuple(r.row) for r in got.where("member = 'line.csv'").collect()] == [("1", "2")]
+    assert got.where("member = 'only-header.csv'").count() == 0
 
 
 def _fact(spark, rows):
