@@ -4,16 +4,18 @@
 prefix of an order removes does not depend on the order inside the prefix, so
 the prefixes of all orders are the subsets of the filters:
 
-- survivors of a subset: the survivors of the subset without its last filter,
-  left-anti joined with that filter's relation;
+- survivors: the ids that survive a subset, left-anti joined with a further
+  filter's relation, survive the subset with that filter, so five joins list the
+  survivors of all subsets;
 - removed by the next filter: the survivors, left-semi joined with its relation;
 - redundant: what else the relation holds (failing, removed earlier);
 - failing one filter only: removed by it after all others.
 
 Only ids, counts and labels travel through the joins, never texts. Ids are
-distinct (repeated rows are counted into one id first), so no join key is hot;
-counts per part combine map-side. Every survivor table is written before the
-next joins read it, so a lost executor repeats one join.
+distinct (repeated rows are counted into one id first), so an id is met once per
+subset at most and no join key is hot; counts per part combine map-side. Every
+survivor table is written before the next join reads it, so a lost executor
+repeats one join.
 """
 
 from __future__ import annotations
@@ -87,30 +89,31 @@ def relations(rows: DataFrame) -> dict[str, DataFrame]:
     return {k: stored(t, f"failing-{k}") for k, t in tables.items()}
 
 
-def prefix_counts(survivors: DataFrame, failing: dict[str, DataFrame]) -> DataFrame:
-    """(part, mask, filter, kept, removed, good_lost, toxic_lost) for every subset of filters.
+def prefix_counts(rows: DataFrame, failing: dict[str, DataFrame]) -> DataFrame:
+    """(part, mask, filter, n, good, toxic) for the subsets of the filters.
 
-    ``survivors`` has id, part, n, good, toxic. ``mask`` has bit i set for the
-    i-th filter of ``failing``. Rows with a null filter hold ``kept``, the rows
-    left after the subset; the others what that filter removes after it.
+    ``rows`` has id, part, n, good, toxic. ``mask`` has bit i set for the i-th
+    filter of ``failing``. Rows with a null filter hold what is left after the
+    subset, the others what that filter removes after it. Ids in no relation
+    survive every subset and are counted once; the others are listed once per
+    subset that they survive, half of all subsets at most.
     """
-    names = list(failing)
-    left, counts = {0: survivors}, []
+    names, measures = list(failing), ("n", "good", "toxic")
+    rows = rows.select("id", "part", *measures)
+    any_filter = reduce(DataFrame.union, failing.values())
+    mask = F.col("mask")
 
-    def counted(rows: DataFrame, mask: int, name: str | None) -> DataFrame:
-        sums = [F.sum(c).alias(c) for c in ("n", "good", "toxic")]
-        return rows.groupBy("part").agg(*sums).withColumn("mask", F.lit(mask)).withColumn("filter", F.lit(name).cast("string"))
+    def counted(found: DataFrame, name: str | None, *keys: str) -> DataFrame:
+        return found.groupBy("part", *keys).agg(*[F.sum(c).alias(c) for c in measures]).withColumn("filter", F.lit(name).cast("string"))
 
-    for mask in range(1 << len(names)):
-        if mask:
-            last = mask.bit_length() - 1
-            rest = left[mask & ~(1 << last)]
-            left[mask] = stored(rest.join(failing[names[last]], "id", "left_anti"), "survivors")
-        rows = left[mask]
-        here = [counted(rows, mask, None)]
-        here += [counted(rows.join(failing[k], "id", "left_semi"), mask, k) for i, k in enumerate(names) if not mask >> i & 1]
-        counts.append(stored(reduce(DataFrame.unionByName, here), "prefix-counts"))
-    return reduce(DataFrame.unionByName, counts)
+    clean = counted(rows.join(any_filter, "id", "left_anti"), None)
+    clean = clean.withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit((1 << len(names)) - 1))))
+    left = stored(rows.join(any_filter, "id", "left_semi").withColumn("mask", F.lit(0)), "survivors")
+    for i, k in enumerate(names):
+        passed = left.join(failing[k], "id", "left_anti").withColumn("mask", mask + (1 << i))
+        left = stored(left.unionByName(passed), "survivors")
+    removed = [counted(left.where(mask.bitwiseAND(1 << i) == 0).join(failing[k], "id", "left_semi"), k, "mask") for i, k in enumerate(names)]
+    return stored(reduce(DataFrame.unionByName, [*removed, counted(left, None, "mask"), clean]), "prefix-counts")
 
 
 def interactions(counts: DataFrame, parts: DataFrame, names: str) -> DataFrame:
@@ -155,7 +158,7 @@ def audit(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """
     rows = stored(units(documents, labels), "audit-units")
     failing = relations(rows)
-    counts = prefix_counts(rows.select("id", "part", "n", "good", "toxic"), failing)
+    counts = prefix_counts(rows, failing)
     return interactions(counts, rows.select("part").distinct(), "".join(failing))
 
 
