@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricepanel.functions.normalize import norm_api_row
 from pricepanel.operators import revise
 from pricepanel.schema import SRC_API, SRC_BULK, SRC_CITY
 from pricepanel.session import checkpoint_root
-from pricepanel.sources import api_pages, archives, fact_store, manifest
+from pricepanel.sources import archives, fact_store, manifest, records
 
 OVERRIDE_BROADCAST_ROWS = 2_000_000
 
@@ -33,12 +32,9 @@ def ingest_bulk_archives(spark: SparkSession, landing: str, fact_root: str, coll
     fact_store.write_fact(fact_store.prepare_fact(rows, SRC_BULK, collected_at), fact_root)
 
 
-def ingest_api_pages(pages: DataFrame, fact_root: str, collected_at) -> None:
-    """Landed pages -> S4 -> N7 -> W1 (latest revision) -> S6."""
-    rec = api_pages.parse_api_pages(pages)
-    rows = norm_api_row(rec, keep=("page_no", "rec_no"))
-    latest = revise.dedup_latest(rows, key=["pnu", "stdr_year", "stdr_month"], arrival=("page_no", "rec_no"))
-    fact_store.write_fact(fact_store.prepare_fact(latest, SRC_API, collected_at), fact_root)
+def ingest_api_pages(pages: DataFrame, root: str, collected_at, kind: records.RecordKind = records.INDIVIDUAL) -> manifest.State:
+    """Landed pages of a record kind -> S4 -> normaliser -> W1 (latest revision) -> S6 into the kind's table."""
+    return records.ingest_pages(pages, kind, root, collected_at)
 
 
 def fix_revisions_job(spark: SparkSession, fact_root: str, refetched: DataFrame,

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pricepanel.plans import fixtures as fx
 from pricepanel.schema import SRC_API, SRC_CITY
 from pricepanel.session import ship_package
+from pricepanel.sources.api_pages import PAGE_SCHEMA
 from pricepanel.sources.zip_members import open_store
 
 # The city bulk header, in the standard and the alternative
@@ -151,19 +152,15 @@ def code_archive(spark: SparkSession, sf: str) -> str:
     return fx.stored_path(spark, sf, "landing-codes", write) + "/codes.zip"
 
 
-def landed_pages(spark: SparkSession, sf: str, page_span: int = 10_000) -> DataFrame:
-    """API rows as landed JSON pages ``(prefix, year, page_no, body)``.
+def _pages(keyed: DataFrame) -> DataFrame:
+    """Records (prefix, year, block, seq, xp, rec) as landed JSON pages ``(prefix, year, page_no, body)``.
 
     A unit is (8-char prefix, year); a page holds the unit's rows of one
-    block of ``page_span`` arrival numbers, so a page is bounded whatever
-    the unit size. ``totalCount`` is the unit's row count (aggregated,
-    then joined back to the pages). Envelopes rotate over three shapes,
-    and one-record pages carry a bare object instead of a list.
+    block of arrival numbers, so a page is bounded whatever the unit size.
+    ``totalCount`` is the unit's row count (aggregated, then joined back to the
+    pages). Envelopes rotate over three shapes, and one-record pages carry a
+    bare object instead of a list.
     """
-    raw = fx.raw_api(spark, sf).where(F.col("source") == SRC_API)
-    rec = F.to_json(F.struct("pnu", "stdrYear", "stdrMt", "pblntfPclnd", "pblntfDe", "stdLandAt", "lastUpdtDt"))
-    keyed = raw.select(F.substring("pnu", 1, 8).alias("prefix"), F.col("stdrYear").cast("int").alias("year"),
-                       (F.col("seq") / page_span).cast("long").alias("block"), "seq", "xp", rec.alias("rec"))
     pages = keyed.groupBy("prefix", "year", "block").agg(
         F.array_sort(F.collect_list(F.struct("seq", "xp", "rec"))).alias("recs"))
     units = keyed.groupBy("prefix", "year").agg(F.count(F.lit(1)).alias("total"))
@@ -180,3 +177,45 @@ def landed_pages(spark: SparkSession, sf: str, page_span: int = 10_000) -> DataF
             .otherwise(F.concat(F.lit('{"referLandPrices":{"totalcount":'), total,
                                 F.lit(',"resultMsg":"ok","rows":'), as_list, F.lit("}}"))))
     return j.select("prefix", "year", F.col("block").cast("int").alias("page_no"), body.alias("body"))
+
+
+def _keyed(raw: DataFrame, rec, page_span: int) -> DataFrame:
+    return raw.select(F.substring("pnu", 1, 8).alias("prefix"), F.col("stdrYear").cast("int").alias("year"),
+                      (F.col("seq") / page_span).cast("long").alias("block"), "seq", "xp", rec.alias("rec"))
+
+
+def _landed_json(spark: SparkSession, sf: str, name: str, pages) -> str:
+    return fx.stored_path(spark, sf, f"landing-{name}", lambda p: pages().write.mode("overwrite").json(p))
+
+
+def pages_folder(spark: SparkSession, sf: str, page_span: int = 10_000) -> str:
+    """API rows landed once per application as JSON lines of pages: their folder."""
+    def build() -> DataFrame:
+        raw = fx.raw_api(spark, sf).where(F.col("source") == SRC_API)
+        rec = F.to_json(F.struct("pnu", "stdrYear", "stdrMt", "pblntfPclnd", "pblntfDe", "stdLandAt", "lastUpdtDt"))
+        return _pages(_keyed(raw, rec, page_span))
+    return _landed_json(spark, sf, f"pages-{page_span}", build)
+
+
+def landed_pages(spark: SparkSession, sf: str, page_span: int = 10_000) -> DataFrame:
+    """The landed API pages, read from their files."""
+    return spark.read.schema(PAGE_SCHEMA).json(pages_folder(spark, sf, page_span))
+
+
+def landed_standard_pages(spark: SparkSession, sf: str, page_span: int = 10_000) -> DataFrame:
+    """Standard-parcel records (the API rows flagged as such) landed as pages of the second record shape."""
+    def pick(values: list[str]):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("seq") % len(values) + 1).cast("int"))
+
+    def build() -> DataFrame:
+        raw = fx.raw_api(spark, sf).where((F.col("source") == SRC_API) & (F.col("stdLandAt") == "Y"))
+        seq = F.col("seq")
+        area = F.when(seq % 11 == 0, "").otherwise(F.concat((seq % 5000).cast("string"), F.lit("."), F.lpad((seq % 100).cast("string"), 2, "0")))
+        rec = F.to_json(F.struct(
+            "pnu", F.substring("pnu", 1, 10).alias("ldCode"), seq.cast("string").alias("stdLandSn"), "stdrYear",
+            pick(["대", "전", "임야"]).alias("lndcgrCodeNm"), area.alias("lndpclAr"), pick(["자연녹지지역", "제1종일반주거지역"]).alias("prposArea1Nm"),
+            pick(["단독", "전", "상업용", "임야", ""]).alias("ladUseSittnNm"), F.when(seq % 7 != 0, "세로(가)").alias("roadSideCodeNm"),
+            "pblntfPclnd", "lastUpdtDt"))
+        return _pages(_keyed(raw, rec, page_span))
+
+    return spark.read.schema(PAGE_SCHEMA).json(_landed_json(spark, sf, "standard-pages", build))

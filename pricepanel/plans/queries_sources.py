@@ -18,7 +18,7 @@ from pricepanel.plans.oracle import CITY_MONTH, with_views
 from pricepanel.plans.registry import COLLECTED_AT, SAMPLE_PARCEL, SNAPSHOT_YEAR, register
 from pricepanel.schema import SRC_API, SRC_BULK
 from pricepanel.session import work_dir
-from pricepanel.sources import api_pages, archives, sinks
+from pricepanel.sources import api_pages, archives, records, sinks
 
 _CITY_SQL = with_views("raw_api", "months") + f""", c as (
   select trim(r.pnu) as pnu, cast(trim(r.stdryear) as smallint) as stdr_year,
@@ -108,6 +108,24 @@ def q_audit_pagination(spark, sf):
     return audit.audit_pagination(api_pages.page_summary(landing.landed_pages(spark, sf)))
 
 
+@register("standard_parcel_table", with_views("raw_api") + f"""
+, s as (select *, row_number() over (partition by trim(pnu), stdryear order by lastupdtdt desc, seq desc, xp desc) as rn
+  from raw_api where source = 'vworld_api' and stdlandat = 'Y' and trim(pnu) <> '' and trim(pblntfpclnd) <> '')
+select trim(pnu) as pnu, cast(seq as string) as std_no, cast(stdryear as smallint) as stdr_year,
+       cast(trunc(cast(replace(trim(pblntfpclnd),',','') as double)) as bigint) as price_per_m2,
+       case when seq % 11 <> 0 then cast((seq % 5000) || '.' || lpad(cast(seq % 100 as string), 2, '0') as decimal(18,2)) end as area_m2,
+       ['대','전','임야'][cast(seq % 3 + 1 as int)] as land_category, ['자연녹지지역','제1종일반주거지역'][cast(seq % 2 + 1 as int)] as zoning,
+       nullif(['단독','전','상업용','임야',''][cast(seq % 5 + 1 as int)], '') as land_use,
+       case when seq % 7 <> 0 then '세로(가)' end as road_side, lastupdtdt as last_updt_dt, 'vworld_api' as source,
+       date '{COLLECTED_AT}' as collected_at, substr(trim(pnu),1,5) as sgg
+from s where rn = 1""")
+def q_standard_parcel_table(spark, sf):
+    """D3: landed pages of the second record kind -> its own partitioned table, read back."""
+    root = fx.stored_path(spark, sf, "standard_parcels", lambda p: records.ingest_pages(
+        landing.landed_standard_pages(spark, sf), records.STANDARD, p, COLLECTED_AT))
+    return records.read_records(spark, records.STANDARD, root)
+
+
 _STORED_SQL = with_views("fact") + f"""
 select pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, source,
        date '{COLLECTED_AT}' as collected_at, substr(pnu,1,5) as sgg from fact"""
@@ -151,8 +169,7 @@ def q_stream_api_pages(spark, sf):
     exactly once), run to completion with an available-now trigger."""
     from pricepanel.streaming import pages as stream
 
-    landing_dir = work_dir(spark, "landing")
-    landing.landed_pages(spark, sf).write.mode("overwrite").json(landing_dir)
+    landing_dir = landing.pages_folder(spark, sf)
     records = work_dir(spark, "records")
     q = stream.start_page_ingest(spark, landing_dir, records, work_dir(spark, "stream-ckpt"))
     q.awaitTermination()

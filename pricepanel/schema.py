@@ -37,6 +37,28 @@ API_FIELDS = (
 )
 API_RECORD_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in API_FIELDS])
 
+# Raw standard-parcel records (all strings on the wire) and their table.
+STANDARD_FIELDS = (
+    "pnu", "ldCode", "ldCodeNm", "regstrSeCode", "mnnmSlno", "stdLandSn", "stdrYear", "lndcgrCodeNm", "lndpclAr",
+    "prposArea1Nm", "ladUseSittnNm", "roadSideCodeNm", "pblntfPclnd", "lastUpdtDt",
+)
+STANDARD_RECORD_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in STANDARD_FIELDS])
+STANDARD_SCHEMA = T.StructType([
+    T.StructField("pnu", T.StringType()),
+    T.StructField("std_no", T.StringType()),
+    T.StructField("stdr_year", T.ShortType()),
+    T.StructField("price_per_m2", T.LongType()),
+    T.StructField("area_m2", T.DecimalType(18, 2)),
+    T.StructField("land_category", T.StringType()),
+    T.StructField("zoning", T.StringType()),
+    T.StructField("land_use", T.StringType()),
+    T.StructField("road_side", T.StringType()),
+    T.StructField("last_updt_dt", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("collected_at", T.DateType()),
+    T.StructField("sgg", T.StringType()),
+])
+
 FIRST_YEAR = 1990
 
 # Export projection (seven columns, no collection date).

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricepanel.schema import API_RECORD_SCHEMA
 
@@ -92,12 +93,10 @@ def page_summary(pages: DataFrame, body: str = "body") -> DataFrame:
     return s.select(*pages.columns, "records", F.size("records").alias("n_rows"), "total_count", "result_code")
 
 
-def parse_api_pages(pages: DataFrame, body: str = "body", fail_on_fatal: bool = True) -> DataFrame:
-    """Explode landed pages into raw API records (string fields).
+def record_texts(pages: DataFrame, body: str = "body", fail_on_fatal: bool = True) -> DataFrame:
+    """The records of landed pages as JSON text ``rec``, numbered in their page, next to the page columns.
 
-    Keeps the page columns (request prefix, year, page number) next to the
-    record fields. An authentication error code fails the job, as it would
-    stop a sweep.
+    An authentication error code fails the job, as it would stop a sweep.
     """
     s = _unwrap_columns(pages, body)
     if fail_on_fatal:
@@ -108,10 +107,26 @@ def parse_api_pages(pages: DataFrame, body: str = "body", fail_on_fatal: bool =
     page_cols = [c for c in pages.columns if c != body]
     # posexplode_outer + null filter: a plain posexplode makes Spark infer
     # ``size(records) > 0`` and push it below, re-running the unwrap there.
-    rec = s.select(*page_cols, F.posexplode_outer("records").alias("rec_no", "rec")) \
-        .where(F.col("rec").isNotNull())
-    parsed = rec.select(*page_cols, "rec_no", F.from_json("rec", API_RECORD_SCHEMA, _JSON_OPTS).alias("_r"))
-    return parsed.select(*page_cols, "rec_no", *[F.col("_r").getField(f).alias(f) for f in API_RECORD_SCHEMA.names])
+    return s.select(*page_cols, F.posexplode_outer("records").alias("rec_no", "rec")).where(F.col("rec").isNotNull())
+
+
+def as_map(text: Column) -> Column:
+    """A JSON object as a map of its fields' texts."""
+    return _obj(text)
+
+
+def parse_api_pages(pages: DataFrame, body: str = "body", fail_on_fatal: bool = True,
+                    schema: T.StructType = API_RECORD_SCHEMA, check: Column | None = None) -> DataFrame:
+    """Explode landed pages into raw API records (the text fields of ``schema``).
+
+    Keeps the page columns (request prefix, year, page number) next to the
+    record fields. ``check`` may replace the record text ``rec`` (or fail).
+    """
+    rec = record_texts(pages, body, fail_on_fatal)
+    page_cols = [c for c in pages.columns if c != body]
+    text = F.col("rec") if check is None else check
+    parsed = rec.select(*page_cols, "rec_no", F.from_json(text, schema, _JSON_OPTS).alias("_r"))
+    return parsed.select(*page_cols, "rec_no", *[F.col("_r").getField(f).alias(f) for f in schema.names])
 
 
 def zero_total_units(pages: DataFrame, body: str = "body") -> DataFrame:
