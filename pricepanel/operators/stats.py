@@ -246,22 +246,37 @@ def summary_region_year(df: DataFrame, level: str = "sido", exact: bool = True,
                       "med_price", "avg_price", "parcels")
 
 
+#: Rates are whole 1/RATE_SCALE; factors are compounded in whole 1/FACTOR_SCALE (up to 90-fold) and told in PPM.
+RATE_SCALE, FACTOR_SCALE = 10**7, 10**10
+
+
 def cumulative_factors(rates: DataFrame, months: int = 12) -> DataFrame:
     """D2 helper: per (sgg, year) the compounded change since month 1.
 
-    ``rates(sgg, stdr_year, month, rate)`` holds monthly change rates;
-    missing months count as 0 and month 1 is the base (factor 1). The
-    window runs over one district-year (12 rows), so it is bounded.
-    Factors are whole parts per million (``factor_ppm``); halves, to within
-    a millionth part, round up, so that the last bit of a floating product
-    does not decide a price.
+    ``rates(sgg, stdr_year, month, rate_e7)`` holds monthly change rates as whole
+    ten-millionths, one a month; missing months count as 0 and month 1 is the
+    base (factor 1). The months of a district-year (12 numbers) are folded in
+    order in whole numbers, halves rounded up, so every engine gets the same
+    factor. Factors are whole parts per million (``factor_ppm``).
     """
+    by_month = rates.where(F.col("month").between(2, months) & F.col("rate_e7").isNotNull())
     units = rates.select("sgg", "stdr_year").distinct()
-    grid = units.select("sgg", "stdr_year", F.explode(F.sequence(F.lit(1), F.lit(months))).alias("month"))
-    r = grid.join(rates, ["sgg", "stdr_year", "month"], "left")
-    rate = F.when(F.col("month") == 1, F.lit(0.0)).otherwise(F.coalesce(F.col("rate"), F.lit(0.0)))
-    w = Window.partitionBy("sgg", "stdr_year").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
-    return r.select("sgg", "stdr_year", "month", F.floor(F.exp(F.sum(F.log1p(rate)).over(w)) * PPM + 0.500001).cast("long").alias("factor_ppm"))
+    listed = by_month.groupBy("sgg", "stdr_year").agg(F.map_from_entries(F.collect_list(F.struct(F.col("month").cast("int"), F.col("rate_e7").cast("bigint")))).alias("rates"))
+    start = F.array(F.lit(FACTOR_SCALE).cast("bigint"))
+
+    def compounded(done, month):
+        rate = F.coalesce(F.get(F.array(F.try_element_at("rates", month)), F.lit(0)), F.lit(0).cast("bigint"))
+        return F.array_append(done, _div(F.element_at(done, -1) * (rate + RATE_SCALE) + RATE_SCALE // 2, RATE_SCALE))
+
+    factors = F.aggregate(F.sequence(F.lit(2), F.lit(months)), start, compounded)
+    folded = units.join(listed, ["sgg", "stdr_year"], "left").select("sgg", "stdr_year", F.posexplode(factors).alias("at", "factor"))
+    step = FACTOR_SCALE // PPM
+    return folded.select("sgg", "stdr_year", (F.col("at") + 1).alias("month"), _div(F.col("factor") + step // 2, step).alias("factor_ppm"))
+
+
+def _div(number: Column, by: int) -> Column:
+    """Whole quotient of a positive number."""
+    return F.call_function("div", number, F.lit(by).cast("bigint"))
 
 
 def monthly_interpolation(regular: DataFrame, factors: DataFrame, max_factor_rows: int = 2_000_000) -> DataFrame:

@@ -236,9 +236,12 @@ def _month_text_columns() -> tuple[Column, Column]:
 
 def monthly_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly district change rates derived from ``lineitem``: the mean
-    discount of a district-month shifted to about +-0.5 %."""
+    discount of a district-month shifted to about +-0.5 %, in whole
+    ten-millionths (discounts are whole hundredths)."""
     li = table(spark, sf_dir, "lineitem")
     p = fixture_pnu(F.col("l_suppkey"), F.col("l_partkey"))
+    cents = F.round(F.col("l_discount") * 100).cast("bigint")
     return (li.groupBy(F.substring(p, 1, 5).alias("sgg"), F.year("l_shipdate").cast("short").alias("stdr_year"),
                        F.month("l_shipdate").alias("month"))
-            .agg(((F.avg("l_discount") - 0.05) / 10).alias("rate")))
+            .agg(F.sum(cents).alias("cents"), F.count(F.lit(1)).alias("n"))
+            .select("sgg", "stdr_year", "month", F.expr("(cents * 10000) div n - 50000").alias("rate_e7")))

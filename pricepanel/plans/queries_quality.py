@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pricepanel.operators import audit, codes, coverage, revise, stats
 from pricepanel.plans import fixtures as fx
 from pricepanel.plans.oracle import with_views
 from pricepanel.plans.registry import DIRTY_YEARS, EMPTY_PAGE_YEAR, FACT_COLS, register
+from pricepanel.sources import fact_store
 
 # ------------------------------------------------------------ overrides
 
@@ -264,6 +267,9 @@ def q_coverage_ratio(spark, sf):
 
 # ------------------------------------------------------- parcel key join
 
+#: Folder of a bucketed table -> its name in the catalogue.
+_TABLES: dict[str, str] = {}
+
 @register("join_parcel_geometry_key", with_views("api", "city") + """
 , parcels as (select pnu, min(stdr_year) as first_city_year, count(*) as city_rows from city group by pnu),
 latest as (select * from (
@@ -275,10 +281,17 @@ from latest l join parcels p on l.pnu = p.pnu""")
 def q_join_parcel_geometry_key(spark, sf):
     """Yearly prices joined to a per-parcel table on ``pnu``.
 
-    The parcel side is aggregated to one row per parcel first, so the
-    sort-merge join on ``pnu`` cannot multiply rows for a hot parcel.
+    Both tables are written once, bucketed and sorted by ``pnu``; the join reads
+    them bucket by bucket. The parcel side has one row per parcel, so the join
+    cannot multiply rows for a hot parcel.
     """
-    parcels = fx.city_rows(spark, sf).groupBy("pnu").agg(
-        F.min("stdr_year").alias("first_city_year"), F.count(F.lit(1)).alias("city_rows"))
-    latest = revise.dedup_latest(fx.api_rows(spark, sf).where(F.col("stdr_month") == 1))
-    return latest.join(parcels, "pnu").select("pnu", "stdr_year", "price_per_m2", "first_city_year", "city_rows")
+    def bucketed(name, build):
+        table = f"{name}_{uuid.uuid4().hex[:8]}"
+        path = fx.stored_path(spark, sf, name, lambda p: fact_store.write_bucketed(build(), table, p))
+        _TABLES.setdefault(path, table)
+        return spark.table(_TABLES[path])
+
+    parcels = bucketed("bucketed_parcels", lambda: fx.city_rows(spark, sf).groupBy("pnu").agg(
+        F.min("stdr_year").alias("first_city_year"), F.count(F.lit(1)).alias("city_rows")))
+    latest = bucketed("bucketed_prices", lambda: revise.dedup_latest(fx.api_rows(spark, sf).where(F.col("stdr_month") == 1)))
+    return fact_store.join_bucketed(latest, parcels).select("pnu", "stdr_year", "price_per_m2", "first_city_year", "city_rows")

@@ -11,6 +11,7 @@ from pricepanel.plans.oracle import BOUNDARY_PREFIX_CASE, CITY_MONTH, PNU, SIDO_
 from pricepanel.plans.registry import (COLLECTED_AT, EXPECTED_YEARS, SAMPLE_PARCEL, SAMPLE_ROWS, SNAPSHOT_YEAR,
                                        TOP_K, register)
 from pricepanel.schema import SRC_API
+from pricepanel.sources import sinks
 
 # ------------------------------------------------------------ normalisers
 
@@ -165,12 +166,16 @@ def q_project_export(spark, sf):
     return filters.project_export(fx.fact(spark, sf))
 
 
+#: The place of a row in the export's order, in DuckDB text.
+PLACE = "row_number() over (order by pnu, stdr_year, stdr_month, source, price_per_m2, pblntf_de nulls first, std_land_yn nulls first) as row_no"
+
+
 @register("order_export", with_views("fact") + f"""
-select {_EXPORT} from fact where stdr_year between 1990 and 2026 and stdr_month = 1
-order by pnu, stdr_year, stdr_month""")
+select {_EXPORT}, {PLACE} from fact where stdr_year between 1990 and 2026 and stdr_month = 1""")
 def q_order_export(spark, sf):
+    """O3: the rows with their place in the total order."""
     f = fx.fact(spark, sf).where(filters.scope(y0=1990, y1=2026, month=1))
-    return filters.project_export(f).orderBy("pnu", "stdr_year", "stdr_month")
+    return sinks.with_position(filters.project_export(f), *sinks.EXPORT_ORDER)
 
 
 # ---------------------------------------------------------------- reports
@@ -296,6 +301,26 @@ def q_code_crosswalk(spark, sf):
              .agg(F.count(F.lit(1)).alias("rows"))
 
 
+# Single steps of the code history: a province, a district of it renamed later, a merge, a dong moved by a split and renamed again.
+CODE_CHANGES = [("42", "51"), ("45", "52"), ("51110", "51990"), ("12", "46"), ("46170", "46180"), ("26120", "26130"),
+                ("2612010221", "2699010900"), ("26990", "26995"), ("2699510900", "2699510901")]
+
+
+@register("code_succession", with_views("api") + f"""
+, rules(old, new) as (values {', '.join(map(str, CODE_CHANGES))}),
+c0 as (select distinct substr(pnu,1,10) as code, substr(pnu,1,10) as now from api),
+""" + ",\n".join(f"""c{i + 1} as (select code, coalesce(a.new, b.new || substr(now,6), c.new || substr(now,3), now) as now from c{i}
+  left join rules a on a.old = now left join rules b on b.old = substr(now,1,5) left join rules c on c.old = substr(now,1,2))""" for i in range(5)) + """
+select stdr_year, substr(now,1,5) as sgg, count(*) as rows, count(distinct now || substr(pnu,11)) as parcels
+from api join c5 on code = substr(pnu,1,10) group by 1, 2""")
+def q_code_succession(spark, sf):
+    """Steps closed into chains, then the longest-prefix match over all rows."""
+    mapping = codes.code_succession(spark.createDataFrame(CODE_CHANGES, "old string, new string"))
+    cw = codes.crosswalk(fx.api_rows(spark, sf), mapping)
+    return cw.groupBy("stdr_year", F.substring("pnu_current", 1, 5).alias("sgg")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("pnu_current").alias("parcels"))
+
+
 _D4 = """select sido || '|' || sigungu as key, sido, sigungu, year, med_price, avg_price, parcels from (
   select substr(pnu,1,2) as sido, {sg} as sigungu, stdr_year as year,
          cast(round(median(price_per_m2)) as bigint) as med_price,
@@ -327,11 +352,13 @@ def q_dedup_file_order(spark, sf):
 
 _D2_SQL = with_views("api") + f"""
 , rates as (select substr({PNU},1,5) as sgg, year(l_shipdate) as stdr_year, month(l_shipdate) as month,
-                   (avg(l_discount) - 0.05) / 10 as rate from lineitem group by 1, 2, 3),
+                   (sum(cast(round(l_discount * 100) as bigint)) * 10000) // count(*) - 50000 as rate from lineitem group by 1, 2, 3),
 grid as (select sgg, stdr_year, unnest(range(1, 13)) as month from (select distinct sgg, stdr_year from rates) u),
-factors as (select sgg, stdr_year, g.month, cast(floor(1000000 * exp(sum(case when g.month = 1 then 0.0 else coalesce(ln(1 + rate), 0.0) end)
-                     over (partition by sgg, stdr_year order by g.month)) + 0.500001) as bigint) as ppm
-            from grid g left join rates r using (sgg, stdr_year, month)),
+listed as (select sgg, stdr_year, list(case when g.month = 1 then 0 else coalesce(cast(rate as bigint), 0) end order by g.month) as rs
+           from grid g left join rates r using (sgg, stdr_year, month) group by 1, 2),
+factors as (select sgg, stdr_year, m as month,
+                   (list_reduce(rs[1:m], lambda f, r: (f * (10000000 + r) + 5000000) // 10000000, 10000000000) + 5000) // 10000 as ppm
+            from listed, range(1, 13) t(m)),
 latest as (select * from (
   select *, row_number() over (partition by pnu, stdr_year, stdr_month, source
                                order by coalesce(last_updt_dt,'') desc, seq desc, xp desc) as rn
@@ -344,7 +371,7 @@ from latest l, months m left join factors f on f.sgg = substr(l.pnu,1,5) and f.s
 
 @register("monthly_interpolation", _D2_SQL)
 def q_monthly_interpolation(spark, sf):
-    """Factors are whole parts per million, so both engines agree."""
+    """Monthly rates folded in order in whole numbers."""
     factors = stats.cumulative_factors(fx.monthly_rates(spark, sf))
     latest = revise.dedup_latest(fx.api_rows(spark, sf).where(F.col("stdr_month") == 1))
     return stats.monthly_interpolation(latest, factors)

@@ -15,6 +15,7 @@ from pricepanel.operators import audit, filters
 from pricepanel.plans import fixtures as fx
 from pricepanel.plans import landing
 from pricepanel.plans.oracle import CITY_MONTH, with_views
+from pricepanel.plans.queries_reports import PLACE
 from pricepanel.plans.registry import COLLECTED_AT, SAMPLE_PARCEL, SNAPSHOT_YEAR, register
 from pricepanel.schema import SRC_API, SRC_BULK
 from pricepanel.session import work_dir
@@ -147,14 +148,14 @@ def q_src_fact_scan(spark, sf):
     return fx.fact_table(spark, sf, SRC_API, years=(SNAPSHOT_YEAR,)).where(F.col("stdr_year") == SNAPSHOT_YEAR)
 
 
-@register("sink_scoped_csv", with_views("fact") + """
-select pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, source from fact
+@register("sink_scoped_csv", with_views("fact") + f"""
+select pnu, stdr_year, stdr_month, price_per_m2, pblntf_de, std_land_yn, source, {PLACE} from fact
 where stdr_year between 1995 and 2001 and stdr_month = 1 and substr(pnu,1,2) = '41'""")
 def q_sink_scoped_csv(spark, sf):
-    """Scoped, totally ordered CSV export, read back."""
+    """Scoped, totally ordered CSV export with the rows' places, read back."""
     path = work_dir(spark, "export_csv")
-    sinks.export_csv(fx.fact(spark, sf), path, filters.scope(y0=1995, y1=2001, month=1, sido="41"))
-    return sinks.read_export(spark, path)
+    sinks.export_csv(fx.fact(spark, sf), path, filters.scope(y0=1995, y1=2001, month=1, sido="41"), position="row_no")
+    return sinks.read_export(spark, path, position="row_no")
 
 
 @register("sink_json_report")

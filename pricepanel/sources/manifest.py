@@ -56,6 +56,14 @@ def _hadoop(spark: SparkSession, path: str):
     return jvm, fs, fs.makeQualified(p)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, replaced if it is there."""
+    _, fs, target = _hadoop(spark, path)
+    out = fs.create(target)
+    out.write(text.encode())
+    out.close()
+
+
 def current(spark: SparkSession, root: str) -> State:
     """The state that the pointer names now."""
     root = root.rstrip("/")
@@ -81,9 +89,7 @@ def move_pointer(spark: SparkSession, state: State, manifest: str) -> State:
     fs.mkdirs(folder)
     path = jvm.org.apache.hadoop.fs.Path
     draft, target = path(folder, f".next-{uuid.uuid4().hex}"), path(folder, f"{after.number:010d}")
-    out = fs.create(draft)
-    out.write(manifest.encode())
-    out.close()
+    write_text(spark, draft.toString(), manifest)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration())
     no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:

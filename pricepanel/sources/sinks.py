@@ -2,30 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricepanel.operators import filters, stats
-from pricepanel.schema import EXPORT_COLUMNS
+from pricepanel.operators.joins import maybe_broadcast
+from pricepanel.session import work_dir
+from pricepanel.sources.manifest import write_text
 
+#: The export's order, total up to equal rows.
+EXPORT_ORDER = ["pnu", "stdr_year", "stdr_month", "source", "price_per_m2", "pblntf_de", "std_land_yn"]
 EXPORT_SCHEMA = ("pnu string, stdr_year short, stdr_month byte, price_per_m2 long, "
                  "pblntf_de string, std_land_yn boolean, source string")
 
 
-def export_csv(df: DataFrame, path: str, scope=None) -> None:
-    """Scope -> seven columns -> total order (pnu, year, month) -> CSV.
+HEADER_FILE = "00000-header.csv"  # before every part-* file by name
+
+
+def with_position(df: DataFrame, *order: str, name: str = "row_no") -> DataFrame:
+    """``df`` with the place (from 1) of every row in the total order.
+
+    Rows are range-partitioned and sorted once and written with their task and
+    their place in it; prefix sums over the tasks' counts (one row a task) give
+    every task its first place. No task sees more than its range.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, "ordered")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # rows of one task
+    df.orderBy(*order).select("*", F.spark_partition_id().alias("_task"), place.alias("_place")).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    tasks = rows.groupBy("_task").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    starts = tasks.select("_task", F.coalesce(before, F.lit(0)).alias("_start"))
+    return rows.join(maybe_broadcast(starts), "_task").select(*df.columns, (F.col("_start") + F.col("_place") + 1).alias(name))
+
+
+def export_csv(df: DataFrame, path: str, scope=None, position: str | None = None) -> None:
+    """Scope -> seven columns -> total order (pnu, year, month, then the
+    other columns) -> CSV.
 
     ``orderBy`` range-partitions, so part files are ordered among
     themselves and each is written by its own task (no single-file
-    funnel through one task).
+    funnel through one task). The header is a file of its own that comes first
+    by name: all files together, in name order, are the one ordered CSV.
+    ``position`` adds the row's place in the order under that name.
     """
-    out = df.where(scope) if scope is not None else df
-    (filters.project_export(out).orderBy("pnu", "stdr_year", "stdr_month")
-        .write.mode("overwrite").option("header", True).csv(path))
+    out = filters.project_export(df.where(scope) if scope is not None else df)
+    if position is not None:
+        out = with_position(out, *EXPORT_ORDER, name=position)
+    out.orderBy(*([position] if position else EXPORT_ORDER)).write.mode("overwrite").option("header", False).csv(path)
+    write_text(df.sparkSession, f"{path}/{HEADER_FILE}", ",".join(out.columns) + "\n")
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EXPORT_SCHEMA).option("header", True).csv(path).select(*EXPORT_COLUMNS)
+def read_export(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
+    schema = EXPORT_SCHEMA + (f", {position} long" if position else "")
+    return spark.read.schema(schema).option("pathGlobFilter", "part-*").csv(path)
 
 
 _NULLS = {"ignoreNullFields": "false"}
