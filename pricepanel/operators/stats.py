@@ -246,6 +246,15 @@ def summary_region_year(df: DataFrame, level: str = "sido", exact: bool = True,
                       "med_price", "avg_price", "parcels")
 
 
+def named_summary(summary: DataFrame, districts: DataFrame) -> DataFrame:
+    """D4 with names: province labels and, from ``districts(sgg, name)``, district
+    names in the place of codes (a code without a name stays); the key follows."""
+    known = districts.groupBy(F.col("sgg").alias("sigungu")).agg(F.min("name").alias("_name"))
+    out = summary.join(known, "sigungu", "left").withColumns({
+        "sido": region_label(F.col("sido")), "sigungu": F.coalesce("_name", "sigungu")})
+    return out.select(F.concat_ws("|", "sido", "sigungu").alias("key"), "sido", "sigungu", "year", "med_price", "avg_price", "parcels")
+
+
 #: Rates are whole 1/RATE_SCALE; factors are compounded in whole 1/FACTOR_SCALE (up to 90-fold) and told in PPM.
 RATE_SCALE, FACTOR_SCALE = 10**7, 10**10
 

@@ -77,5 +77,5 @@ def compare(spark_df, sql: str, con) -> dict:
     out["types_match"] = not type_diffs
     if type_diffs:
         out["type_diffs"] = type_diffs
-    out["ok"] = out["columns_match"] and out["values_match"]
+    out["ok"] = out["columns_match"] and out["values_match"] and out["types_match"]
     return out

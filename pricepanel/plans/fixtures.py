@@ -162,13 +162,6 @@ def fact_table(spark: SparkSession, sf_dir: str, source: str | None = None, **sc
     return fact_store.read_fact(spark, partitioned_root(spark, sf_dir), scope=manifest.file_scope(source, **scope))
 
 
-def empty_pages(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    """Units (sgg, stdr_year) whose landed page reported a total of 0: the
-    districts with an abolished code, in one year."""
-    codes = region_codes(spark, sf_dir).where("abolished")
-    return codes.select(F.substring("code", 1, 5).alias("sgg"), F.lit(year).alias("stdr_year")).distinct()
-
-
 def conflict_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conflict census of the API rows (A12), written once: both
     membership tests of J2 read it."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pricepanel.plans import fixtures as fx
 from pricepanel.schema import SRC_API, SRC_CITY
 from pricepanel.session import ship_package
-from pricepanel.sources.api_pages import PAGE_SCHEMA
+from pricepanel.sources.api_pages import PAGE_SCHEMA, zero_total_units
 from pricepanel.sources.zip_members import open_store
 
 # The city bulk header, in the standard and the alternative
@@ -202,6 +202,28 @@ def landed_pages(spark: SparkSession, sf: str, page_span: int = 10_000) -> DataF
     return spark.read.schema(PAGE_SCHEMA).json(pages_folder(spark, sf, page_span))
 
 
+#: The year in which every fourth page of a unit was lost.
+LOST_PAGES_YEAR = 1997
+
+
+def pages_with_losses(spark: SparkSession, sf: str, page_span: int = 10_000) -> DataFrame:
+    """The landed API pages after a sweep that lost some pages of one year."""
+    lost = (F.col("year") == LOST_PAGES_YEAR) & (F.col("page_no") % 4 == 1)
+    path = _landed_json(spark, sf, f"pages-lost-{page_span}", lambda: landed_pages(spark, sf, page_span).where(~lost))
+    return spark.read.schema(PAGE_SCHEMA).json(path)
+
+
+def empty_units(spark: SparkSession, sf: str, year: int) -> DataFrame:
+    """Units (sgg, stdr_year) whose landed page reports a total of 0: a page for
+    every prefix with an abolished code, in one year, in two envelope shapes."""
+    def build() -> DataFrame:
+        prefixes = fx.region_codes(spark, sf).where("abolished").select(F.substring("code", 1, 8).alias("prefix")).distinct()
+        body = F.when(F.col("prefix").endswith("1"), '{"indvdLandPrices":{"resultCode":"OK","totalCount":"0","field":[]}}') \
+            .otherwise('{"response":{"totalcount":0,"resultMsg":"no data"}}')
+        return prefixes.select("prefix", F.lit(year).alias("year"), F.lit(1).alias("page_no"), body.alias("body"))
+    return zero_total_units(spark.read.schema(PAGE_SCHEMA).json(_landed_json(spark, sf, f"empty-pages-{year}", build)))
+
+
 def landed_standard_pages(spark: SparkSession, sf: str, page_span: int = 10_000) -> DataFrame:
     """Standard-parcel records (the API rows flagged as such) landed as pages of the second record shape."""
     def pick(values: list[str]):

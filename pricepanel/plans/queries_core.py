@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pricepanel.operators import revise, stats
 from pricepanel.plans import fixtures as fx
 from pricepanel.plans.oracle import SIDO_BOUNDARY_CASE, SIDO_SHORT_CASE, with_views
-from pricepanel.plans.registry import COLLECTED_AT, FACT_COLS, SNAPSHOT_YEAR, register
-from pricepanel.schema import SRC_API
+from pricepanel.plans.registry import FACT_COLS, SNAPSHOT_YEAR, register
+from pricepanel.schema import SRC_API, SRC_BULK, SRC_CITY
 
 # --------------------------------------------------------------- normalise
 
@@ -50,15 +50,30 @@ def q_dedup_keep_first(spark, sf):
     return revise.dedup_keep_first(fx.api_rows(spark, sf))
 
 
+# Collection dates of the three sources: the API rows came in two runs, before and after the national bulk.
+_COLLECTED = {SRC_BULK: "2026-06-15", SRC_CITY: "2026-07-20"}
+_API_RUNS = ("2026-07-15", "2026-05-01")
+
+
 @register("merge_sources", with_views("fact") + f"""
-select {FACT_COLS} from (
+, dated as (
+  select *, cast(case when source = '{SRC_CITY}' then '{_COLLECTED[SRC_CITY]}' when seq % 2 = 0 then '{_API_RUNS[0]}' else '{_API_RUNS[1]}' end as date) as collected_at
+  from fact
+  union all
+  select * replace ('{SRC_BULK}' as source, price_per_m2 + 1 as price_per_m2), date '{_COLLECTED[SRC_BULK]}' from fact where source = '{SRC_API}')
+select {FACT_COLS}, collected_at from (
   select *, row_number() over (partition by pnu, stdr_year, stdr_month
       order by case when source in ('vworld_api','vworld_bulk') then 0 when source='seoul_opendata' then 1 else 2 end,
-               coalesce(last_updt_dt,'') desc, seq desc, xp desc) as rn
-  from fact) t where rn = 1""")
+               collected_at desc, coalesce(last_updt_dt,'') desc, seq desc, xp desc, source, price_per_m2 desc) as rn
+  from dated) t where rn = 1""")
 def q_merge_sources(spark, sf):
-    df = fx.fact(spark, sf).withColumn("collected_at", F.lit(COLLECTED_AT).cast("date"))
-    return revise.merge_sources(df).drop("collected_at")
+    """W3 over three sources: between API and national bulk the later collection decides."""
+    fact = fx.fact(spark, sf)
+    api = F.when(F.col("seq") % 2 == 0, _API_RUNS[0]).otherwise(_API_RUNS[1])
+    dated = fact.withColumn("collected_at", F.when(F.col("source") == SRC_CITY, _COLLECTED[SRC_CITY]).otherwise(api).cast("date"))
+    bulk = fact.where(F.col("source") == SRC_API).withColumns({
+        "source": F.lit(SRC_BULK), "price_per_m2": F.col("price_per_m2") + 1, "collected_at": F.lit(_COLLECTED[SRC_BULK]).cast("date")})
+    return revise.merge_sources(dated.unionByName(bulk))
 
 
 # ------------------------------------------------------------- statistics

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from pricepanel.operators import audit, codes, coverage, revise, stats
-from pricepanel.plans import fixtures as fx
+from pricepanel.plans import fixtures as fx, landing
 from pricepanel.plans.oracle import with_views
 from pricepanel.plans.registry import DIRTY_YEARS, EMPTY_PAGE_YEAR, FACT_COLS, register
 from pricepanel.sources import fact_store
@@ -231,7 +231,7 @@ _DONE = f""", done as (select sgg, stdr_year, cast(sum(rows) as bigint) as rows
 
 def _done(spark, sf):
     """Units with API rows, and units whose page reported none."""
-    return coverage.done_units(fx.api_rows(spark, sf), fx.empty_pages(spark, sf, EMPTY_PAGE_YEAR))
+    return coverage.done_units(fx.api_rows(spark, sf), landing.empty_units(spark, sf, EMPTY_PAGE_YEAR))
 
 
 def _grid(spark, sf):

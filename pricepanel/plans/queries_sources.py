@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricepanel.functions import normalize as N
-from pricepanel.operators import audit, filters
+from pricepanel.operators import audit, filters, stats
 from pricepanel.plans import fixtures as fx
 from pricepanel.plans import landing
-from pricepanel.plans.oracle import CITY_MONTH, with_views
+from pricepanel.plans.oracle import CITY_MONTH, SIDO_BOUNDARY_CASE, SIDO_SHORT_CASE, with_views
 from pricepanel.plans.queries_reports import PLACE
 from pricepanel.plans.registry import COLLECTED_AT, SAMPLE_PARCEL, SNAPSHOT_YEAR, register
 from pricepanel.schema import SRC_API, SRC_BULK
@@ -100,13 +100,15 @@ def q_src_api_pages(spark, sf):
                        "price_per_m2", "pblntf_de", "std_land_yn", "last_updt_dt")
 
 
-@register("audit_pagination", with_views("raw_api") + """
-select substr(pnu,1,8) as prefix, cast(stdryear as int) as year, count(*) as fetched, count(*) as total,
-       count(distinct cast(floor(seq / 10000) as bigint)) as pages, 0::bigint as loss
-from raw_api where source = 'vworld_api' group by 1, 2""")
+@register("audit_pagination", with_views("raw_api") + f"""
+, p as (select substr(pnu,1,8) as prefix, cast(stdryear as int) as year, cast(floor(seq / 10000) as bigint) as page from raw_api where source = 'vworld_api'),
+k as (select *, year = {landing.LOST_PAGES_YEAR} and page % 4 = 1 as lost from p)
+select prefix, year, count(*) filter (not lost) as fetched, count(*) as total, count(distinct page) filter (not lost) as pages,
+       count(*) filter (lost) as loss
+from k group by 1, 2 having count(*) filter (not lost) > 0""")
 def q_audit_pagination(spark, sf):
-    """Q3: fetched rows per (prefix, year) equal the server total."""
-    return audit.audit_pagination(api_pages.page_summary(landing.landed_pages(spark, sf)))
+    """Q3: fetched rows per (prefix, year) against the server total, after a sweep that lost pages."""
+    return audit.audit_pagination(api_pages.page_summary(landing.pages_with_losses(spark, sf)))
 
 
 @register("standard_parcel_table", with_views("raw_api") + f"""
@@ -158,9 +160,31 @@ def q_sink_scoped_csv(spark, sf):
     return sinks.read_export(spark, path, position="row_no")
 
 
-@register("sink_json_report")
+_A4_JSON = f"""select {SIDO_BOUNDARY_CASE} as name, stdr_year as yr, count(*) as n,
+       coalesce(cast(round(avg(price_per_m2) filter (where price_per_m2>0)) as bigint), 0) as avg,
+       coalesce(cast(round(median(price_per_m2) filter (where price_per_m2>0)) as bigint), 0) as med
+from api where stdr_month=1 and {SIDO_BOUNDARY_CASE} is not null group by 1, 2"""
+
+
+@register("sink_json_report", with_views("fact", "api") + f"""
+, per_year as (select stdr_year as year, count(*) filter (where stdr_month=1) as parcels,
+       cast(round(avg(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as avg,
+       cast(round(median(price_per_m2) filter (where stdr_month=1 and price_per_m2>0)) as bigint) as med from api group by 1),
+per_sido as (select sido as code, {SIDO_SHORT_CASE.format(c='sido')} as name, parcels, avg from (
+  select substr(pnu,1,2) as sido, count(*) as parcels, cast(round(avg(price_per_m2) filter (where price_per_m2>0)) as bigint) as avg
+  from api where stdr_year={SNAPSHOT_YEAR} and stdr_month=1 group by 1) t),
+sources as (select source, count(*) as rows from fact group by 1),
+series as (select stdr_year as year, max(price_per_m2) as price from api where pnu = '{SAMPLE_PARCEL}' and stdr_month = 1 group by 1),
+a4 as ({_A4_JSON}),
+named as (select name, map_from_entries(list((cast(yr as varchar), struct_pack(n := n, avg := avg, med := med)) order by yr)) as by_year from a4 group by 1)
+select 'summary' as section, cast(to_json(struct_pack(rows := count(*), years := count(distinct stdr_year), min_year := min(stdr_year), max_year := max(stdr_year))) as varchar) as json from fact
+union all select 'per_year', cast(to_json(list(struct_pack(year := year, parcels := parcels, avg := avg, med := med) order by year)) as varchar) from per_year
+union all select 'per_sido', cast(to_json(list(struct_pack(code := code, name := name, parcels := parcels, avg := avg) order by avg desc nulls last, code)) as varchar) from per_sido
+union all select 'sources', cast(to_json(list(struct_pack(source := source, rows := rows) order by rows desc, source)) as varchar) from sources
+union all select 'sample_parcel', cast(to_json(struct_pack(pnu := '{SAMPLE_PARCEL}', label := '', series := list(struct_pack(year := year, price := price) order by year))) as varchar) from series
+union all select 'map_sido', cast(to_json(struct_pack(years := (select list(distinct yr order by yr) from a4), sido := map_from_entries(list((name, by_year) order by name)))) as varchar) from named""")
 def q_sink_json_report(spark, sf):
-    """Nested report sections as JSON text (rows-only check)."""
+    """Nested report sections as JSON text, in their order and with their nulls."""
     return sinks.report_sections(fx.fact(spark, sf), fx.api_rows(spark, sf), SAMPLE_PARCEL, SNAPSHOT_YEAR)
 
 
@@ -178,3 +202,24 @@ def q_stream_api_pages(spark, sf):
     return rows.select("pnu", F.col("stdr_year").cast("short").alias("stdr_year"),
                        F.col("stdr_month").cast("byte").alias("stdr_month"),
                        "price_per_m2", "pblntf_de", "std_land_yn", "last_updt_dt")
+
+
+@register("summary_csv", with_views("api", "country") + f"""
+, t as (select substr(pnu,1,2) as c2, substr(pnu,1,5) as c5, stdr_year as year, cast(round(median(price_per_m2)) as bigint) as med_price,
+  cast(round(avg(price_per_m2)) as bigint) as avg_price, count(*) as parcels
+  from api where stdr_month = 1 and price_per_m2 > 0 group by 1, 2, 3),
+named as (select {SIDO_SHORT_CASE.format(c='c2')} as sido, coalesce('동' || code, c5) as sigungu, t.* from t left join country on code = c5 || '00000')
+select sido || '|' || sigungu as "키", sido as "시도", sigungu as "시군구", year as "연도", med_price as "중위지가", avg_price as "평균지가", parcels as "필지수"
+from named""")
+def q_summary_csv(spark, sf):
+    """District summary with names as CSV, read back."""
+    named = stats.named_summary(stats.summary_region_year(fx.fact_table(spark, sf, SRC_API), "sgg"), _district_names(spark, sf))
+    path = work_dir(spark, "summary_csv")
+    sinks.export_summary(named, path)
+    return sinks.read_summary(spark, path)
+
+
+def _district_names(spark, sf):
+    """(sgg, name) of the landed code file: the codes that end in five zeros."""
+    codes = archives.read_region_codes(spark, landing.code_archive(spark, sf)).where(F.col("code").endswith("00000"))
+    return codes.select(F.substring("code", 1, 5).alias("sgg"), "name")

@@ -59,6 +59,23 @@ def read_export(spark: SparkSession, path: str, position: str | None = None) ->
     return spark.read.schema(schema).option("pathGlobFilter", "part-*").csv(path)
 
 
+# The columns of the published region summary, in order.
+SUMMARY_HEADER = {"key": "키", "sido": "시도", "sigungu": "시군구", "year": "연도", "med_price": "중위지가", "avg_price": "평균지가", "parcels": "필지수"}
+
+
+def export_summary(summary: DataFrame, path: str) -> None:
+    """The region summary as one ordered CSV (key, year) under the published header."""
+    named = summary.select(*[F.col(c).alias(n) for c, n in SUMMARY_HEADER.items()])
+    named.orderBy(SUMMARY_HEADER["key"], SUMMARY_HEADER["year"]).write.mode("overwrite").option("header", False).csv(path)
+    write_text(summary.sparkSession, f"{path}/{HEADER_FILE}", ",".join(SUMMARY_HEADER.values()) + "\n")
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    types = ["string", "string", "string", "smallint", "long", "long", "long"]
+    schema = ", ".join(f"`{n}` {t}" for n, t in zip(SUMMARY_HEADER.values(), types))
+    return spark.read.schema(schema).option("pathGlobFilter", "part-*").csv(path)
+
+
 _NULLS = {"ignoreNullFields": "false"}
 
 
