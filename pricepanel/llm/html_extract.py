@@ -62,6 +62,10 @@ VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embe
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s",
           "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "ruby", "rt", "rp", "data"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "button", "dialog", "fieldset"}
+#: Asides that may be wrapped around a whole page.
+FORMS = {"form", "fieldset"}
+#: Containers that stay asides however much text they hold: reader comments.
+NEVER_MAIN = {"comment", "comments", "reply", "replies", "respond", "discussion", "disqus"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "toolbar", "tablist"}
 NAMES = set("""ad ads advert adverts advertisement advertisements adsense sponsor sponsored promo promos promotion banner cookie cookies
 consent gdpr notice notices notification notifications alert alerts popup modal overlay newsletter subscribe subscription signup login
@@ -70,6 +74,14 @@ comments reply replies respond discussion disqus related recommended recommendat
 skip sr form disclaimer""".split())
 MAIN_ROLES = {"main", "article"}
 MAIN_NAMES = {"article", "articlebody", "post", "entry", "story", "content", "maincontent"}
+#: Words at the end of a class or id that tell its form or place, not what it holds.
+SHAPES = set("""container wrapper wrap inner outer box bar block area section list item items row col column columns panel pane group unit slot
+zone region links link buttons button icons left right top bottom main primary secondary small large wide body holder head""".split())
+#: Words that make a class a statement about the page: has-sidebar, no-comments.
+ABOUT = {"has", "have", "with", "without", "no", "not", "is", "hide", "show", "hides", "shows", "toggle", "before", "after", "under", "above"}
+#: Lists of other pages: related-posts, popular-stories.
+OTHER_PAGES = ({"related", "recommended", "popular", "trending", "more", "latest", "similar"},
+               {"post", "posts", "article", "articles", "story", "stories", "news", "reading", "pages", "content"})
 #: What may stand in a head; any other start tag, or text, ends it.
 HEAD = {"html", "head", "title", "base", "basefont", "bgsound", "link", "meta", "style", "script", "noscript", "noframes", "template"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -81,46 +93,84 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _names(attributes: dict[str, str]) -> set[str]:
-    words = re.split(r"[^A-Za-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", attributes.get("class", "") + " " + attributes.get("id", "")))
-    return {w.lower() for w in words}
+    """What the classes and the id call an element: the word in head position of each."""
+    found = set()
+    for token in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
+        words = [w.lower() for w in re.split(r"[^A-Za-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token)) if w]
+        if not words or ABOUT & set(words):
+            continue
+        if len(words) > 1 and words[0] in OTHER_PAGES[0] and words[-1] in OTHER_PAGES[1]:
+            found.add("related")
+            continue
+        while len(words) > 1 and words[-1] in SHAPES:
+            words.pop()
+        found.add(words[-1])
+    return found
 
 
-def _kind(tag: str, attributes: dict[str, str]) -> int:
-    """-1: something else than the article; 3, 2, 1: the article by element, main part, a telling name; 0: neither."""
-    if tag == "head" or tag in ASIDE or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return -1
+HIDDEN = -2
+
+
+def _kind(tag: str, attributes: dict[str, str], inside: int) -> int:
+    """-2: not shown; -1: something else than the article; 3, 2, 1: the article by element, main part, a telling name; 0: neither.
+
+    ``inside`` is the kind of the part around: the header of an article belongs to it.
+    """
+    if tag == "head" or "hidden" in attributes or attributes.get("aria-hidden") == "true":
+        return HIDDEN
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "")):
-        return -1
+        return HIDDEN
     role = attributes.get("role", "").lower()
-    names = _names(attributes) if tag not in OPEN else set()
-    if role in ROLES or names & NAMES and tag not in HEADINGS:
+    names = _names(attributes) if tag not in OPEN and tag not in HEADINGS else set()
+    if tag in ASIDE and not (tag == "header" and inside == 3) or role in ROLES or names & NAMES:
         return -1
     if tag == "article" or attributes.get("itemprop", "").lower() == "articlebody":
         return 3
     if tag == "main" or role in MAIN_ROLES:
         return 2
-    return 1 if names & MAIN_NAMES and tag not in HEADINGS else 0
+    return 1 if names & MAIN_NAMES else 0
+
+
+class _Aside:
+    """A container that is left out, unless it turns out to hold the page's main text."""
+
+    def __init__(self, tag: str, comments: bool):
+        self.form, self.comments, self.text, self.marked = tag in FORMS, comments, 0, 0
 
 
 def page_blocks(page: str) -> tuple[list[str], bool]:
-    """The article's text blocks in page order, and whether the page marks its article."""
+    """The article's text blocks in page order, and whether the page marks its article.
+
+    A container that its tag, role or name calls an aside is left out with all
+    in it, unless it is layout: it holds most of the marked article, or it is a
+    form that holds most of the text of a page without one.
+    """
     stack: list[tuple[str, int]] = []
     outside, level = 0, [0]
-    found: list[tuple[int, str]] = []
+    asides: list[_Aside] = []  # those around the current place
+    found: list[tuple[int, str, tuple[_Aside, ...]]] = []
     pieces: list[str] = []
 
     def flush() -> None:
         block = " ".join("".join(pieces).split())
         if block:
-            found.append((level[-1], block))
+            found.append((level[-1], block, tuple(asides)))
+            for a in asides:
+                a.text += len(block)
+                a.marked += len(block) if level[-1] >= 2 else 0
         pieces.clear()
 
+    def leave(kind: int) -> None:
+        nonlocal outside
+        outside -= kind == HIDDEN
+        if kind == -1:
+            asides.pop()
+        level.pop()
+
     def end_head() -> None:
         nonlocal outside
         while stack and stack[-1][0] == "head":
-            stack.pop()
-            level.pop()
-            outside -= 1
+            leave(stack.pop()[1])
 
     at = 0
     while m := TAG.search(page, at):
@@ -145,10 +195,8 @@ def page_blocks(page: str) -> tuple[list[str], bool]:
             if tag not in INLINE:
                 flush()
             if place is not None:
-                for _, kind in stack[place:]:
-                    outside -= kind < 0
-                    level.pop()
-                del stack[place:]
+                while len(stack) > place:
+                    leave(stack.pop()[1])
             continue
         if tag in RAW:
             if not rest.endswith("/"):
@@ -162,22 +210,31 @@ def page_blocks(page: str) -> tuple[list[str], bool]:
             continue
         if tag not in INLINE:
             flush()
-        kind = _kind(tag, _attributes(rest) if rest.strip("/ ") else {})
+        attributes = _attributes(rest) if rest.strip("/ ") else {}
+        kind = _kind(tag, attributes, level[-1])
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
-            outside -= stack.pop()[1] < 0  # its end tag may be left out
-            level.pop()
+            leave(stack.pop()[1])  # its end tag may be left out
         if rest.endswith("/") or tag in INLINE and kind >= 0:
             continue
         if kind < 0:
             flush()
         stack.append((tag, kind))
-        outside += kind < 0
+        outside += kind == HIDDEN
+        if kind == -1:
+            asides.append(_Aside(tag, bool(_names(attributes) & NEVER_MAIN)))
         level.append(max(level[-1], kind))
     if page[at:].strip():
         end_head()
     if not outside:
         pieces.append(html.unescape(page[at:]))
     flush()
+    size = sum(len(b) for _, b, _ in found)
+    marked = sum(len(b) for n, b, _ in found if n >= 2)
+
+    def layout(a: _Aside) -> bool:
+        return not a.comments and (2 * a.marked > marked if marked else a.form and 2 * a.text > size)
+
+    found = [(n, b) for n, b, around in found if all(map(layout, around))]
     # The main part with all in it: by element or role, else by name, where it holds at least half of the text.
     size = sum(len(b) for _, b in found)
     top = next((k for k in (2, 1) if size and 2 * sum(len(b) for n, b in found if n >= k) >= size), 0)
