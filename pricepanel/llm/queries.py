@@ -139,7 +139,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_guess_cost")
 def op4_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricepanel.llm import guess_cost
-    found = guess_cost.secret_spans(table(spark, sf_dir, "documents"))
+    found = guess_cost.secret_spans(table(spark, sf_dir, "documents"), words=guess_cost.vocabulary_words(vocabulary()))
 
     def count(kind: str):
         return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -147,38 +147,45 @@ def op4_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), "base_sha256", F.col("listed").alias("spans"))
 
 
-# The second replica of the query: some records altered in place, cut short or lost.
+# The second replica of the query: some pages altered in place, cut short or lost before it was written.
 _DAMAGE = {"altered": (97, 13), "cut": (89, 5), "lost": (101, 50)}
 
-
-@register("op2_warc_fixity", sql="""
-with p as (select page_id, url, coalesce(html, '') h, floor(page_id / 1000)::bigint file from pages),
-r as (select *, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
-        || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(h) || chr(13) || chr(10) || chr(13) || chr(10) || h
-        || chr(13) || chr(10) || chr(13) || chr(10) record from p),
-d as (select *, case when page_id % 97 = 13 then replace(record, 'e', 'f') when page_id % 89 = 5 then left(record, length(record) - 40) else record end damaged,
-        coalesce(sum(strlen(record)) over (partition by file order by page_id rows between unbounded preceding and 1 preceding), 0)::bigint "offset" from r)
-select file, "offset", page_id, url, case when page_id % 101 = 50 then 'missing' else 'altered' end finding, strlen(record)::bigint a_length,
-       case when page_id % 101 <> 50 then strlen(damaged)::bigint end b_length, sha256(record) a_hash, case when page_id % 101 <> 50 then sha256(damaged) end b_hash
-from d where page_id % 101 = 50 or record <> damaged
+_RECORD = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10)
+        || 'WARC-Date: 2026-07-15T00:00:00Z' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+        || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen({h}) || chr(13) || chr(10) || chr(13) || chr(10) || {h}
+        || chr(13) || chr(10) || chr(13) || chr(10)"""
+
+
+@register("op2_warc_fixity", sql=f"""
+with p as (select page_id, url, coalesce(html, '') h, floor(page_id / 1000)::bigint file,
+        case when page_id % 97 = 13 then replace(coalesce(html, ''), 'e', 'f') when page_id % 89 = 5 then left(coalesce(html, ''), greatest(length(html) - 40, 0)) else coalesce(html, '') end d
+        from pages),
+r as (select *, {_RECORD.format(h='h')} record, {_RECORD.format(h='d')} damaged from p),
+a as (select *, coalesce(sum(strlen(record)) over (partition by file order by page_id rows between unbounded preceding and 1 preceding), 0)::bigint a_offset from r),
+b as (select page_id, coalesce(sum(strlen(damaged)) over (partition by file order by page_id rows between unbounded preceding and 1 preceding), 0)::bigint b_offset from r where page_id % 101 <> 50)
+select file, 'urn:page:' || page_id record_id, url, case when b_offset is null then 'missing' else 'altered' end finding, a_offset, b_offset,
+       strlen(record)::bigint a_length, case when b_offset is not null then strlen(damaged)::bigint end b_length,
+       sha256(record) a_hash, case when b_offset is not null then sha256(damaged) end b_hash
+from a left join b using (page_id) where b_offset is null or record <> damaged
 """)
 def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pricepanel.llm import warc_fixity as W
     from pricepanel.llm.tables import stored
+    from pricepanel.session import work_dir
 
     def struck(kind: str):
         every, rest = _DAMAGE[kind]
-        return F.col("page_id") % every == rest
+        return F.coalesce(F.col("page_id") % every == rest, F.lit(False))
 
     made = W.records(table(spark, sf_dir, "pages"))
-    damaged = (F.when(struck("altered"), F.replace("record", F.lit("e"), F.lit("f")))
-               .when(struck("cut"), F.substr("record", F.lit(1), F.char_length("record") - 40)).otherwise(F.col("record")))
-    other = F.sha2(damaged.cast("binary"), 256), F.octet_length(damaged).cast("bigint")
-    both = made.select("file", "page_id", "url", "length", F.sha2(F.col("record").cast("binary"), 256).alias("hash"),
-                       other[0].alias("b_hash"), other[1].alias("b_length"))
-    both = stored(W.placed(both), "replicas")  # damage leaves the records where they were
-    b = both.where(F.coalesce(~struck("lost"), F.lit(True))).select("file", "offset", "page_id", "url", F.col("b_length").alias("length"), F.col("b_hash").alias("hash"))
-    return W.audit(both.drop("b_hash", "b_length"), b)
+    html = (F.when(struck("altered"), F.replace("html", F.lit("e"), F.lit("f")))
+            .when(struck("cut"), F.substr("html", F.lit(1), F.greatest(F.char_length("html") - 40, F.lit(0)))).otherwise(F.col("html")))
+    replicas = []
+    for pages in (made, made.where(~struck("lost")).withColumn("html", html)):
+        path = f"{work_dir(spark, 'warc')}/files"
+        W.write_replica(pages, path)
+        replicas.append(stored(W.read_replica(spark, path), "replica"))
+    return W.audit(*replicas)
 
 
 def document_paths(documents: DataFrame) -> DataFrame:
