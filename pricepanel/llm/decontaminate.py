@@ -6,9 +6,12 @@ built: the shift table says how far the search may jump past a two-word block,
 blocks of shift 0 lead to a bucket of patterns ending in that block, and the
 bucket's patterns are compared word by word with the text.
 
-The pattern set is broadcast in chunks of at most ``max_patterns`` windows, so
-what is broadcast is bounded; a larger benchmark is searched chunk after chunk
-and the hits are united row by row.
+Spark makes the windows and writes the distinct (window, item) pairs. They are
+searched in chunks of about ``max_patterns`` pairs, dealt by hash: one chunk a
+pass goes through the driver and is broadcast, and the documents with their hits
+are written between passes, so only one chunk is alive at a time however large
+the benchmark is. A window of several items may lie in several chunks, each time
+for the items of that chunk; hits are united row by row.
 
 Nulls and empty texts have no words. Items without words have no windows.
 Repeated items count as items of their own when their ids differ; rows that
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricepanel.llm import arrowtext as T
+from pricepanel.llm.tables import carried, restored, stored
 from pricepanel.session import ship_package
 
 WINDOW = 13
@@ -172,21 +176,27 @@ def _task(windows, names: list[str], keep_text: bool):
     return run
 
 
-def pattern_chunks(benchmark: DataFrame, window: int, max_patterns: int) -> Iterator[dict]:
-    """Windows of the benchmark in chunks of ``max_patterns``, read row by row (never the whole table at once).
+def benchmark_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """(pattern, item_id): the distinct windows of every item, words joined by a space (no word holds one)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.slices(batch, "text"):
+                for item_id, text in zip(part.column("item_id").to_pylist(), part.column("text").to_pylist()):
+                    patterns = [b" ".join(w) for w in item_windows(iter([(item_id, text)]), window)]
+                    yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.binary()), pa.array([item_id] * len(patterns), pa.string())], ["pattern", "item_id"])
 
-    A window that lies in two chunks is searched in both, each time for the
-    items of that chunk.
-    """
-    chunk: dict[tuple[bytes, ...], set] = {}
-    rows = benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator()
-    for item in rows:
-        for w, ids in item_windows(iter([item]), window).items():
-            chunk.setdefault(w, set()).update(ids)
-        if len(chunk) >= max_patterns:
-            yield chunk
-            chunk = {}
-    yield chunk
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return stored(items.mapInArrow(run, "pattern binary, item_id string").distinct(), "benchmark-windows")
+
+
+def pattern_chunks(windows: DataFrame, max_patterns: int) -> Iterator[tuple[dict, bool]]:
+    """Chunks of about ``max_patterns`` rows of ``benchmark_windows`` as pattern tables, and whether more follow."""
+    chunks = max(1, -(-windows.count() // max_patterns))
+    for k in range(chunks):
+        found: dict[tuple[bytes, ...], set] = {}
+        for row in windows.where(F.pmod(F.xxhash64("pattern", "item_id"), F.lit(chunks)) == k).collect():
+            found.setdefault(tuple(bytes(row.pattern).split(b" ")), set()).add(row.item_id)
+        yield found, k < chunks - 1
 
 
 def _searched(documents: DataFrame, benchmark: DataFrame, window: int, max_patterns: int, keep_text: bool) -> DataFrame:
@@ -199,14 +209,14 @@ def _searched(documents: DataFrame, benchmark: DataFrame, window: int, max_patte
     ship_package(spark)
     current = (documents.withColumn("text", F.col("text").cast("string")).withColumn("_n_words", F.lit(0).cast("bigint"))
                .withColumn("_spans", F.expr(f"cast(array() as {SPANS})")).withColumn("_items", F.expr("cast(array() as array<string>)")))
-    chunks = pattern_chunks(benchmark, window, max_patterns)
-    chunk = next(chunks)
-    while chunk is not None:
-        following = next(chunks, None)
-        keep = keep_text or following is not None
+    for chunk, more in pattern_chunks(benchmark_windows(benchmark, window), max_patterns):
+        keep = keep_text or more
         schema = T.fields_of(f for f in current.schema.fields if keep or f.name != "text")
-        current = current.mapInArrow(_task(spark.sparkContext.broadcast(chunk), current.columns, keep), schema)
-        chunk = following
+        table = spark.sparkContext.broadcast(chunk)
+        current = current.mapInArrow(_task(table, current.columns, keep), schema)
+        if more:  # the pass ends here, and its patterns with it
+            current = stored(current, "searched")
+            table.unpersist()
     return current
 
 
@@ -233,6 +243,7 @@ def judge(spans: DataFrame) -> DataFrame:
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                         max_patterns: int = MAX_PATTERNS) -> DataFrame:
     """``documents`` without the rows that the rule calls contaminated; columns unchanged."""
-    found = _searched(documents, benchmark, window, max_patterns, keep_text=True).withColumn("_n_hit", _n_hit("_spans"))
+    rows = carried(documents, "text")
+    found = _searched(rows, benchmark, window, max_patterns, keep_text=True).withColumn("_n_hit", _n_hit("_spans"))
     clean = ~((F.col("_n_hit") > 0) & (F.col("_n_hit") * 20 >= F.col("_n_words")))
-    return found.where(clean).select(*[F.col(f"`{c}`") for c in documents.columns])
+    return restored(found.where(clean), documents)

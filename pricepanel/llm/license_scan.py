@@ -10,14 +10,15 @@ any of a template's heaviest terms, whose rest is too light for the score,
 cannot, so this test drops none that counts.
 
 A document's own license is its best unit's (higher score, then name). A
-directory's license is the one that most documents directly in it state (then
-the first by name); documents without one inherit from the nearest ancestor
-directory that has one. Directories are few compared with documents and are
+directory's license is the one that most licence files directly in it state (files
+named like a licence, or whose whole text fits a template; then the first by
+name): a notice in one source file licenses that file alone. Documents without a
+license inherit from the nearest ancestor directory that has one. Directories are few compared with documents and are
 resolved first; documents join their directory's answer.
 
 Frequencies of other terms are counted for the terms of the units that get that
 far, combined map-side. The template table is broadcast (its size is that of
-TEMPLATES), tables of terms only after a size check. Null and empty texts have no units, a null path no directory: own
+TEMPLATES); tables of terms are written and joined by their measured size. Null and empty texts have no units, a null path no directory: own
 license or none. Repeated rows count as often as they come.
 """
 
@@ -29,11 +30,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricepanel.llm.tables import stored
-from pricepanel.operators.joins import maybe_broadcast
 
 MIN_SCORE = 0.6
 
-# Public license notices, by SPDX name.
+# Public license notices and licence files, by SPDX name.
+_BSD_GRANT = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+              "conditions are met: ")
+_BSD_CONDITIONS = ("1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+                   "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+                   "disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+              "derived from this software without specific prior written permission. ")
+_BSD_DISCLAIMER = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+                   "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+                   "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+                   "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+                   "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+                   "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
@@ -44,6 +57,15 @@ TEMPLATES = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files, to deal in the Software without restriction, including without limitation the rights to use, "
             "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("MIT", "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, "
+            "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+            "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
+            "shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF "
+            "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+            "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+            "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
+            "OTHER DEALINGS IN THE SOFTWARE."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
                 "Public License as published by the Free Software Foundation, either version 3 of the License, or any later version"),
@@ -64,12 +86,12 @@ TEMPLATES = (
     ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
                  "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                     "that the following conditions are met"),
+    ("BSD-3-Clause", _BSD_GRANT + _BSD_CONDITIONS + _BSD_NAMES + _BSD_DISCLAIMER),
     ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
                      "products derived from this software without specific prior written permission"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
+    ("BSD-2-Clause", _BSD_GRANT + _BSD_CONDITIONS + _BSD_DISCLAIMER),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
                 "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"),
@@ -92,6 +114,10 @@ TEMPLATES = (
 )
 
 
+#: Names of files that state the license of their directory.
+LICENSE_FILE = r"(?i)(^|/)(un)?(licen[cs]e|copying|notice)[^/]*$|\.licen[cs]e$"
+
+
 def terms(text: Column) -> Column:
     """The terms of a text; an empty first or last element may stand for its edges."""
     return F.split(F.lower(text), "[^a-z0-9]+")
@@ -121,7 +147,7 @@ def document_frequencies(documents: DataFrame) -> tuple[int, dict[str, int]]:
 def term_frequencies(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """(term, df): the number of documents with each wanted term."""
     held = documents.select(F.explode(F.array_distinct(terms(F.col("text").cast("string")))).alias("term"))
-    return held.join(maybe_broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return held.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 class Weights:
@@ -145,25 +171,28 @@ class Weights:
 
 
 def scores(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """(path, doc_id, license, score) of each document's best unit that reaches the score."""
+    """(path, doc_id, license, score, whole) of each document's best unit that reaches the score.
+
+    ``whole``: the whole text does so too, for that license.
+    """
     spark = documents.sparkSession
     weights = Weights(*document_frequencies(documents), min_score)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     units = F.array_distinct(F.concat(F.split(text, "\n", -1), F.split(text, r"\n[\x20\t\r]*\n[\s]*", -1), F.array(text)))
     needed = F.array(*[F.lit(t) for t in weights.needed])
-    rows = documents.select("path", "doc_id", F.explode(units).alias("unit"))
-    rows = rows.select("path", "doc_id", F.xxhash64("unit").alias("unit_id"), terms(F.col("unit")).alias("terms"))
+    rows = documents.select("path", "doc_id", text.alias("text"), F.explode(units).alias("unit")).withColumn("whole", F.col("unit") == F.col("text"))
+    rows = rows.select("path", "doc_id", F.xxhash64("unit").alias("unit_id"), F.col("whole"), terms(F.col("unit")).alias("terms"))
     able = rows.where(F.arrays_overlap("terms", needed))
     template = spark.createDataFrame(weights.rows, "template int, license string, term string, t_weight double")
 
-    words = able.select("path", "doc_id", "unit_id", F.explode("terms").alias("term")).where("term <> ''")
-    counted = words.groupBy("path", "doc_id", "unit_id", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    words = able.select("path", "doc_id", "unit_id", "whole", F.explode("terms").alias("term")).where("term <> ''")
+    counted = words.groupBy("path", "doc_id", "unit_id", "whole", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     counted = stored(counted, "unit-terms")
     frequencies = stored(term_frequencies(documents, stored(counted.select("term").distinct(), "terms")), "frequencies")
-    weighed = counted.join(maybe_broadcast(frequencies), "term")
+    weighed = counted.join(frequencies, "term")
     weighed = weighed.withColumn("idf", F.log(F.lit(1.0 + weights.total) / (F.col("df") + 1)) + 1)
     weighed = weighed.withColumn("square", F.pow(F.col("tf") * F.col("idf"), 2))
-    unit = ["path", "doc_id", "unit_id"]
+    unit = ["path", "doc_id", "unit_id", "whole"]
     # The norm goes to a template of its own (-1), so that one grouping gives norms and products.
     products = (weighed.join(F.broadcast(template), "term")
                 .select(*unit, "template", "license", (F.col("tf") * F.col("idf") * F.col("t_weight")).alias("part")))
@@ -172,10 +201,11 @@ def scores(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     per_unit = sums.groupBy(*unit).agg(
         F.sqrt(F.max(F.when(F.col("template") < 0, F.col("part")))).alias("norm"),
         F.max(F.when(F.col("template") >= 0, F.struct("part", F.negative("template").alias("rank"), "license"))).alias("best"))
-    scored = per_unit.select("path", "doc_id", F.col("best.license").alias("license"), F.round(F.col("best.part") / F.col("norm"), 6).alias("score"))
-    best = scored.where(F.col("score") >= min_score).groupBy("path", "doc_id", "license").agg(F.max("score").alias("score"))
-    first = F.min(F.struct(F.negative("score").alias("minus"), "license")).alias("first")
-    return best.groupBy("path", "doc_id").agg(first).select("path", "doc_id", F.col("first.license").alias("license"), (-F.col("first.minus")).alias("score"))
+    scored = per_unit.select("path", "doc_id", "whole", F.col("best.license").alias("license"), F.round(F.col("best.part") / F.col("norm"), 6).alias("score"))
+    best = scored.where(F.col("score") >= min_score).groupBy("path", "doc_id", "license").agg(F.max("score").alias("score"), F.max("whole").alias("whole"))
+    first = F.min(F.struct(F.negative("score").alias("minus"), "license", "whole")).alias("first")
+    return best.groupBy("path", "doc_id").agg(first).select("path", "doc_id", F.col("first.license").alias("license"), (-F.col("first.minus")).alias("score"),
+                                                            F.col("first.whole").alias("whole"))
 
 
 def directory(path: Column) -> Column:
@@ -190,8 +220,12 @@ def ancestors(folder: Column) -> Column:
 
 
 def inherited(folders: DataFrame, own: DataFrame) -> DataFrame:
-    """(folder, license, from, distance) of the nearest directory with a license, for each folder that has one."""
-    stated = (own.withColumn("folder", directory(F.col("path"))).where("folder is not null")
+    """(folder, license, from, distance) of the nearest directory with a license, for each folder that has one.
+
+    A directory's license is stated by files named like a licence, and by files that are one as a whole.
+    """
+    stating = own.where(F.col("whole") | F.col("path").rlike(LICENSE_FILE))
+    stated = (stating.withColumn("folder", directory(F.col("path"))).where("folder is not null")
               .groupBy("folder", "license").agg(F.count(F.lit(1)).alias("n")))
     stated = stated.groupBy("folder").agg(F.min(F.struct(F.negative("n").alias("minus"), "license")).alias("first"))
     stated = stated.select(F.col("folder").alias("above"), F.col("first.license").alias("license"))
