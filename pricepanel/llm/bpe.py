@@ -21,7 +21,7 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -179,8 +179,9 @@ class Encoder(dict):
     def pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.kind.char}", *ids)
 
-    def ready(self, words: list[str]) -> None:
-        """Called with the words of each piece before they are looked up."""
+    def looked_up(self, words: list[str]) -> Iterable[bytes]:
+        """Packed ids of the words of a piece."""
+        return map(self.__getitem__, words)
 
     def packed(self, text: str) -> bytes:
         v, out = self.vocabulary, []
@@ -189,9 +190,7 @@ class Encoder(dict):
                 out.append(self.pack([v.special[part]]))
                 continue
             for piece in pieces(part):
-                words = words_of(piece)
-                self.ready(words)
-                out += map(self.__getitem__, words)
+                out += self.looked_up(words_of(piece))
         return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
@@ -219,6 +218,8 @@ def read_vocabulary(spark, path: str):
 def encoded(documents: DataFrame, vocabulary_path: str, with_ids: bool = True, with_digests: bool = True) -> DataFrame:
     """``documents`` without ``text``, with ``n_tokens``, the ids, and digests of ids and decoded text.
 
+    A column of ``documents`` with the name of a result gives way to the result.
+
     One map stage over the scan: no shuffle. ``token_ids`` is an array of int;
     ``ids_sha256`` and ``decoded_sha256`` digest the decimal ids joined by a
     space and the text decoded from those ids.
@@ -226,7 +227,8 @@ def encoded(documents: DataFrame, vocabulary_path: str, with_ids: bool = True, w
     spark = documents.sparkSession
     ship_package(spark)
     content = read_vocabulary(spark, vocabulary_path)
-    rest = [f for f in documents.schema.fields if f.name != "text"]
+    made = ["n_tokens", *["token_ids"] * with_ids, *["ids_sha256", "decoded_sha256"] * with_digests]
+    rest = [f for f in documents.schema.fields if f.name not in ["text", *made]]
     fields = T.fields_of(rest)
     fields += ", n_tokens bigint" + ", token_ids array<int>" * with_ids
     fields += ", ids_sha256 string, decoded_sha256 string" * with_digests
@@ -248,11 +250,11 @@ def encoded(documents: DataFrame, vocabulary_path: str, with_ids: bool = True, w
                         listed = ids.tolist()
                         ids_sha.append(hashlib.sha256(" ".join(map(decimal.__getitem__, listed)).encode()).hexdigest())
                         text_sha.append(hashlib.sha256(v.decode(listed).encode()).hexdigest())
-                columns = [part.column(n) for n in names] + [pa.array(counts, pa.int64())]
+                columns = [part.column(f"c{i}") for i in range(len(names))] + [pa.array(counts, pa.int64())]
                 columns += [pa.array(arrays, pa.list_(pa.int32()))] * with_ids
                 columns += [pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())] if with_digests else []
                 yield pa.RecordBatch.from_arrays(columns, [*names, "n_tokens", *["token_ids"] * with_ids,
                                                            *["ids_sha256", "decoded_sha256"] * with_digests])
 
     text = F.col("text").cast("string").alias("text")
-    return documents.select(*[F.col(f"`{n}`") for n in names], text).mapInArrow(run, fields)
+    return documents.select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)], text).mapInArrow(run, fields)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricepanel.llm.tables import stored
+from pricepanel.llm.tables import carried, restored, stored
 
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
@@ -54,12 +54,10 @@ def dropped_positions(documents: DataFrame, min_chars: int = MIN_CHARS, min_docu
     salted = occurrences(documents, min_chars).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
     run = ["h1", "h2", "salt"]
     by_document = [F.col("doc_id").desc_nulls_last(), F.col("position")]
-    ranged = salted.repartitionByRange(*run).sortWithinPartitions(*run, *by_document)
-    ranged = stored(ranged, "line-hashes")
-
     stream = Window.partitionBy(*run).orderBy(*by_document)
     fresh = F.coalesce(~F.col("doc_id").eqNullSafe(F.lag("doc_id").over(stream)), F.lit(True)) | (F.row_number().over(stream) == 1)
-    first = ranged.repartitionByRange(*run).select("h1", "h2", "doc_id", fresh.alias("fresh")).where("fresh")
+    ranged = stored(salted.repartitionByRange(*run).withColumn("fresh", fresh), "line-hashes")
+    first = ranged.where("fresh")
     keys = (first.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
             .where(F.col("n") >= min_documents).drop("n"))
     keys = stored(keys, "repeated-lines")
@@ -101,11 +99,11 @@ def with_bitmaps(documents: DataFrame, **rule) -> DataFrame:
 
 def drop_repeated_lines(documents: DataFrame, **rule) -> DataFrame:
     """``documents`` with the repeated lines gone from ``text`` and ``n_chars`` renewed; rows that lose nothing are unchanged."""
-    mapped = with_bitmaps(documents, **rule)
+    mapped = with_bitmaps(carried(documents, "doc_id", "text", "n_chars"), **rule)
     changed = F.col("_n_dropped") > 0
     text = F.when(changed, kept_lines(F.col("text"), F.col("_keep_bitmap"))).otherwise(F.col("text"))
     out = mapped.withColumn("text", text)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in documents.columns])
+    return restored(out, documents)

@@ -169,3 +169,26 @@ def test_decontamination_equals_brute_force(spark, chunk):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     kept = decontaminate.remove_contaminated(documents(spark, rows), bench, max_patterns=chunk)
     assert sorted((str(r.doc_id) for r in kept.collect())) == sorted(str(w[0]) for w in want if not w[-1])
+
+
+CLASHING = ["n_words", "kept", "_id", "_n_words", "n_tokens", "_words", "_text_id", "_keep_bitmap", "_spans", "_row", "base_failed", "limit_word_length", "a name, with. signs"]
+
+
+def test_extra_columns_may_have_any_name(spark):
+    """Stages carry columns that are called like their own, unchanged."""
+    from pricepanel.llm import bpe
+    import public_tokenizers
+    rows = near_group(1, 0, 30, 1) + [(500 + i, f"line {i} alone\n" + "a line of more than forty characters that many documents share\n" + f"end {i}") for i in range(8)]
+    plain = documents(spark, rows)
+    extra = plain.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    benchmark = spark.createDataFrame([("b1", " ".join(rows[3][1].split()[:20]))], "item_id string, text string")
+    for stage in (quality.keep_documents, line_dedup.drop_repeated_lines, superminhash.remove_near_duplicates,
+                  lambda d: decontaminate.remove_contaminated(d, benchmark)):
+        got, want = stage(extra), stage(plain)
+        assert got.columns == extra.columns and got.schema == extra.schema
+        got = {r.doc_id: r for r in got.collect()}
+        assert {i: r[:7] for i, r in got.items()} == {r.doc_id: tuple(r) for r in want.collect()}
+        assert all(r[c] == f"{c}-{i}" for i, r in got.items() for c in CLASHING)
+    coded = bpe.encoded(extra, public_tokenizers.path("word_bpe_49k.json"))
+    assert coded.columns.count("n_tokens") == 1 and coded.schema["n_tokens"].dataType.simpleString() == "bigint"
+    assert {r.doc_id: r.kept for r in coded.collect()} == {i: f"kept-{i}" for i, _ in rows}
