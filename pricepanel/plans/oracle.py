@@ -8,6 +8,7 @@ rounds double -> bigint, so prices are truncated explicitly, and its
 from __future__ import annotations
 
 from pricepanel.functions.labels import BOUNDARY_PREFIX_SHORT, SIDO_BOUNDARY, SIDO_SHORT
+from pricepanel.functions.normalize import CITY_MONTH_PATTERN
 from pricepanel.plans.fixtures import SIDO_CODES
 
 _SIDO = "([" + ", ".join(f"'{c}'" for c in SIDO_CODES) + "])"
@@ -99,9 +100,9 @@ from lineitem"""
 VIEWS["months"] = MONTHS
 ORDER.append("months")
 
-# N3 in DuckDB text, for a column named {c}.
-CITY_MONTH = r"""case when regexp_extract(trim({c}), '[-./](\d{{1,2}})(?:[-./]|$)', 1) <> ''
-       then cast(regexp_extract(trim({c}), '[-./](\d{{1,2}})(?:[-./]|$)', 1) as int)
-     when length(trim({c})) >= 6 and regexp_full_match(trim({c}), '[0-9]+') then cast(substr(trim({c}),5,2) as int)
-     when regexp_full_match(trim({c}), '[0-9]{{1,2}}') then cast(trim({c}) as int)
+# N3 in DuckDB text, for a column named {c}; the pattern is the normaliser's.
+_MONTH = "regexp_extract(trim({c}), '" + CITY_MONTH_PATTERN.replace("{", "{{").replace("}", "}}") + "', 1)"
+CITY_MONTH = f"""case when {_MONTH} <> '' then cast({_MONTH} as int)
+     when length(trim({{c}})) >= 6 and regexp_full_match(trim({{c}}), '[0-9]+') then cast(substr(trim({{c}}),5,2) as int)
+     when regexp_full_match(trim({{c}}), '[0-9]{{{{1,2}}}}') then cast(trim({{c}}) as int)
      else 1 end"""

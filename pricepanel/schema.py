@@ -30,14 +30,14 @@ SRC_API = "vworld_api"
 SRC_BULK = "vworld_bulk"
 SOURCES = (SRC_CITY, SRC_API, SRC_BULK)
 
-# Raw API record fields (all strings on the wire).
+# The fields of a raw API record (all strings on the wire).
 API_FIELDS = (
     "pnu", "ldCode", "ldCodeNm", "regstrSeCode", "mnnmSlno",
     "stdrYear", "stdrMt", "pblntfPclnd", "pblntfDe", "stdLandAt", "lastUpdtDt",
 )
 API_RECORD_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in API_FIELDS])
 
-# Raw standard-parcel records (all strings on the wire) and their table.
+# The fields of a raw standard-parcel record (all strings on the wire); below, their table.
 STANDARD_FIELDS = (
     "pnu", "ldCode", "ldCodeNm", "regstrSeCode", "mnnmSlno", "stdLandSn", "stdrYear", "lndcgrCodeNm", "lndpclAr",
     "prposArea1Nm", "ladUseSittnNm", "roadSideCodeNm", "pblntfPclnd", "lastUpdtDt",

@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The files a scan opens are named by the manifest: look a few hundred up in place, no listing job.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "512",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -76,12 +78,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared root for one job's output."""
-    root = checkpoint_root(spark)
-    path = f"{root}/pricepanel/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    """A fresh, unique folder under the shared root for one job's output.
+
+    Whoever writes makes it: a path without a scheme belongs to the cluster's
+    default file system, not to the driver's disk.
+    """
+    return f"{checkpoint_root(spark)}/pricepanel/{name}-{uuid.uuid4().hex[:12]}"
 
 
 _SHIPPED: set[str] = set()
