@@ -21,7 +21,7 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,15 +66,35 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in kept else chr(next(spare)) for b in range(256)]
 
 
+#: White space of Python's ``split`` that the vocabulary takes for text.
+CONTROLS = "\x1c\x1d\x1e\x1f"
+
+
+def _of_latin_1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def normal(text: str) -> tuple[str, Callable[[str], list[str]]]:
+    """The vocabulary's normal form of a text without special tokens, and what cuts it into words.
+
+    Latin-1 texts are in NFC as they are.
+    """
+    if text.isascii() or _of_latin_1(text):
+        return text.lower(), LATIN_WORDS.findall
+    if not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    low = text.replace("\u03a3", "\u03c3").lower()  # letter by letter: str.lower() has a rule for final sigma
+    return low, WORDS.findall if BEYOND_LATIN.search(low) else LATIN_WORDS.findall
+
+
 def words_of(text: str) -> list[str]:
     """The words of a text without special tokens, after the vocabulary's normal form."""
-    if not text.isascii():
-        if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        text = text.replace("\u03a3", "\u03c3")  # letter by letter: str.lower() has a rule for final sigma
-        if BEYOND_LATIN.search(text):
-            return WORDS.findall(text.lower())
-    return LATIN_WORDS.findall(text.lower())
+    low, find = normal(text)
+    return find(low)
 
 
 def pieces(text: str) -> Iterator[str]:
@@ -100,12 +120,12 @@ class Vocabulary:
         letters = byte_letters()
         self.inner = [ids[c] for c in letters]
         self.last = [ids[c + end] for c in letters]
-        # (left id << 32 | right id) -> rank, and rank -> merged id
-        self.rank: dict[int, int] = {}
+        # left id -> {right id: rank}, and rank -> merged id
+        self.ranks: list[dict[int, int]] = [{} for _ in self.tokens]
         self.merged: list[int] = []
         for n, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank.setdefault(ids[a] << 32 | ids[b], n)
+            self.ranks[ids[a]].setdefault(ids[b], n)
             self.merged.append(ids[a + b])
         self.none = len(self.merged)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -118,37 +138,37 @@ class Vocabulary:
         return self._scan(parts) if len(parts) <= SHORT_WORD else self._heap(parts)
 
     def _scan(self, parts: list[int]) -> list[int]:
-        rank, none = self.rank, self.none
-        ranks = [rank.get(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
+        of, none, merged = self.ranks, self.none, self.merged
+        ranks = [of[a].get(b, none) for a, b in zip(parts, parts[1:])]
         while ranks:
             least = min(ranks)
             if least == none:
                 break
             at = ranks.index(least)
-            parts[at] = self.merged[least]
+            part = parts[at] = merged[least]
             del parts[at + 1], ranks[at]  # the boundary between the two parts
             if at:
-                ranks[at - 1] = rank.get(parts[at - 1] << 32 | parts[at], none)
+                ranks[at - 1] = of[parts[at - 1]].get(part, none)
             if at < len(ranks):
-                ranks[at] = rank.get(parts[at] << 32 | parts[at + 1], none)
+                ranks[at] = of[part].get(parts[at + 1], none)
         return parts
 
     def _heap(self, parts: list[int]) -> list[int]:
-        rank, size = self.rank, len(parts)
+        of, size = self.ranks, len(parts)
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        heap = [(r, i) for i in range(size - 1) if (r := rank.get(parts[i] << 32 | parts[i + 1])) is not None]
+        heap = [(r, i) for i in range(size - 1) if (r := of[parts[i]].get(parts[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             r, i = heapq.heappop(heap)
             j = after[i]
-            if parts[i] < 0 or j >= size or rank.get(parts[i] << 32 | parts[j]) != r:
+            if parts[i] < 0 or j >= size or of[parts[i]].get(parts[j]) != r:
                 continue  # one of the two has been merged meanwhile
             parts[i], parts[j] = self.merged[r], -1
             after[i] = after[j]
             if after[i] < size:
                 before[after[i]] = i
             for left in (before[i], i):
-                if left >= 0 and after[left] < size and (new := rank.get(parts[left] << 32 | parts[after[left]])) is not None:
+                if left >= 0 and after[left] < size and (new := of[parts[left]].get(parts[after[left]])) is not None:
                     heapq.heappush(heap, (new, left))
         return [p for p in parts if p >= 0]
 
@@ -169,28 +189,55 @@ class Encoder(dict):
         packed = self.old.get(word)
         if packed is None:
             packed = self.pack(self.vocabulary.word(word.encode()))
+        self.keep(word, packed)
+        return packed
+
+    def keep(self, word: str, packed: bytes) -> None:
         if len(word) <= CACHED_WORD:
             if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[word] = packed
-        return packed
 
     def pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.kind.char}", *ids)
 
-    def looked_up(self, words: list[str]) -> Iterable[bytes]:
-        """Packed ids of the words of a piece."""
-        return map(self.__getitem__, words)
+    def prepare(self, words: list[str]) -> None:
+        """Called with words that are not in the young half before they are looked up."""
+
+    def looked_up(self, text: str) -> list[bytes]:
+        """Packed ids of a piece of text, one lookup for everything between two white spaces.
+
+        No word reaches over white space, so what stands between is cached as a
+        whole and cut into words only when it is new.
+        """
+        low, find = normal(text)
+        if any(c in low for c in CONTROLS):
+            words = find(low)
+            self.prepare(words)
+            return list(map(self.__getitem__, words))
+        chunks = low.split()
+        found = list(map(self.get, chunks))
+        if None not in found:
+            return found
+        made = {c: self.old.get(c) for c, f in zip(chunks, found) if f is None}
+        new = [c for c, e in made.items() if e is None]
+        cut = {c: (c,) if c.isalpha() else find(c) for c in new}  # letters alone are one word
+        self.prepare([w for words in cut.values() for w in words])
+        for c, words in cut.items():
+            made[c] = self[c] if len(words) == 1 else b"".join(map(self.__getitem__, words))
+        for c, e in made.items():
+            self.keep(c, e)
+        return [made[c] if f is None else f for c, f in zip(chunks, found)]
 
     def packed(self, text: str) -> bytes:
         v, out = self.vocabulary, []
-        for part in v.cut.split(text) if v.cut and v.cut.search(text) else (text,):
+        for part in v.cut.split(text) if any(t in text for t in v.special) else (text,):
             if part in v.special:
                 out.append(self.pack([v.special[part]]))
                 continue
             for piece in pieces(part):
-                out += self.looked_up(words_of(piece))
+                out += self.looked_up(piece)
         return b"".join(out)
 
     def encode(self, text: str) -> list[int]:

@@ -1,9 +1,9 @@
 """Token-id files with Elias-Fano coded document boundaries.
 
-Documents are range-partitioned and sorted by id; each task encodes its
-documents and appends blocks to one file of the output folder. Spark's own
-file writer commits the files, so a lost executor or a repeated task leaves no
-half-written file. A block holds
+Documents are encoded where they are scanned; their packed ids are dealt to ranges of
+document ids (bounds from quantiles of the ids alone) and sorted, and each task appends
+blocks to one file of the output folder. Spark's own file writer commits the files,
+so a lost executor or a repeated task leaves no half-written file. A block holds
 
     magic "EFTB" | id width, flags (uint8 each), 2 spare bytes | partition (uint32)
     documents n, null ids, ids total (uint64 each) | first id (int64)
@@ -27,6 +27,7 @@ give an empty folder and no rows. Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import bisect
 import os
 import struct
 import zlib
@@ -144,6 +145,13 @@ class Block:
         known = self.known.all().astype(np.uint64) + np.uint64(self.first % 2**64)
         return [None] * self.nulls + known.astype(np.int64).tolist()
 
+    def places(self, doc_id: int) -> range:
+        """Places of the documents with this id, by binary search over selects."""
+        above, known = doc_id - self.first, self.known
+        begin = bisect.bisect_left(range(known.n), above, key=known.select)
+        end = bisect.bisect_right(range(known.n), above, lo=begin, key=known.select)
+        return range(self.nulls + begin, self.nulls + end)
+
     def document(self, i: int) -> np.ndarray:
         """Ids of the i-th document of the block, by two selects."""
         return self.ids[self.bounds.select(i):self.bounds.select(i + 1)]
@@ -158,7 +166,7 @@ def blocks(content: bytes) -> Iterator[Block]:
 
 
 class LibraryEncoder(bpe.Encoder):
-    """The word cache of ``bpe.Encoder``, filled by the tokenizers library."""
+    """The word cache of ``bpe.Encoder``; words with letters beyond Latin come from the tokenizers library."""
 
     def __init__(self, content: str):
         from tokenizers import Tokenizer
@@ -167,15 +175,12 @@ class LibraryEncoder(bpe.Encoder):
         self.library.no_truncation()
         self.library.no_padding()
 
-    def ready(self, words: list[str]) -> None:
-        missing = [w for w in {*words} if w not in self and w not in self.old]
-        if not missing:
-            return
-        if len(self) + len(missing) > self.entries:
-            self.old = dict(self)
-            self.clear()
-        for w, e in zip(missing, self.library.encode_batch_fast(missing, add_special_tokens=False)):
-            self[w] = self.pack(e.ids)
+    def prepare(self, words: list[str]) -> None:
+        """New words beyond Latin letters go through the library in one call."""
+        new = [w for w in dict.fromkeys(words) if w not in self and w not in self.old and bpe.BEYOND_LATIN.search(w)]
+        if new:
+            for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+                self.keep(w, self.pack(e.ids))
 
 
 _LIBRARY: dict[int, LibraryEncoder] = {}
@@ -197,11 +202,18 @@ def write_token_files(documents: DataFrame, vocabulary_path: str, end_id: int, p
     ship_package(spark)
     content = bpe.read_vocabulary(spark, vocabulary_path)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    width = bpe.Encoder(bpe.Vocabulary(content.value)).kind.itemsize
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _library(content)
-        partition = TaskContext.get().partitionId()
         end = enc.pack([end_id])
-        width = enc.kind.itemsize
+        for batch in batches:
+            for part in T.slices(batch, "text"):
+                packed = [enc.packed(text or "") + end for text in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition = TaskContext.get().partitionId()
         doc_ids: list[int | None] = []
         texts: list[bytes] = []
         held = 0
@@ -210,20 +222,24 @@ def write_token_files(documents: DataFrame, vocabulary_path: str, end_id: int, p
             return pa.RecordBatch.from_arrays([pa.array([write_block(partition, doc_ids, texts, width)], pa.binary())], ["block"])
 
         for batch in batches:
-            for part in T.slices(batch, "text"):
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    packed = enc.packed(text or "") + end
-                    if doc_ids and held + len(packed) > block_ids * width:
-                        yield block()
-                        doc_ids, texts, held = [], [], 0
-                    doc_ids.append(doc_id)
-                    texts.append(packed)
-                    held += len(packed)
+            for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("packed")):
+                packed = value.as_py()
+                if doc_ids and held + len(packed) > block_ids * width:
+                    yield block()
+                    doc_ids, texts, held = [], [], 0
+                doc_ids.append(doc_id)
+                texts.append(packed)
+                held += len(packed)
         if doc_ids:
             yield block()
 
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = docs.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = docs.select("doc_id").where("doc_id is not null").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n)
+    # The range of an id; nulls come first. Equal ids never part.
+    below = F.filter(F.lit(sorted(set(bounds))).cast("array<double>"), lambda x: x < F.col("doc_id").cast("double"))
+    packed = docs.mapInArrow(encode, "doc_id bigint, packed binary").withColumn("range", F.coalesce(F.size(below), F.lit(0)))
+    ordered = packed.repartitionById(n, F.col("range")).sortWithinPartitions(F.col("doc_id").asc_nulls_first()).drop("range")
     (ordered.mapInArrow(run, "block binary").select(F.col("block").cast("string").alias("value"))
      .write.option("lineSep", "\n").option("compression", "none").text(path))
 
@@ -237,7 +253,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             for content in batch.column("content"):
                 begin, place = 0, 0
                 for b in blocks(content.as_buffer()):
-                    bounds = b.bounds.all()
+                    bounds = np.array([b.bounds.select(i) for i in range(b.n + 1)], np.int64)
                     wide = b.ids.astype("<u4")
                     crc = [zlib.crc32(wide[s:e]) for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                     yield pa.RecordBatch.from_arrays(
@@ -247,8 +263,24 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                         ["partition", "place", "doc_id", "begin", "n_tokens", "ids_crc32"])
                     begin, place = begin + b.total, place + b.n
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(run, "partition int, place bigint, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint")
+    return _files(spark, path).mapInArrow(run, "partition int, place bigint, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint")
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+
+
+def read_document(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
+    """(token_ids) of every document with this id: found and cut out of its block by selects alone."""
+    ship_package(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                found = [b.document(i).astype(np.int32) for b in blocks(content.as_buffer()) for i in b.places(doc_id)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["token_ids"])
+
+    return _files(spark, path).mapInArrow(run, "token_ids array<int>")
 
 
 def token_offsets(documents: DataFrame, vocabulary_path: str, end_id: int = 2, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -264,6 +296,6 @@ def token_offsets(documents: DataFrame, vocabulary_path: str, end_id: int = 2, b
     rows = stored(read_documents(spark, path), "token-offsets")
     totals = rows.groupBy("partition").agg(F.sum("n_tokens").alias("ids"))
     before = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select("partition", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
-    return rows.join(F.broadcast(starts), "partition").select(
+    starts = stored(totals.select("partition", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base")), "file-starts")
+    return rows.join(starts, "partition").select(
         "doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
