@@ -45,7 +45,9 @@ from pyspark.sql import functions as F
 
 from pricepanel.llm import arrowtext as T
 from pricepanel.llm.components import components
-from pricepanel.llm.tables import stored
+from pricepanel.llm.pairs import with_both
+from pricepanel.llm.tables import carried, finished, restored, stored
+from pricepanel.operators.joins import maybe_broadcast
 from pricepanel.session import ship_package
 
 SHINGLE = 5
@@ -53,6 +55,8 @@ PERCENT = 80
 BANDS, ROWS = 35, 5
 #: Members around a centre from which on an element counts as one of the group's, not of a few members.
 HELD_BY_MANY = 32
+#: Rows of two numbers that are broadcast to the texts instead of moving these.
+MAX_HEADS = 4_000_000
 #: Elements whose walks are kept at a time (each keeps a permutation of the slots).
 ELEMENTS = 1 << 14
 
@@ -156,11 +160,29 @@ def _full_sets(size: int):
     return run
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) with both sets, as _a and _b."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("members").alias("_a"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("members").alias("_b"))
-    return pairs.join(right, "b").join(left, "a").withColumn("common", F.size(F.array_intersect("_a", "_b")))
+def difference_bits(elements: str):
+    """Two 64-bit words with a bit set for every element (by hash): a bound on how far two differences agree."""
+    def word(k: int):
+        return F.aggregate(elements, F.lit(0).cast("bigint"), lambda acc, e: F.when(
+            e.bitwiseAND(F.lit(64)) == 64 * k, acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), e.bitwiseAND(F.lit(63)).cast("int"))))
+            .otherwise(acc))
+    return F.array(word(0), word(1))
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb, common, outside, out_bits, miss_bits) of pairs of classes, by their full sets.
+
+    ``outside`` holds the elements of b that a lacks; ``out_bits`` marks them,
+    ``miss_bits`` those of a that b lacks. With a column ``around``, they are
+    null for pairs where it is false.
+    """
+    wide = F.col("around") if "around" in pairs.columns else F.lit(True)
+    both = with_both(pairs, sets, "set_id", "members")
+    both = both.withColumn("outside", F.when(wide, F.array_except("members_b", "members_a")))
+    both = both.withColumn("missing", F.when(wide, F.array_except("members_a", "members_b")))
+    return both.select(*pairs.columns, F.size("members_a").alias("na"), F.size("members_b").alias("nb"),
+                       F.size(F.array_intersect("members_a", "members_b")).alias("common"), "outside",
+                       difference_bits("outside").alias("out_bits"), difference_bits("missing").alias("miss_bits"))
 
 
 def _linked(common: str, one: str, other: str, percent: int):
@@ -185,27 +207,32 @@ def groups(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_id")).alias("first")
     classes = stored(signed.where("n_shingles > 0").groupBy("set_id", "n_shingles")
                      .agg(first, F.first("bands").alias("bands")), "classes")
-    buckets = classes.select("set_id", F.explode("bands").alias("bucket"))
+    # Classes go by a number in the bucket tables: 35 rows a class.
+    numbered = classes.select(F.xxhash64("set_id").alias("c"), "set_id")
+    buckets = classes.select(F.xxhash64("set_id").alias("c"), F.explode("bands").alias("bucket"))
     shared = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = stored(buckets.join(shared, "bucket"), "members")
-    weights = stored(members.groupBy("set_id").agg(F.sum("n").alias("weight")), "weights")
-    weighed = stored(members.join(weights, "set_id").select("bucket", "set_id", "weight"), "weighed")
-    centres = stored(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "set_id")).alias("centre")), "centres")
-    star = weighed.join(centres, "bucket").select(F.col("centre.set_id").alias("a"), F.col("set_id").alias("b"))
-    star = stored(star.where("a <> b").distinct(), "star")
+    weights = stored(members.groupBy("c").agg(F.sum("n").alias("weight")), "weights")
+    weighed = stored(members.join(weights, "c").select("bucket", "c", "weight"), "weighed")
+    centres = stored(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "c")).alias("centre")), "centres")
+    star = weighed.join(centres, "bucket").select(F.col("centre.c").alias("ca"), F.col("c").alias("cb"))
+    star = stored(star.where("ca <> cb").distinct(), "star")
+    for side in ("a", "b"):
+        star = star.join(numbered.select(F.col("c").alias("c" + side), F.col("set_id").alias(side)), "c" + side)
+    star = stored(star.select("a", "b"), "star")
+    finished(members, weighed, centres)
     # Full sets of the classes that share a bucket at all, made again from their texts.
-    wanted = weights.select("set_id").join(classes.select("set_id", "first"), "set_id").select(
+    wanted = weights.select("c").join(classes.select(F.xxhash64("set_id").alias("c"), "first"), "c").select(
         F.col("first.doc_id").alias("_id"), F.col("first.text_id").alias("_text")).distinct()
-    found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text")), "left_semi")
+    found = docs.join(maybe_broadcast(stored(wanted, "wanted"), MAX_HEADS), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text")), "left_semi")
     sets = found.select("text").mapInArrow(_full_sets(shingle), "set_id string, members array<bigint>")
     sets = stored(sets.dropDuplicates(["set_id"]), "sets")
-    outside = F.array_except("_b", "_a")
-    star = stored(_compared(star, sets).select("a", "b", F.size("_a").alias("na"), F.size("_b").alias("nb"), "common",
-                                               outside.alias("outside")), "compared")
+    star = stored(compared(star, sets), "compared")
     links = star.where(_linked("common", "na", "nb", percent)).select("a", "b")
     labels = components(links)
-    rest = _compared(stored(_rest(star, labels, percent), "rest"), sets).where(_linked("common", "size(_a)", "size(_b)", percent))
-    rest = stored(rest.select("a", "b"), "links")
+    rest = stored(pairs_around(star, labels, percent), "rest").withColumn("around", F.lit(False))
+    rest = stored(compared(rest, sets).where(_linked("common", "na", "nb", percent)).select("a", "b"), "links")
+    finished(sets, star)
     if not rest.isEmpty():
         labels = _merged(labels, rest)
     return _labelled(signed, classes, labels)
@@ -228,40 +255,61 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(merged.select("node", F.coalesce("joined", "label").alias("label")), "labels")
 
 
-def _rest(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components around one centre that may still be linked."""
-    named = star.join(labels.withColumnRenamed("node", "b"), "b", "left")
+def pairs_around(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components around one centre that may still be linked.
+
+    ``star`` as of ``compared``, a the centre. A pair's overlap is at most the centre's
+    elements that neither lacks and the outside elements that both may hold; the
+    bits of the differences bound both numbers.
+    """
+    # Centres, members and components go by numbers here; members get their names back at the end.
+    named = star.drop("outside", "around").join(labels.withColumnRenamed("node", "b"), "b", "left")
     apart = ~_linked("common", "na", "nb", percent)
-    named = stored(named.select(F.col("a").alias("centre"), F.col("b").alias("x"), F.col("na").alias("nc"), F.col("nb").alias("n"),
-                                "common", "outside", F.coalesce("label", "b").alias("label"), apart.alias("apart")), "named")
+    named = stored(named.select(F.xxhash64("a").alias("centre"), F.xxhash64("b").alias("x"), "b", F.col("na").alias("nc"), F.col("nb").alias("n"), "common",
+                                F.xxhash64(F.coalesce("label", "b")).alias("label"), apart.alias("apart"), (F.col("nb") - F.col("common")).alias("out"),
+                                *[F.col(f"{k}_bits")[i].alias(f"{k}{i}") for k in ("out", "miss") for i in range(2)]), "named")
     several = named.groupBy("centre").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("centre")
-    around = stored(named.join(several, "centre"), "around")
+    around = stored(named.drop("b").join(several, "centre"), "around")
     # Of two members of different components, one at least is not linked with the centre: s.
-    elements = around.select("centre", "x", "label", "apart", "n", F.explode("outside").alias("element"))
+    elements = star.select(F.xxhash64("a").alias("centre"), F.xxhash64("b").alias("x"), "outside")
+    elements = elements.join(around.select("centre", "x", "label", "apart", "n"), ["centre", "x"])
+    elements = elements.select("centre", "x", "label", "apart", "n", F.explode("outside").alias("element"))
     counts = elements.groupBy("centre", "element").agg(F.count(F.lit(1)).alias("held"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    known = stored(elements.join(stored(counts, "elements"), ["centre", "element"]), "known-elements")
-    # Elements that many members hold join the reference set; what is left outside is rare.
-    more = known.where(F.col("held") >= HELD_BY_MANY).groupBy("centre", "x").agg(F.count(F.lit(1)).alias("more"))
-    around = around.drop("outside").join(more, ["centre", "x"], "left")
-    around = stored(around.withColumn("common", (F.col("common") + F.coalesce("more", F.lit(0))).cast("int")).drop("more"), "around")
-
-    s = around.where("apart").select("centre", F.col("x").alias("s"), F.col("label").alias("ls"), F.col("n").alias("ns"), F.col("common").alias("cs"))
-    m = around.select("centre", F.col("x").alias("m"), F.col("label").alias("lm"), F.col("n").alias("nm"), F.col("common").alias("cm"))
+    known = stored(elements.join(stored(counts.where("held > 1"), "elements"), ["centre", "element"]), "known-elements")
+    # Elements that many members hold join the reference set; what is left outside is rare. Those of one member come first.
+    many = F.col("held") >= HELD_BY_MANY
+    more = known.groupBy("centre", "x").agg(F.count_if(many).alias("more"), F.count(F.lit(1)).alias("listed"))
+    around = around.join(more, ["centre", "x"], "left").withColumn("alone", F.expr("n - common - coalesce(listed, 0)"))
+    around = stored(around.withColumn("common", F.expr("cast(common + coalesce(more, 0) as int)")).drop("more", "listed"), "around")
+
+    bits = ["out0", "out1", "miss0", "miss1"]
+    s = around.where("apart").select("centre", F.col("x").alias("s"), F.col("label").alias("ls"), F.col("n").alias("ns"), F.col("common").alias("cs"),
+                                     "nc", F.col("out").alias("outs"), *[F.col(k).alias(k + "s") for k in bits])
+    m = around.select("centre", F.col("x").alias("m"), F.col("label").alias("lm"), F.col("n").alias("nm"), F.col("common").alias("cm"),
+                      F.col("out").alias("outm"), *[F.col(k).alias(k + "m") for k in bits])
+    left = "nc - bit_count(miss0s | miss0m) - bit_count(miss1s | miss1m)"
+    more_s = "outs - bit_count(out0s & ~out0m) - bit_count(out1s & ~out1m)"
+    more_m = "outm - bit_count(out0m & ~out0s) - bit_count(out1m & ~out1s)"
+    possible = _linked(f"({left} + least({more_s}, {more_m}))", "ns", "nm", percent)
     lo = f"cast(ceil({percent} * ns / 100) as int)"
     hi = f"least(cast(floor({100 + percent} * cs / {percent}) as int) - ns, cast(floor(100 * ns / {percent}) as int))"
     sizes = (s.withColumn("lo", F.expr(lo)).withColumn("hi", F.expr(hi)).where("lo <= hi")
              .withColumn("nm", F.explode(F.sequence("lo", "hi"))))
     inside = (sizes.join(m, ["centre", "nm"])
-              .where("ls <> lm").where(_linked("least(cs, cm)", "ns", "nm", percent)).select("s", "m"))
+              .where(F.expr("ls <> lm") & _linked("least(cs, cm)", "ns", "nm", percent) & possible).select("s", "m"))
     # Rarest elements first; sets that differ only outside the prefixes cannot reach the rule.
     place = F.row_number().over(Window.partitionBy("centre", "x").orderBy("held", "element"))
-    ranked = known.where(F.col("held") < HELD_BY_MANY).withColumn("place", place)
-    ranked = ranked.where(f"place <= n - cast(ceil({percent} * n / 100) as int) + 1").where("lo < hi")
+    ranked = known.where(~many).withColumn("place", place).join(around.select("centre", "x", "alone"), ["centre", "x"])
+    ranked = ranked.where(f"alone + place <= n - cast(ceil({percent} * n / 100) as int) + 1").where("lo < hi")
     ranked = stored(ranked.select("centre", "element", "x", "label", "apart"), "prefixes")
     beyond = (ranked.where("apart").select("centre", "element", F.col("x").alias("s"), F.col("label").alias("ls"))
               .join(ranked.select("centre", "element", F.col("x").alias("m"), F.col("label").alias("lm")), ["centre", "element"])
-              .where("ls <> lm").select("s", "m"))
-    return inside.unionByName(beyond).select(F.least("s", "m").alias("a"), F.greatest("s", "m").alias("b")).distinct()
+              .where("ls <> lm").select("centre", "s", "m")).distinct()
+    beyond = beyond.join(s.drop("ls"), ["centre", "s"]).join(m.drop("lm"), ["centre", "m"]).where(possible).select("s", "m")
+    pairs = inside.unionByName(beyond).select(F.least("s", "m").alias("s"), F.greatest("s", "m").alias("m")).distinct()
+    names = named.select("x", "b").distinct()
+    pairs = pairs.join(names.select(F.col("x").alias("s"), F.col("b").alias("a")), "s").join(names.select(F.col("x").alias("m"), "b"), "m")
+    return pairs.select("a", "b")
 
 
 def _labelled(signed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -286,9 +334,8 @@ def remove_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent
     found = groups(documents, shingle, percent)
     chosen = found.where("chosen").select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"),
                                           F.col("set_id").isNull().alias("_empty")).distinct()
-    docs = documents.withColumn("_text_id", F.xxhash64(F.col("text").cast("string")))
+    docs = carried(documents, "doc_id", "text").withColumn("_text_id", F.xxhash64(F.col("text").cast("string")))
     kept = docs.join(stored(chosen, "chosen"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id"))
                      & (F.col("_text_id") == F.col("_text")))
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    empty = kept.where("_empty").select(*columns)
-    return kept.where("not _empty").dropDuplicates(["doc_id", "_text_id"]).select(*columns).unionByName(empty)
+    one = kept.where("not _empty").dropDuplicates(["doc_id", "_text_id"]).unionByName(kept.where("_empty"))
+    return restored(one, documents)
