@@ -19,6 +19,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,24 +63,24 @@ def write_archive(path: str, members: list[tuple[str, bytes]]) -> None:
     store.move(draft, inner)
 
 
-def _landed_members(kind: str, first: int, rows: list[list[str]]) -> list[tuple[str, bytes]]:
+def _landed_members(kind: str, part: str, rows: list[list[str]]) -> list[tuple[str, bytes]]:
     half = (len(rows) + 1) // 2
     if kind == "city":
-        return [(f"city_{first}_a.csv", _csv_bytes(CITY_HEADER, rows[:half], "cp949")), ("empty.csv", b""),
-                (f"city_{first}_b.csv", _csv_bytes(CITY_HEADER_ALT, rows[half:], "cp949"))]
-    return [(f"AL_D151_{first}_a.csv", _csv_bytes(BULK_HEADER, rows[:half], "cp949")), ("readme.txt", "not a data member".encode("cp949")),
-            (f"AL_D151_{first}_b.csv", _csv_bytes(BULK_HEADER, rows[half:], "cp949"))]
+        return [(f"city_{part}_a.csv", _csv_bytes(CITY_HEADER, rows[:half], "cp949")), ("empty.csv", b""),
+                (f"city_{part}_b.csv", _csv_bytes(CITY_HEADER_ALT, rows[half:], "cp949"))]
+    return [(f"AL_D151_{part}_a.csv", _csv_bytes(BULK_HEADER, rows[:half], "cp949")), ("readme.txt", "not a data member".encode("cp949")),
+            (f"AL_D151_{part}_b.csv", _csv_bytes(BULK_HEADER, rows[half:], "cp949"))]
 
 
 def _land(kind: str, folder: str):
     def land(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        task = TaskContext.get().partitionId()
+        for i, b in enumerate(batches):
             if b.empty:
                 continue
-            first = int(b["seq"].min())
-            rows = b.drop(columns=["seq", "xp"]).astype(str).values.tolist()
-            path = f"{folder}/{kind}_{first}_{b['xp'].iloc[0]}.zip"
-            write_archive(path, _landed_members(kind, first, rows))
+            rows = b.astype(str).values.tolist()
+            path = f"{folder}/{kind}_{task}_{i}.zip"
+            write_archive(path, _landed_members(kind, f"{task}_{i}", rows))
             yield pd.DataFrame({"path": [path], "n": [len(rows)]})
     return land
 
@@ -99,7 +100,7 @@ def _raw_with_months(spark: SparkSession, sf: str, source: str) -> DataFrame:
 def _city_cells(spark: SparkSession, sf: str) -> DataFrame:
     r = _raw_with_months(spark, sf, SRC_CITY)
     p = F.col("pnu")
-    return r.select("seq", "xp", F.substring(p, 1, 2).alias("a"), F.substring(p, 1, 5).alias("b"),
+    return r.select(F.substring(p, 1, 2).alias("a"), F.substring(p, 1, 5).alias("b"),
                     F.substring(p, 1, 10).alias("c"), p.alias("d"), F.col("pblntfPclnd").alias("e"),
                     F.substring(p, 1, 5).alias("f"), F.substring(p, 1, 10).alias("g"),
                     F.substring(p, 11, 1).alias("h"), F.lit("").alias("i"),
@@ -115,7 +116,7 @@ def city_archives(spark: SparkSession, sf: str) -> str:
 def _bulk_cells(spark: SparkSession, sf: str) -> DataFrame:
     r = _raw_with_months(spark, sf, SRC_API)
     p = F.col("pnu")
-    return r.select("seq", "xp", p.alias("a"), F.substring(p, 1, 10).alias("b"), F.lit("").alias("c"),
+    return r.select(p.alias("a"), F.substring(p, 1, 10).alias("b"), F.lit("").alias("c"),
                     F.lit("1").alias("d"), F.lit("").alias("e"), F.substring(p, 12, 8).alias("f"),
                     F.col("stdrYear").alias("g"), F.col("bulk_mt").alias("h"),
                     F.col("pblntfPclnd").alias("i"), F.col("pblntfDe").alias("j"),

@@ -68,18 +68,23 @@ def current(spark: SparkSession, root: str) -> State:
     """The state that the pointer names now."""
     root = root.rstrip("/")
     jvm, fs, folder = _hadoop(spark, f"{root}/_pointer")
-    if not fs.exists(folder):
-        return State(root)
-    numbers = [int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit()]
-    if not numbers:
-        return State(root)
-    number = max(numbers)
-    stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, f"{number:010d}"))
-    try:
-        manifest = bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-    return State(root, number, manifest)
+    for attempt in range(ATTEMPTS):
+        if not fs.exists(folder):
+            return State(root)
+        numbers = [int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit()]
+        if not numbers:
+            return State(root)
+        try:
+            stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, f"{max(numbers):010d}"))
+        except Exception:  # moved on between the two looks
+            if attempt == ATTEMPTS - 1:
+                raise
+            continue
+        try:
+            return State(root, max(numbers), bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+    raise AssertionError
 
 
 def move_pointer(spark: SparkSession, state: State, manifest: str) -> State:
@@ -201,7 +206,7 @@ def replace_units(spark: SparkSession, root: str, write_data, schema: T.StructTy
 
 
 def remove_superseded(spark: SparkSession, root: str, older_than_ms: int) -> int:
-    """Delete data files that the state in force does not name and that are older than the given age; returns their number.
+    """Delete data files that the state in force does not name, and other manifests, if older than the given age; returns the number of data files.
 
     Call it when no reader of an older state and no writer is under way any more.
     """
@@ -215,4 +220,9 @@ def remove_superseded(spark: SparkSession, root: str, older_than_ms: int) -> int
     for row in unnamed.select("path").toLocalIterator():
         jvm, fs, path = _hadoop(spark, row.path)
         count += bool(fs.delete(path, False))
+    jvm, fs, folder = _hadoop(spark, f"{state.root}/manifests")
+    clock = jvm.java.lang.System.currentTimeMillis()
+    for status in fs.listStatus(folder) if fs.exists(folder) else ():
+        if status.getPath().getName() != state.manifest and clock - status.getModificationTime() >= older_than_ms:
+            fs.delete(status.getPath(), True)
     return count

@@ -109,4 +109,5 @@ def test_superseded_files_go_on_request(spark, tmp_dir):
     fact_store.write_fact(_fact(spark, [(SEOUL, 2024, 1, 11)]), tmp_dir)
     assert manifest.remove_superseded(spark, tmp_dir, older_than_ms=3_600_000) == 0
     assert manifest.remove_superseded(spark, tmp_dir, older_than_ms=0) == 1
+    assert os.listdir(f"{tmp_dir}/manifests") == [manifest.current(spark, tmp_dir).manifest]
     assert rows(fact_store.read_fact(spark, tmp_dir)) == [("11110", 2024, 11), ("26110", 2024, 20)]
