@@ -159,7 +159,7 @@ def partitioned_root(spark: SparkSession, sf_dir: str) -> str:
 
 def fact_table(spark: SparkSession, sf_dir: str, source: str | None = None, **scope) -> DataFrame:
     """The partitioned fact table as S5 reads it; ``scope`` (``manifest.file_scope``) names the files to open."""
-    return fact_store.read_fact(spark, partitioned_root(spark, sf_dir), scope=manifest.file_scope(source, **scope))
+    return fact_store.read_fact(spark, partitioned_root(spark, sf_dir), source=source, scope=manifest.file_scope(**scope))
 
 
 def conflict_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,10 +29,11 @@ def read_fact(spark: SparkSession, root: str, source: str | None = None, scope:
     Filter the rows by the same scope afterwards.
     """
     state = state or manifest.current(spark, root)
-    if source is not None:
-        named = manifest.file_scope(source=source)
-        scope = named if scope is None else named & scope
-    return manifest.scan(spark, state, STORED_SCHEMA, scope)
+    if source is None:
+        return manifest.scan(spark, state, STORED_SCHEMA, scope)
+    named = manifest.file_scope(source=source)
+    scope = named if scope is None else named & scope
+    return manifest.scan(spark, state, STORED_SCHEMA, scope).where(F.col("source") == source)
 
 
 def read_reference_layout(spark: SparkSession, root: str, source: str) -> DataFrame:
