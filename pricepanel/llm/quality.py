@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricepanel.llm.tables import ROW, carried, restored, stored
+from pricepanel.llm.tables import carried, restored, stored
 from pricepanel.operators.joins import maybe_broadcast
 
 SPACES = " \t\n\x0b\f\r"
@@ -166,8 +166,12 @@ def verdicts(documents: DataFrame, max_groups: int = MAX_GROUPS, **sketching) ->
 def keep_documents(documents: DataFrame, max_groups: int = MAX_GROUPS, **sketching) -> DataFrame:
     """``documents`` without the rejected rows; columns unchanged, whatever they are called.
 
-    The counts are made once and written beside their rows.
+    The counts are made twice, once for the limits and once beside the text,
+    which saves a shuffle or a copy of all texts.
     """
-    profiles = stored(profile(carried(documents, "lang", "source", "text")), "profiles")
-    judged = _judged(profiles, limits(profiles.drop("text", ROW), **sketching), max_groups)
-    return restored(judged.where("kept"), documents)
+    bounds = limits(profile(documents.select("lang", "source", "text")).drop("text"), **sketching)
+    judged = _judged(profile(carried(documents, "lang", "source", "text")), bounds, max_groups)
+    # One sum over both sides of the join: a condition on the counts alone would be pushed below
+    # it and the steps of the profile be made once for every mention.
+    lost = F.col("base_failed").cast("int") + (~F.col("kept")).cast("int")
+    return restored(judged.where(lost == 0), documents)

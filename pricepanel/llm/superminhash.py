@@ -328,14 +328,17 @@ def _labelled(signed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
 def remove_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``documents`` with one row of each group; rows without words stay as they are.
 
-    Chosen (doc_id, text) pairs are few bytes a document; repeated rows of the
-    chosen document are reduced to one on the same partitioning.
+    Only the (doc_id, text) pairs that go, or that stand in several rows, meet
+    the texts: few bytes each. Repeated rows of a chosen document are reduced to one.
     """
-    found = groups(documents, shingle, percent)
-    chosen = found.where("chosen").select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"),
-                                          F.col("set_id").isNull().alias("_empty")).distinct()
+    found = groups(documents, shingle, percent).where("set_id is not null")
+    pairs = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).agg(
+        F.max("chosen").alias("_chosen"), F.count(F.lit(1)).alias("n"))
+    special = stored(pairs.where("not _chosen or n > 1").select("_id", "_text", "_chosen"), "special")
     docs = carried(documents, "doc_id", "text").withColumn("_text_id", F.xxhash64(F.col("text").cast("string")))
-    kept = docs.join(stored(chosen, "chosen"), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id"))
-                     & (F.col("_text_id") == F.col("_text")))
-    one = kept.where("not _empty").dropDuplicates(["doc_id", "_text_id"]).unionByName(kept.where("_empty"))
-    return restored(one, documents)
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_id") == F.col("_text"))
+    kept = docs.join(maybe_broadcast(special, MAX_HEADS), same, "left")
+    out = kept.where("_chosen is null")
+    if not special.where("_chosen").isEmpty():
+        out = out.unionByName(kept.where("_chosen").dropDuplicates(["doc_id", "_text_id"]))
+    return restored(out, documents)
