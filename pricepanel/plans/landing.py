@@ -78,7 +78,7 @@ def _land(kind: str, folder: str):
         for i, b in enumerate(batches):
             if b.empty:
                 continue
-            rows = b.astype(str).values.tolist()
+            rows = (b.astype(str) if b.isna().to_numpy().any() else b).values.tolist()  # the cells are texts already
             path = f"{folder}/{kind}_{task}_{i}.zip"
             write_archive(path, _landed_members(kind, f"{task}_{i}", rows))
             yield pd.DataFrame({"path": [path], "n": [len(rows)]})
@@ -153,6 +153,10 @@ def code_archive(spark: SparkSession, sf: str) -> str:
     return fx.stored_path(spark, sf, "landing-codes", write) + "/codes.zip"
 
 
+#: Records that one task makes into pages (one file): what a task sorts fits in memory, whatever the size of the table.
+PAGE_TASK_ROWS = 50_000
+
+
 def _pages(keyed: DataFrame) -> DataFrame:
     """Records (prefix, year, block, seq, xp, rec) as landed JSON pages ``(prefix, year, page_no, body)``.
 
@@ -160,9 +164,12 @@ def _pages(keyed: DataFrame) -> DataFrame:
     block of arrival numbers, so a page is bounded whatever the unit size.
     ``totalCount`` is the unit's row count (aggregated, then joined back to the
     pages). Envelopes rotate over three shapes, and one-record pages carry a
-    bare object instead of a list.
+    bare object instead of a list. The records are dealt to as many tasks as
+    their number asks for before they are grouped: most pages hold few records,
+    so grouping before the exchange would only sort (and spill) all of them.
     """
-    pages = keyed.groupBy("prefix", "year", "block").agg(
+    tasks = -(-keyed.count() // PAGE_TASK_ROWS) or 1
+    pages = keyed.repartition(tasks, "prefix", "year", "block").groupBy("prefix", "year", "block").agg(
         F.array_sort(F.collect_list(F.struct("seq", "xp", "rec"))).alias("recs"))
     units = keyed.groupBy("prefix", "year").agg(F.count(F.lit(1)).alias("total"))
     j = pages.join(units, ["prefix", "year"])
@@ -186,7 +193,7 @@ def _keyed(raw: DataFrame, rec, page_span: int) -> DataFrame:
 
 
 def _landed_json(spark: SparkSession, sf: str, name: str, pages) -> str:
-    return fx.stored_path(spark, sf, f"landing-{name}", lambda p: pages().write.mode("overwrite").json(p))
+    return fx.stored_path(spark, sf, f"landing-{name}", lambda p: pages().write.mode("overwrite").option("compression", "gzip").json(p))
 
 
 def pages_folder(spark: SparkSession, sf: str, page_span: int = 10_000) -> str:

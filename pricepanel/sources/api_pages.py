@@ -124,8 +124,11 @@ def parse_api_pages(pages: DataFrame, body: str = "body", fail_on_fatal: bool =
     """
     rec = record_texts(pages, body, fail_on_fatal)
     page_cols = [c for c in pages.columns if c != body]
-    text = F.col("rec") if check is None else check
-    parsed = rec.select(*page_cols, "rec_no", F.from_json(text, schema, _JSON_OPTS).alias("_r"))
+    if check is not None:
+        rec = rec.withColumn("rec", check)
+    # Exploded from an array of one: a filter on the record's fields stays above an
+    # explode, where Spark would push it below a projection and parse the text again there.
+    parsed = rec.select(*page_cols, "rec_no", F.explode_outer(F.array(F.from_json("rec", schema, _JSON_OPTS))).alias("_r"))
     return parsed.select(*page_cols, "rec_no", *[F.col("_r").getField(f).alias(f) for f in schema.names])
 
 
