@@ -34,8 +34,15 @@ def _col(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Strip leading/trailing Unicode whitespace (Python ``str.strip``)."""
-    return F.trim(_col(c), F.lit(_WHITESPACE))
+    """Strip leading/trailing Unicode whitespace (Python ``str.strip``).
+
+    Text that starts and ends with a visible ASCII character has nothing to
+    strip: two comparisons tell, where the trim looks every end up in the set.
+    """
+    text = _col(c)
+    last = F.substring(text, -1, 1)
+    bare = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(bare, text).otherwise(F.trim(text, F.lit(_WHITESPACE)))
 
 
 def null_if_empty(c) -> Column:
@@ -44,13 +51,13 @@ def null_if_empty(c) -> Column:
     return F.when(s == "", F.lit(None).cast("string")).otherwise(s)
 
 
-def _cast(c: Column, to: str, strict: bool) -> Column:
+def cast_text(c: Column, to: str, strict: bool) -> Column:
     return c.cast(to) if strict else c.try_cast(to)
 
 
 def price_text(c) -> Column:
     """Stripped price text with thousands separators removed."""
-    return F.regexp_replace(strip(F.coalesce(_col(c), F.lit(""))), ",", "")
+    return F.replace(strip(F.coalesce(_col(c), F.lit(""))), F.lit(","), F.lit(""))
 
 
 def norm_price(c, strict: bool = True) -> Column:
@@ -58,14 +65,20 @@ def norm_price(c, strict: bool = True) -> Column:
 
     Empty text gives NULL (callers drop such rows, see ``valid_api_row``).
     """
-    s = price_text(c)
+    return price_of(price_text(c), strict)
+
+
+def price_of(s: Column, strict: bool) -> Column:
     return F.when(s == "", F.lit(None).cast("long")).otherwise(
-        _cast(_cast(s, "double", strict), "long", strict))
+        cast_text(cast_text(s, "double", strict), "long", strict))
 
 
 def norm_month_api(c) -> Column:
     """API month text; digits -> int, anything else (or missing) -> 1."""
-    s = strip(F.coalesce(_col(c), F.lit("")))
+    return _month_of(strip(F.coalesce(_col(c), F.lit(""))))
+
+
+def _month_of(s: Column) -> Column:
     return F.when(s.rlike(DIGITS), s.cast("int")).otherwise(F.lit(1))
 
 
@@ -92,18 +105,21 @@ def norm_month_multi(c) -> Column:
 def norm_month_bulk(c, strict: bool = True) -> Column:
     """``int(x or 1)`` -- only the empty string defaults to 1."""
     raw = F.coalesce(_col(c), F.lit(""))
-    return F.when(raw == "", F.lit(1)).otherwise(_cast(strip(raw), "int", strict))
+    return F.when(raw == "", F.lit(1)).otherwise(cast_text(strip(raw), "int", strict))
 
 
 def norm_bool_yn(c) -> Column:
     """Three-valued standard-parcel flag from text (NULL stays NULL)."""
-    s = strip(_col(c))
+    return _yes_of(strip(_col(c)))
+
+
+def _yes_of(s: Column) -> Column:
     return (F.when(s.isNull() | (s == ""), F.lit(None).cast("boolean"))
             .otherwise(F.upper(s).isin(*STANDARD_YES)))
 
 
 def norm_year(c, strict: bool = True) -> Column:
-    return _cast(strip(_col(c)), "int", strict)
+    return cast_text(strip(_col(c)), "int", strict)
 
 
 def valid_api_row(pnu="pnu", year="stdrYear", price="pblntfPclnd") -> Column:
@@ -119,17 +135,26 @@ def norm_api_row(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()
     Keeps ``last_updt_dt`` (stripped, missing = '') for revision choice and
     any extra columns listed in ``keep`` (e.g. an arrival sequence).
     Month 0 is coerced to 1 *before* de-duplication so keys stay unique.
+
+    The texts are stripped in a projection of their own, once each: all in one
+    is more code than the JVM compiles of a method, and runs interpreted.
     """
-    return (raw.where(valid_api_row())
-            .select(
-                strip("pnu").alias("pnu"),
-                norm_year("stdrYear", strict).alias("stdr_year"),
-                month_zero_to_one(norm_month_api("stdrMt")).alias("stdr_month"),
-                norm_price("pblntfPclnd", strict).alias("price_per_m2"),
-                null_if_empty("pblntfDe").alias("pblntf_de"),
-                norm_bool_yn("stdLandAt").alias("std_land_yn"),
-                strip(F.coalesce(F.col("lastUpdtDt"), F.lit(""))).alias("last_updt_dt"),
-                *[F.col(k) for k in keep]))
+    def given(c):
+        return F.coalesce(F.col(c), F.lit(""))
+
+    text = raw.where(valid_api_row()).select(
+        strip("pnu").alias("pnu"), strip("stdrYear").alias("_year"), strip(given("stdrMt")).alias("_month"),
+        price_text("pblntfPclnd").alias("_price"), strip("pblntfDe").alias("_date"), strip("stdLandAt").alias("_std"),
+        strip(given("lastUpdtDt")).alias("last_updt_dt"), *[F.col(k) for k in keep])
+    return text.select(
+        "pnu",
+        cast_text(F.col("_year"), "int", strict).alias("stdr_year"),
+        month_zero_to_one(_month_of(F.col("_month"))).alias("stdr_month"),
+        price_of(F.col("_price"), strict).alias("price_per_m2"),
+        F.nullif("_date", F.lit("")).alias("pblntf_de"),
+        _yes_of(F.col("_std")).alias("std_land_yn"),
+        "last_updt_dt",
+        *[F.col(k) for k in keep])
 
 
 def to_fact_schema(df: DataFrame, source: str | None = None,
