@@ -36,14 +36,18 @@ class RecordKind:
 
 def _standard_rows(raw: DataFrame, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Standard-parcel records -> typed rows; no month, a record without price, parcel or year is dropped."""
-    area = F.regexp_replace(N.strip(F.coalesce(F.col("lndpclAr"), F.lit(""))), ",", "")
+    names = {"std_no": "stdLandSn", "land_category": "lndcgrCodeNm", "zoning": "prposArea1Nm", "land_use": "ladUseSittnNm", "road_side": "roadSideCodeNm"}
+    # stripped first, once each, in a projection of their own (see norm_api_row)
+    text = raw.where(N.valid_api_row()).select(
+        N.strip("pnu").alias("pnu"), N.strip("stdrYear").alias("_year"), N.price_text("pblntfPclnd").alias("_price"),
+        N.price_text("lndpclAr").alias("_area"), *[N.strip(wire).alias(f"_{name}") for name, wire in names.items()],
+        N.strip(F.coalesce(F.col("lastUpdtDt"), F.lit(""))).alias("last_updt_dt"), *[F.col(k) for k in keep])
+    area = F.col("_area")
     area = F.when(area != "", area.cast("decimal(18,2)") if strict else area.try_cast("decimal(18,2)"))
-    return raw.where(N.valid_api_row()).select(
-        N.strip("pnu").alias("pnu"), N.null_if_empty("stdLandSn").alias("std_no"), N.norm_year("stdrYear", strict).alias("stdr_year"),
-        N.norm_price("pblntfPclnd", strict).alias("price_per_m2"), area.alias("area_m2"), N.null_if_empty("lndcgrCodeNm").alias("land_category"),
-        N.null_if_empty("prposArea1Nm").alias("zoning"), N.null_if_empty("ladUseSittnNm").alias("land_use"),
-        N.null_if_empty("roadSideCodeNm").alias("road_side"), N.strip(F.coalesce(F.col("lastUpdtDt"), F.lit(""))).alias("last_updt_dt"),
-        *[F.col(k) for k in keep])
+    said = {name: F.nullif(f"_{name}", F.lit("")).alias(name) for name in names}
+    return text.select(
+        "pnu", said["std_no"], N.cast_text(F.col("_year"), "int", strict).alias("stdr_year"), N.price_of(F.col("_price"), strict).alias("price_per_m2"),
+        area.alias("area_m2"), said["land_category"], said["zoning"], said["land_use"], said["road_side"], "last_updt_dt", *[F.col(k) for k in keep])
 
 
 KINDS: dict[str, RecordKind] = {}
