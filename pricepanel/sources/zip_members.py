@@ -1,10 +1,12 @@
-"""ZIP archives of delimited text as a Spark data source: one partition per member.
+"""ZIP archives of delimited text as a Spark data source, planned by members.
 
 ``spark.read.format("zip_members")`` plans from the archives' central
 directories, which name every member with its offset and sizes, so an archive is
-read by as many tasks as it has members. A task opens its own range of the
-archive, inflates it as a stream and decodes it by Arrow in blocks: neither an
-archive nor a member is ever whole in memory, and there is no limit on size.
+read by as many tasks as it has members. Where there are many small members, a
+task reads several in turn (``bundles``): starting a task costs more than a small
+member. A task opens its members' ranges of the archives, inflates them as
+streams and decodes them by Arrow in blocks: neither an archive nor a member is
+ever whole in memory, and there is no limit on size.
 
 Options: ``path`` (a file or a folder), ``glob`` (names in a folder),
 ``encoding``, ``delimiter``, ``quoted`` (false: quotes are ordinary text),
@@ -39,13 +41,40 @@ BLOCK_BYTES = 4 << 20
 CELLS = pa.list_(pa.string())
 
 
+#: Inflated bytes of the small members that one task reads, and tasks that members are spread over first.
+BUNDLE_BYTES = 16 << 20
+LEAST_TASKS = 64
+
+
 @dataclass
-class Member(InputPartition):
-    """One member of one archive."""
+class Member:
+    """One member of one archive, with its inflated size."""
 
     path: str
     name: str
     index: int
+    size: int
+
+
+@dataclass
+class Bundle(InputPartition):
+    """The members that one task reads."""
+
+    members: list[Member]
+
+
+def bundles(members: list[Member]) -> list[Bundle]:
+    """Neighbouring members up to a task's share of the bytes; a larger member is a task of its own."""
+    share = min(BUNDLE_BYTES, sum(m.size for m in members) // LEAST_TASKS)
+    out: list[Bundle] = []
+    held = 0
+    for m in members:
+        if not out or held + m.size > share:
+            out.append(Bundle([]))
+            held = 0
+        out[-1].members.append(m)
+        held += m.size
+    return out
 
 
 def open_store(path: str) -> tuple[fs.FileSystem, str]:
@@ -69,7 +98,7 @@ def members_of(path: str, suffix: str, first: bool) -> list[Member]:
     store, inner = open_store(path)
     with store.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
         listed = list(enumerate(archive.infolist()))[:1 if first else None]
-        return [Member(path, m.filename, i) for i, m in listed if m.file_size and m.filename.lower().endswith(suffix)]
+        return [Member(path, m.filename, i, m.file_size) for i, m in listed if m.file_size and m.filename.lower().endswith(suffix)]
 
 
 def _clean(cell: str) -> str:
@@ -91,7 +120,7 @@ class MemberReader(DataSourceReader):
         paths = archive_paths(self.path, self.glob)
         with ThreadPoolExecutor(16) as pool:
             listed = pool.map(lambda p: members_of(p, self.suffix, self.first), paths)
-            return [m for ms in listed for m in ms]
+            return bundles([m for ms in listed for m in ms])
 
     def _cells(self, lines) -> list[list[str]]:
         return list(csv.reader(lines, delimiter=self.delimiter, quoting=csv.QUOTE_MINIMAL if self.quoted else csv.QUOTE_NONE))
@@ -101,7 +130,11 @@ class MemberReader(DataSourceReader):
             text = io.TextIOWrapper(raw, encoding=self.encoding, errors="strict", newline="")
             return next(csv.reader(text, delimiter=self.delimiter, quoting=csv.QUOTE_MINIMAL if self.quoted else csv.QUOTE_NONE), None)
 
-    def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Bundle) -> Iterator[pa.RecordBatch]:
+        for member in partition.members:
+            yield from self._read_member(member)
+
+    def _read_member(self, partition: Member) -> Iterator[pa.RecordBatch]:
         store, inner = open_store(partition.path)
         with store.open_input_file(inner) as raw, zipfile.ZipFile(raw) as archive:
             info = archive.infolist()[partition.index]
