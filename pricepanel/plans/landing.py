@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricepanel.operators.joins import DEFAULT_BROADCAST_ROWS
 from pricepanel.plans import fixtures as fx
 from pricepanel.schema import SRC_API, SRC_CITY
 from pricepanel.session import ship_package
@@ -168,10 +169,13 @@ def _pages(keyed: DataFrame) -> DataFrame:
     their number asks for before they are grouped: most pages hold few records,
     so grouping before the exchange would only sort (and spill) all of them.
     """
-    tasks = -(-keyed.count() // PAGE_TASK_ROWS) or 1
+    units = keyed.groupBy("prefix", "year").agg(F.count(F.lit(1)).alias("total"))
+    held = units.agg(F.count(F.lit(1)).alias("units"), F.coalesce(F.sum("total"), F.lit(0)).alias("records")).first()
+    if held.units <= DEFAULT_BROADCAST_ROWS:  # else a shuffle join, which moves the finished pages once more
+        units = F.broadcast(units)
+    tasks = -(-held.records // PAGE_TASK_ROWS) or 1
     pages = keyed.repartition(tasks, "prefix", "year", "block").groupBy("prefix", "year", "block").agg(
         F.array_sort(F.collect_list(F.struct("seq", "xp", "rec"))).alias("recs"))
-    units = keyed.groupBy("prefix", "year").agg(F.count(F.lit(1)).alias("total"))
     j = pages.join(units, ["prefix", "year"])
     texts = F.transform("recs", lambda r: r["rec"])
     items = F.when(F.size(texts) == 1, F.get(texts, 0)) \
