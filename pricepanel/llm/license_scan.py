@@ -3,11 +3,11 @@
 Units of a text are its lines, its paragraphs and the whole text, each once. A
 unit is a sparse vector of its terms (``[a-z0-9]+``): a term weighs its
 count times ``ln((1 + N) / (1 + df)) + 1`` with N and df counted over all
-documents, whether a template has it or not. The cosine to
-each template is a join of (unit, term, weight) with (template, term, weight)
-and a sum. Only units that can reach MIN_SCORE get that far: a unit without
-any of a template's heaviest terms, whose rest is too light for the score,
-cannot, so this test drops none that counts.
+documents, whether a template has it or not. The products with all templates are
+formed in the row. Only units that can reach MIN_SCORE leave it: a text without any of a template's rarest terms, whose rest is
+too light for the score, cannot, nor can a unit whose product with the
+templates is too small for its norm with every other word at the least weight
+(``able_units``). These tests drop none that counts.
 
 A document's own license is its best unit's (higher score, then name). A
 directory's license is the one that most licence files directly in it state (files
@@ -16,9 +16,9 @@ name): a notice in one source file licenses that file alone. Documents without a
 license inherit from the nearest ancestor directory that has one. Directories are few compared with documents and are
 resolved first; documents join their directory's answer.
 
-Frequencies of other terms are counted for the terms of the units that get that
-far, combined map-side. The template table is broadcast (its size is that of
-TEMPLATES); tables of terms are written and joined by their measured size. Null and empty texts have no units, a null path no directory: own
+Frequencies are counted once for all terms, combined map-side; a term outside
+them and the templates is in one document. The other words of the able units
+are joined with them for the norm. Null and empty texts have no units, a null path no directory: own
 license or none. Repeated rows count as often as they come.
 """
 
@@ -135,73 +135,109 @@ def template_terms() -> list[dict[str, int]]:
     return out
 
 
-def document_frequencies(documents: DataFrame) -> tuple[int, dict[str, int]]:
-    """Number of documents, and of those that hold each template term (as many rows as templates have terms)."""
-    vocabulary = sorted({t for counts in template_terms() for t in counts})
-    wanted = F.array(*[F.lit(t) for t in vocabulary])
-    held = documents.select(F.explode_outer(F.array_append(F.array_intersect(terms(F.coalesce("text", F.lit(""))), wanted), F.lit(""))).alias("term"))
-    counts = {r["term"]: r["n"] for r in held.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return counts.get("", 0), {t: counts.get(t, 0) for t in vocabulary}
+def vocabulary() -> list[str]:
+    """The terms of all templates."""
+    return sorted({t for counts in template_terms() for t in counts})
 
 
-def term_frequencies(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(term, df): the number of documents with each wanted term."""
-    held = documents.select(F.explode(F.array_distinct(terms(F.col("text").cast("string")))).alias("term"))
-    return held.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def term_frequencies(documents: DataFrame) -> DataFrame:
+    """(term, df) of the terms in more than one document, and of the templates' terms in one; counts are combined map-side."""
+    held = documents.select(F.explode(F.array_distinct(terms(F.col("text").cast("string")))).alias("term")).where("term <> ''")
+    return held.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") > 1) | F.col("term").isin(vocabulary()))
 
 
 class Weights:
-    """Template vectors under the corpus' frequencies, and the terms that a fitting unit must touch."""
+    """Template vectors under the corpus' frequencies, and the terms that a fitting unit must touch.
+
+    ``needed`` has the rarest terms of each template, so many that the others are too
+    light for the score.
+    """
 
     def __init__(self, total: int, frequency: dict[str, int], min_score: float):
-        self.idf = {t: math.log((1 + total) / (1 + n)) + 1 for t, n in frequency.items()}
         self.total = total
-        self.rows, needed = [], set()
-        for n, counts in enumerate(template_terms()):
-            weights = {t: c * self.idf[t] for t, c in counts.items()}
+        templates = template_terms()
+        self.terms = vocabulary()
+        idf = {t: math.log((1 + total) / (1 + frequency.get(t, 0))) + 1 for t in self.terms}
+        self.idf = [idf[t] for t in self.terms]
+        vectors, needed = [], set()
+        for counts in templates:
+            weights = {t: c * idf[t] for t, c in counts.items()}
             norm = math.sqrt(sum(w * w for w in weights.values()))
-            self.rows += [(n, TEMPLATES[n][0], t, w / norm) for t, w in weights.items()]
+            vectors.append({t: w / norm for t, w in weights.items()})
             rest = 1.0
-            for t in sorted(weights, key=lambda t: (-weights[t], t)):
+            for t in sorted(weights, key=lambda t: (-weights[t] ** 2 / (1 + frequency.get(t, 0)), t)):
                 if rest < (min_score * 0.999) ** 2:
                     break
                 needed.add(t)
                 rest -= (weights[t] / norm) ** 2
+        #: What one occurrence of a term adds to the product with each template.
+        self.parts = [[idf[t] * v.get(t, 0.0) for v in vectors] for t in self.terms]
         self.needed = sorted(needed)
 
 
+def _doubles(values: list[float]) -> str:
+    return f"array({', '.join(f'{v!r}D' for v in values)})"
+
+
+def able_units(documents: DataFrame, weights: Weights, min_score: float) -> DataFrame:
+    """(path, doc_id, unit_id, whole, license, part, own, others) of the units that can reach the score.
+
+    ``part`` is the product with the best template, ``own`` the template terms' share
+    of the squared norm, ``others`` the unit's other words in their order. A word
+    weighs 1 at least, so a unit's norm is at least the root of ``own`` and its other
+    words; that bound is tested where the unit is read, and the units below it go no
+    further.
+    """
+    listed, needed = (F.array(*[F.lit(t) for t in words]) for words in (weights.terms, weights.needed))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    units = F.array_distinct(F.concat(F.split(text, "\n", -1), F.split(text, r"\n[\x20\t\r]*\n[\s]*", -1), F.array(text)))
+    idf, parts = F.expr(_doubles(weights.idf)), F.expr(f"array({', '.join(_doubles(p) for p in weights.parts)})")
+    zeros = F.expr(_doubles([0.0] * len(TEMPLATES)))
+
+    def split(u: Column) -> Column:
+        return F.struct(F.xxhash64(u).alias("unit_id"), (u == text).alias("whole"), terms(u).alias("terms"))
+
+    def sorted_out(u: Column) -> Column:
+        known = F.filter(u["terms"], lambda t: t.isin(weights.terms))
+        others = F.filter(u["terms"], lambda t: (t != "") & ~t.isin(weights.terms))
+        return F.struct(u["unit_id"], u["whole"], others.alias("others"), known.alias("known"), F.array_distinct(known).alias("distinct"))
+
+    def counted(u: Column) -> Column:
+        each = F.transform(u["distinct"], lambda t: F.struct(
+            F.array_position(listed, t).cast("int").alias("at"), F.size(F.filter(u["known"], lambda x: x == t)).cast("double").alias("tf")))
+        return F.struct(u["unit_id"], u["whole"], u["others"], each.alias("counts"))
+
+    def multiplied(u: Column) -> Column:
+        product = F.aggregate(u["counts"], zeros, lambda acc, c: F.zip_with(acc, F.element_at(parts, c["at"]), lambda x, w: x + c["tf"] * w))
+        own = F.aggregate(u["counts"], F.lit(0.0), lambda acc, c: acc + F.pow(c["tf"] * F.element_at(idf, c["at"]), 2))
+        return F.struct(u["unit_id"], u["whole"], u["others"], product.alias("product"), own.alias("own"))
+
+    found = F.filter(F.transform(units, split), lambda u: F.arrays_overlap(u["terms"], needed))
+    found = F.transform(F.transform(F.transform(found, sorted_out), counted), multiplied)
+    found = F.filter(found, lambda u: F.array_max(u["product"]) >= min_score * 0.999 * F.sqrt(u["own"] + F.size(u["others"])))
+    names = F.array(*[F.lit(name) for name, _ in TEMPLATES])
+    rows = documents.where(F.arrays_overlap(terms(text), needed)).select("path", "doc_id", F.inline(found))
+    best = F.array_max("product")
+    return rows.select("path", "doc_id", "unit_id", "whole", F.element_at(names, F.array_position("product", best).cast("int")).alias("license"),
+                       best.alias("part"), "own", "others")
+
+
 def scores(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """(path, doc_id, license, score, whole) of each document's best unit that reaches the score.
 
     ``whole``: the whole text does so too, for that license.
     """
-    spark = documents.sparkSession
-    weights = Weights(*document_frequencies(documents), min_score)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    units = F.array_distinct(F.concat(F.split(text, "\n", -1), F.split(text, r"\n[\x20\t\r]*\n[\s]*", -1), F.array(text)))
-    needed = F.array(*[F.lit(t) for t in weights.needed])
-    rows = documents.select("path", "doc_id", text.alias("text"), F.explode(units).alias("unit")).withColumn("whole", F.col("unit") == F.col("text"))
-    rows = rows.select("path", "doc_id", F.xxhash64("unit").alias("unit_id"), F.col("whole"), terms(F.col("unit")).alias("terms"))
-    able = rows.where(F.arrays_overlap("terms", needed))
-    template = spark.createDataFrame(weights.rows, "template int, license string, term string, t_weight double")
-
-    words = able.select("path", "doc_id", "unit_id", "whole", F.explode("terms").alias("term")).where("term <> ''")
-    counted = words.groupBy("path", "doc_id", "unit_id", "whole", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
-    counted = stored(counted, "unit-terms")
-    frequencies = stored(term_frequencies(documents, stored(counted.select("term").distinct(), "terms")), "frequencies")
-    weighed = counted.join(frequencies, "term")
-    weighed = weighed.withColumn("idf", F.log(F.lit(1.0 + weights.total) / (F.col("df") + 1)) + 1)
-    weighed = weighed.withColumn("square", F.pow(F.col("tf") * F.col("idf"), 2))
-    unit = ["path", "doc_id", "unit_id", "whole"]
-    # The norm goes to a template of its own (-1), so that one grouping gives norms and products.
-    products = (weighed.join(F.broadcast(template), "term")
-                .select(*unit, "template", "license", (F.col("tf") * F.col("idf") * F.col("t_weight")).alias("part")))
-    norms = weighed.select(*unit, F.lit(-1).alias("template"), F.lit("").alias("license"), F.col("square").alias("part"))
-    sums = products.unionByName(norms).groupBy(*unit, "template", "license").agg(F.sum("part").alias("part"))
-    per_unit = sums.groupBy(*unit).agg(
-        F.sqrt(F.max(F.when(F.col("template") < 0, F.col("part")))).alias("norm"),
-        F.max(F.when(F.col("template") >= 0, F.struct("part", F.negative("template").alias("rank"), "license"))).alias("best"))
-    scored = per_unit.select("path", "doc_id", "whole", F.col("best.license").alias("license"), F.round(F.col("best.part") / F.col("norm"), 6).alias("score"))
+    docs = documents.select("path", "doc_id", F.col("text").cast("string").alias("text"))
+    frequencies = stored(term_frequencies(docs), "frequencies")
+    held = {r["term"]: r["df"] for r in frequencies.where(F.col("term").isin(vocabulary())).collect()}  # as many rows as templates have terms
+    weights = Weights(docs.count(), held, min_score)
+    unit = ["path", "doc_id", "unit_id", "whole", "license", "part", "own"]
+    units = stored(able_units(docs, weights, min_score).dropDuplicates(unit[:4]), "units")
+    words = units.select(*unit, F.explode_outer("others").alias("term")).groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("tf"))
+    weight = F.col("tf") * (F.log(F.lit(1.0 + weights.total) / (F.coalesce("df", F.lit(1)) + 1)) + 1)
+    weighed = words.join(frequencies, "term", "left").withColumn("square", F.when(F.col("term").isNull(), 0.0).otherwise(F.pow(weight, 2)))
+    norms = weighed.groupBy(*unit).agg(F.sqrt(F.col("own") + F.sum("square")).alias("norm"))
+    scored = norms.select("path", "doc_id", "whole", "license", F.round(F.col("part") / F.col("norm"), 6).alias("score"))
     best = scored.where(F.col("score") >= min_score).groupBy("path", "doc_id", "license").agg(F.max("score").alias("score"), F.max("whole").alias("whole"))
     first = F.min(F.struct(F.negative("score").alias("minus"), "license", "whole")).alias("first")
     return best.groupBy("path", "doc_id").agg(first).select("path", "doc_id", F.col("first.license").alias("license"), (-F.col("first.minus")).alias("score"),
