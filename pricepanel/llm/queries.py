@@ -180,12 +180,9 @@ def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = W.records(table(spark, sf_dir, "pages"))
     html = (F.when(struck("altered"), F.replace("html", F.lit("e"), F.lit("f")))
             .when(struck("cut"), F.substr("html", F.lit(1), F.greatest(F.char_length("html") - 40, F.lit(0)))).otherwise(F.col("html")))
-    replicas = []
-    for pages in (made, made.where(~struck("lost")).withColumn("html", html)):
-        path = f"{work_dir(spark, 'warc')}/files"
-        W.write_replica(pages, path)
-        replicas.append(stored(W.read_replica(spark, path), "replica"))
-    return W.audit(*replicas)
+    path = f"{work_dir(spark, 'warc')}/files"
+    W.write_replicas(made, path, a=F.col("html"), b=F.when(~struck("lost"), html))
+    return W.audit(*[stored(W.read_replica(spark, f"{path}/replica={name}"), "replica") for name in "ab"])
 
 
 def document_paths(documents: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Merkle fixity audit of WARC replicas.
 
-``write_replica`` lays records out as WARC files in shared storage, and
-``read_replica`` reads a replica's files: records are cut by their
+``write_replica`` lays records out as WARC files, compressed by gzip, in shared
+storage (``write_replicas`` several replicas of the same pages, which move
+once), and ``read_replica`` reads a replica's files: records are cut by their
 Content-Length and hashed where they are read; only (file, offset, length,
-hash, id) moves on. A tree covers one file by fixed offset ranges: the leaf
+hash, id) moves on. Offsets and lengths are those of the unpacked file. A tree covers one file by fixed offset ranges: the leaf
 range of RANGE_BYTES holds the records that start in it, a node holds FAN_OUT
 consecutive ranges, up to a root for each file. A node's hash covers its
 children's offsets and hashes in order, so records that moved, vanished or
@@ -25,6 +26,7 @@ count as there are. Further columns of the records are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -70,16 +72,32 @@ def records(pages: DataFrame, per_file: int = PAGES_PER_FILE) -> DataFrame:
     return pages.select(file_of(page_id, url, per_file).alias("file"), "page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
 
 
+def _write(dealt: DataFrame, path: str, *folders: str) -> None:
+    """The pages' records with ``payload``, as gzip files ``<path>/<folder>=<value>/../part-*`` in order of page_id.
+
+    ``dealt`` holds a file's pages in one partition; Spark's own writer writes it,
+    a record's last line end is the writer's line separator.
+    """
+    record = warc_record(F.col("page_id"), F.col("url"), F.col("payload"))
+    out = dealt.select(*folders, "page_id", "url", record.alias("record")).sortWithinPartitions(*folders, "page_id", "url", "record")
+    (out.select(*folders, F.expr("substring(record, 1, length(record) - 1)").alias("value"))
+     .write.partitionBy(*folders).option("lineSep", "\n").option("compression", "gzip").text(path))
+
+
 def write_replica(made: DataFrame, path: str) -> None:
-    """The records as WARC files ``<path>/file=<n>/part-*``, in order of page_id, each right behind the one before.
+    """The records as WARC files ``<path>/file=<n>/part-*.gz``, in order of page_id, each right behind the one before."""
+    _write(made.withColumn("payload", F.col("html")).repartition("file"), path, "file")
+
+
+def write_replicas(made: DataFrame, path: str, **payloads: Column) -> None:
+    """Several replicas at once, as WARC files ``<path>/replica=<name>/file=<n>/part-*.gz``.
 
-    A file is written by one task, by Spark's own writer; a record's last line
-    end is the writer's line separator.
+    ``payloads`` gives a page's payload in each replica; a null one is a record
+    that the replica lost. The pages move once for all replicas.
     """
-    record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
-    out = made.select("file", "page_id", "url", record.alias("record")).repartition("file").sortWithinPartitions("file", "page_id", "url", "record")
-    (out.select("file", F.expr("substring(record, 1, length(record) - 1)").alias("value"))
-     .write.partitionBy("file").option("lineSep", "\n").option("compression", "none").text(path))
+    copies = F.array(*[F.struct(F.lit(name).alias("replica"), payload.alias("payload")) for name, payload in payloads.items()])
+    dealt = made.repartition("file").select("file", "page_id", "url", F.inline(copies)).where("payload is not null")
+    _write(dealt, path, "replica", "file")
 
 
 HEADER_LINE = re.compile(rb"([!-9;-~]+):[ \t]*(.*?)\r\n")
@@ -102,7 +120,8 @@ def _cut(content: memoryview) -> Iterator[tuple[int, int, dict[bytes, bytes]]]:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-            data = memoryview(content.as_buffer())
+            packed = content.as_buffer()
+            data = memoryview(gzip.decompress(packed) if path.endswith(".gz") else packed)
             file = int(re.search(r"file=(-?\d+)", path)[1])
             rows = [(file, at, n, hashlib.sha256(data[at:at + n]).hexdigest(), f.get(b"warc-record-id", b"").decode().strip("<>"),
                      f.get(b"warc-target-uri", b"").decode(errors="replace")) for at, n, f in _cut(data)]
