@@ -88,12 +88,16 @@ def keep_bitmaps(documents: DataFrame, min_chars: int = MIN_CHARS, min_documents
 
 
 def with_bitmaps(documents: DataFrame, **rule) -> DataFrame:
-    """``documents`` with ``_n_dropped`` and ``_keep_bitmap`` (0 and null where nothing is dropped)."""
+    """``documents`` with ``_n_dropped`` and ``_keep_bitmap`` (0 and null where nothing is dropped).
+
+    The bitmaps grow with the documents, so they are never broadcast: texts and
+    bitmaps meet by one shuffle of each at any size, without a sort of the texts.
+    """
     maps = stored(keep_bitmaps(documents.select("doc_id", "text"), **rule), "keep-bitmaps").select(
         F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"),
         F.col("n_dropped").alias("_n_dropped"), F.col("keep_bitmap").alias("_keep_bitmap"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_text_id"))
-    joined = documents.join(maps, same, "left").drop("_id", "_text_id")
+    joined = documents.join(maps.hint("shuffle_hash"), same, "left").drop("_id", "_text_id")
     return joined.withColumn("_n_dropped", F.coalesce("_n_dropped", F.lit(0).cast("bigint")))
 
 
