@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricepanel.llm.tables import stored
-from pricepanel.operators.joins import maybe_broadcast
+from pricepanel.operators.joins import size_bounded
 
 #: Pieces at most that the partners of one row are dealt to, and partners a piece.
 SALTS, PARTNERS = 64, 64
@@ -23,7 +23,9 @@ def with_both(pairs: DataFrame, table: DataFrame, key: str, *values: str, a: str
     """
     heads = stored(pairs.groupBy(a).agg(F.least(F.ceil(F.count(F.lit(1)) / PARTNERS), F.lit(SALTS)).cast("int").alias("pieces")), "heads")
     dealt = pairs.join(heads, a).withColumn("piece", F.pmod(F.xxhash64(b), F.col("pieces")).cast("int")).drop("pieces")
-    dealt = maybe_broadcast(stored(dealt, "dealt"), MAX_PAIRS)  # a small one goes to the wide table, not the other way
+    dealt = stored(dealt, "dealt")
+    if size_bounded(dealt, MAX_PAIRS):  # small ones go to the wide table, not the other way
+        dealt, heads = F.broadcast(dealt), F.broadcast(heads)
 
     def named(side: str) -> DataFrame:
         return table.select(F.col(key).alias(side), *[F.col(v).alias(f"{v}_{side}") for v in values])

@@ -207,26 +207,28 @@ def groups(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_id")).alias("first")
     classes = stored(signed.where("n_shingles > 0").groupBy("set_id", "n_shingles")
                      .agg(first, F.first("bands").alias("bands")), "classes")
+    signed, banded = stored(signed.drop("bands"), "rows"), signed
+    finished(banded)  # the bands are most of its bytes
     # Classes go by a number in the bucket tables: 35 rows a class.
-    numbered = classes.select(F.xxhash64("set_id").alias("c"), "set_id")
     buckets = classes.select(F.xxhash64("set_id").alias("c"), F.explode("bands").alias("bucket"))
     shared = stored(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     members = stored(buckets.join(shared, "bucket"), "members")
+    classes, banded = stored(classes.drop("bands"), "heads"), classes
     weights = stored(members.groupBy("c").agg(F.sum("n").alias("weight")), "weights")
     weighed = stored(members.join(weights, "c").select("bucket", "c", "weight"), "weighed")
     centres = stored(weighed.groupBy("bucket").agg(F.max(F.struct("weight", "c")).alias("centre")), "centres")
     star = weighed.join(centres, "bucket").select(F.col("centre.c").alias("ca"), F.col("c").alias("cb"))
     star = stored(star.where("ca <> cb").distinct(), "star")
+    numbered = classes.select(F.xxhash64("set_id").alias("c"), "set_id")
     for side in ("a", "b"):
         star = star.join(numbered.select(F.col("c").alias("c" + side), F.col("set_id").alias(side)), "c" + side)
     star = stored(star.select("a", "b"), "star")
-    finished(members, weighed, centres)
+    finished(banded, members, weighed, centres)
     # Full sets of the classes that share a bucket at all, made again from their texts.
     wanted = weights.select("c").join(classes.select(F.xxhash64("set_id").alias("c"), "first"), "c").select(
         F.col("first.doc_id").alias("_id"), F.col("first.text_id").alias("_text")).distinct()
-    found = docs.join(maybe_broadcast(stored(wanted, "wanted"), MAX_HEADS), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text")), "left_semi")
-    sets = found.select("text").mapInArrow(_full_sets(shingle), "set_id string, members array<bigint>")
-    sets = stored(sets.dropDuplicates(["set_id"]), "sets")
+    found = _once(docs, signed, stored(wanted, "wanted")).select("text")
+    sets = stored(found.mapInArrow(_full_sets(shingle), "set_id string, members array<bigint>"), "sets")
     star = stored(compared(star, sets), "compared")
     links = star.where(_linked("common", "na", "nb", percent)).select("a", "b")
     labels = components(links)
@@ -238,6 +240,19 @@ def groups(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     return _labelled(signed, classes, labels)
 
 
+def _once(docs: DataFrame, signed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One row of ``docs`` for every (_id, _text) of ``wanted``; no text moves but those of repeated rows."""
+    def among(table: DataFrame, names: DataFrame, how: str) -> DataFrame:
+        return table.join(maybe_broadcast(names, MAX_HEADS), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text")), how)
+
+    copies = among(signed, wanted, "left_semi").groupBy(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = stored(copies.where("n > 1").drop("n"), "repeated")
+    found = among(docs, wanted, "left_semi")
+    if repeated.isEmpty():
+        return found
+    return among(found, repeated, "left_anti").unionByName(among(docs, repeated, "left_semi").dropDuplicates(["doc_id", "text_id"]))
+
+
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` after further links: components of the components that they touch."""
     def label_of(side: str) -> DataFrame:
