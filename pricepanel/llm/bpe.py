@@ -2,10 +2,12 @@
 
 The vocabulary file (a JSON of token ids and ordered merges, word ends marked
 by a suffix) is read once on the driver and broadcast: its size is that of a
-vocabulary, not of the data. Tasks split a text into words by the vocabulary's rule, look
-each word up in a bounded cache, and encode the missing ones: the parts of a
+vocabulary, not of the data. Tasks split a slice of texts at white space, look each
+distinct piece up once in a bounded cache, cut the missing ones into words by the
+vocabulary's rule and encode the new words: the parts of a
 word and the ranks of its adjacent pairs sit in two contiguous arrays; the
 least rank is searched, one boundary deleted, two neighbouring ranks renewed.
+Many new words of one length are the rows of two such arrays and take each step together.
 Very long words use a heap over the same ranks instead of the repeated scan.
 
 Null texts read as empty and give no ids. Any text, of any length, is encoded
@@ -22,9 +24,11 @@ import re
 import struct
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +43,9 @@ CACHE_ENTRIES = 350_000
 CACHED_WORD = 64
 #: Characters of a text that are split into words at a time (cut at white space).
 PIECE = 1 << 20
+#: Bytes of texts whose words are looked up together, and how many new words at least are encoded together.
+LOOKUP_BYTES = 4 << 20
+MANY_WORDS = 4_000
 
 # White space and the word pattern of the vocabulary file.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -97,6 +104,10 @@ def words_of(text: str) -> list[str]:
     return find(low)
 
 
+def _find(chunk: str) -> list[str]:
+    return (WORDS if BEYOND_LATIN.search(chunk) else LATIN_WORDS).findall(chunk)
+
+
 def pieces(text: str) -> Iterator[str]:
     """The text in pieces of about PIECE characters, cut at white space."""
     begin = 0
@@ -128,6 +139,10 @@ class Vocabulary:
             self.ranks[ids[a]].setdefault(ids[b], n)
             self.merged.append(ids[a + b])
         self.none = len(self.merged)
+        # The same ranks for many words at once: sorted pairs and their ranks, with a last pair that no word has.
+        pairs = sorted((a << 32 | b, r) for a, of in enumerate(self.ranks) for b, r in of.items())
+        self.pairs = np.array([p for p, _ in pairs] + [2**63 - 1], np.int64)
+        self.pair_ranks = np.array([r for _, r in pairs] + [self.none], np.int32)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.wide = len(self.tokens) > 1 << 16
 
@@ -137,6 +152,48 @@ class Vocabulary:
         parts[-1] = self.last[raw[-1]]
         return self._scan(parts) if len(parts) <= SHORT_WORD else self._heap(parts)
 
+    def words(self, raws: list[bytes], kind: np.dtype) -> list[bytes]:
+        """Packed ids of many words given as UTF-8: the scan of ``word``, a row each, for all words of a length at once."""
+        out: list[bytes] = [b""] * len(raws)
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+        flat, begins = np.frombuffer(b"".join(raws), np.uint8), np.cumsum(sizes) - sizes
+        inner, last, merged = (np.array(x, np.int32) for x in (self.inner, self.last, self.merged))
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            if size > SHORT_WORD:
+                for r in rows.tolist():
+                    out[r] = np.array(self.word(raws[r]), kind).tobytes()
+                continue
+            raw = flat[begins[rows][:, None] + np.arange(size)]
+            parts = inner[raw]
+            parts[:, -1] = last[raw[:, -1]]
+            ranks = self._ranks(parts[:, :-1], parts[:, 1:])
+            while len(rows):
+                width = ranks.shape[1]
+                at = ranks.argmin(1) if width else np.zeros(len(rows), np.int64)
+                least = ranks[np.arange(len(rows)), at] if width else np.full(len(rows), self.none)
+                done = least == self.none
+                if done.any():
+                    packed, step = parts[done].astype(kind).tobytes(), (width + 1) * kind.itemsize
+                    for n, r in enumerate(rows[done].tolist()):
+                        out[r] = packed[n * step:(n + 1) * step]
+                    rows, parts, ranks, at, least = (x[~done] for x in (rows, parts, ranks, at, least))
+                    if not len(rows):
+                        break
+                every = np.arange(len(rows))
+                parts[every, at] = merged[least]
+                parts, ranks = _without(parts, at + 1), _without(ranks, at)  # the boundary between the two parts
+                k = np.flatnonzero(at > 0)
+                ranks[k, at[k] - 1] = self._ranks(parts[k, at[k] - 1], parts[k, at[k]])
+                k = np.flatnonzero(at < width - 1)
+                ranks[k, at[k]] = self._ranks(parts[k, at[k]], parts[k, at[k] + 1])
+        return out
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pairs, pairs)
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], np.int32(self.none))
+
     def _scan(self, parts: list[int]) -> list[int]:
         of, none, merged = self.ranks, self.none, self.merged
         ranks = [of[a].get(b, none) for a, b in zip(parts, parts[1:])]
@@ -177,6 +234,13 @@ class Vocabulary:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+def _without(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Every row less its value at one place."""
+    kept = np.ones(rows.shape, bool)
+    kept[np.arange(len(rows)), at] = False
+    return rows[kept].reshape(len(rows), rows.shape[1] - 1)
+
+
 class Encoder(dict):
     """Whole texts to ids; itself the young half of the cache of words (packed little-endian ids)."""
 
@@ -202,8 +266,18 @@ class Encoder(dict):
     def pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.kind.char}", *ids)
 
-    def prepare(self, words: list[str]) -> None:
-        """Called with words that are not in the young half before they are looked up."""
+    def keep_all(self, made: dict[str, bytes]) -> None:
+        """``keep`` for many words, whose long ones leave ``made``; no half grows beyond its entries."""
+        for w in [w for w in made if len(w) > CACHED_WORD]:
+            del made[w]
+        if len(self) + len(made) > self.entries:
+            self.old = dict(self)
+            self.clear()
+        self.update(made if len(made) <= self.entries else islice(made.items(), self.entries))
+
+    def prepare(self, words: list[str]) -> dict[str, bytes]:
+        """Called with words that are not in the young half before they are looked up; those made here, kept as well."""
+        return {}
 
     def looked_up(self, text: str) -> list[bytes]:
         """Packed ids of a piece of text, one lookup for everything between two white spaces.
@@ -230,6 +304,59 @@ class Encoder(dict):
             self.keep(c, e)
         return [made[c] if f is None else f for c, f in zip(chunks, found)]
 
+    def chunks_packed(self, chunks: list[str], find: Callable[[str], list[str]]) -> list[bytes]:
+        """Packed ids of distinct chunks of normal form; no word reaches from one chunk into another."""
+        found = list(map(self.get, chunks))
+        missing = [i for i, e in enumerate(found) if e is None]
+        made: dict[str, bytes] = {}
+        new: dict[str, None] = {}
+        whole, cut = [], []
+        for i, e in zip(missing, map(self.old.get, [chunks[i] for i in missing])):
+            c = chunks[i]
+            if e is not None:
+                found[i] = made[c] = e
+            elif c.isalpha():  # letters alone are one word
+                new[c] = None
+                whole.append(i)
+            else:
+                cut.append((i, find(c)))
+        for w in set(chain.from_iterable(words for _, words in cut)):
+            if (e := self.get(w) or self.old.get(w)) is not None:
+                made[w] = e
+            else:
+                new[w] = None
+        made.update(prepared := self.prepare(list(new)))
+        words = [w for w in new if w not in prepared] if prepared else list(new)
+        raws, v = [w.encode() for w in words], self.vocabulary
+        made.update(zip(words, v.words(raws, self.kind) if len(raws) >= MANY_WORDS else [self.pack(v.word(r)) for r in raws]))
+        for i in whole:
+            found[i] = made[chunks[i]]
+        for i, words in cut:
+            found[i] = b"".join(map(made.__getitem__, words))
+        made.update((chunks[i], found[i]) for i, _ in cut)
+        self.keep_all(made)
+        return found
+
+    def packed_all(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids of every text (null: empty) of a bounded slice, one lookup for each distinct chunk of them all.
+
+        Texts with special tokens and very long ones are encoded one by one.
+        """
+        if not texts:
+            return []
+        special = self.vocabulary.special
+        alone = {i: self.packed(t) for i, t in enumerate(texts) if t and (len(t) > PIECE or any(s in t for s in special))}
+        lows, finds = zip(*(normal(t if t and i not in alone else "") for i, t in enumerate(texts)))
+        find = LATIN_WORDS.findall if all(f == LATIN_WORDS.findall for f in finds) else _find
+        chunks = pc.ascii_split_whitespace(pa.array(lows, pa.string()))
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(self.chunks_packed(distinct, find), pa.binary()).take(coded.indices)
+        _, places, data = ids.buffers()
+        bounds = np.frombuffer(places, np.int32)[chunks.offsets.to_numpy()].tolist()
+        return [alone[i] if i in alone else data[s:e].to_pybytes() if e > s else b""
+                for i, (s, e) in enumerate(zip(bounds, bounds[1:]))]
+
     def packed(self, text: str) -> bytes:
         v, out = self.vocabulary, []
         for part in v.cut.split(text) if any(t in text for t in v.special) else (text,):
@@ -286,10 +413,10 @@ def encoded(documents: DataFrame, vocabulary_path: str, with_ids: bool = True, w
         v = enc.vocabulary
         decimal = [str(i) for i in range(len(v.tokens))]
         for batch in batches:
-            for part in T.slices(batch, "text"):
+            for part in T.slices(batch, "text", LOOKUP_BYTES):
                 counts, arrays, ids_sha, text_sha = [], [], [], []
-                for text in part.column("text").to_pylist():
-                    ids = np.frombuffer(enc.packed(text or ""), enc.kind)
+                for packed in enc.packed_all(part.column("text").to_pylist()):
+                    ids = np.frombuffer(packed, enc.kind)
                     counts.append(len(ids))
                     if with_ids:
                         arrays.append(ids.astype(np.int32))

@@ -175,12 +175,14 @@ class LibraryEncoder(bpe.Encoder):
         self.library.no_truncation()
         self.library.no_padding()
 
-    def prepare(self, words: list[str]) -> None:
+    def prepare(self, words: list[str]) -> dict[str, bytes]:
         """New words beyond Latin letters go through the library in one call."""
-        new = [w for w in dict.fromkeys(words) if w not in self and w not in self.old and bpe.BEYOND_LATIN.search(w)]
-        if new:
-            for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-                self.keep(w, self.pack(e.ids))
+        beyond = dict.fromkeys(w for w in words if not w.isascii() and bpe.BEYOND_LATIN.search(w))
+        new = [w for w in beyond if w not in self and w not in self.old]
+        made = {w: self.pack(e.ids) for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False))} if new else {}
+        for w, packed in made.items():
+            self.keep(w, packed)
+        return made
 
 
 _LIBRARY: dict[int, LibraryEncoder] = {}
@@ -208,8 +210,8 @@ def write_token_files(documents: DataFrame, vocabulary_path: str, end_id: int, p
         enc = _library(content)
         end = enc.pack([end_id])
         for batch in batches:
-            for part in T.slices(batch, "text"):
-                packed = [enc.packed(text or "") + end for text in part.column("text").to_pylist()]
+            for part in T.slices(batch, "text", bpe.LOOKUP_BYTES):
+                packed = [ids + end for ids in enc.packed_all(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
